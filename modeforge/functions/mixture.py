@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from modeforge.functions.text import largest, number, pick, quoted, total
+from modeforge.functions.text import largest, number, quoted, total
 
 # Fixed value: added to every active probability before the draw.
 SMOOTHING = 1e-6
@@ -20,10 +20,14 @@ SMOOTHING = 1e-6
 Stage = list[tuple[str, str]]
 
 
+def is_finite(x: str) -> str:
+    """Whether the value is neither NaN nor infinite; null for null."""
+    return f"abs(CAST({x} AS DOUBLE)) < double('Infinity')"
+
+
 def finite(x: str) -> str:
     """The value as a double, null where it is null, NaN or infinite."""
-    d = f"CAST({x} AS DOUBLE)"
-    return f"CASE WHEN abs({d}) < double('Infinity') THEN {d} END"
+    return f"CASE WHEN {is_finite(x)} THEN CAST({x} AS DOUBLE) END"
 
 
 def log_density(x: str, const: float, half_precision: float, mean: float) -> str:
@@ -39,13 +43,19 @@ def responsibility_stages(
     means: Sequence[float],
     p: str,
 ) -> list[Stage]:
-    """``{p}l*`` log densities, ``{p}e*`` scaled densities, ``{p}t`` their sum.
+    """``{p}ok`` whether there is a value, ``{p}x`` that value (0 if there is
+    none), ``{p}l*`` log densities, ``{p}e*`` scaled densities, ``{p}t`` their sum.
 
-    The responsibility of component k is ``{p}e{k} / {p}t``.
+    The responsibility of component k is ``{p}e{k} / {p}t``.  Nothing after the
+    first stage can be null: null checks would be most of the generated code.
     """
     ks = range(len(means))
+    there = f"coalesce({is_finite(x)}, false)"
     return [
-        [(f"{p}x", x)],
+        [
+            (f"{p}ok", there),
+            (f"{p}x", f"CASE WHEN {there} THEN coalesce(CAST({x} AS DOUBLE), 0.0D) ELSE 0.0D END"),
+        ],
         [
             (f"{p}l{k}", log_density(f"{p}x", consts[k], half_precisions[k], means[k]))
             for k in ks
@@ -56,57 +66,55 @@ def responsibility_stages(
     ]
 
 
-def smoothed_stages(active: Sequence[int], p: str) -> list[Stage]:
-    """``{p}q*`` smoothed probabilities of the active components, ``{p}qt`` their sum."""
+def draw_stages(active: Sequence[int], u: str, p: str) -> list[Stage]:
+    """``{p}z``: position (among the active) drawn by inverse distribution; the
+    number of active components where there is no value.
+
+    The smoothed probabilities ``{p}q*`` are left multiplied by ``{p}t``, and
+    their running sums are compared with ``u`` times the last one: no division.
+    """
+    last = len(active) - 1
+    sums = [total(f"{p}q{k}" for k in active[: i + 1]) for i in range(last + 1)]
+    whens = " ".join(f"WHEN {p}u < {p}c{i} THEN {i}" for i in range(last))
     return [
-        [(f"{p}q{k}", f"{p}e{k} / {p}t + {number(SMOOTHING)}") for k in active],
-        [(f"{p}qt", total(f"{p}q{k}" for k in active))],
+        [(f"{p}q{k}", f"{p}e{k} + {number(SMOOTHING)} * {p}t") for k in active],
+        [
+            *((f"{p}c{i}", sums[i]) for i in range(last)),
+            (f"{p}u", f"{u} * {sums[last]}"),
+        ],
+        [(f"{p}z", f"CASE WHEN NOT {p}ok THEN {last + 1} {whens} ELSE {last} END")],
     ]
 
 
-def draw_stages(active: Sequence[int], u: str, p: str) -> list[Stage]:
-    """``{p}z``: position (among the active) drawn by inverse distribution.
-
-    Running sums of the smoothed probabilities are compared with ``u`` times
-    their total, which saves dividing each of them by it.
-    """
-    sums = [f"{p}q{active[0]}"]
-    stages: list[Stage] = smoothed_stages(active, p)[:1]
-    running: Stage = []
-    for i, k in enumerate(active[1:], start=1):
-        running.append((f"{p}c{i}", total(f"{p}q{j}" for j in active[: i + 1])))
-        sums.append(f"{p}c{i}")
-    if running:
-        stages.append(running)
-    stages.append([(f"{p}u", f"{u} * {sums[-1]}")])
-    whens = " ".join(f"WHEN {p}u < {s} THEN {i}" for i, s in enumerate(sums[:-1]))
-    stages.append([(f"{p}z", f"CASE WHEN {p}x IS NULL THEN NULL {whens} ELSE {len(sums) - 1} END")])
-    return stages
+def lookup(z: str, values: Sequence[str]) -> str:
+    """``values[z]``; constant values become one array that rows share."""
+    return f"array({', '.join(values)})[{z}]"
 
 
 def scaled_within(
     x: str, z: str, means: Sequence[float], spreads: Sequence[float], factor: float
 ) -> str:
-    """Distance from the mean of mode ``z`` in units of ``factor`` spreads."""
-    centre = pick(z, [number(m) for m in means])
-    width = pick(z, [number(factor * s) for s in spreads])
-    return f"(({x} - {centre}) / {width})"
+    """Distance from the mean of mode ``z`` in units of ``factor`` spreads.
+
+    Where there is no mode the result is 0.
+    """
+    centre = lookup(z, [*(number(m) for m in means), "0.0D"])
+    inverse = lookup(z, [*(number(1.0 / (factor * s)) for s in spreads), "0.0D"])
+    return f"(({x} - {centre}) * {inverse})"
 
 
 def clipped(value: str, low: float, high: float) -> str:
     """Value limited to [low, high]; null stays null."""
-    return (
-        f"CASE WHEN {value} IS NOT NULL THEN "
-        f"greatest({number(low)}, least({number(high)}, {value})) END"
-    )
+    low, high = number(low), number(high)
+    return f"CASE WHEN {value} < {low} THEN {low} WHEN {value} > {high} THEN {high} ELSE {value} END"
 
 
 def unscaled(
     n: str, z: str, means: Sequence[float], spreads: Sequence[float], factor: float
 ) -> str:
     """Inverse of ``scaled_within``."""
-    centre = pick(z, [number(m) for m in means])
-    width = pick(z, [number(factor * s) for s in spreads])
+    centre = lookup(z, [number(m) for m in means])
+    width = lookup(z, [number(factor * s) for s in spreads])
     return f"({n} * {width} + {centre})"
 
 

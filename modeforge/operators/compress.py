@@ -44,32 +44,36 @@ class NumericProfile:
         return 1.0 if self.variance > 0 else 0.0
 
 
-def profile_numeric(df: DataFrame, columns: Mapping[str, str]) -> dict[str, NumericProfile]:
-    """Profile of every named SQL expression in one scan.
+def profile_numeric(
+    df: DataFrame, columns: Mapping[str, str], extra: Mapping[str, str] | None = None
+) -> tuple[dict[str, NumericProfile], dict[str, object]]:
+    """Profile of every named SQL expression, and ``extra`` aggregates, in one scan.
 
     ``distinct`` is an estimate (relative error about 5 %), used only to choose
     the form of the compressed table.
     """
-    names = list(columns)
-    staged = df.selectExpr(*(f"{finite(columns[n])} AS v{i}" for i, n in enumerate(names)))
+    names, extra = list(columns), dict(extra or {})
+    staged = df.selectExpr("*", *(f"{finite(columns[n])} AS __v{i}" for i, n in enumerate(names)))
     row = staged.selectExpr(
+        *(f"{text} AS x{i}" for i, text in enumerate(extra.values())),
         *(
             text
             for i in range(len(names))
             for text in (
-                f"count(v{i}) AS n{i}",
-                f"avg(v{i}) AS m{i}",
-                f"var_samp(v{i}) AS s{i}",
-                f"min(v{i}) AS a{i}",
-                f"max(v{i}) AS b{i}",
-                f"approx_count_distinct(v{i}) AS d{i}",
+                f"count(__v{i}) AS n{i}",
+                f"avg(__v{i}) AS m{i}",
+                f"var_samp(__v{i}) AS s{i}",
+                f"min(__v{i}) AS a{i}",
+                f"max(__v{i}) AS b{i}",
+                f"approx_count_distinct(__v{i}) AS d{i}",
             )
         )
     ).first()
     profiles = {}
     for i, name in enumerate(names):
         if row[f"n{i}"] == 0:
-            raise ValueError(f"no finite value to fit in {name}")
+            profiles[name] = NumericProfile(0, 0.0, 0.0, 0.0, 0.0, 0)
+            continue
         variance = row[f"s{i}"]
         flat = variance is None or row[f"a{i}"] == row[f"b{i}"]
         profiles[name] = NumericProfile(
@@ -80,7 +84,7 @@ def profile_numeric(df: DataFrame, columns: Mapping[str, str]) -> dict[str, Nume
             row[f"b{i}"],
             row[f"d{i}"],
         )
-    return profiles
+    return profiles, {name: row[f"x{i}"] for i, name in enumerate(extra)}
 
 
 def compress(

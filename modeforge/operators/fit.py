@@ -14,21 +14,27 @@ All columns, and all restarts of a column, advance in the same job.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from modeforge.config import MixtureConfig
-from modeforge.functions.mixture import SMOOTHING
 from modeforge.functions.special import log_beta
 from modeforge.functions.text import number, quoted
 from modeforge.operators.compress import NumericProfile, compress, profile_numeric
 from modeforge.operators.model import FitReport, Mixture, expected_log_constants
+from modeforge.operators.sums import (
+    SCHEMA,
+    Measure,
+    draw_counts,
+    moment_sums,
+    partition_sums,
+    win_counts,
+)
 from modeforge.sources.files import keep_fraction
 from modeforge.sources.scratch import cut_lineage
 
@@ -53,7 +59,8 @@ def fit_mixtures(
     cfg = config or MixtureConfig()
     if cfg.sample_cap is not None:
         df = capped_sample(df, cfg.sample_cap, cfg.random_state)
-    return fit_profiled(df, columns, profile_numeric(df, columns), cfg)
+    profiles, _ = profile_numeric(df, columns)
+    return fit_profiled(df, columns, profiles, cfg)
 
 
 def capped_sample(df: DataFrame, cap: int, seed: int) -> DataFrame:
@@ -70,6 +77,9 @@ def fit_profiled(
 ) -> dict[str, Mixture]:
     """As ``fit_mixtures`` for columns whose profiles are known."""
     names = list(columns)
+    for name in names:
+        if profiles[name].rows == 0:
+            raise ValueError(f"no finite value to fit in {name}")
     cells = cut_lineage(compress(df, columns, profiles, cfg.max_cells))
     held, sizes = _hold(cells, len(names))
     try:
@@ -239,7 +249,7 @@ def _iterate(held: DataFrame, chains: list[_Chain], cfg: MixtureConfig) -> None:
     k = cfg.n_components
     moving = list(chains)
     for _ in range(cfg.max_iter):
-        sums = _sum_over_cells(held, moving, _moment_sums, 3 * k + 1)
+        sums = _sum_over_cells(held, moving, moment_sums, 3 * k + 1)
         for chain, s in zip(moving, sums):
             chain.update(s[:k], s[k : 2 * k], s[2 * k : 3 * k], chain.mean)
             chain.bounds.append(chain.bound(s[3 * k]))
@@ -258,83 +268,24 @@ def _label(held: DataFrame, chains: list[_Chain], cfg: MixtureConfig) -> None:
     of some row; if none does, the heaviest stays.
     """
     k = cfg.n_components
-    for chain, wins in zip(chains, _sum_over_cells(held, chains, _win_counts, k)):
+    for chain, wins in zip(chains, _sum_over_cells(held, chains, win_counts, k)):
         shares = chain.shares()
         chain.active = (shares > cfg.eps) & (wins > 0)
         if not chain.active.any():
             chain.active[int(np.argmax(shares))] = True
-    for chain, drawn in zip(chains, _sum_over_cells(held, chains, _draw_counts, k)):
+    for chain, drawn in zip(chains, _sum_over_cells(held, chains, draw_counts, k)):
         chain.frequency = drawn
 
 
-# --------------------------------------------------------------------------
-# sums over the cells
-
-_Params = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]
-_SUMS = "chain int, sums array<double>"
-
-
 def _sum_over_cells(
-    held: DataFrame,
-    chains: list[_Chain],
-    measure: Callable[..., np.ndarray],
-    width: int,
+    held: DataFrame, chains: list[_Chain], measure: Measure, width: int
 ) -> np.ndarray:
     """One job: ``measure`` summed over all cells of each chain's column."""
-    work: dict[int, list[tuple[int, _Params]]] = {}
+    work: dict[int, list] = {}
     for i, chain in enumerate(chains):
         work.setdefault(chain.model, []).append((i, (*chain.densities(), chain.active)))
-
-    def partition_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        acc: dict[int, np.ndarray] = {}
-        for batch in batches:
-            model, z, n, q = (batch.column(i).to_numpy() for i in range(4))
-            cuts = np.flatnonzero(np.diff(model)) + 1
-            for part in np.split(np.arange(len(model)), cuts):
-                for i, params in work.get(int(model[part[0]]), ()) if len(part) else ():
-                    s = measure(z[part], n[part], q[part], *params)
-                    acc[i] = acc[i] + s if i in acc else s
-        if acc:
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(list(acc), pa.int32()),
-                    pa.array([v.tolist() for v in acc.values()], pa.list_(pa.float64())),
-                ],
-                names=["chain", "sums"],
-            )
-
     out = np.zeros((len(chains), width))
-    for row in held.select("model", "z", "n", "q").mapInArrow(partition_sums, _SUMS).collect():
+    cells = held.select("model", "z", "n", "q")
+    for row in cells.mapInArrow(partition_sums(work, measure), SCHEMA).collect():
         out[row["chain"]] += row["sums"]
     return out
-
-
-def _log_densities(z, n, q, const, half, mean):
-    d = z[:, None] - mean
-    return d, const - half * (d * d + (q / n)[:, None])
-
-
-def _shares(logs):
-    top = logs.max(axis=1, keepdims=True)
-    r = np.exp(logs - top)
-    whole = r.sum(axis=1, keepdims=True)
-    return r / whole, top + np.log(whole)
-
-
-def _moment_sums(z, n, q, const, half, mean, _active):
-    d, logs = _log_densities(z, n, q, const, half, mean)
-    r, norm = _shares(logs)
-    entropy = -(n * (r * (logs - norm)).sum(axis=1)).sum()
-    d2 = d * d * n[:, None] + q[:, None]
-    return np.concatenate([n @ r, n @ (r * d), (r * d2).sum(axis=0), [entropy]])
-
-
-def _win_counts(z, n, q, const, half, mean, _active):
-    _, logs = _log_densities(z, n, q, const, half, mean)
-    return np.bincount(logs.argmax(axis=1), weights=n, minlength=len(mean))
-
-
-def _draw_counts(z, n, q, const, half, mean, active):
-    _, logs = _log_densities(z, n, q, const, half, mean)
-    p = (_shares(logs)[0] + SMOOTHING) * active
-    return n @ (p / p.sum(axis=1, keepdims=True))
