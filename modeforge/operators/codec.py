@@ -163,7 +163,12 @@ class ModeEncoder:
 
 
 def flat_decode(
-    block: Sequence[str], norm: str, m: Mixture, cfg: MixtureConfig, p: str, points: Sequence[float]
+    block: Sequence[str],
+    norm: str,
+    m: Mixture | None,
+    cfg: MixtureConfig,
+    p: str,
+    points: Sequence[float] = (),
 ) -> tuple[list[mx.Stage], str]:
     """Stages and value of a flat block: ``points`` first, then ``m.kept``, in
     the order of ``block``'s column expressions."""
@@ -171,9 +176,10 @@ def flat_decode(
         [(f"{p}b", largest(list(block))), (f"{p}n", mx.clipped(norm, -1.0, 1.0))],
         [(f"{p}z", first_largest(block, f"{p}b"))],
     ]
-    centres = [number(v) for v in (*points, *m.kept_means)]
+    means, spreads = (m.kept_means, m.kept_spreads) if m else ((), ())
+    centres = [number(v) for v in (*points, *means)]
     widths = ["0.0D"] * len(points)
-    widths += [number(cfg.normalization_factor * s) for s in m.kept_spreads]
+    widths += [number(cfg.normalization_factor * s) for s in spreads]
     value = f"({p}n * {mx.lookup(f'{p}z', widths)} + {mx.lookup(f'{p}z', centres)})"
     return stages, value
 

@@ -16,6 +16,10 @@ ROWS_PER_PARTITION = 2_000_000
 
 COPY = "copy"
 
+# Copies generated from one row in one step, and rows per partition that make
+# a round-robin spread even.
+_LONGEST_BLOCK, _ROWS_TO_SPREAD = 100_000, 64
+
 
 def copies_for(target: int, rows: int) -> int:
     """Copies needed to reach the target: at least one, rounded up."""
@@ -25,18 +29,24 @@ def copies_for(target: int, rows: int) -> int:
 
 
 def replicate(
-    df: DataFrame, copies: int, partitions: int | None = None, label: str = COPY
+    df: DataFrame,
+    copies: int,
+    partitions: int | None = None,
+    rows: int | None = None,
+    label: str = COPY,
 ) -> DataFrame:
     """``copies`` copies of every row, numbered from 0 in ``label``.
 
-    Copies are generated in two steps, blocks and then the copies of a block,
-    with the only shuffle in between: it moves one row per block instead of one
-    per copy, and it spreads even a one-partition input over ``partitions``.
+    Copies are generated in two steps, blocks and then the copies of a block.
+    With ``partitions`` the rows are spread in between: the shuffle then moves
+    one row per block instead of one per copy, and there are just enough blocks
+    to spread even a one-row input evenly.
     """
-    block = math.isqrt(copies - 1) + 1
+    blocks = math.ceil(copies / _LONGEST_BLOCK)
     if partitions:
-        block = max(1, min(block, copies // partitions or 1))
-    blocks = math.ceil(copies / block)
+        blocks = max(blocks, math.ceil(_ROWS_TO_SPREAD * partitions / max(rows or 1, 1)))
+    blocks = min(blocks, copies)
+    block = math.ceil(copies / blocks)
     out = df.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     if partitions:
         out = out.repartition(partitions)
@@ -84,7 +94,7 @@ def inflate(
     partitions = partitions or max(1, copies * measured["rows"] // ROWS_PER_PARTITION)
     names = [key] if isinstance(key, str) else list(key or [])
     slim = df.select(*dict.fromkeys([*names, column]))
-    many = replicate(slim, copies, partitions)
+    many = replicate(slim, copies, partitions, measured["rows"])
     keys = [*key_columns(key), COPY] if names else []
     value = jittered(column, measured["stddev"] or 0.0, share, keys, seed, portable)
     kept = [*map(quoted, names), COPY] if keep_key else []
