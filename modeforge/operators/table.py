@@ -27,6 +27,7 @@ from modeforge.operators.compress import NumericProfile, profile_numeric
 from modeforge.operators.fit import capped_sample, fit_profiled
 from modeforge.operators.model import Mixture
 from modeforge.operators.profile import indexed_categories, ranked_categories
+from modeforge.session import suit_wide_projections
 
 CONTINUOUS, MIXED, CATEGORICAL = "continuous", "mixed", "categorical"
 TANH, SOFTMAX, INDEX = "tanh", "softmax", "index"
@@ -266,6 +267,7 @@ class TableEncoder:
         that clipping would damage.
         """
         cfg, keys = self.config, key_columns(key)
+        suit_wide_projections(df.sparkSession)
         for i, code in enumerate(self.codes):
             if code.dictionary is not None:
                 df = self._with_index(df, code, i)
@@ -332,6 +334,7 @@ class TableEncoder:
         normalised values are limited to [-1, 1].  Categories come back in
         their own type, numbers as doubles.
         """
+        suit_wide_projections(df.sparkSession)
         stages, out, start = [], [], 0
         for i, code in enumerate(self.codes):
             p = f"__{i}_"
@@ -341,10 +344,11 @@ class TableEncoder:
                 df = self._with_value(df, code, i, block[0])
                 value = f"CAST({p}value AS {code.type})"
             elif code.kind == CATEGORICAL:
+                place = first_largest(block, f"{p}b")
                 stages.append(
                     [
                         [(f"{p}b", largest(block))],
-                        [(f"{p}z", f"CASE WHEN {p}b = 0 THEN NULL ELSE {first_largest(block, f'{p}b')} END")],
+                        [(f"{p}z", f"CASE WHEN {p}b = 0 THEN NULL ELSE {place} END")],
                     ]
                 )
                 value = mx.lookup(f"{p}z", _literals(code))
@@ -370,7 +374,9 @@ class TableEncoder:
         return mx.apply_stages(df, stages).selectExpr(*map(quoted, keep), *out)
 
     def _with_value(self, df: DataFrame, code: ColumnCode, i: int, index: str) -> DataFrame:
-        entries = code.dictionary.selectExpr(f"value AS __{i}_value", f"CAST(idx AS DOUBLE) __{i}_at")
+        entries = code.dictionary.selectExpr(
+            f"value AS __{i}_value", f"CAST(idx AS DOUBLE) AS __{i}_at"
+        )
         return df.join(entries, F.col(index) == F.col(f"__{i}_at"), "left").drop(f"__{i}_at")
 
 

@@ -55,6 +55,22 @@ def keep_fraction(
     return df.where(f"{u} < {fraction!r}D")
 
 
+def take_sample(
+    df: DataFrame,
+    rows: int,
+    key: str | Sequence[str],
+    seed: int = 42,
+    portable: bool = False,
+) -> DataFrame:
+    """Exactly ``rows`` rows (all, if there are fewer), the same ones every time.
+
+    They are the smallest draws, so each task passes on at most ``rows`` rows.
+    """
+    names = key_columns(key)
+    u = keyed_uniform(names, seed, "sample", portable)
+    return df.orderBy(F.expr(u), *(F.expr(n) for n in names)).limit(rows)
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
