@@ -123,6 +123,19 @@ def indicator(condition: str) -> str:
     return f"CASE WHEN {condition} THEN 1.0D ELSE 0.0D END"
 
 
+def fenced(df: DataFrame, keep: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Columns ``keep``, and ``names`` as the optimizer will no longer expand them.
+
+    A filter on a column moves below the projection that defines it, with the
+    definition in place of the name.  Through stages that each mention several
+    earlier names this would multiply into expressions of millions of nodes.  A
+    generator of one row per row stops that, while filters on the kept columns
+    still move through it down to the scan.
+    """
+    pairs = ", ".join(f"'{n}', {n}" for n in names)
+    return df.selectExpr(*keep, f"inline(array(named_struct({pairs})))")
+
+
 def apply_stages(df: DataFrame, groups: Sequence[Sequence[Stage]]) -> DataFrame:
     """Add the stages of every group, stage by stage, to all columns of ``df``."""
     depth = max((len(g) for g in groups), default=0)

@@ -22,32 +22,47 @@ from modeforge.sources.files import read_parquet, write_parquet
 NORMALIZED, ENCODING, MODE, OVERFLOW = "normalized_value", "mode_encoding", "mode", "overflow"
 
 
-def mode_stages(
-    x: str,
-    tag: str,
-    m: Mixture,
-    key: Sequence[str],
-    cfg: MixtureConfig,
-    p: str,
-    portable: bool,
-) -> list[mx.Stage]:
-    """``{p}x`` value, ``{p}z`` drawn position in ``m.kept``, ``{p}n`` scaled value.
+@dataclass(frozen=True)
+class ModeRequest:
+    """A value (SQL text) to be given a mode, and the prefix of what is added.
 
     ``tag`` keeps the draws of several columns apart.
     """
-    u = keyed_uniform(key, cfg.random_state, f"mode:{tag}", portable)
-    return [
-        *mx.responsibility_stages(x, m.consts, m.half_precisions, m.means, p),
-        *mx.draw_stages(m.kept, u, p),
-        [
-            (
-                f"{p}n",
-                mx.scaled_within(
-                    f"{p}x", f"{p}z", m.kept_means, m.kept_spreads, cfg.normalization_factor
-                ),
-            )
-        ],
-    ]
+
+    x: str
+    tag: str
+    mixture: Mixture
+    prefix: str
+
+
+def with_modes(
+    df: DataFrame,
+    requests: Sequence[ModeRequest],
+    key: Sequence[str],
+    cfg: MixtureConfig,
+    portable: bool,
+) -> DataFrame:
+    """Add, per request, ``{p}ok`` whether there is a value, ``{p}x`` the value,
+    ``{p}z`` its drawn position in ``mixture.kept``, ``{p}n`` the scaled value."""
+    if not requests:
+        return df
+    groups, names, scaled = [], [], []
+    for r in requests:
+        m, p = r.mixture, r.prefix
+        u = keyed_uniform(key, cfg.random_state, f"mode:{r.tag}", portable)
+        groups.append(
+            [
+                *mx.responsibility_stages(r.x, m.consts, m.half_precisions, m.means, p),
+                *mx.draw_stages(m.kept, u, p),
+            ]
+        )
+        names += [f"{p}ok", f"{p}x", f"{p}z"]
+        n = mx.scaled_within(
+            f"{p}x", f"{p}z", m.kept_means, m.kept_spreads, cfg.normalization_factor
+        )
+        scaled.append(f"{n} AS {p}n")
+    kept = [quoted(c) for c in df.columns]
+    return mx.fenced(mx.apply_stages(df, groups), kept, names).selectExpr("*", *scaled)
 
 
 def overflow(x: str, p: str, cfg: MixtureConfig) -> str:
@@ -93,9 +108,8 @@ class ModeEncoder:
         m, cfg, p = self.mixture, self.config, "__e_"
         positions = m.order if ranked else range(len(m.kept))
         x = quoted(self.column)
-        staged = mx.apply_stages(
-            df, [mode_stages(x, self.column, m, key_columns(key), cfg, p, portable)]
-        )
+        request = ModeRequest(x, self.column, m, p)
+        staged = with_modes(df, [request], key_columns(key), cfg, portable)
         places = {i: place for place, i in enumerate(positions)}
         hot = [
             "array(" + ", ".join("1.0D" if i == j else "0.0D" for j in positions) + ")"

@@ -41,7 +41,9 @@ def smoothed_probabilities(df: DataFrame, column: str, m: Mixture) -> DataFrame:
         f"CASE WHEN {_P}ok THEN {s} / ({' + '.join(shares)}) END AS p{i}"
         for i, s in enumerate(shares)
     ]
-    return _scored(df, column, m).selectExpr(*_input(df), *probabilities)
+    names = [f"{_P}ok", f"{_P}t", *(f"{_P}e{k}" for k in m.kept)]
+    scored = mx.fenced(_scored(df, column, m), _input(df), names)
+    return scored.selectExpr(*_input(df), *probabilities)
 
 
 def sufficient_statistics(df: DataFrame, column: str, m: Mixture) -> DataFrame:

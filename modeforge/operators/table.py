@@ -22,7 +22,7 @@ from modeforge.functions import mixture as mx
 from modeforge.functions.scaling import from_min_max, to_min_max
 from modeforge.functions.text import first_largest, largest, number, quoted, string
 from modeforge.functions.uniform import key_columns
-from modeforge.operators.codec import flat_decode, mode_stages, normalized, overflow
+from modeforge.operators.codec import ModeRequest, flat_decode, normalized, overflow, with_modes
 from modeforge.operators.compress import NumericProfile, profile_numeric
 from modeforge.operators.fit import capped_sample, fit_profiled
 from modeforge.operators.model import Mixture
@@ -271,7 +271,7 @@ class TableEncoder:
         for i, code in enumerate(self.codes):
             if code.dictionary is not None:
                 df = self._with_index(df, code, i)
-        stages, out, extra = [], [], []
+        requests, out, extra = [], [], []
         for i, code in enumerate(self.codes):
             p, x = f"__{i}_", quoted(code.name)
             if code.kind == CATEGORICAL:
@@ -279,7 +279,7 @@ class TableEncoder:
                 continue
             if code.mixture is not None:
                 apart = _apart_from(x, code.points)
-                stages.append(mode_stages(apart, code.name, code.mixture, keys, cfg, p, portable))
+                requests.append(ModeRequest(apart, code.name, code.mixture, p))
                 norm, modes = normalized(p, cfg), len(code.mixture.kept)
                 if lossless:
                     extra.append(
@@ -299,7 +299,8 @@ class TableEncoder:
             hot += [mx.indicator(f"{p}z = {k}") for k in range(modes)]
             out += [norm, *(hot[j] for j in code.order)]
         named = [f"{text} AS col_{i}" for i, text in enumerate(out)]
-        return mx.apply_stages(df, stages).selectExpr(*map(quoted, keep), *named, *extra)
+        staged = with_modes(df, requests, keys, cfg, portable)
+        return staged.selectExpr(*map(quoted, keep), *named, *extra)
 
     def _one_hot(self, code: ColumnCode) -> list[str]:
         x = quoted(code.name)

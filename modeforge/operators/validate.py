@@ -111,26 +111,35 @@ def round_trip(
     """Compare two columns row by row, in one pass.
 
     ``damaged`` counts rows whose decoded value is off by more than
-    ``tolerance`` times the spread of the original, or is missing.
+    ``tolerance`` times the spread of the original, or is missing; ``outside``
+    counts those beyond the range of the original by more than that.  A second
+    pass counts them only if the first one has found any.
     """
     x, y = f"CAST({quoted(original)} AS DOUBLE)", f"CAST({quoted(decoded)} AS DOUBLE)"
-    row = df.selectExpr(f"{x} AS x", f"{y} AS y").selectExpr(
+    pair = df.selectExpr(f"{x} AS x", f"{y} AS y")
+    row = pair.selectExpr(
         "count(1) AS rows",
         "min(x) AS low",
         "max(x) AS high",
         "min(y) AS low_y",
         "max(y) AS high_y",
         "max(abs(x - y)) AS max_error",
+        "count_if(x IS NOT NULL AND y IS NULL) AS missing",
         *(f"{fn}({c}) AS {name}_{c}" for c in "xy" for name, fn in _MOMENTS.items()),
     ).first()
     if row["low"] is None:
         raise ValueError(f"no value to compare in {original}")
-    allowed = number(tolerance * max(row["std_x"] or 0.0, 1.0))
-    low, high = number(row["low"]), number(row["high"])
-    counts = df.selectExpr(f"{x} AS x", f"{y} AS y").selectExpr(
-        f"count_if(NOT coalesce(y BETWEEN {low} AND {high}, x IS NULL)) AS outside",
-        f"count_if(NOT coalesce(abs(x - y) <= {allowed}, x IS NULL)) AS damaged",
-    ).first()
+    allowed = tolerance * max(row["std_x"] or 0.0, 1.0)
+    low, high = row["low"] - allowed, row["high"] + allowed
+    outside = damaged = 0
+    whole = row["missing"] == 0 and row["low_y"] is not None
+    inside = whole and low <= row["low_y"] and row["high_y"] <= high
+    if not inside or row["max_error"] > allowed:
+        counts = pair.selectExpr(
+            f"count_if(NOT coalesce(y BETWEEN {number(low)} AND {number(high)}, x IS NULL)) AS outside",
+            f"count_if(NOT coalesce(abs(x - y) <= {number(allowed)}, x IS NULL)) AS damaged",
+        ).first()
+        outside, damaged = counts["outside"], counts["damaged"]
     check = _moment_check(
         {name: row[f"{name}_x"] for name in _MOMENTS},
         {name: row[f"{name}_y"] for name in _MOMENTS},
@@ -138,9 +147,8 @@ def round_trip(
         relative,
     )
     return RoundTrip(
-        row["rows"], row["low"], row["high"], counts["outside"],
-        row["max_error"], counts["damaged"], check,
-    )
+        row["rows"], row["low"], row["high"], outside, row["max_error"], damaged, check
+    )
 
 
 def error_by_decile(df: DataFrame, original: str, decoded: str) -> DataFrame:

@@ -530,14 +530,14 @@ def oracle_queries() -> dict[str, str]:
               + CASE WHEN statistic = 0 OR p > 0.05 THEN 1 ELSE 0 END)/3.0''')} AS accuracy
             FROM checks, series""",
         "round_trip_check": f"""SELECT count(*) AS rows,
-            count(*) FILTER (WHERE NOT decoded BETWEEN lo AND hi) AS outside,
+            count(*) FILTER (WHERE NOT decoded BETWEEN lo - 1e-6*sd AND hi + 1e-6*sd) AS outside,
             count(*) FILTER (WHERE abs(value - decoded) > 1e-6*sd) AS damaged,
             {r('max(abs(value - decoded))', 4)} AS max_error FROM ({EVENT_DECODED}),
             (SELECT min(value) AS lo, max(value) AS hi, stddev_pop(value) AS sd FROM events)""",
         "error_by_decile": f"""
             WITH edges AS (SELECT quantile_disc(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])
               AS e FROM events)
-            SELECT CAST(1 + len(list_filter(e, v -> v < value)) AS INT) AS decile, count(*) AS rows,
+            SELECT CAST(1 + len(list_filter(e, lambda v: v < value)) AS INT) AS decile, count(*) AS rows,
               {r('max(abs(value - decoded))', 4)} AS max_error
             FROM ({EVENT_DECODED}), edges GROUP BY 1""",
         "generation_run": f"""SELECT 'value' AS "column", count(*) AS count,
