@@ -87,10 +87,16 @@ def draw_stages(active: Sequence[int], u: str, p: str) -> list[Stage]:
 
 
 def lookup(z: str, values: Sequence[str]) -> str:
-    """``values[z]``; constant values become one array that rows share."""
+    """``values[z]`` for a ``z`` that is never null; the constant values become
+    one array that all rows share."""
     return f"array({', '.join(values)})[{z}]"
 
 
+def lookup_or_null(z: str, values: Sequence[str]) -> str:
+    """``values[z]``, null for a null ``z``."""
+    return f"get(array({', '.join(values)}), {z})"
+
+
 def scaled_within(
     x: str, z: str, means: Sequence[float], spreads: Sequence[float], factor: float
 ) -> str:
@@ -113,8 +119,8 @@ def unscaled(
     n: str, z: str, means: Sequence[float], spreads: Sequence[float], factor: float
 ) -> str:
     """Inverse of ``scaled_within``."""
-    centre = lookup(z, [number(m) for m in means])
-    width = lookup(z, [number(factor * s) for s in spreads])
+    centre = lookup_or_null(z, [number(m) for m in means])
+    width = lookup_or_null(z, [number(factor * s) for s in spreads])
     return f"({n} * {width} + {centre})"
 
 

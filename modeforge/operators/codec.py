@@ -194,7 +194,8 @@ def flat_decode(
     centres = [number(v) for v in (*points, *means)]
     widths = ["0.0D"] * len(points)
     widths += [number(cfg.normalization_factor * s) for s in spreads]
-    value = f"({p}n * {mx.lookup(f'{p}z', widths)} + {mx.lookup(f'{p}z', centres)})"
+    width, centre = (mx.lookup_or_null(f"{p}z", values) for values in (widths, centres))
+    value = f"({p}n * {width} + {centre})"
     return stages, value
 
 

@@ -352,7 +352,7 @@ class TableEncoder:
                         [(f"{p}z", f"CASE WHEN {p}b = 0 THEN NULL ELSE {place} END")],
                     ]
                 )
-                value = mx.lookup(f"{p}z", _literals(code))
+                value = mx.lookup_or_null(f"{p}z", _literals(code))
             else:
                 norm, hot = block[0], _natural(block[1:], code.order)
                 if code.mixture is not None or code.point_norms:
