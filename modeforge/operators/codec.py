@@ -19,6 +19,10 @@ from modeforge.operators.fit import fit_mixture
 from modeforge.operators.model import Mixture, from_parameters, parameters
 from modeforge.sources.files import read_parquet, write_parquet
 
+# Values that share their projections: few, so that the rows between these stay
+# narrow, but not one, so that wide tables need fewer of them.
+_AT_ONCE = 2
+
 NORMALIZED, ENCODING, MODE, OVERFLOW = "normalized_value", "mode_encoding", "mode", "overflow"
 
 
@@ -44,25 +48,25 @@ def with_modes(
 ) -> DataFrame:
     """Add, per request, ``{p}ok`` whether there is a value, ``{p}x`` the value,
     ``{p}z`` its drawn position in ``mixture.kept``, ``{p}n`` the scaled value."""
-    if not requests:
-        return df
-    groups, names, scaled = [], [], []
-    for r in requests:
-        m, p = r.mixture, r.prefix
-        u = keyed_uniform(key, cfg.random_state, f"mode:{r.tag}", portable)
-        groups.append(
-            [
-                *mx.responsibility_stages(r.x, m.consts, m.half_precisions, m.means, p),
-                *mx.draw_stages(m.kept, u, p),
-            ]
-        )
-        names += [f"{p}ok", f"{p}x", f"{p}z"]
-        n = mx.scaled_within(
-            f"{p}x", f"{p}z", m.kept_means, m.kept_spreads, cfg.normalization_factor
-        )
-        scaled.append(f"{n} AS {p}n")
-    kept = [quoted(c) for c in df.columns]
-    return mx.fenced(mx.apply_stages(df, groups), kept, names).selectExpr("*", *scaled)
+    for first in range(0, len(requests), _AT_ONCE):
+        stages, names, scaled = [], [], []
+        for r in requests[first : first + _AT_ONCE]:
+            m, p = r.mixture, r.prefix
+            u = keyed_uniform(key, cfg.random_state, f"mode:{r.tag}", portable)
+            stages.append(
+                [
+                    *mx.responsibility_stages(r.x, m.consts, m.half_precisions, m.means, p),
+                    *mx.draw_stages(m.kept, u, p),
+                ]
+            )
+            names += [f"{p}ok", f"{p}x", f"{p}z"]
+            n = mx.scaled_within(
+                f"{p}x", f"{p}z", m.kept_means, m.kept_spreads, cfg.normalization_factor
+            )
+            scaled.append(f"{n} AS {p}n")
+        kept = [quoted(c) for c in df.columns]
+        df = mx.fenced(mx.apply_stages(df, stages), kept, names).selectExpr("*", *scaled)
+    return df
 
 
 def overflow(x: str, p: str, cfg: MixtureConfig) -> str:

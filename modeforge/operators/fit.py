@@ -42,7 +42,7 @@ from modeforge.sources.scratch import cut_lineage
 _TINY = 10 * np.finfo(float).eps
 
 # Cells that one task handles per iteration, at least and at most.
-_FEW_CELLS, _MANY_CELLS = 8_192, 65_536
+_FEW_CELLS, _MANY_CELLS = 8_192, 131_072
 
 
 def fit_mixture(df: DataFrame, column: str, config: MixtureConfig | None = None) -> Mixture:
@@ -102,10 +102,11 @@ def _hold(cells: DataFrame, models: int) -> tuple[DataFrame, list[int]]:
     """Keep the compressed table in memory in partitions fit for the iterations."""
     counted = {r["model"]: r["count"] for r in cells.groupBy("model").count().collect()}
     rows = sum(counted.values())
-    tasks = max(
-        min(math.ceil(rows / _FEW_CELLS), cells.sparkSession.sparkContext.defaultParallelism),
-        math.ceil(rows / _MANY_CELLS),
-    )
+    slots = cells.sparkSession.sparkContext.defaultParallelism
+    tasks = min(math.ceil(rows / _FEW_CELLS), slots)
+    if rows > slots * _MANY_CELLS:
+        # Whole rounds of tasks, so that the last round is not nearly empty.
+        tasks = slots * math.ceil(rows / (slots * _MANY_CELLS))
     held = cells.repartition(tasks).sortWithinPartitions("model")
     return held.persist(StorageLevel.MEMORY_AND_DISK), [counted[i] for i in range(models)]
 
@@ -285,7 +286,6 @@ def _sum_over_cells(
     for i, chain in enumerate(chains):
         work.setdefault(chain.model, []).append((i, (*chain.densities(), chain.active)))
     out = np.zeros((len(chains), width))
-    cells = held.select("model", "z", "n", "q")
-    for row in cells.mapInArrow(partition_sums(work, measure), SCHEMA).collect():
+    for row in held.mapInArrow(partition_sums(work, measure), SCHEMA).collect():
         out[row["chain"]] += row["sums"]
     return out

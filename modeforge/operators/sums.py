@@ -17,6 +17,9 @@ from modeforge.functions.mixture import SMOOTHING
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Cells handled at once, so that the arrays stay in the processor's cache.
+_CHUNK = 2048
+
 SCHEMA = "chain int, sums array<double>"
 
 Measure = Callable[..., np.ndarray]
@@ -35,10 +38,12 @@ def partition_sums(
         for batch in batches:
             model, z, n, q = (batch.column(i).to_numpy() for i in range(4))
             starts = np.flatnonzero(np.diff(model, prepend=-1))
-            for lo, hi in zip(starts, [*starts[1:], len(model)]):
-                for i, params in work.get(int(model[lo]), ()):
-                    s = measure(z[lo:hi], n[lo:hi], q[lo:hi], *params)
-                    acc[i] = acc[i] + s if i in acc else s
+            for start, end in zip(starts, [*starts[1:], len(model)]):
+                for lo in range(start, end, _CHUNK):
+                    part = slice(lo, min(lo + _CHUNK, end))
+                    for i, params in work.get(int(model[start]), ()):
+                        s = measure(z[part], n[part], q[part], *params)
+                        acc[i] = acc[i] + s if i in acc else s
         if acc:
             yield pa.RecordBatch.from_arrays(
                 [
@@ -52,31 +57,43 @@ def partition_sums(
 
 
 def _logs(z, n, q, const, half, mean):
-    d = z[:, None] - mean
-    return d, const - half * (d * d + (q / n)[:, None])
+    """Distances from the means and log densities, one line per component."""
+    d = z - mean[:, None]
+    d2 = d * d
+    if q.any():
+        d2 += q / n
+    return d, d2, const[:, None] - half[:, None] * d2
 
 
 def _shares(logs):
-    top = logs.max(axis=1, keepdims=True)
-    r = np.exp(logs - top)
-    whole = r.sum(axis=1, keepdims=True)
-    return r / whole, top + np.log(whole)
+    top = logs.max(axis=0)
+    e = np.exp(logs - top)
+    whole = e.sum(axis=0)
+    e /= whole
+    return e, top + np.log(whole)
+
+
+def _line_sums(a, b):
+    return np.einsum("kn,kn->k", a, b)
 
 
 def moment_sums(z, n, q, const, half, mean, _active):
-    d, logs = _logs(z, n, q, const, half, mean)
+    """Counts, first and second moments about the means, entropy."""
+    d, d2, logs = _logs(z, n, q, const, half, mean)
     r, norm = _shares(logs)
-    entropy = -(n * (r * (logs - norm)).sum(axis=1)).sum()
-    d2 = d * d * n[:, None] + q[:, None]
-    return np.concatenate([n @ r, n @ (r * d), (r * d2).sum(axis=0), [entropy]])
+    r *= n
+    # d2 holds the mean squared distance of a cell, so no further term for q.
+    entropy = (n * norm).sum() - _line_sums(r, logs).sum()
+    return np.concatenate([r.sum(axis=1), _line_sums(r, d), _line_sums(r, d2), [entropy]])
 
 
 def win_counts(z, n, q, const, half, mean, _active):
-    _, logs = _logs(z, n, q, const, half, mean)
-    return np.bincount(logs.argmax(axis=1), weights=n, minlength=len(mean))
+    """Rows per likeliest component."""
+    logs = _logs(z, n, q, const, half, mean)[2]
+    return np.bincount(logs.argmax(axis=0), weights=n, minlength=len(mean))
 
 
 def draw_counts(z, n, q, const, half, mean, active):
-    _, logs = _logs(z, n, q, const, half, mean)
-    p = (_shares(logs)[0] + SMOOTHING) * active
-    return n @ (p / p.sum(axis=1, keepdims=True))
+    """Expected rows per drawn component."""
+    p = (_shares(_logs(z, n, q, const, half, mean)[2])[0] + SMOOTHING) * active[:, None]
+    return (p * (n / p.sum(axis=0))).sum(axis=1)
