@@ -11,8 +11,10 @@ class MixtureConfig:
     """Settings of the one-dimensional Dirichlet-process mixture.
 
     ``max_cells`` bounds the compressed form of a column that the fit iterates
-    over (see ``operators.compress``); ``sample_cap`` fits on about that many
-    rows instead of all of them.
+    over, and with it what each task adds to the one shuffle of the fit (see
+    ``operators.compress``): a column with fewer distinct values is fitted
+    exactly, any other with exact counts and moments per cell.  ``sample_cap``
+    fits on about that many rows instead of all of them.
     """
 
     # Defaults that results depend on.
@@ -29,7 +31,7 @@ class MixtureConfig:
     tol: float = 1e-3
     reg_covar: float = 1e-6
 
-    max_cells: int = 1_000_000
+    max_cells: int = 65_536
     sample_cap: int | None = None
 
     def __post_init__(self) -> None:

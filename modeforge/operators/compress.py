@@ -4,9 +4,10 @@ Step one of the fit is a single scan that measures every column at once.  Step
 two groups each column, in one more scan over all columns together, either on
 its values (few distinct values: nothing is lost) or on monotone cells (more:
 each cell keeps its row count, mean and spread, so counts, sums and sums of
-squares stay exact).  Partial aggregation runs before the shuffle, so neither a
-hot value nor the row count makes that shuffle grow; the result has at most
-about ``max_cells`` rows per column.
+squares stay exact).  Partial aggregation runs before the shuffle: a task sends
+at most ``max_cells`` rows per column, however many it has read and however hot
+a value is.  Input partitions are joined into fewer tasks for the same reason.
+The result has at most about ``max_cells`` rows per column.
 """
 
 from __future__ import annotations
@@ -22,6 +23,9 @@ from modeforge.functions.cells import CellGrid
 from modeforge.functions.mixture import finite
 from modeforge.functions.text import number
 
+# Tasks that compress, unless the cluster has more than a quarter as many slots.
+_MOST_TASKS = 4096
+
 
 @dataclass(frozen=True)
 class NumericProfile:
@@ -109,7 +113,8 @@ def compress(
             grid = CellGrid.over(p.low, p.high, p.mean, p.scale, max_cells)
             key = f"CAST({grid.sql(f'v{i}')} AS DOUBLE)"
         cells.append(f"{i}, {key}, v{i}")
-    long = staged.selectExpr(f"stack({len(names)}, {', '.join(cells)}) AS (model, cell, v)")
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    long = staged.coalesce(max(_MOST_TASKS, 4 * slots)).selectExpr(f"stack({len(names)}, {', '.join(cells)}) AS (model, cell, v)")
     grouped = (
         long.where("v IS NOT NULL")
         .groupBy("model", "cell")

@@ -43,20 +43,27 @@ def ks_two_sample(a: DataFrame, b: DataFrame) -> KsResult:
     return _compare(left.unionAll(right))
 
 
-def ks_columns(df: DataFrame, first: str, second: str) -> KsResult:
-    """Compare two columns of one table, read once."""
+def ks_columns(
+    df: DataFrame, first: str, second: str, sizes: tuple[int, int] | None = None
+) -> KsResult:
+    """Compare two columns of one table.
+
+    ``sizes`` are the numbers of finite values, which saves counting them.
+    """
     pair = f"{finite(quoted(first))}, 1L, 0L, {finite(quoted(second))}, 0L, 1L"
-    return _compare(df.selectExpr(f"stack(2, {pair}) AS (x, a, b)"))
+    return _compare(df.selectExpr(f"stack(2, {pair}) AS (x, a, b)"), sizes)
 
 
-def _compare(tagged: DataFrame) -> KsResult:
+def _compare(tagged: DataFrame, sizes: tuple[int, int] | None = None) -> KsResult:
     merged = (
         tagged.where("x IS NOT NULL")
         .groupBy("x")
         .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     )
-    sizes = tagged.where("x IS NOT NULL").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).first()
-    n, m = sizes["a"] or 0, sizes["b"] or 0
+    if sizes is None:
+        counted = tagged.where("x IS NOT NULL").agg(F.sum("a"), F.sum("b")).first()
+        sizes = (counted[0] or 0, counted[1] or 0)
+    n, m = sizes
     if n == 0 or m == 0:
         raise ValueError("both samples need at least one finite value")
     parts = (

@@ -81,7 +81,12 @@ def ranked_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def indexed_categories(df: DataFrame, column: str) -> DataFrame:
-    """``(value, idx)`` in the same order for any number of categories.
+    """``(value, idx)`` in the same order for any number of categories."""
+    return counted_index(df, column)[0]
+
+
+def counted_index(df: DataFrame, column: str) -> tuple[DataFrame, int]:
+    """``indexed_categories`` and how many there are.
 
     The ranking is a range-partitioned sort, kept as written; a row's index is
     its place in its partition plus the rows of the partitions before it.
@@ -98,7 +103,7 @@ def indexed_categories(df: DataFrame, column: str) -> DataFrame:
         before += row["count"]
     starts = ", ".join(f"{o}L" for o in offsets)
     idx = f"(id & 8589934591L) + array({starts})[CAST(shiftright(id, 33) AS INT)]"
-    return placed.selectExpr("value", f"{idx if offsets else '0L'} AS idx")
+    return placed.selectExpr("value", f"{idx if offsets else '0L'} AS idx"), before
 
 
 def bucket_counts(df: DataFrame, column: str, width: int = 1000) -> DataFrame:

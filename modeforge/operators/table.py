@@ -26,7 +26,7 @@ from modeforge.operators.codec import ModeRequest, flat_decode, normalized, over
 from modeforge.operators.compress import NumericProfile, profile_numeric
 from modeforge.operators.fit import capped_sample, fit_profiled
 from modeforge.operators.model import Mixture
-from modeforge.operators.profile import indexed_categories, ranked_categories
+from modeforge.operators.profile import counted_index, ranked_categories
 from modeforge.session import suit_wide_projections
 
 CONTINUOUS, MIXED, CATEGORICAL = "continuous", "mixed", "categorical"
@@ -184,7 +184,8 @@ class TableEncoder:
         self, df: DataFrame, c: str, ddl: str, values: list[str] | None, nulls: int
     ) -> ColumnCode:
         if values is None:
-            return ColumnCode(c, CATEGORICAL, ddl, dictionary=indexed_categories(df, c))
+            dictionary, size = counted_index(df, c)
+            return ColumnCode(c, CATEGORICAL, ddl, size=size, dictionary=dictionary)
         if self.spec.categories == "codes":
             # A null counts as a category of its own when positions are codes.
             size = len(values) + nulls
@@ -318,13 +319,9 @@ class TableEncoder:
         return hot
 
     def _with_index(self, df: DataFrame, code: ColumnCode, i: int) -> DataFrame:
-        """Index from the dictionary; Spark broadcasts it only if it is small
-        and splits hot categories in the join otherwise."""
-        entries = code.dictionary.selectExpr(
-            f"value AS __{i}_value", f"CAST(idx AS DOUBLE) AS __{i}_idx"
-        )
-        same = F.expr(f"CAST({quoted(code.name)} AS STRING)") == F.col(f"__{i}_value")
-        return df.join(entries, same, "left").drop(f"__{i}_value")
+        """Add the index of the category."""
+        value = f"CAST({quoted(code.name)} AS STRING)"
+        return _looked_up(df, code, value, "value", "CAST(idx AS DOUBLE)", f"__{i}_idx")
 
     # ------------------------------------------------------------ inverse
 
@@ -375,10 +372,42 @@ class TableEncoder:
         return mx.apply_stages(df, stages).selectExpr(*map(quoted, keep), *out)
 
     def _with_value(self, df: DataFrame, code: ColumnCode, i: int, index: str) -> DataFrame:
-        entries = code.dictionary.selectExpr(
-            f"value AS __{i}_value", f"CAST(idx AS DOUBLE) AS __{i}_at"
-        )
-        return df.join(entries, F.col(index) == F.col(f"__{i}_at"), "left").drop(f"__{i}_at")
+        """Add the category of the index."""
+        return _looked_up(df, code, f"CAST({index} AS BIGINT)", "idx", "value", f"__{i}_value")
+
+
+# Most frequent categories, which a dictionary lookup broadcasts, and parts over
+# which it spreads the rows that need no other category.
+_HOT, _SPREAD = 100_000, 4096
+
+
+def _looked_up(
+    df: DataFrame, code: ColumnCode, key: str, match: str, result: str, name: str
+) -> DataFrame:
+    """Add ``result`` of the dictionary entry whose ``match`` equals ``key``.
+
+    Indexes are frequency ranks, so the first ones are all the categories that
+    could be hot: they are broadcast, a bounded number of entries.  The others
+    are rare and joined by shuffle, in which rows that are done already get
+    keys of their own that match nothing and spread evenly.
+    """
+    entries = code.dictionary.selectExpr(f"{match} AS __match", f"{result} AS {name}", "idx")
+    hot = F.broadcast(entries.where(f"idx < {_HOT}").drop("idx"))
+    df = df.join(hot, F.expr(key) == F.col("__match"), "left").drop("__match")
+    if code.size <= _HOT:
+        return df
+    apart = "-1 - pmod(monotonically_increasing_id(), {})".format(_SPREAD)
+    if match == "value":
+        apart = f"concat('part ', {apart})"
+    pending = f"{name} IS NULL AND {key} IS NOT NULL"
+    df = df.selectExpr(
+        "*", f"{pending} AS __pending", f"CASE WHEN {pending} THEN {key} ELSE {apart} END AS __key"
+    )
+    rare = entries.where(f"idx >= {_HOT}").selectExpr("__match", f"{name} AS __rare")
+    kept = [quoted(c) for c in df.columns if c not in (name, "__pending", "__key")]
+    return df.join(rare, F.col("__key") == F.col("__match"), "left").selectExpr(
+        *kept, f"CASE WHEN __pending THEN __rare ELSE {name} END AS {name}"
+    )
 
 
 def _rest(column: str) -> str:

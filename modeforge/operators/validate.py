@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from modeforge.functions.mixture import is_finite
 from modeforge.functions.text import number, quoted
 from modeforge.operators.ks import KsResult, ks_columns, ks_two_sample
 
@@ -34,6 +35,7 @@ class RoundTrip:
     max_error: float
     damaged: int
     moments: MomentCheck
+    finite: tuple[int, int]
 
 
 @dataclass(frozen=True)
@@ -125,6 +127,7 @@ def round_trip(
         "max(y) AS high_y",
         "max(abs(x - y)) AS max_error",
         "count_if(x IS NOT NULL AND y IS NULL) AS missing",
+        *(f"count_if({is_finite(c)}) AS finite_{c}" for c in "xy"),
         *(f"{fn}({c}) AS {name}_{c}" for c in "xy" for name, fn in _MOMENTS.items()),
     ).first()
     if row["low"] is None:
@@ -147,8 +150,9 @@ def round_trip(
         relative,
     )
     return RoundTrip(
-        row["rows"], row["low"], row["high"], outside, row["max_error"], damaged, check
-    )
+        row["rows"], row["low"], row["high"], outside, row["max_error"], damaged, check,
+        (row["finite_x"], row["finite_y"]),
+    )
 
 
 def error_by_decile(df: DataFrame, original: str, decoded: str) -> DataFrame:
@@ -181,5 +185,5 @@ def validate_columns(
 ) -> Validation:
     """Distribution, bounds and moments of two columns of one table."""
     trip = round_trip(df, original, decoded, threshold, relative)
-    ks = ks_columns(df, original, decoded)
+    ks = ks_columns(df, original, decoded, trip.finite)
     return Validation(ks, trip, ks.p_value > threshold, trip.outside == 0, trip.moments.valid)

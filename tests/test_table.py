@@ -122,6 +122,26 @@ def test_too_many_categories_for_one_hot(spark):
     assert dict(back.dtypes)["c"] == "int"
 
 
+def test_rare_categories_are_joined_by_shuffle(spark, monkeypatch):
+    from modeforge.operators import table
+
+    monkeypatch.setattr(table, "_HOT", 7)
+    df = spark.range(400).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 11 = 1 THEN NULL "
+        "WHEN id % 50 = 2 THEN 'part -1' ELSE CAST(id % 60 AS STRING) END AS c"
+    )
+    encoder = TableEncoder(TableSpec(categorical=["c"], columns=["c"], one_hot_limit=10)).fit(df)
+    coded = encoder.transform(df, keep=["id", "c"])
+    assert coded.count() == 400
+    assert {r["col_0"] for r in coded.where("c = 'hot'").collect()} == {0.0}
+    assert {r["col_0"] for r in coded.where("c IS NULL").collect()} == {None}
+    assert coded.selectExpr("count(DISTINCT c)", "count(DISTINCT col_0)").first()[0] == (
+        coded.selectExpr("count(DISTINCT col_0)").first()[0]
+    )
+    back = encoder.inverse_transform(coded.drop("c"), keep=["id"])
+    assert back.exceptAll(df).isEmpty() and back.count() == 400
+
+
 def test_min_max_variant(spark):
     df = spark.createDataFrame(
         [(0, 0.0, 5.0, 0), (1, 10.0, 5.0, 1), (2, 5.0, 5.0, None), (3, 2.5, 5.0, 2)],
