@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from modeforge.functions.text import number
 
 # Cells are this much finer than the spread of the column at its centre.
-_CENTRE_STEPS = 1024.0
+_CENTRE_STEPS = 16.0
 
 
 @dataclass(frozen=True)

@@ -171,7 +171,7 @@ def held_histogram(spark, folder):
         whole = counts.agg(F.sum("count").alias("rows"), F.count(F.lit(1)).alias("cells")).first()
     finally:
         counts.unpersist()
-    return counts.select("l_extendedprice", "count", F.lit(whole["cells"]).alias("cells"))
+    return counts.select("l_extendedprice", "count", F.lit(whole["cells"]).cast("bigint").alias("cells"))
 
 
 # ------------------------------------ limits, samples, sets and groupings
@@ -692,7 +692,7 @@ def generation_run(spark, folder):
     )
     written = result.written
     return rounded(
-        result.statistics.withColumn("rows", F.lit(written.rows)).withColumn(
+        result.statistics.withColumn("rows", F.lit(written.rows).cast("bigint")).withColumn(
             "complete", F.lit(written.complete)
         ),
         4,

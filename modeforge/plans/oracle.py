@@ -82,7 +82,7 @@ CLIPPED = "CASE WHEN n IS NOT NULL THEN least(0.99, greatest(-0.99, n)) END"
 
 
 def hot(condition: str) -> str:
-    return f"CASE WHEN {condition} THEN 1.0 ELSE 0.0 END"
+    return f"CAST(CASE WHEN {condition} THEN 1 ELSE 0 END AS DOUBLE)"
 
 
 EVENTS = "SELECT event_id, value, value AS x FROM events"
@@ -546,7 +546,7 @@ def oracle_queries() -> dict[str, str]:
             TRUE AS complete FROM ({inflated(50_000)})""",
         "encode_run": f"""SELECT count(*) AS rows, count(*) AS rows_read_back,
             {r('min(value)')} AS low, {r('max(value)')} AS high, CAST(0 AS BIGINT) AS outside,
-            CAST(0 AS BIGINT) AS damaged, 1.0 AS accuracy FROM events""",
+            CAST(0 AS BIGINT) AS damaged, CAST(1 AS DOUBLE) AS accuracy FROM events""",
         "encode_file_stream": f"""SELECT event_id, {r('value')} AS value,
             {r(CLIPPED)} AS normalized_value,
             {', '.join(f"{hot(f'z = {i}')} AS mode_{i}" for i in range(3))} FROM ({EVENT_CODED})""",

@@ -6,6 +6,15 @@ from compare import connect, difference
 import __spark_entry__ as entry
 
 
+TYPES = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "VARCHAR": "string",
+    "BOOLEAN": "boolean",
+}
+
+
 @pytest.fixture(scope="module")
 def con(small):
     return connect(small)
@@ -17,8 +26,11 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, small, con, name):
-    mine = entry.queries()[name](spark, small).toPandas()
-    assert difference(mine, con.execute(entry.oracle_sql()[name]).df()) is None
+    mine = entry.queries()[name](spark, small)
+    sql = entry.oracle_sql()[name]
+    described = con.execute(f"DESCRIBE {sql}").fetchall()
+    assert dict(mine.dtypes) == {c: TYPES[t] for c, t, *_ in described}
+    assert difference(mine.toPandas(), con.execute(sql).df()) is None
 
 
 def test_entry(spark):
