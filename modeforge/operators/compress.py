@@ -114,9 +114,11 @@ def compress(
             key = f"CAST({grid.sql(f'v{i}')} AS DOUBLE)"
         cells.append(f"{i}, {key}, v{i}")
     slots = df.sparkSession.sparkContext.defaultParallelism
-    long = staged.coalesce(max(_MOST_TASKS, 4 * slots)).selectExpr(f"stack({len(names)}, {', '.join(cells)}) AS (model, cell, v)")
+    long = f"stack({len(names)}, {', '.join(cells)}) AS (model, cell, v)"
     grouped = (
-        long.where("v IS NOT NULL")
+        staged.coalesce(max(_MOST_TASKS, 4 * slots))
+        .selectExpr(long)
+        .where("v IS NOT NULL")
         .groupBy("model", "cell")
         .agg(
             F.count(F.lit(1)).alias("rows"),

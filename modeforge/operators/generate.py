@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from modeforge.functions.text import number, quoted
 from modeforge.functions.uniform import key_columns, keyed_uniform
 
-# Rows per output partition when no number of partitions is asked for.
-ROWS_PER_PARTITION = 2_000_000
+# Rows per output partition when no number of partitions is asked for: many,
+# but on a small job no more than it takes to keep all slots busy.
+FULL_PARTITION, SMALL_PARTITION = 16_000_000, 100_000
 
 COPY = "copy"
 
@@ -91,7 +92,12 @@ def inflate(
         F.count(F.lit(1)).alias("rows"), F.stddev_samp(column).alias("stddev")
     ).first()
     copies = copies_for(target, measured["rows"])
-    partitions = partitions or max(1, copies * measured["rows"] // ROWS_PER_PARTITION)
+    total = copies * measured["rows"]
+    if not partitions:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        partitions = max(
+            math.ceil(total / FULL_PARTITION), min(slots, math.ceil(total / SMALL_PARTITION))
+        )
     names = [key] if isinstance(key, str) else list(key or [])
     slim = df.select(*dict.fromkeys([*names, column]))
     many = replicate(slim, copies, partitions, measured["rows"])

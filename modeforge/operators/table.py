@@ -378,7 +378,7 @@ class TableEncoder:
 
 # Most frequent categories, which a dictionary lookup broadcasts, and parts over
 # which it spreads the rows that need no other category.
-_HOT, _SPREAD = 100_000, 4096
+_HOT, _SPREAD = 10_000, 4096
 
 
 def _looked_up(

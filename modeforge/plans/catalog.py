@@ -712,10 +712,11 @@ def encode_run(spark, folder):
                 (
                     result.written.rows, result.written.rows_read_back, trip.low, trip.high,
                     trip.outside, trip.damaged, result.validation.accuracy,
+                    result.measurement.processing_time > 0 and result.measurement.throughput > 0,
                 )
             ],
             "rows bigint, rows_read_back bigint, low double, high double, outside bigint, "
-            "damaged bigint, accuracy double",
+            "damaged bigint, accuracy double, measured boolean",
         )
     )
 

@@ -546,7 +546,8 @@ def oracle_queries() -> dict[str, str]:
             TRUE AS complete FROM ({inflated(50_000)})""",
         "encode_run": f"""SELECT count(*) AS rows, count(*) AS rows_read_back,
             {r('min(value)')} AS low, {r('max(value)')} AS high, CAST(0 AS BIGINT) AS outside,
-            CAST(0 AS BIGINT) AS damaged, CAST(1 AS DOUBLE) AS accuracy FROM events""",
+            CAST(0 AS BIGINT) AS damaged, CAST(1 AS DOUBLE) AS accuracy,
+            TRUE AS measured FROM events""",
         "encode_file_stream": f"""SELECT event_id, {r('value')} AS value,
             {r(CLIPPED)} AS normalized_value,
             {', '.join(f"{hot(f'z = {i}')} AS mode_{i}" for i in range(3))} FROM ({EVENT_CODED})""",
