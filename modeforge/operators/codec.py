@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from modeforge.config import MixtureConfig
 from modeforge.functions import mixture as mx
@@ -17,6 +17,7 @@ from modeforge.functions.text import first_largest, largest, number, quoted
 from modeforge.functions.uniform import key_columns, keyed_uniform
 from modeforge.operators.fit import fit_mixture
 from modeforge.operators.model import Mixture, from_parameters, parameters
+from modeforge.session import suit_wide_projections
 from modeforge.sources.files import read_parquet, write_parquet
 
 # Values that share their projections: few, so that the rows between these stay
@@ -48,6 +49,7 @@ def with_modes(
 ) -> DataFrame:
     """Add, per request, ``{p}ok`` whether there is a value, ``{p}x`` the value,
     ``{p}z`` its drawn position in ``mixture.kept``, ``{p}n`` the scaled value."""
+    suit_wide_projections(df.sparkSession)
     for first in range(0, len(requests), _AT_ONCE):
         stages, names, scaled = [], [], []
         for r in requests[first : first + _AT_ONCE]:
@@ -169,13 +171,12 @@ class ModeEncoder:
     def with_config(self, **changes: object) -> ModeEncoder:
         return replace(self, config=replace(self.config, **changes))
 
-    def save(self, df_or_session: object, path: str) -> None:
+    def save(self, spark: SparkSession, path: str) -> None:
         """Write the parameters as a small parquet table."""
-        spark = getattr(df_or_session, "sparkSession", df_or_session)
         write_parquet(parameters(spark, {self.column: self.mixture}).coalesce(1), path)
 
     @classmethod
-    def load(cls, spark, path: str, config: MixtureConfig = MixtureConfig()) -> ModeEncoder:
+    def load(cls, spark: SparkSession, path: str, config: MixtureConfig = MixtureConfig()) -> ModeEncoder:
         ((column, m),) = from_parameters(read_parquet(spark, path)).items()
         return cls(column, m, config)
 

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from modeforge.functions.mixture import SMOOTHING
 
@@ -20,7 +21,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Cells handled at once, so that the arrays stay in the processor's cache.
 _CHUNK = 2048
 
-SCHEMA = "chain int, sums array<double>"
+SCHEMA = StructType(
+    [StructField("chain", IntegerType()), StructField("sums", ArrayType(DoubleType()))]
+)
 
 Measure = Callable[..., np.ndarray]
 

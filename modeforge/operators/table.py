@@ -268,7 +268,6 @@ class TableEncoder:
         that clipping would damage.
         """
         cfg, keys = self.config, key_columns(key)
-        suit_wide_projections(df.sparkSession)
         for i, code in enumerate(self.codes):
             if code.dictionary is not None:
                 df = self._with_index(df, code, i)
