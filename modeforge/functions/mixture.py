@@ -17,6 +17,10 @@ from modeforge.functions.text import largest, number, quoted, total
 # Fixed value: added to every active probability before the draw.
 SMOOTHING = 1e-6
 
+# Components whose stages still fit into one compiled method, and terms that are
+# summed together where there are more.
+FUSED_COMPONENTS, _BLOCK = 16, 8
+
 Stage = list[tuple[str, str]]
 
 
@@ -74,10 +78,11 @@ def draw_stages(active: Sequence[int], u: str, p: str) -> list[Stage]:
     their running sums are compared with ``u`` times the last one: no division.
     """
     last = len(active) - 1
-    sums = [total(f"{p}q{k}" for k in active[: i + 1]) for i in range(last + 1)]
+    before, sums = _running_sums([f"{p}q{k}" for k in active], p)
     whens = " ".join(f"WHEN {p}u < {p}c{i} THEN {i}" for i in range(last))
     return [
         [(f"{p}q{k}", f"{p}e{k} + {number(SMOOTHING)} * {p}t") for k in active],
+        *before,
         [
             *((f"{p}c{i}", sums[i]) for i in range(last)),
             (f"{p}u", f"{u} * {sums[last]}"),
@@ -86,6 +91,28 @@ def draw_stages(active: Sequence[int], u: str, p: str) -> list[Stage]:
     ]
 
 
+def _running_sums(terms: Sequence[str], p: str) -> tuple[list[Stage], list[str]]:
+    """Stages to add first, and the running sums of the terms.
+
+    Many terms are summed in blocks, so that the text grows with their number
+    and not with its square.
+    """
+    if len(terms) <= FUSED_COMPONENTS:
+        return [], [total(terms[: i + 1]) for i in range(len(terms))]
+    blocks = [terms[i : i + _BLOCK] for i in range(0, len(terms), _BLOCK)]
+    sums = []
+    for j, block in enumerate(blocks):
+        start = [f"{p}s{j}"] if j else []
+        sums += [total([*start, *block[: i + 1]]) for i in range(len(block))]
+    return [
+        [(f"{p}b{j}", total(block)) for j, block in enumerate(blocks[:-1])],
+        [
+            (f"{p}s{j}", total(f"{p}b{i}" for i in range(j)))
+            for j in range(1, len(blocks))
+        ],
+    ], sums
+
+
 def lookup(z: str, values: Sequence[str]) -> str:
     """``values[z]`` for a ``z`` that is never null; the constant values become
     one array that all rows share."""
@@ -142,6 +169,19 @@ def fenced(df: DataFrame, keep: Sequence[str], names: Sequence[str]) -> DataFram
     return df.selectExpr(*keep, f"inline(array(named_struct({pairs})))")
 
 
+def apart(df: DataFrame) -> DataFrame:
+    """The same rows in the same partitions, but compiled apart from what follows.
+
+    Spark fuses consecutive projections into one method, and past 8000 bytes
+    the JVM only interprets that, some twenty times slower.  Joining partitions
+    up to a number that none reaches moves nothing and ends the fusion.
+    """
+    return df.coalesce(_NEVER_REACHED)
+
+
+_NEVER_REACHED = 1 << 24
+
+
 def apply_stages(df: DataFrame, groups: Sequence[Sequence[Stage]]) -> DataFrame:
     """Add the stages of every group, stage by stage, to all columns of ``df``."""
     depth = max((len(g) for g in groups), default=0)
@@ -154,4 +194,6 @@ def apply_stages(df: DataFrame, groups: Sequence[Sequence[Stage]]) -> DataFrame:
         ]
         if added:
             df = df.selectExpr("*", *added)
+        if len(added) > FUSED_COMPONENTS:
+            df = apart(df)
     return df

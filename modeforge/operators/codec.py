@@ -17,13 +17,8 @@ from modeforge.functions.text import first_largest, largest, number, quoted
 from modeforge.functions.uniform import key_columns, keyed_uniform
 from modeforge.operators.fit import fit_mixture
 from modeforge.operators.model import Mixture, from_parameters, parameters
-from modeforge.session import suit_wide_projections
 from modeforge.sources.files import read_parquet, write_parquet
 
-# Values that share their projections: few, so that the rows between these stay
-# narrow, but not one, so that wide tables need fewer of them.
-_AT_ONCE = 2
-
 NORMALIZED, ENCODING, MODE, OVERFLOW = "normalized_value", "mode_encoding", "mode", "overflow"
 
 
@@ -49,10 +44,10 @@ def with_modes(
 ) -> DataFrame:
     """Add, per request, ``{p}ok`` whether there is a value, ``{p}x`` the value,
     ``{p}z`` its drawn position in ``mixture.kept``, ``{p}n`` the scaled value."""
-    suit_wide_projections(df.sparkSession)
-    for first in range(0, len(requests), _AT_ONCE):
+    parts = _parts(requests)
+    for part in parts:
         stages, names, scaled = [], [], []
-        for r in requests[first : first + _AT_ONCE]:
+        for r in part:
             m, p = r.mixture, r.prefix
             u = keyed_uniform(key, cfg.random_state, f"mode:{r.tag}", portable)
             stages.append(
@@ -68,9 +63,24 @@ def with_modes(
             scaled.append(f"{n} AS {p}n")
         kept = [quoted(c) for c in df.columns]
         df = mx.fenced(mx.apply_stages(df, stages), kept, names).selectExpr("*", *scaled)
+        if len(parts) > 1:
+            df = mx.apart(df)
     return df
 
 
+def _parts(requests: Sequence[ModeRequest]) -> list[list[ModeRequest]]:
+    """Requests that share their projections: as many as compile into one method."""
+    parts: list[list[ModeRequest]] = []
+    size = 0
+    for r in requests:
+        size += r.mixture.size
+        if not parts or size > mx.FUSED_COMPONENTS:
+            parts.append([])
+            size = r.mixture.size
+        parts[-1].append(r)
+    return parts
+
+
 def overflow(x: str, p: str, cfg: MixtureConfig) -> str:
     """The raw value where the scaled one leaves the clip range or is undefined."""
     raw = f"CAST({x} AS DOUBLE)"

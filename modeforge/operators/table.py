@@ -27,7 +27,6 @@ from modeforge.operators.compress import NumericProfile, profile_numeric
 from modeforge.operators.fit import capped_sample, fit_profiled
 from modeforge.operators.model import Mixture
 from modeforge.operators.profile import counted_index, ranked_categories
-from modeforge.session import suit_wide_projections
 
 CONTINUOUS, MIXED, CATEGORICAL = "continuous", "mixed", "categorical"
 TANH, SOFTMAX, INDEX = "tanh", "softmax", "index"
@@ -331,7 +330,6 @@ class TableEncoder:
         normalised values are limited to [-1, 1].  Categories come back in
         their own type, numbers as doubles.
         """
-        suit_wide_projections(df.sparkSession)
         stages, out, start = [], [], 0
         for i, code in enumerate(self.codes):
             p = f"__{i}_"
@@ -368,13 +366,20 @@ class TableEncoder:
                 if spill in df.columns:
                     value = f"coalesce({quoted(spill)}, {value})"
             out.append(f"{value} AS {quoted(code.name)}")
-        return mx.apply_stages(df, stages).selectExpr(*map(quoted, keep), *out)
+        for first in range(0, len(stages), _DECODED_AT_ONCE):
+            df = mx.apply_stages(df, stages[first : first + _DECODED_AT_ONCE])
+            if len(stages) > _DECODED_AT_ONCE:
+                df = mx.apart(df)
+        return df.selectExpr(*map(quoted, keep), *out)
 
     def _with_value(self, df: DataFrame, code: ColumnCode, i: int, index: str) -> DataFrame:
         """Add the category of the index."""
         return _looked_up(df, code, f"CAST({index} AS BIGINT)", "idx", "value", f"__{i}_value")
 
 
+# Columns whose decoding still fits into one compiled method.
+_DECODED_AT_ONCE = 4
+
 # Most frequent categories, which a dictionary lookup broadcasts, and parts over
 # which it spreads the rows that need no other category.
 _HOT, _SPREAD = 10_000, 4096

@@ -22,19 +22,3 @@ def local_session(cores: int | str = 8, memory: str = "8g") -> SparkSession:
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-# Largest method, in bytes, that the JVM still compiles to machine code.
-_COMPILED_METHOD = "8000"
-
-
-def suit_wide_projections(spark: SparkSession) -> None:
-    """Keep fused projections within what the JVM compiles.
-
-    Spark fuses a projection over many mixtures into one method.  Past 8000
-    bytes the JVM only interprets it, which is many times slower than letting
-    Spark give up the fusion; its own limit for that is eight times as high.
-    A limit that the session sets itself is left alone.
-    """
-    if spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "65535":
-        spark.conf.set("spark.sql.codegen.hugeMethodLimit", _COMPILED_METHOD)

@@ -65,6 +65,25 @@ def test_inactive_component_is_never_drawn(spark):
     assert {(r["mode"], tuple(r["mode_encoding"])) for r in got.collect()} == {(0, (1.0,))}
 
 
+@pytest.mark.parametrize("size", [17, 30])
+def test_many_components(spark, size):
+    """Cut into separately compiled parts, with sums in blocks."""
+    m = Mixture(
+        means=tuple(20.0 * i for i in range(size)), variances=(1.0,) * size,
+        beta=(11.0,) * size, nu=(11.0,) * size, a=(11.0,) * size,
+        b=tuple(10.0 * (size - 1 - i) + 0.001 for i in range(size)),
+        active=(True,) * size, frequency=(1.0,) * size,
+    )
+    df = spark.range(size * 20).selectExpr("id", "CAST(id AS DOUBLE) AS x")
+    got = by_id(ModeEncoder("x", m).encode(df, "id", with_mode=True, lossless=True))
+    near = [got[20 * i]["mode"] == i and got[20 * i]["normalized_value"] == 0 for i in range(size)]
+    # Smoothing may draw another mode about once in 10^4 rows.
+    assert sum(near) >= size - 1
+    encoder = ModeEncoder("x", m)
+    back = encoder.decode(encoder.encode(df, "id", lossless=True), "y", keep_input=True)
+    assert back.where("abs(x - y) < 1e-9").count() == size * 20
+
+
 def test_draws_follow_the_probabilities(spark):
     # Half way between equally likely modes of equal width.
     m = replace(TWO, variances=(4.0, 4.0), a=(1001.0, 1001.0), b=(1001.0, 1e-3))
