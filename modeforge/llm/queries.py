@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from modeforge.llm import exactdup, hashtree
+from modeforge.llm import decontam, exactdup, fragjoin, hashtree, mixing, urlbloom
 from modeforge.llm.common import table
 
 
@@ -14,11 +14,34 @@ def op4_hash_tree(spark: SparkSession, folder: str) -> DataFrame:
     return hashtree.place(table(spark, folder, "documents"))
 
 
+def op5_url_bloom(spark: SparkSession, folder: str) -> DataFrame:
+    """The list to block is derived from the pages: canonical URLs that several pages have."""
+    pages = table(spark, folder, "pages")
+    return urlbloom.filter_urls(pages, urlbloom.repeated_urls(pages))
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exactdup.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontam.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", decontam.items_digest().alias("items_sha256"), "contaminated")
+
+
+def op8_fragment_join(spark: SparkSession, folder: str) -> DataFrame:
+    return fragjoin.near_duplicates(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"), mixing.PRODUCTION)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_hash_tree": op4_hash_tree,
+    "op5_url_bloom": op5_url_bloom,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_decontamination": op7_decontamination,
+    "op8_fragment_join": op8_fragment_join,
+    "op9_mixing": op9_mixing,
 }
