@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from modeforge.llm import decontam, exactdup, fragjoin, hashtree, mixing, urlbloom
-from modeforge.llm.common import table
+from modeforge.llm import decontam, exactdup, fragjoin, hashtree, mixing, toxgrammar, urlbloom
+from modeforge.llm.common import id_crc, table
 
 
 def op4_hash_tree(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,6 +38,13 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"), mixing.PRODUCTION)
 
 
+def op10_toxicity_grammar(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return toxgrammar.toxicity(docs, labels, toxgrammar.learnable()).select(
+        "doc_id", (F.pmod(id_crc(), F.lit(3)) == 1).alias("held_out"), "score", "predicted"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_hash_tree": op4_hash_tree,
     "op5_url_bloom": op5_url_bloom,
@@ -44,4 +52,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontamination": op7_decontamination,
     "op8_fragment_join": op8_fragment_join,
     "op9_mixing": op9_mixing,
+    "op10_toxicity_grammar": op10_toxicity_grammar,
 }
