@@ -7,10 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modeforge.llm import decontam, exactdup, fragjoin, hashtree, mixing, toxgrammar, urlbloom
+from modeforge.llm import decontam, exactdup, fragjoin, hashtree, langmix, lbl, mixing, toxgrammar, urlbloom
 from modeforge.llm.common import id_crc, table
 
 
+def op2_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = langmix.learn(docs.where(~langmix.held_out()))
+    found = langmix.languages_of(docs, model)
+    return found.select("doc_id", langmix.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op3_log_bilinear(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return lbl.score_documents(docs, ~lbl.held_out()).select(
+        "doc_id", lbl.held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op4_hash_tree(spark: SparkSession, folder: str) -> DataFrame:
     return hashtree.place(table(spark, folder, "documents"))
 
@@ -46,6 +60,8 @@ def op10_toxicity_grammar(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_mixture": op2_language_mixture,
+    "op3_log_bilinear": op3_log_bilinear,
     "op4_hash_tree": op4_hash_tree,
     "op5_url_bloom": op5_url_bloom,
     "op6_exact_dedup": op6_exact_dedup,
