@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modeforge.llm import decontam, exactdup, fragjoin, hashtree, langmix, lbl, mixing, toxgrammar, urlbloom
+from modeforge.llm import decontam, exactdup, fragjoin, hashtree, langmix, lbl, mixing, toolcalls, toxgrammar, urlbloom
 from modeforge.llm.common import id_crc, table
 
 
+def op1_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
+    return toolcalls.link_calls(*toolcalls.calls_of(table(spark, folder, "conversations")))
+
+
 def op2_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     model = langmix.learn(docs.where(~langmix.held_out()))
@@ -60,6 +64,7 @@ def op10_toxicity_grammar(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_tool_calls": op1_tool_calls,
     "op2_language_mixture": op2_language_mixture,
     "op3_log_bilinear": op3_log_bilinear,
     "op4_hash_tree": op4_hash_tree,
