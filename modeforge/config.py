@@ -8,14 +8,7 @@ from dataclasses import dataclass, field
 
 @dataclass(frozen=True)
 class MixtureConfig:
-    """Settings of the one-dimensional Dirichlet-process mixture.
-
-    ``max_cells`` bounds the compressed form of a column that the fit iterates
-    over, and with it what each task adds to the one shuffle of the fit (see
-    ``operators.compress``): a column with fewer distinct values is fitted
-    exactly, any other with exact counts and moments per cell.  ``sample_cap``
-    fits on about that many rows instead of all of them.
-    """
+    """Settings of the one-dimensional Dirichlet-process mixture."""
 
     # Defaults that results depend on.
     n_components: int = 10
@@ -31,9 +24,6 @@ class MixtureConfig:
     tol: float = 1e-3
     reg_covar: float = 1e-6
 
-    max_cells: int = 65_536
-    sample_cap: int | None = None
-
     def __post_init__(self) -> None:
         if self.n_components < 1:
             raise ValueError("n_components must be at least 1")
@@ -43,8 +33,6 @@ class MixtureConfig:
             raise ValueError("weight_concentration_prior must be positive")
         if not self.clip_min < self.clip_max:
             raise ValueError("clip_min must lie below clip_max")
-        if self.max_cells < self.n_components:
-            raise ValueError("max_cells must not be below n_components")
 
 
 # Fixed value: stands for "missing" among the modal values of a mixed column.

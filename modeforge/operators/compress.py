@@ -1,30 +1,37 @@
-"""One small weighted table that stands for numeric columns of any length.
-
-Step one of the fit is a single scan that measures every column at once.  Step
-two groups each column, in one more scan over all columns together, either on
-its values (few distinct values: nothing is lost) or on monotone cells (more:
-each cell keeps its row count, mean and spread, so counts, sums and sums of
-squares stay exact).  Partial aggregation runs before the shuffle: a task sends
-at most ``max_cells`` rows per column, however many it has read and however hot
-a value is.  Input partitions are joined into fewer tasks for the same reason.
-The result has at most about ``max_cells`` rows per column.
+"""The distinct values of numeric columns with their row counts, packed for the fit.
+
+Step one of the fit is a single scan that measures every column at once.  Step two groups the
+columns on their values, a few columns a scan; partial aggregation runs before the shuffle, so a hot
+value is one row of each task.  The groups are range partitioned in the order of column and value and
+packed into binary blocks of some thousand values, one row each, which every iteration reads as
+arrays.  Nothing is merged or rounded, whatever the number of values.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+import sys
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modeforge.functions.cells import CellGrid
 from modeforge.functions.mixture import finite
 from modeforge.functions.text import number
 
-# Tasks that compress, unless the cluster has more than a quarter as many slots.
-_MOST_TASKS = 4096
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Columns that one scan groups, which bounds the groups of a task.
+_COLUMNS_AT_ONCE = 8
+
+# Values in a block.
+BLOCK = 8_192
+
+BLOCK_SCHEMA = "part int, model int, before double, rows double, cells int, z binary, n binary"
 
 
 @dataclass(frozen=True)
@@ -36,7 +43,6 @@ class NumericProfile:
     variance: float
     low: float
     high: float
-    distinct: int
 
     @property
     def scale(self) -> float:
@@ -51,11 +57,7 @@ class NumericProfile:
 def profile_numeric(
     df: DataFrame, columns: Mapping[str, str], extra: Mapping[str, str] | None = None
 ) -> tuple[dict[str, NumericProfile], dict[str, object]]:
-    """Profile of every named SQL expression, and ``extra`` aggregates, in one scan.
-
-    ``distinct`` is an estimate (relative error about 5 %), used only to choose
-    the form of the compressed table.
-    """
+    """Profile of every named SQL expression, and ``extra`` aggregates, in one scan."""
     names, extra = list(columns), dict(extra or {})
     staged = df.selectExpr("*", *(f"{finite(columns[n])} AS __v{i}" for i, n in enumerate(names)))
     row = staged.selectExpr(
@@ -69,14 +71,13 @@ def profile_numeric(
                 f"var_samp(__v{i}) AS s{i}",
                 f"min(__v{i}) AS a{i}",
                 f"max(__v{i}) AS b{i}",
-                f"approx_count_distinct(__v{i}) AS d{i}",
             )
         )
     ).first()
     profiles = {}
     for i, name in enumerate(names):
         if row[f"n{i}"] == 0:
-            profiles[name] = NumericProfile(0, 0.0, 0.0, 0.0, 0.0, 0)
+            profiles[name] = NumericProfile(0, 0.0, 0.0, 0.0, 0.0)
             continue
         variance = row[f"s{i}"]
         flat = variance is None or row[f"a{i}"] == row[f"b{i}"]
@@ -86,59 +87,77 @@ def profile_numeric(
             0.0 if flat else variance,
             row[f"a{i}"],
             row[f"b{i}"],
-            row[f"d{i}"],
         )
     return profiles, {name: row[f"x{i}"] for i, name in enumerate(extra)}
 
 
 def compress(
-    df: DataFrame,
-    columns: Mapping[str, str],
-    profiles: Mapping[str, NumericProfile],
-    max_cells: int,
+    df: DataFrame, columns: Mapping[str, str], profiles: Mapping[str, NumericProfile]
 ) -> DataFrame:
-    """Rows ``(model, z, n, q)``: standardised value, row count and the summed
-    squared distance of the rows from that value.
+    """Rows ``(model, z, n)``: standardised value and row count.
 
     ``model`` is the position of the column in ``columns``.
     """
     names = list(columns)
-    staged = df.selectExpr(*(f"{finite(columns[n])} AS v{i}" for i, n in enumerate(names)))
-    cells = []
-    for i, name in enumerate(names):
-        p = profiles[name]
-        if p.distinct <= max_cells:
-            key = f"v{i}"
-        else:
-            grid = CellGrid.over(p.low, p.high, p.mean, p.scale, max_cells)
-            key = f"CAST({grid.sql(f'v{i}')} AS DOUBLE)"
-        cells.append(f"{i}, {key}, v{i}")
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    long = f"stack({len(names)}, {', '.join(cells)}) AS (model, cell, v)"
-    grouped = (
-        staged.coalesce(max(_MOST_TASKS, 4 * slots))
-        .selectExpr(long)
-        .where("v IS NOT NULL")
-        .groupBy("model", "cell")
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.min("v").alias("lo"),
-            F.max("v").alias("hi"),
-            F.avg("v").alias("mean"),
-            F.var_pop("v").alias("spread"),
+    parts = []
+    for first in range(0, len(names), _COLUMNS_AT_ONCE):
+        some = names[first : first + _COLUMNS_AT_ONCE]
+        values = [f"{finite(columns[n])} AS v{first + i}" for i, n in enumerate(some)]
+        pairs = ", ".join(f"{first + i}, v{first + i}" for i in range(len(some)))
+        parts.append(
+            df.selectExpr(*values)
+            .selectExpr(f"stack({len(some)}, {pairs}) AS (model, v)")
+            .where("v IS NOT NULL")
+            .groupBy("model", "v")
+            .agg(F.count(F.lit(1)).alias("rows"))
         )
-        .drop("cell")
-    )
+    grouped = parts[0]
+    for more in parts[1:]:
+        grouped = grouped.unionAll(more)
     centre = _per_model([number(profiles[n].mean) for n in names])
     scale = _per_model([number(profiles[n].scale) for n in names])
     return grouped.selectExpr(
-        "model",
-        f"(CASE WHEN lo = hi THEN lo ELSE mean END - {centre}) / {scale} AS z",
-        "CAST(rows AS DOUBLE) AS n",
-        f"CASE WHEN lo = hi THEN 0.0D ELSE spread * rows / ({scale} * {scale}) END AS q",
+        "model", f"(v - {centre}) / {scale} AS z", "CAST(rows AS DOUBLE) AS n"
     )
 
 
+def pack(cells: DataFrame, tasks: int) -> DataFrame:
+    """Blocks of the values in order; ``before`` counts the column's earlier rows in the partition."""
+    return (
+        cells.repartitionByRange(tasks, "model", "z")
+        .sortWithinPartitions("model", "z")
+        .selectExpr("spark_partition_id() AS part", "model", "z", "n")
+        .mapInArrow(_packed, BLOCK_SCHEMA)
+    )
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    before: dict[int, float] = {}
+    for batch in batches:
+        part, model, z, n = (batch.column(i).to_numpy() for i in range(4))
+        rows = []
+        for start, end in _runs(model):
+            for lo in range(start, end, BLOCK):
+                own = slice(lo, min(lo + BLOCK, end))
+                key, total = int(model[lo]), float(n[own].sum())
+                seen = before.get(key, 0.0)
+                before[key] = seen + total
+                rows.append(
+                    (int(part[lo]), key, seen, total, own.stop - lo, z[own].tobytes(), n[own].tobytes())
+                )
+        if rows:
+            names = ("part", "model", "before", "rows", "cells", "z", "n")
+            kinds = (pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.int32(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v, kind) for v, kind in zip(zip(*rows), kinds)], list(names)
+            )
+
+
+def _runs(model: np.ndarray) -> list[tuple[int, int]]:
+    starts = np.flatnonzero(np.diff(model, prepend=-1))
+    return list(zip(starts.tolist(), [*starts[1:].tolist(), len(model)]))
+
+
 def _per_model(values: list[str]) -> str:
     if len(set(values)) == 1:
         return values[0]

@@ -1,12 +1,10 @@
 """Variational fit of one-dimensional Dirichlet-process mixtures on Spark.
 
-The compressed columns (``operators.compress``) are the data of the fit.  Each
-iteration is one Spark job over all of them: every partition turns its cells
-into sums per component, and only those sums, 3 K + 1 doubles per column and
-partition, reach the driver, which holds nothing but the component parameters.
-Cells share their responsibilities through their average sufficient statistics
-(Kurihara, Welling & Vlassis 2006), so the lower bound stays a bound when a
-column was compressed with loss, and the fit is the plain one when it was not.
+The packed values and counts (``operators.compress``) are the data of the fit, the
+distinct values of every column whatever their number.  Each iteration is one
+Spark job over them: every partition turns its blocks into sums per component,
+and only those sums, 3 K + 1 doubles per column and partition, reach the driver,
+which holds nothing but the component parameters.
 
 All columns, and all restarts of a column, advance in the same job.
 """
@@ -18,14 +16,14 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from modeforge.config import MixtureConfig
 from modeforge.functions.special import log_beta
-from modeforge.functions.text import number, quoted
-from modeforge.operators.compress import NumericProfile, compress, profile_numeric
+from modeforge.functions.text import quoted
+from modeforge.operators.compress import NumericProfile, compress, pack, profile_numeric
 from modeforge.operators.model import FitReport, Mixture, expected_log_constants
 from modeforge.operators.sums import (
     SCHEMA,
@@ -33,15 +31,15 @@ from modeforge.operators.sums import (
     draw_counts,
     moment_sums,
     partition_sums,
+    start_sums,
     win_counts,
 )
-from modeforge.sources.files import keep_fraction
 from modeforge.sources.scratch import cut_lineage
 
 # Fixed value: guards the division by an empty component.
 _TINY = 10 * np.finfo(float).eps
 
-# Cells that one task handles per iteration, at least and at most.
+# Values that one task handles per iteration, at least and at most.
 _FEW_CELLS, _MANY_CELLS = 8_192, 131_072
 
 
@@ -57,18 +55,10 @@ def fit_mixtures(
 ) -> dict[str, Mixture]:
     """Fit every named SQL expression, all in the same jobs."""
     cfg = config or MixtureConfig()
-    if cfg.sample_cap is not None:
-        df = capped_sample(df, cfg.sample_cap, cfg.random_state)
     profiles, _ = profile_numeric(df, columns)
     return fit_profiled(df, columns, profiles, cfg)
 
 
-def capped_sample(df: DataFrame, cap: int, seed: int) -> DataFrame:
-    """Bernoulli sample of about ``cap`` rows, or everything if there are fewer."""
-    rows = df.count()
-    return df if rows <= cap else keep_fraction(df, cap / rows, seed=seed)
-
-
 def fit_profiled(
     df: DataFrame,
     columns: Mapping[str, str],
@@ -80,7 +70,7 @@ def fit_profiled(
     for name in names:
         if profiles[name].rows == 0:
             raise ValueError(f"no finite value to fit in {name}")
-    cells = cut_lineage(compress(df, columns, profiles, cfg.max_cells))
+    cells = cut_lineage(compress(df, columns, profiles))
     held, sizes = _hold(cells, len(names))
     try:
         chains = _initial_chains(held, [profiles[n] for n in names], cfg)
@@ -93,13 +83,13 @@ def fit_profiled(
     finally:
         held.unpersist()
     return {
-        name: best[i].mixture(profiles[name], sizes[i], profiles[name].distinct <= cfg.max_cells)
+        name: best[i].mixture(profiles[name], sizes[i])
         for i, name in enumerate(names)
     }
 
 
 def _hold(cells: DataFrame, models: int) -> tuple[DataFrame, list[int]]:
-    """Keep the compressed table in memory in partitions fit for the iterations."""
+    """Pack the values and keep the blocks in memory in partitions fit for the iterations."""
     counted = {r["model"]: r["count"] for r in cells.groupBy("model").count().collect()}
     rows = sum(counted.values())
     slots = cells.sparkSession.sparkContext.defaultParallelism
@@ -107,7 +97,8 @@ def _hold(cells: DataFrame, models: int) -> tuple[DataFrame, list[int]]:
     if rows > slots * _MANY_CELLS:
         # Whole rounds of tasks, so that the last round is not nearly empty.
         tasks = slots * math.ceil(rows / (slots * _MANY_CELLS))
-    held = cells.repartition(tasks).sortWithinPartitions("model")
+    # The checkpoint fixes the numbers of the partitions for good.
+    held = cut_lineage(pack(cells, tasks))
     return held.persist(StorageLevel.MEMORY_AND_DISK), [counted[i] for i in range(models)]
 
 
@@ -171,7 +162,7 @@ class _Chain:
         w = left * self.a / (self.a + self.b)
         return w / w.sum()
 
-    def mixture(self, profile: NumericProfile, cells: int, exact: bool) -> Mixture:
+    def mixture(self, profile: NumericProfile, cells: int) -> Mixture:
         scale = profile.scale
         return Mixture(
             tuple((profile.mean + scale * self.mean).tolist()),
@@ -183,7 +174,7 @@ class _Chain:
             tuple(bool(v) for v in self.active),
             tuple(self.frequency.tolist()),
             FitReport(
-                profile.rows, cells, exact, len(self.bounds), self.converged,
+                profile.rows, cells, len(self.bounds), self.converged,
                 self.bounds[-1], tuple(self.bounds),
             ),
         )
@@ -198,38 +189,23 @@ def _initial_chains(
 ) -> list[_Chain]:
     """Hard start: bins of equal row count for run 0, seeded bins for further runs.
 
-    The running count needs the cells of a column in order; a column has at
-    most about ``max_cells`` of them, which bounds the group of this window.
+    Partitions are ranges of the values in order, so the place of a value in the
+    order is its running count in the partition behind the sum of those before.
     """
-    in_order = Window.partitionBy("model").orderBy("z").rowsBetween(Window.unboundedPreceding, 0)
     k = cfg.n_components
-    bins = [f"CAST(least({k - 1}, floor(share * {k})) AS INT)"]
+    edges = [np.arange(1, k) / k]
     for run in range(1, cfg.n_init):
-        rng = np.random.default_rng([cfg.random_state, run])
-        edges = np.sort(rng.random(k - 1)).tolist()
-        whens = " ".join(f"WHEN share < {number(e)} THEN {i}" for i, e in enumerate(edges))
-        bins.append(f"CASE {whens} ELSE {k - 1} END" if edges else "0")
-    rows = (
-        held.withColumn("total", F.sum("n").over(Window.partitionBy("model")))
-        .withColumn("share", (F.sum("n").over(in_order) - F.col("n") / 2) / F.col("total"))
-        .selectExpr(
-            "model",
-            "z",
-            "n",
-            "q",
-            f"stack({len(bins)}, {', '.join(f'{i}, {b}' for i, b in enumerate(bins))}) AS (run, k)",
-        )
-        .groupBy("model", "run", "k")
-        .agg(
-            F.sum("n").alias("n"),
-            F.sum(F.expr("n * z")).alias("s1"),
-            F.sum(F.expr("n * z * z + q")).alias("s2"),
-        )
-        .collect()
-    )
-    sums = np.zeros((len(profiles), cfg.n_init, 3, k))
-    for r in rows:
-        sums[r["model"], r["run"], :, r["k"]] = r["n"], r["s1"], r["s2"]
+        edges.append(np.sort(np.random.default_rng([cfg.random_state, run]).random(k - 1)))
+    totals = [0.0] * len(profiles)
+    offsets = {}
+    parts = held.groupBy("part", "model").agg(F.sum("rows").alias("rows")).collect()
+    for r in sorted(parts):
+        offsets[r["part"], r["model"]] = totals[r["model"]]
+        totals[r["model"]] += r["rows"]
+    sums = np.zeros((len(profiles) * cfg.n_init, 3 * k))
+    for r in held.mapInArrow(start_sums(offsets, totals, edges), SCHEMA).collect():
+        sums[r["chain"]] += r["sums"]
+    sums = sums.reshape(len(profiles), cfg.n_init, 3, k)
     chains = []
     for model, profile in enumerate(profiles):
         for run in range(cfg.n_init):

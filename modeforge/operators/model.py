@@ -14,7 +14,7 @@ from modeforge.functions.special import digamma
 PARAMETER_SCHEMA = (
     "column string, k int, weight double, mean double, variance double, beta double, "
     "nu double, a double, b double, active boolean, frequency double, rank int, "
-    "rows bigint, cells bigint, exact boolean, iterations int, converged boolean, "
+    "rows bigint, cells bigint, iterations int, converged boolean, "
     "lower_bound double"
 )
 
@@ -25,7 +25,6 @@ class FitReport:
 
     rows: int = 0
     cells: int = 0
-    exact: bool = True
     iterations: int = 0
     converged: bool = False
     lower_bound: float = float("nan")
@@ -124,7 +123,7 @@ def parameters(spark: SparkSession, mixtures: Mapping[str, Mixture]) -> DataFram
                 (
                     column, k, m.weights[k], m.means[k], m.variances[k], m.beta[k], m.nu[k],
                     m.a[k], m.b[k], m.active[k], m.frequency[k], ranks.get(k), r.rows, r.cells,
-                    r.exact, r.iterations, r.converged, r.lower_bound,
+                    r.iterations, r.converged, r.lower_bound,
                 )
             )
     return spark.createDataFrame(rows, PARAMETER_SCHEMA)
@@ -144,7 +143,7 @@ def from_parameters(df: DataFrame) -> dict[str, Mixture]:
                 for name in ("mean", "variance", "beta", "nu", "a", "b", "active", "frequency")
             ),
             FitReport(
-                first["rows"], first["cells"], first["exact"], first["iterations"],
+                first["rows"], first["cells"], first["iterations"],
                 first["converged"], first["lower_bound"],
             ),
         )

@@ -1,4 +1,4 @@
-"""What a task computes over its part of a compressed column.
+"""What a task computes over its blocks of values and counts.
 
 These functions travel to the executors by value, so the package need not be
 installed there.
@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ from modeforge.functions.mixture import SMOOTHING
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Cells handled at once, so that the arrays stay in the processor's cache.
+# Values handled at once, so that the arrays stay in the processor's cache.
 _CHUNK = 2048
 
 SCHEMA = StructType(
@@ -31,40 +32,81 @@ Measure = Callable[..., np.ndarray]
 def partition_sums(
     work: Mapping[int, Sequence[tuple[int, tuple]]], measure: Measure
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Sum ``measure`` over the cells of a partition, per parameter set.
+    """Sum ``measure`` over the blocks of a partition, per parameter set.
 
     ``work`` lists the parameter sets (with their numbers) of each column.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         acc: dict[int, np.ndarray] = {}
-        for batch in batches:
-            model, z, n, q = (batch.column(i).to_numpy() for i in range(4))
-            starts = np.flatnonzero(np.diff(model, prepend=-1))
-            for start, end in zip(starts, [*starts[1:], len(model)]):
-                for lo in range(start, end, _CHUNK):
-                    part = slice(lo, min(lo + _CHUNK, end))
-                    for i, params in work.get(int(model[start]), ()):
-                        s = measure(z[part], n[part], q[part], *params)
-                        acc[i] = acc[i] + s if i in acc else s
-        if acc:
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(list(acc), pa.int32()),
-                    pa.array([v.tolist() for v in acc.values()], pa.list_(pa.float64())),
-                ],
-                names=["chain", "sums"],
-            )
+        for block in blocks(batches):
+            for lo in range(0, len(block.z), _CHUNK):
+                own = slice(lo, lo + _CHUNK)
+                for i, params in work.get(block.model, ()):
+                    s = measure(block.z[own], block.n[own], *params)
+                    acc[i] = acc[i] + s if i in acc else s
+        yield from _rows(acc)
 
     return run
 
 
-def _logs(z, n, q, const, half, mean):
-    """Distances from the means and log densities, one line per component."""
+def start_sums(
+    offsets: Mapping[tuple[int, int], float], totals: Sequence[float], edges: Sequence[np.ndarray]
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Counts and moments of the bins between ``edges``, shares of a column's rows in order.
+
+    ``offsets`` has a column's rows in earlier partitions.  Set number ``model * len(edges) + run``.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        acc: dict[int, np.ndarray] = {}
+        for block in blocks(batches):
+            z, n = block.z, block.n
+            passed = offsets[block.part, block.model] + block.before + np.cumsum(n) - n / 2
+            share = passed / totals[block.model]
+            for i, cuts in enumerate(edges):
+                k = len(cuts) + 1
+                place = np.searchsorted(cuts, share, side="right")
+                s = np.concatenate([np.bincount(place, w, k) for w in (n, n * z, n * z * z)])
+                key = block.model * len(edges) + i
+                acc[key] = acc[key] + s if key in acc else s
+        yield from _rows(acc)
+
+    return run
+
+
+class Block(NamedTuple):
+    part: int
+    model: int
+    before: float
+    z: np.ndarray
+    n: np.ndarray
+
+
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    for batch in batches:
+        part, model, before = (batch.column(i).to_pylist() for i in range(3))
+        z, n = batch.column(5), batch.column(6)
+        for i in range(len(part)):
+            arrays = (np.frombuffer(c[i].as_buffer(), np.float64) for c in (z, n))
+            yield Block(part[i], model[i], before[i], *arrays)
+
+
+def _rows(acc: Mapping[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    if acc:
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(list(acc), pa.int32()),
+                pa.array([v.tolist() for v in acc.values()], pa.list_(pa.float64())),
+            ],
+            names=["chain", "sums"],
+        )
+
+
+def _logs(z, const, half, mean):
+    """Distances from the means, their squares and log densities, one line per component."""
     d = z - mean[:, None]
     d2 = d * d
-    if q.any():
-        d2 += q / n
     return d, d2, const[:, None] - half[:, None] * d2
 
 
@@ -80,23 +122,22 @@ def _line_sums(a, b):
     return np.einsum("kn,kn->k", a, b)
 
 
-def moment_sums(z, n, q, const, half, mean, _active):
+def moment_sums(z, n, const, half, mean, _active):
     """Counts, first and second moments about the means, entropy."""
-    d, d2, logs = _logs(z, n, q, const, half, mean)
+    d, d2, logs = _logs(z, const, half, mean)
     r, norm = _shares(logs)
     r *= n
-    # d2 holds the mean squared distance of a cell, so no further term for q.
     entropy = (n * norm).sum() - _line_sums(r, logs).sum()
     return np.concatenate([r.sum(axis=1), _line_sums(r, d), _line_sums(r, d2), [entropy]])
 
 
-def win_counts(z, n, q, const, half, mean, _active):
+def win_counts(z, n, const, half, mean, _active):
     """Rows per likeliest component."""
-    logs = _logs(z, n, q, const, half, mean)[2]
+    logs = _logs(z, const, half, mean)[2]
     return np.bincount(logs.argmax(axis=0), weights=n, minlength=len(mean))
 
 
-def draw_counts(z, n, q, const, half, mean, active):
+def draw_counts(z, n, const, half, mean, active):
     """Expected rows per drawn component."""
-    p = (_shares(_logs(z, n, q, const, half, mean)[2])[0] + SMOOTHING) * active[:, None]
+    p = (_shares(_logs(z, const, half, mean)[2])[0] + SMOOTHING) * active[:, None]
     return (p * (n / p.sum(axis=0))).sum(axis=1)

@@ -24,7 +24,7 @@ from modeforge.functions.text import first_largest, largest, number, quoted, str
 from modeforge.functions.uniform import key_columns
 from modeforge.operators.codec import ModeRequest, flat_decode, normalized, overflow, with_modes
 from modeforge.operators.compress import NumericProfile, profile_numeric
-from modeforge.operators.fit import capped_sample, fit_profiled
+from modeforge.operators.fit import fit_profiled
 from modeforge.operators.model import Mixture
 from modeforge.operators.profile import counted_index, ranked_categories
 
@@ -122,8 +122,6 @@ class TableEncoder:
         spec, cfg = self.spec, self.config
         columns = list(spec.columns or df.columns)
         df = df.select(*map(quoted, columns))
-        if cfg.sample_cap is not None:
-            df = capped_sample(df, cfg.sample_cap, cfg.random_state)
         categorical = [_named(c, columns) for c in spec.categorical]
         mixed = {
             _named(c, columns): tuple(float(v) for v in vs) for c, vs in spec.mixed.items()

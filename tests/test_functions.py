@@ -6,7 +6,6 @@ from hypothesis import given
 from hypothesis import strategies as st
 from plain_fit import digamma as other_digamma
 
-from modeforge.functions.cells import CellGrid
 from modeforge.functions.special import digamma, log_beta
 from modeforge.functions.text import number, quoted, string
 from modeforge.functions.uniform import keyed_uniform
@@ -53,14 +52,3 @@ def test_uniform_looks_uniform_and_stays_with_the_row(spark, portable):
     other = keyed_uniform(["id"], 1, "other", portable)
     c = df.selectExpr("id", f"{other} AS u").toPandas().sort_values("id")["u"].to_numpy()
     assert abs(np.corrcoef(a, c)[0, 1]) < 0.05
-
-
-def test_cells_keep_the_order_and_their_number(spark):
-    rng = np.random.default_rng(1)
-    x = np.concatenate([rng.normal(0, 1, 3000), rng.normal(1e6, 10, 500), [-1e12, 1e300, 0.0]])
-    x.sort()
-    grid = CellGrid.over(x[0], x[-1], float(np.median(x)), 1.0, 1000)
-    df = spark.createDataFrame([(float(v),) for v in x], "x double")
-    got = df.selectExpr("x", f"{grid.sql('x')} AS cell").toPandas().sort_values("x")["cell"]
-    assert got.is_monotonic_increasing
-    assert got.max() - got.min() <= 1000
