@@ -47,6 +47,8 @@ class TableSpec:
     are normalised: ``"mixture"`` (mode plus value within the mode) or
     ``"minmax"`` (rescaled to [-1, 1]).  ``categories`` is ``"ranked"`` (one-hot
     position is the frequency rank) or ``"codes"`` (the value is the position).
+    A categorical column becomes a one-hot block, or one index column if it is
+    listed in ``indexed``; the data never decide that.
     """
 
     categorical: Sequence[str | int] = ()
@@ -56,7 +58,7 @@ class TableSpec:
     categories: str = "ranked"
     unseen: str = "zero"
     missing_marker: float = MISSING_MARKER
-    one_hot_limit: int = 1000
+    indexed: Sequence[str | int] = ()
 
     def __post_init__(self) -> None:
         if self.continuous not in ("mixture", "minmax"):

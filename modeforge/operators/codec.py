@@ -6,10 +6,12 @@ and the work is columns x components fused arithmetic per row.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from modeforge.config import MixtureConfig
 from modeforge.functions import mixture as mx
@@ -81,11 +83,31 @@ def _parts(requests: Sequence[ModeRequest]) -> list[list[ModeRequest]]:
     return parts
 
 
-def overflow(x: str, p: str, cfg: MixtureConfig) -> str:
-    """The raw value where the scaled one leaves the clip range or is undefined."""
-    raw = f"CAST({x} AS DOUBLE)"
+# Whole numbers and decimals up to this many units survive scaling and back.
+_EXACT_UNITS = 1 << 49
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def lossy_number(x: str, kind: str) -> str:
+    """Whether a value of an exact type is too large to come back from a double."""
+    if kind in ("bigint", "decimal") or kind.startswith("decimal"):
+        scale = int(kind.rstrip(")").split(",")[1]) if "," in kind else 0
+        return f"abs({x}) >= CAST({_EXACT_UNITS / 10**scale!r} AS DOUBLE)"
+    return "false"
+
+
+def overflow(x: str, p: str, cfg: MixtureConfig, kind: str) -> str:
+    """The raw value where the scaled one leaves the clip range, is undefined or inexact."""
     inside = f"{p}ok AND {p}n >= {number(cfg.clip_min)} AND {p}n <= {number(cfg.clip_max)}"
-    return f"CASE WHEN {inside} THEN NULL ELSE {raw} END"
+    inside += f" AND NOT {lossy_number(x, kind)}"
+    return f"CASE WHEN {inside} THEN NULL ELSE {x} END"
+
+
+def restored(value: str, kind: str) -> str:
+    """A decoded value in the type of its overflow column."""
+    if kind in _WHOLE:
+        return f"CAST(round({value}) AS {kind})"
+    return value if kind == "double" else f"CAST({value} AS {kind})"
 
 
 def normalized(p: str, cfg: MixtureConfig) -> str:
@@ -111,6 +133,7 @@ class ModeEncoder:
         with_mode: bool = False,
         ranked: bool = False,
         portable: bool = False,
+        prefix: str = "",
     ) -> DataFrame:
         """Add ``normalized_value: double`` and ``mode_encoding: array<double>``.
 
@@ -120,8 +143,15 @@ class ModeEncoder:
         with the raw value of every row that clipping would damage; ``ranked``
         orders the one-hot positions by descending frequency; ``with_mode``
         adds the position itself; ``drop_input`` keeps only the new columns.
+        ``prefix`` goes before the new names, so that several columns of a table
+        can be encoded; a name that the table has already is an error.
         """
         m, cfg, p = self.mixture, self.config, "__e_"
+        added = [NORMALIZED, ENCODING, *[MODE] * with_mode, *[OVERFLOW] * lossless]
+        taken = sorted({prefix + name for name in added} & set(df.columns))
+        if taken and not drop_input:
+            raise ValueError(f"the table has columns {', '.join(taken)}; choose a prefix")
+        kind = df.schema[self.column].dataType.simpleString()
         positions = m.order if ranked else range(len(m.kept))
         x = quoted(self.column)
         request = ModeRequest(x, self.column, m, p)
@@ -132,14 +162,14 @@ class ModeEncoder:
             for i in range(len(places) + 1)
         ]
         out = [
-            f"{normalized(p, cfg)} AS {NORMALIZED}",
-            f"{mx.lookup(f'{p}z', hot)} AS {ENCODING}",
+            f"{normalized(p, cfg)} AS {quoted(prefix + NORMALIZED)}",
+            f"{mx.lookup(f'{p}z', hot)} AS {quoted(prefix + ENCODING)}",
         ]
         if with_mode:
             order = [*(str(places[i]) for i in range(len(places))), "CAST(NULL AS INT)"]
-            out.append(f"{mx.lookup(f'{p}z', order)} AS {MODE}")
+            out.append(f"{mx.lookup(f'{p}z', order)} AS {quoted(prefix + MODE)}")
         if lossless:
-            out.append(f"{overflow(x, p, cfg)} AS {OVERFLOW}")
+            out.append(f"{overflow(x, p, cfg, kind)} AS {quoted(prefix + OVERFLOW)}")
         kept = [] if drop_input else [quoted(c) for c in df.columns]
         return staged.selectExpr(*kept, *out)
 
@@ -151,16 +181,19 @@ class ModeEncoder:
         ranked: bool = False,
         clip: bool = True,
         keep_input: bool = False,
+        prefix: str = "",
     ) -> DataFrame:
         """Values from ``normalized_value`` and ``mode_encoding``.
 
         The mode is the position of the first largest entry.  ``clip`` limits
         the normalised value to [-1, 1] first.  Where an ``overflow`` column
-        exists and holds a value, that value is returned as it is.
+        exists and holds a value, that value is returned as it is, and the
+        others come in its type.
         """
         m = self.mixture
+        norm, encoding, spill = (quoted(prefix + c) for c in (NORMALIZED, ENCODING, OVERFLOW))
         positions = list(m.order if ranked else range(len(m.kept)))
-        n = mx.clipped(NORMALIZED, -1.0, 1.0) if clip else NORMALIZED
+        n = mx.clipped(norm, -1.0, 1.0) if clip else norm
         value = mx.unscaled(
             "__d_n",
             "__d_z",
@@ -168,13 +201,14 @@ class ModeEncoder:
             [m.kept_spreads[i] for i in positions],
             self.config.normalization_factor,
         )
-        if OVERFLOW in df.columns:
-            value = f"coalesce({OVERFLOW}, {value})"
+        if prefix + OVERFLOW in df.columns:
+            kind = df.schema[prefix + OVERFLOW].dataType.simpleString()
+            value = f"coalesce({spill}, {restored(value, kind)})"
         name = output or self.column
         kept = [quoted(c) for c in df.columns if c != name] if keep_input else []
         return df.selectExpr(
             "*",
-            f"CAST(array_position({ENCODING}, array_max({ENCODING})) - 1 AS INT) AS __d_z",
+            f"CAST(array_position({encoding}, array_max({encoding})) - 1 AS INT) AS __d_z",
             f"{n} AS __d_n",
         ).selectExpr(*kept, f"{value} AS {quoted(name)}")
 
@@ -182,12 +216,20 @@ class ModeEncoder:
         return replace(self, config=replace(self.config, **changes))
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """Write the parameters as a small parquet table."""
-        write_parquet(parameters(spark, {self.column: self.mixture}).coalesce(1), path)
+        """Write the parameters and the configuration as a small parquet table."""
+        rows = parameters(spark, {self.column: self.mixture})
+        rows = rows.withColumn("config", F.lit(json.dumps(asdict(self.config))))
+        write_parquet(rows.coalesce(1), path)
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, config: MixtureConfig = MixtureConfig()) -> ModeEncoder:
-        ((column, m),) = from_parameters(read_parquet(spark, path)).items()
+    def load(
+        cls, spark: SparkSession, path: str, config: MixtureConfig | None = None
+    ) -> ModeEncoder:
+        """The encoder as it was saved; ``config`` replaces the saved one."""
+        rows = read_parquet(spark, path)
+        ((column, m),) = from_parameters(rows).items()
+        if config is None:
+            config = MixtureConfig(**json.loads(rows.first()["config"]))
         return cls(column, m, config)
 
 

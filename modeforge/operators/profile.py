@@ -73,37 +73,30 @@ def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def ranked_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, value, count, idx)``: categories by descending frequency.
 
-    Ties go by value.  The window holds one row per category of a column, so
-    this is for columns that get a one-hot block; see ``indexed_categories``.
-    """
-    by_rank = Window.partitionBy("column").orderBy(F.desc("count"), F.asc("value"))
-    return category_counts(df, columns).withColumn("idx", F.row_number().over(by_rank) - 1)
-
-
-def indexed_categories(df: DataFrame, column: str) -> DataFrame:
-    """``(value, idx)`` in the same order for any number of categories."""
-    return counted_index(df, column)[0]
-
-
-def counted_index(df: DataFrame, column: str) -> tuple[DataFrame, int]:
-    """``indexed_categories`` and how many there are.
-
-    The ranking is a range-partitioned sort, kept as written; a row's index is
-    its place in its partition plus the rows of the partitions before it.
+    Ties go by value.  The ranking is a range-partitioned sort, kept as written; a category's index
+    is its place in its partition plus the column's categories in the partitions before it.
     """
     ordered = cut_lineage(
-        category_counts(df, [column]).orderBy(F.desc("count"), F.asc("value")).select("value")
+        category_counts(df, columns).orderBy("column", F.desc("count"), F.asc("value"))
     )
     # The upper bits of the id are the partition, the lower 33 the place in it.
-    placed = ordered.withColumn("id", F.monotonically_increasing_id())
-    sizes = placed.groupBy(F.expr("shiftright(id, 33)").alias("part")).count().collect()
-    offsets, before = [], 0
-    for row in sorted(sizes):
-        offsets += [0] * (row["part"] - len(offsets)) + [before]
-        before += row["count"]
-    starts = ", ".join(f"{o}L" for o in offsets)
-    idx = f"(id & 8589934591L) + array({starts})[CAST(shiftright(id, 33) AS INT)]"
-    return placed.selectExpr("value", f"{idx if offsets else '0L'} AS idx"), before
+    placed = ordered.withColumn("id", F.monotonically_increasing_id()).withColumn(
+        "part", F.expr("CAST(shiftright(id, 33) AS INT)")
+    )
+    sizes = placed.groupBy("column", "part").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    # One row per column and partition.
+    earlier = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(
+        "column", "part", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("shift")
+    )
+    return placed.join(F.broadcast(starts), ["column", "part"]).select(
+        "column", "value", "count", (F.col("id") + F.col("shift")).alias("idx")
+    )
+
+
+def indexed_categories(df: DataFrame, column: str) -> DataFrame:
+    """``(value, idx)`` in the same order."""
+    return ranked_categories(df, [column]).select("value", "idx")
 
 
 def bucket_counts(df: DataFrame, column: str, width: int = 1000) -> DataFrame:

@@ -22,11 +22,12 @@ from modeforge.functions import mixture as mx
 from modeforge.functions.scaling import from_min_max, to_min_max
 from modeforge.functions.text import first_largest, largest, number, quoted, string
 from modeforge.functions.uniform import key_columns
-from modeforge.operators.codec import ModeRequest, flat_decode, normalized, overflow, with_modes
+from modeforge.operators.codec import ModeRequest, flat_decode, lossy_number, normalized, overflow, restored, with_modes
 from modeforge.operators.compress import NumericProfile, profile_numeric
 from modeforge.operators.fit import fit_profiled
 from modeforge.operators.model import Mixture
-from modeforge.operators.profile import counted_index, ranked_categories
+from modeforge.operators.lookup import Dictionary, Lookup, look_up
+from modeforge.operators.profile import ranked_categories
 
 CONTINUOUS, MIXED, CATEGORICAL = "continuous", "mixed", "categorical"
 TANH, SOFTMAX, INDEX = "tanh", "softmax", "index"
@@ -44,8 +45,9 @@ class ColumnCode:
 
     ``points`` are the modal values of a mixed column with their normalised
     values; ``order`` lists the one-hot positions (points first, then modes) by
-    descending frequency.  ``values`` are categories in their string form,
-    ``dictionary`` replaces them where there are too many for a one-hot block.
+    descending frequency.  ``values`` are categories in their string form.
+    ``indexed`` columns have one index column; a ``dictionary`` holds their
+    categories unless codes are their own index.
     """
 
     name: str
@@ -59,12 +61,13 @@ class ColumnCode:
     order: tuple[int, ...] = ()
     values: tuple[str, ...] = ()
     size: int = 0
-    dictionary: DataFrame | None = None
+    indexed: bool = False
+    dictionary: Dictionary | None = None
 
     @property
     def blocks(self) -> list[tuple[int, str]]:
         if self.kind == CATEGORICAL:
-            return [(1, INDEX)] if self.dictionary is not None else [(self.size, SOFTMAX)]
+            return [(1, INDEX)] if self.indexed else [(self.size, SOFTMAX)]
         if self.order:
             return [(1, TANH), (len(self.order), SOFTMAX)]
         return [(1, TANH)]
@@ -128,6 +131,9 @@ class TableEncoder:
         }
         if set(categorical) & set(mixed):
             raise ValueError("a column cannot be both categorical and mixed")
+        indexed = [_named(c, columns) for c in spec.indexed]
+        if not set(indexed) <= set(categorical):
+            raise ValueError("only categorical columns can be indexed")
         types = {f.name: f.dataType for f in df.schema.fields}
         numeric = [c for c in columns if c not in categorical]
         for c in numeric:
@@ -140,16 +146,20 @@ class TableEncoder:
             exprs[c] = quoted(c)
             if c in mixed and spec.continuous == "mixture":
                 exprs[_rest(c)] = _apart_from(quoted(c), mixed[c])
-        sizes = {c: f"approx_count_distinct({quoted(c)})" for c in categorical}
+        sizes = {}
         for c in categorical:
             sizes[f"{c}:null"] = f"count_if({quoted(c)} IS NULL)"
+            if spec.categories == "codes":
+                sizes[f"{c}:min"] = f"min(CAST({quoted(c)} AS BIGINT))"
+                sizes[f"{c}:max"] = f"max(CAST({quoted(c)} AS BIGINT))"
         for c, points in mixed.items():
             for i, v in enumerate(points):
                 sizes[f"{c}:{i}"] = f"count_if({quoted(c)} = {number(v)})"
         profiles, counted = profile_numeric(df, exprs, sizes)
 
-        # One pass: categories of all columns that get a one-hot block.
-        narrow = [c for c in categorical if counted[c] <= spec.one_hot_limit]
+        # One pass: categories of all columns that get a one-hot block, whose
+        # width is a column of the output each, so there are few enough to collect.
+        narrow = [c for c in categorical if c not in indexed and spec.categories == "ranked"]
         values: dict[str, list[str]] = {c: [] for c in narrow}
         if narrow:
             for row in ranked_categories(df, narrow).orderBy("column", "idx").collect():
@@ -167,8 +177,7 @@ class TableEncoder:
         for c in columns:
             ddl = types[c].simpleString()
             if c in categorical:
-                nulls = 1 if counted[f"{c}:null"] else 0
-                codes.append(self._category(df, c, ddl, values.get(c), nulls))
+                codes.append(self._category(df, c, ddl, values.get(c), counted, c in indexed))
             elif c in mixed:
                 hits = [counted[f"{c}:{i}"] for i in range(len(mixed[c]))]
                 codes.append(self._mixed(c, ddl, profiles[c], mixtures, mixed[c], hits))
@@ -178,16 +187,28 @@ class TableEncoder:
         return self
 
     def _category(
-        self, df: DataFrame, c: str, ddl: str, values: list[str] | None, nulls: int
+        self,
+        df: DataFrame,
+        c: str,
+        ddl: str,
+        values: list[str] | None,
+        counted: dict[str, object],
+        indexed: bool,
     ) -> ColumnCode:
-        if values is None:
-            dictionary, size = counted_index(df, c)
-            return ColumnCode(c, CATEGORICAL, ddl, size=size, dictionary=dictionary)
         if self.spec.categories == "codes":
+            if (counted[f"{c}:min"] or 0) < 0:
+                raise ValueError(f"column {c} has negative codes")
+            top = counted[f"{c}:max"]
             # A null counts as a category of its own when positions are codes.
-            size = len(values) + nulls
+            size = (0 if top is None else top + 1) + (1 if counted[f"{c}:null"] else 0)
+            names = () if indexed else tuple(str(i) for i in range(size))
+            return ColumnCode(c, CATEGORICAL, ddl, values=names, size=size, indexed=indexed)
+        if indexed:
+            ranked = ranked_categories(df, [c]).select("value", "idx")
+            measured = ranked.agg(F.count("*"), F.sum(F.octet_length("value"))).first()
+            dictionary = Dictionary(ranked, measured[0], measured[1] or 0)
             return ColumnCode(
-                c, CATEGORICAL, ddl, values=tuple(str(i) for i in range(size)), size=size
+                c, CATEGORICAL, ddl, size=dictionary.size, indexed=True, dictionary=dictionary
             )
         return ColumnCode(c, CATEGORICAL, ddl, values=tuple(values), size=len(values))
 
@@ -265,27 +286,33 @@ class TableEncoder:
         that clipping would damage.
         """
         cfg, keys = self.config, key_columns(key)
-        for i, code in enumerate(self.codes):
-            if code.dictionary is not None:
-                df = self._with_index(df, code, i)
+        types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+        df = self._with_places(df)
         requests, out, extra = [], [], []
         for i, code in enumerate(self.codes):
             p, x = f"__{i}_", quoted(code.name)
             if code.kind == CATEGORICAL:
-                out += [f"{p}idx"] if code.dictionary is not None else self._one_hot(code)
+                if code.indexed:
+                    out.append(f"CAST({p}idx AS DOUBLE)")
+                else:
+                    out += [mx.indicator(f"{p}idx = {k}") for k in range(code.size)]
                 continue
             if code.mixture is not None:
                 apart = _apart_from(x, code.points)
                 requests.append(ModeRequest(apart, code.name, code.mixture, p))
                 norm, modes = normalized(p, cfg), len(code.mixture.kept)
-                if lossless:
-                    extra.append(
-                        f"{overflow(apart, p, cfg)} AS {quoted('overflow_' + code.name)}"
-                    )
+                spill = overflow(apart, p, cfg, types[code.name])
             elif code.point_norms:
                 norm, modes = "CAST(NULL AS DOUBLE)", 0
+                spill = _apart_from(x, code.points)
             else:
                 norm, modes = to_min_max(mx.finite(x), code.low, code.high), 0
+                apart = _apart_from(x, code.points)
+                kept = f"{x} BETWEEN {number(code.low)} AND {number(code.high)}"
+                kept += f" AND NOT {lossy_number(x, types[code.name])}"
+                spill = f"CASE WHEN {kept} THEN NULL ELSE {apart} END"
+            if lossless:
+                extra.append(f"{spill} AS {quoted('overflow_' + code.name)}")
             if code.points:
                 norms = code.point_norms or [0.0] * len(code.points)
                 whens = " ".join(
@@ -299,25 +326,43 @@ class TableEncoder:
         staged = with_modes(df, requests, keys, cfg, portable)
         return staged.selectExpr(*map(quoted, keep), *named, *extra)
 
-    def _one_hot(self, code: ColumnCode) -> list[str]:
-        x = quoted(code.name)
-        if self.spec.categories == "codes":
-            hot = [mx.indicator(f"CAST({x} AS INT) = {i}") for i in range(code.size)]
-        else:
-            hot = [mx.indicator(f"{x} = {v}") for v in _literals(code)]
-        if self.spec.unseen == "error" and hot:
-            known = f"CAST({x} AS STRING) IN ({', '.join(map(string, code.values))})"
-            message = string(f"unseen category in {code.name}: ")
-            hot[0] = (
-                f"CASE WHEN {x} IS NULL OR {known} THEN {hot[0]} "
-                f"ELSE CAST(raise_error(concat({message}, CAST({x} AS STRING))) AS DOUBLE) END"
+    def _with_places(self, df: DataFrame) -> DataFrame:
+        """Add ``__{i}_idx``, the place of every category, found once per row."""
+        codes = [(i, c) for i, c in enumerate(self.codes) if c.kind == CATEGORICAL]
+        if not codes:
+            return df
+        lookups = [
+            Lookup(
+                c.dictionary, f"CAST({quoted(c.name)} AS STRING)", "value", "CAST(idx AS BIGINT)", f"__{i}_idx"
             )
-        return hot
-
-    def _with_index(self, df: DataFrame, code: ColumnCode, i: int) -> DataFrame:
-        """Add the index of the category."""
-        value = f"CAST({quoted(code.name)} AS STRING)"
-        return _looked_up(df, code, value, "value", "CAST(idx AS DOUBLE)", f"__{i}_idx")
+            for i, c in codes
+            if c.dictionary is not None
+        ]
+        df = look_up(df, lookups)
+        places, width = [], 0
+        for i, c in codes:
+            x, text = quoted(c.name), f"CAST({quoted(c.name)} AS STRING)"
+            if c.dictionary is not None:
+                place = f"__{i}_idx"
+            elif self.spec.categories == "codes":
+                code = f"CAST({x} AS BIGINT)"
+                place = f"CASE WHEN {code} >= 0 AND {code} < {c.size} THEN {code} END"
+            elif c.values:
+                place = f"nullif(array_position(array({', '.join(map(string, c.values))}), {text}), 0) - 1"
+            else:
+                place = "CAST(NULL AS BIGINT)"
+            if self.spec.unseen == "error":
+                message = string(f"unseen category in {c.name}: ")
+                place = (
+                    f"CASE WHEN {x} IS NOT NULL AND ({place}) IS NULL "
+                    f"THEN CAST(raise_error(concat({message}, {text})) AS BIGINT) ELSE {place} END"
+                )
+            places.append(f"{place} AS __{i}_idx")
+            width += 0 if c.indexed else c.size
+        found = {f"__{i}_idx" for i, _ in codes}
+        df = df.selectExpr(*(quoted(c) for c in df.columns if c not in found), *places)
+        # Wide blocks are compiled apart from the search.
+        return mx.apart(df) if width > _WIDE else df
 
     # ------------------------------------------------------------ inverse
 
@@ -326,16 +371,28 @@ class TableEncoder:
 
         The largest entry of a one-hot block decides, the first one on a tie;
         normalised values are limited to [-1, 1].  Categories come back in
-        their own type, numbers as doubles.
+        their own type, numbers as doubles, or in the type of their overflow
+        column where there is one.
         """
         stages, out, start = [], [], 0
+        types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+        lookups = []
+        for i, code in enumerate(self.codes):
+            if code.dictionary is not None:
+                lookups.append(
+                    Lookup(code.dictionary, f"CAST(col_{start} AS BIGINT)", "idx", "value", f"__{i}_value")
+                )
+            start += code.width
+        df = look_up(df, lookups)
+        start = 0
         for i, code in enumerate(self.codes):
             p = f"__{i}_"
             block = [f"col_{start + j}" for j in range(code.width)]
             start += code.width
             if code.dictionary is not None:
-                df = self._with_value(df, code, i, block[0])
                 value = f"CAST({p}value AS {code.type})"
+            elif code.indexed:
+                value = f"CAST(CAST({block[0]} AS BIGINT) AS {code.type})"
             elif code.kind == CATEGORICAL:
                 place = first_largest(block, f"{p}b")
                 stages.append(
@@ -361,8 +418,8 @@ class TableEncoder:
                         )
                         value = f"CASE {whens} ELSE {value} END"
                 spill = f"overflow_{code.name}"
-                if spill in df.columns:
-                    value = f"coalesce({quoted(spill)}, {value})"
+                if spill in types:
+                    value = f"coalesce({quoted(spill)}, {restored(value, types[spill])})"
             out.append(f"{value} AS {quoted(code.name)}")
         for first in range(0, len(stages), _DECODED_AT_ONCE):
             df = mx.apply_stages(df, stages[first : first + _DECODED_AT_ONCE])
@@ -370,46 +427,10 @@ class TableEncoder:
                 df = mx.apart(df)
         return df.selectExpr(*map(quoted, keep), *out)
 
-    def _with_value(self, df: DataFrame, code: ColumnCode, i: int, index: str) -> DataFrame:
-        """Add the category of the index."""
-        return _looked_up(df, code, f"CAST({index} AS BIGINT)", "idx", "value", f"__{i}_value")
-
 
-# Columns whose decoding still fits into one compiled method.
-_DECODED_AT_ONCE = 4
-
-# Most frequent categories, which a dictionary lookup broadcasts, and parts over
-# which it spreads the rows that need no other category.
-_HOT, _SPREAD = 10_000, 4096
-
-
-def _looked_up(
-    df: DataFrame, code: ColumnCode, key: str, match: str, result: str, name: str
-) -> DataFrame:
-    """Add ``result`` of the dictionary entry whose ``match`` equals ``key``.
-
-    Indexes are frequency ranks, so the first ones are all the categories that
-    could be hot: they are broadcast, a bounded number of entries.  The others
-    are rare and joined by shuffle, in which rows that are done already get
-    keys of their own that match nothing and spread evenly.
-    """
-    entries = code.dictionary.selectExpr(f"{match} AS __match", f"{result} AS {name}", "idx")
-    hot = F.broadcast(entries.where(f"idx < {_HOT}").drop("idx"))
-    df = df.join(hot, F.expr(key) == F.col("__match"), "left").drop("__match")
-    if code.size <= _HOT:
-        return df
-    apart = "-1 - pmod(monotonically_increasing_id(), {})".format(_SPREAD)
-    if match == "value":
-        apart = f"concat('part ', {apart})"
-    pending = f"{name} IS NULL AND {key} IS NOT NULL"
-    df = df.selectExpr(
-        "*", f"{pending} AS __pending", f"CASE WHEN {pending} THEN {key} ELSE {apart} END AS __key"
-    )
-    rare = entries.where(f"idx >= {_HOT}").selectExpr("__match", f"{name} AS __rare")
-    kept = [quoted(c) for c in df.columns if c not in (name, "__pending", "__key")]
-    return df.join(rare, F.col("__key") == F.col("__match"), "left").selectExpr(
-        *kept, f"CASE WHEN __pending THEN __rare ELSE {name} END AS {name}"
-    )
+# Columns whose decoding still fits into one compiled method, and one-hot columns
+# that do together with what comes before them.
+_DECODED_AT_ONCE, _WIDE = 4, 64
 
 
 def _rest(column: str) -> str:

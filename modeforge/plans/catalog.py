@@ -485,7 +485,7 @@ def category_codes_one_hot(spark, folder):
 @query
 def category_indexed(spark, folder):
     df = table(spark, folder, "lineitem")
-    spec = TableSpec(categorical=["l_partkey"], columns=["l_partkey"], one_hot_limit=100)
+    spec = TableSpec(categorical=["l_partkey"], columns=["l_partkey"], indexed=["l_partkey"])
     encoder = TableEncoder(spec).fit(df)
     coded = encoder.transform(df, keep=["l_orderkey", "l_linenumber"])
     return encoder.inverse_transform(coded, keep=["l_orderkey", "l_linenumber", "col_0"])

@@ -112,7 +112,7 @@ def test_unseen_category(spark):
 def test_too_many_categories_for_one_hot(spark):
     df = spark.range(500).selectExpr("id", "CAST(id % 50 + 1000 AS INT) AS c")
     df = df.unionAll(df.where("c = 1049"))
-    encoder = TableEncoder(TableSpec(categorical=["c"], columns=["c"], one_hot_limit=10)).fit(df)
+    encoder = TableEncoder(TableSpec(categorical=["c"], columns=["c"], indexed=["c"])).fit(df)
     assert encoder.output_info == [(1, "index")]
     coded = encoder.transform(df, keep=["id", "c"])
     assert {r["col_0"] for r in coded.where("c = 1049").collect()} == {0.0}
@@ -123,14 +123,15 @@ def test_too_many_categories_for_one_hot(spark):
 
 
 def test_rare_categories_are_joined_by_shuffle(spark, monkeypatch):
-    from modeforge.operators import table
+    from modeforge.operators import lookup
 
-    monkeypatch.setattr(table, "_HOT", 7)
+    monkeypatch.setattr(lookup, "HOT", 7)
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
     df = spark.range(400).selectExpr(
         "id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 11 = 1 THEN NULL "
         "WHEN id % 50 = 2 THEN 'part -1' ELSE CAST(id % 60 AS STRING) END AS c"
     )
-    encoder = TableEncoder(TableSpec(categorical=["c"], columns=["c"], one_hot_limit=10)).fit(df)
+    encoder = TableEncoder(TableSpec(categorical=["c"], columns=["c"], indexed=["c"])).fit(df)
     coded = encoder.transform(df, keep=["id", "c"])
     assert coded.count() == 400
     assert {r["col_0"] for r in coded.where("c = 'hot'").collect()} == {0.0}
