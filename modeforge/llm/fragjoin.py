@@ -11,9 +11,14 @@ Work follows the input, not the square of a group:
 - Frequent shingles, such as those of passages that many documents share, are last in the order.
 - Shingles of one document only can match nothing; a bitmap of fixed size finds nearly all of them,
   and only the others leave the task that reads the text.
+- A set can overlap another no more than by its shingles that any other document has; pairs that this
+  bound rules out are not looked at.
+- Where many classes share a prefix shingle, bitmaps of 1024 bits bound the difference of two sets from
+  below and rule out pairs of other components before they leave the join.
 - Links are wanted for components. First every class is compared with few others under each prefix
-  shingle: the smallest of all, and the smallest of a random part of some 16. That connects groups of
-  near copies with work in proportion to their size. Then, under each prefix shingle, the classes
+  shingle: the one with the fewest shingles of its own, and the same in a random part of some 16. Copies
+  of one text differ by the changes of both, so the least changed link with nearly all that link at
+  all, and groups are connected with work in proportion to their size. Then, under each prefix shingle, the classes
   outside the largest component are compared with all of other components. No two classes in
   different components stay uncompared, so the components are exact.
 
@@ -54,6 +59,8 @@ LEAST_LEVEL = 3
 BUFFER = 2_000_000
 #: Classes of a random part of those under one shingle.
 PART = 16
+#: 64-bit words of the bitmap of a set.
+SKETCH = 16
 
 
 def _bits(documents: int) -> int:
@@ -171,13 +178,22 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(offsets, values)
 
 
+def _sketches(sets: list[np.ndarray]) -> pa.ListArray:
+    """Per set, which of 1024 hash values its shingles have."""
+    bits = np.zeros((len(sets), 64 * SKETCH), bool)
+    for row, own in zip(bits, sets, strict=True):
+        row[(own & np.uint64(64 * SKETCH - 1)).astype(np.int64)] = True
+    words = np.packbits(bits, axis=1, bitorder="little").view(np.int64).reshape(-1)
+    return pa.ListArray.from_arrays(np.arange(0, len(words) + 1, SKETCH, dtype=np.int32), words)
+
+
 def _ordered(shared_order):
     """Per document: size and digest of its set, and of the shared shingles prefix and segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = shared_order.value
         for batch, sets in _text_batches(batches):
-            digests, prefixes, segments = [], [], []
+            digests, prefixes, segments, common = [], [], [], []
             flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
             shared, level = order.marks(flat)
             start = 0
@@ -185,6 +201,7 @@ def _ordered(shared_order):
                 n = len(own)
                 s, lv = shared[start : start + n], level[start : start + n]
                 start += n
+                common.append(int(s.sum()))
                 digests.append(hashlib.md5(own.tobytes()).digest() if n else None)
                 rank = np.concatenate([np.flatnonzero(lv == 0), (often := np.flatnonzero(lv > 0))[np.argsort(lv[often], kind="stable")]])
                 head = rank[: n - _needed(n) + 1] if n else rank
@@ -196,25 +213,33 @@ def _ordered(shared_order):
             inner = _lists(segments)
             outer = pa.ListArray.from_arrays(np.arange(0, len(segments) + 1, FRAGMENTS, dtype=np.int32), inner)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array(digests, pa.binary()), _lists(prefixes), outer],
-                ["row", "doc_id", "n", "digest", "prefix", "segments"],
+                [batch.column("row"), batch.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array(common, pa.int64()), pa.array(digests, pa.binary()), _sketches(sets), _lists(prefixes), outer],
+                ["row", "doc_id", "n", "common", "digest", "sketch", "prefix", "segments"],
             )
 
     return run
 
 
-def _similar_sizes(a: Column, b: Column) -> Column:
-    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+def _may_link(x: Column, y: Column) -> Column:
+    """Whether the overlap of two sets can be large enough, by what each shares with any other."""
+    most = F.least(x["common"], y["common"])
+    return 100 * most >= PERCENT * (x["n"] + y["n"] - most)
+
+
+def _may_be_close(x: Column, y: Column, one: Column, two: Column) -> Column:
+    """Whether the difference of two sets can be small enough, by the bits in which bitmaps differ."""
+    bits = F.lit(0)
+    for i in range(SKETCH):
+        bits = bits + F.bit_count(one[i].bitwiseXOR(two[i]))
+    return F.coalesce((100 + PERCENT) * bits <= (100 - PERCENT) * (x["n"] + y["n"]), F.lit(True))
 
 
 def _pairs(frame: DataFrame) -> DataFrame:
-    """Distinct ``a < b`` of columns ``x, nx, y, ny`` of similar size."""
+    """Distinct pairs ``a < b`` of the classes ``x`` and ``y`` that may link."""
+    x, y = F.col("x"), F.col("y")
     return (
-        frame.where((F.col("x") != F.col("y")) & _similar_sizes(F.col("nx"), F.col("ny")))
-        .select(
-            F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"),
-            (F.col("nx") + F.col("ny")).alias("both"),
-        )
+        frame.where((x["cid"] != y["cid"]) & _may_link(x, y))
+        .select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b"), (x["n"] + y["n"]).alias("both"))
         .distinct()
     )
 
@@ -261,39 +286,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     levels = {r["level"]: r["n"] for r in counted.where("level >= 0").groupBy("level").agg(F.sum("n").alias("n")).collect()}
     least = min((lv for lv in levels if sum(n for k, n in levels.items() if k >= lv) <= FREQUENT), default=99)
     order = spark.sparkContext.broadcast(Order(bits, counted.where((F.col("level") < 0) | (F.col("level") >= least)).collect()))
-    kind = f"row long, doc_id {dict(rows.dtypes)['doc_id']}, n long, digest binary, prefix array<long>, segments array<array<long>>"
+    kind = f"row long, doc_id {dict(rows.dtypes)['doc_id']}, n long, common long, digest binary, sketch array<long>, prefix array<long>, segments array<array<long>>"
     sets = staged(rows.mapInArrow(_ordered(order), kind), "sets")
     classes = staged(
         sets.where("n > 0")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-        .select(F.monotonically_increasing_id().alias("cid"), "digest", "first_id", "n", "prefix"),
+        .agg(F.min("doc_id").alias("first_id"), *(F.first(c).alias(c) for c in ("n", "common", "sketch", "prefix")))
+        .select(F.monotonically_increasing_id().alias("cid"), "digest", "first_id", "n", "common", "sketch", "prefix"),
         "classes",
     )
 
-    under = staged(classes.select("cid", "n", F.explode("prefix").alias("shingle")), "prefixes")
-    several = staged(
-        under.groupBy("shingle").agg(F.count("*").alias("many"), F.min(F.struct("cid", "n")).alias("least")).where("many > 1"), "buckets"
-    )
+    # A class as its neighbours see it; the order puts sets with few shingles of their own first.
+    facts = F.struct(((F.col("n") - F.col("common")) / F.col("n")).alias("own"), "cid", "n", "common")
+    under = staged(classes.select(F.explode("prefix").alias("shingle"), facts.alias("x")), "prefixes")
+    several = staged(under.groupBy("shingle").agg(F.count("*").alias("many"), F.min("x").alias("y")).where("many > 1"), "buckets")
     under = staged(
         under.join(several, "shingle").select(
-            "shingle", "cid", "n", "least",
-            F.when(F.col("many") > PART, F.pmod(F.xxhash64("cid", "shingle"), F.ceil(F.col("many") / PART))).alias("part"),
+            "shingle", "x", "y", F.when(F.col("many") > PART, F.pmod(F.xxhash64("x.cid", "shingle"), F.ceil(F.col("many") / PART))).alias("part")
         ),
         "members",
     )
-    with_first = under.select(F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("least.cid").alias("y"), F.col("least.n").alias("ny"))
-    leaders = under.where("part is not null").groupBy("shingle", "part").agg(F.min(F.struct("cid", "n")).alias("leader"))
-    with_leader = under.join(leaders, ["shingle", "part"]).select(
-        F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("leader.cid").alias("y"), F.col("leader.n").alias("ny")
-    )
-    tried = staged(_pairs(with_first.unionByName(with_leader)), "first-pairs")
+    leaders = under.where("part is not null").groupBy("shingle", "part").agg(F.min("x").alias("y"))
+    with_leader = under.select("shingle", "part", "x").join(leaders, ["shingle", "part"])
+    tried = staged(_pairs(under.select("x", "y").unionByName(with_leader.select("x", "y"))), "first-pairs")
     links = staged(overlapping(tried, _segments_of(tried, classes, sets)), "first-links")
     known = staged(components(links), "first-components")
 
     # What different components still have in common.
     inside = staged(
-        under.join(known.withColumnRenamed("node", "cid"), "cid", "left").select("shingle", "cid", "n", F.coalesce("root", "cid").alias("root")),
+        under.select("shingle", "part", "x", F.col("x.cid").alias("node")).join(known, "node", "left").select("shingle", "part", "x", F.coalesce("root", "node").alias("root")),
         "members-by-component",
     )
     mixed = staged(
@@ -306,10 +327,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "mixed-buckets",
     )
     inside = staged(inside.join(mixed, "shingle"), "mixed-members")
-    one = inside.where("root != main").select("shingle", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-    two = inside.select("shingle", "main", F.col("cid").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"))
+    sketches = classes.select("cid", "sketch")
+    crowded = inside.where("part is not null").join(sketches, F.col("x.cid") == F.col("cid")).drop("cid")
+    inside = staged(
+        inside.where("part is null").withColumn("sketch", F.lit(None).cast("array<bigint>")).unionByName(crowded).drop("part"), "sketched-members"
+    )
+    one = inside.where("root != main").select("shingle", "x", F.col("root").alias("rx"), F.col("sketch").alias("one"))
+    two = inside.select("shingle", "main", F.col("x").alias("y"), F.col("root").alias("ry"), F.col("sketch").alias("two"))
     across = one.join(two, "shingle").where(
-        (F.col("rx") != F.col("ry")) & ((F.col("ry") == F.col("main")) | (F.col("x") < F.col("y"))) & _similar_sizes(F.col("nx"), F.col("ny"))
+        (F.col("rx") != F.col("ry"))
+        & ((F.col("ry") == F.col("main")) | (F.col("x.cid") < F.col("y.cid")))
+        & _may_link(F.col("x"), F.col("y"))
+        & _may_be_close(F.col("x"), F.col("y"), F.col("one"), F.col("two"))
     )
     rest = staged(_pairs(across).join(tried, ["a", "b"], "left_anti"), "second-pairs")
     more = staged(overlapping(rest, _segments_of(rest, classes, sets)), "second-links")
