@@ -317,7 +317,7 @@ def cut_words(text: str, spans: Sequence[tuple[int, int]]) -> str:
 def _cut_udf():
     @F.udf("string", useArrow=True)
     def cut(text, spans):
-        return cut_words(text, [(s["a"], s["b"]) for s in spans])
+        return cut_words(text, [(s["a"], s["b"]) for s in spans]) if text and len(spans) else text
 
     return cut
 

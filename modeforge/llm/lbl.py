@@ -135,7 +135,7 @@ def train(pairs: np.ndarray, steps: int = STEPS, size: int = SIZE, seed: int = 1
     first, second = [np.zeros_like(p) for p in theta], [np.zeros_like(p) for p in theta]
     for step in range(1, steps + 1):
         context, word, bias = theta
-        is_data = 1 / (1 + np.exp(shift - (context @ word.T + bias)))
+        is_data = 1 / (1 + np.exp(np.clip(shift - (context @ word.T + bias), -80, 80)))
         slope = data - (data + drawn) * is_data
         slopes = [slope @ word - DECAY * context, slope.T @ context - DECAY * word, slope.sum(axis=0)]
         rate = RATE * min(1.0, 2 * (1 - step / (steps + 1)))
