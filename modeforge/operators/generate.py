@@ -8,12 +8,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from modeforge.functions.mixture import finite
 from modeforge.functions.text import number, quoted
 from modeforge.functions.uniform import key_columns, keyed_uniform
 
 # Rows per output partition when no number of partitions is asked for: many,
 # but on a small job no more than it takes to keep all slots busy.
 FULL_PARTITION, SMALL_PARTITION = 16_000_000, 100_000
+# Fixed value: width of the jitter in deviations.
+JITTER_SHARE = 0.1
 
 COPY = "copy"
 
@@ -61,7 +64,7 @@ def replicate(
 def jittered(
     column: str,
     stddev: float,
-    share: float = 0.1,
+    share: float = JITTER_SHARE,
     key: Sequence[str] = (),
     seed: int = 42,
     portable: bool = False,
@@ -78,18 +81,20 @@ def inflate(
     *,
     key: str | Sequence[str] | None = None,
     seed: int = 42,
-    share: float = 0.1,
+    share: float = JITTER_SHARE,
     partitions: int | None = None,
     keep_key: bool = False,
     portable: bool = False,
 ) -> DataFrame:
     """At least ``target`` rows of ``column`` (see the module).
 
-    One pass measures the column.  With a ``key`` every draw is tied to the row
+    One pass measures the finite values of the column; NaN and infinite ones are
+    copied as they are.  With a ``key`` every draw is tied to the row
     and its copy, so a retried task writes the same values again.
     """
     measured = df.agg(
-        F.count(F.lit(1)).alias("rows"), F.stddev_samp(column).alias("stddev")
+        F.count(F.lit(1)).alias("rows"),
+        F.expr(f"stddev_samp({finite(quoted(column))})").alias("stddev"),
     ).first()
     copies = copies_for(target, measured["rows"])
     total = copies * measured["rows"]

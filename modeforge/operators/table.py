@@ -10,8 +10,9 @@ projections.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,9 +26,10 @@ from modeforge.functions.uniform import key_columns
 from modeforge.operators.codec import ModeRequest, flat_decode, lossy_number, normalized, overflow, restored, with_modes
 from modeforge.operators.compress import NumericProfile, profile_numeric
 from modeforge.operators.fit import fit_profiled
-from modeforge.operators.model import Mixture
+from modeforge.operators.model import Mixture, from_parameters, parameters
 from modeforge.operators.lookup import Dictionary, Lookup, look_up
 from modeforge.operators.profile import ranked_categories
+from modeforge.sources.files import read_parquet, write_parquet
 
 CONTINUOUS, MIXED, CATEGORICAL = "continuous", "mixed", "categorical"
 TANH, SOFTMAX, INDEX = "tanh", "softmax", "index"
@@ -238,6 +240,47 @@ class TableEncoder:
             tuple(sorted(range(len(counts)), key=lambda i: (-counts[i], i))),
         )
 
+    # ------------------------------------------------------ save and load
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Write settings and codes, mixtures and dictionaries as parquet tables below ``path``."""
+        settings = json.dumps(
+            {"spec": asdict(self.spec) | {"mixed": list(self.spec.mixed.items())}, "config": asdict(self.config)}
+        )
+        rows = []
+        for i, code in enumerate(self.codes):
+            plain = {k: v for k, v in vars(code).items() if k not in ("mixture", "dictionary")}
+            size = code.dictionary.text_bytes if code.dictionary else None
+            rows.append((i, json.dumps(plain), size, settings))
+        codes = spark.createDataFrame(rows, "place int, code string, text_bytes bigint, settings string")
+        write_parquet(codes.coalesce(1), f"{path}/codes")
+        mixtures = {str(i): c.mixture for i, c in enumerate(self.codes) if c.mixture is not None}
+        if mixtures:
+            write_parquet(parameters(spark, mixtures).coalesce(1), f"{path}/mixtures")
+        for i, code in enumerate(self.codes):
+            if code.dictionary is not None:
+                write_parquet(code.dictionary.entries, f"{path}/dictionary-{i}")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> TableEncoder:
+        """The encoder as it was saved."""
+        rows = sorted(read_parquet(spark, f"{path}/codes").collect())
+        settings = json.loads(rows[0]["settings"])
+        parts = [json.loads(r["code"]) for r in rows]
+        mixtures = {}
+        if any(p["order"] and p["kind"] == CONTINUOUS or p["point_norms"] for p in parts):
+            mixtures = from_parameters(read_parquet(spark, f"{path}/mixtures"))
+        codes = []
+        for i, (row, plain) in enumerate(zip(rows, parts)):
+            tuples = {k: tuple(v) if isinstance(v, list) else v for k, v in plain.items()}
+            dictionary = None
+            if row["text_bytes"] is not None:
+                entries = read_parquet(spark, f"{path}/dictionary-{i}")
+                dictionary = Dictionary(entries, plain["size"], row["text_bytes"])
+            codes.append(ColumnCode(**tuples, mixture=mixtures.get(str(i)), dictionary=dictionary))
+        spec = settings["spec"] | {"mixed": dict(map(tuple, settings["spec"]["mixed"]))}
+        return cls.from_codes(codes, TableSpec(**spec), MixtureConfig(**settings["config"]))
+
     # ------------------------------------------------------------- layout
 
     @property

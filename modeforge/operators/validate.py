@@ -8,9 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modeforge.functions.mixture import is_finite
+from modeforge.functions.mixture import finite
 from modeforge.functions.text import number, quoted
 from modeforge.operators.ks import KsResult, ks_columns, ks_two_sample
+from modeforge.operators.quantiles import exact_quantiles
 
 # Fixed value: smallest p-value and largest moment difference that pass.
 THRESHOLD = 0.05
@@ -36,6 +37,8 @@ class RoundTrip:
     damaged: int
     moments: MomentCheck
     finite: tuple[int, int]
+    not_finite: int = 0
+    changed: int = 0
 
 
 @dataclass(frozen=True)
@@ -112,13 +115,18 @@ def round_trip(
 ) -> RoundTrip:
     """Compare two columns row by row, in one pass.
 
-    ``damaged`` counts rows whose decoded value is off by more than
-    ``tolerance`` times the spread of the original, or is missing; ``outside``
-    counts those beyond the range of the original by more than that.  A second
-    pass counts them only if the first one has found any.
+    Measures are those of finite values.  ``damaged`` counts rows whose decoded
+    value is off by more than ``tolerance`` times the spread of the original, or
+    is missing; ``outside`` counts those beyond the range of the original by more
+    than that.  A second pass counts them only if the first one has found any.
+    ``not_finite`` counts NaN and infinite originals, and ``changed`` those of
+    them that were decoded to something else; a decoded null is no damage there,
+    as encoding without overflow leaves them out.
     """
     x, y = f"CAST({quoted(original)} AS DOUBLE)", f"CAST({quoted(decoded)} AS DOUBLE)"
-    pair = df.selectExpr(f"{x} AS x", f"{y} AS y")
+    pair = df.selectExpr(f"{x} AS rx", f"{y} AS ry").selectExpr(
+        "rx", "ry", f"{finite('rx')} AS x", f"{finite('ry')} AS y"
+    )
     row = pair.selectExpr(
         "count(1) AS rows",
         "min(x) AS low",
@@ -127,7 +135,9 @@ def round_trip(
         "max(y) AS high_y",
         "max(abs(x - y)) AS max_error",
         "count_if(x IS NOT NULL AND y IS NULL) AS missing",
-        *(f"count_if({is_finite(c)}) AS finite_{c}" for c in "xy"),
+        "count_if(x IS NULL AND rx IS NOT NULL) AS not_finite",
+        "count_if(x IS NULL AND rx IS NOT NULL AND ry IS NOT NULL AND NOT (rx <=> ry)) AS changed",
+        *(f"count({c}) AS finite_{c}" for c in "xy"),
         *(f"{fn}({c}) AS {name}_{c}" for c in "xy" for name, fn in _MOMENTS.items()),
     ).first()
     if row["low"] is None:
@@ -150,27 +160,25 @@ def round_trip(
         relative,
     )
     return RoundTrip(
-        row["rows"], row["low"], row["high"], outside, row["max_error"], damaged, check,
-        (row["finite_x"], row["finite_y"]),
+        row["rows"], row["low"], row["high"], outside, row["max_error"],
+        damaged + row["changed"], check, (row["finite_x"], row["finite_y"]),
+        row["not_finite"], row["changed"],
     )
 
 
 def error_by_decile(df: DataFrame, original: str, decoded: str) -> DataFrame:
     """``(decile, rows, max_error)``: where along the values the error lies.
 
-    Decile edges are nine numbers from a mergeable quantile summary.
+    Edges are the exact nine quantiles of the finite values; other rows are left out.
     """
-    steps = ", ".join(f"{i / 10!r}D" for i in range(1, 10))
-    edges = df.selectExpr(
-        f"percentile_approx({quoted(original)}, array({steps}), 100000) AS edges"
-    ).first()["edges"]
-    whens = " ".join(
-        f"WHEN {quoted(original)} <= {number(e)} THEN {i + 1}" for i, e in enumerate(edges or [])
-    )
+    x = finite(quoted(original))
+    edges = exact_quantiles(df, x, [i / 10 for i in range(1, 10)])
+    whens = " ".join(f"WHEN x <= {number(e)} THEN {i + 1}" for i, e in enumerate(edges))
     decile = f"CASE {whens} ELSE 10 END" if whens else "10"
     return (
-        df.where(F.col(original).isNotNull())
-        .selectExpr(f"{decile} AS decile", f"abs({quoted(original)} - {quoted(decoded)}) AS e")
+        df.selectExpr(f"{x} AS x", f"{finite(quoted(decoded))} AS y")
+        .where("x IS NOT NULL")
+        .selectExpr(f"{decile} AS decile", "abs(x - y) AS e")
         .groupBy("decile")
         .agg(F.count(F.lit(1)).alias("rows"), F.max("e").alias("max_error"))
     )

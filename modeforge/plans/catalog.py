@@ -17,7 +17,7 @@ from modeforge.functions.uniform import key_columns
 from modeforge.operators import generate, profile, score, validate
 from modeforge.operators.codec import ModeEncoder
 from modeforge.operators.fit import fit_mixture, fit_mixtures
-from modeforge.operators.ks import ks_columns, ks_two_sample
+from modeforge.operators.ks import KsResult, ks_columns, ks_two_sample
 from modeforge.operators.metrics import average_metrics
 from modeforge.operators.model import Mixture, parameters
 from modeforge.operators.table import (
@@ -166,12 +166,15 @@ def round_robin_partitions(spark, folder):
 
 @query
 def held_histogram(spark, folder):
+    """Counted and written while the rows are held; what is returned was computed once."""
     counts = table(spark, folder, "lineitem").groupBy("l_extendedprice").count().persist()
+    path = scratch_path(spark, "histogram")
     try:
-        whole = counts.agg(F.sum("count").alias("rows"), F.count(F.lit(1)).alias("cells")).first()
+        cells = counts.count()
+        files.write_parquet(counts, path)
     finally:
         counts.unpersist()
-    return counts.select("l_extendedprice", "count", F.lit(whole["cells"]).cast("bigint").alias("cells"))
+    return files.read_parquet(spark, path).withColumn("cells", F.lit(cells).cast("bigint"))
 
 
 # ------------------------------------ limits, samples, sets and groupings
@@ -289,6 +292,15 @@ def mixture_fit(spark, folder):
     return _fitted(spark, {"value": fit_mixture(events(spark, folder), "value")}, 3)
 
 
+@query
+def mixture_fit_large(spark, folder):
+    """A column with about as many values as rows, all iterations."""
+    df = table(spark, folder, "lineitem").select("l_extendedprice")
+    fits = _fitted(spark, {"price": fit_mixture(df, "l_extendedprice")}, 9)
+    digits = {"weight": 6, "mean": 2, "variance": 0}
+    return fits.drop("frequency").withColumns({c: F.round(c, d) for c, d in digits.items()})
+
+
 @query
 def active_components(spark, folder):
     df = score.active_components(
@@ -472,6 +484,50 @@ def category_one_hot(spark, folder):
     return TableEncoder(spec).fit(df).transform(df, keep=["o_orderkey", "o_orderpriority"])
 
 
+@query
+def category_one_hot_wide(spark, folder):
+    """As many one-hot columns as parts; the place of the 1 and the sum of each row."""
+    df = table(spark, folder, "lineitem")
+    encoder = TableEncoder(TableSpec(categorical=["l_suppkey"], columns=["l_suppkey"])).fit(df)
+    width = encoder.output_dimensions
+    block = f"array({', '.join(f'col_{i}' for i in range(width))})"
+    return encoder.transform(df, keep=LINE_KEY).selectExpr(
+        *LINE_KEY,
+        f"CAST({width} AS BIGINT) AS width",
+        f"CAST(array_position({block}, 1.0D) - 1 AS BIGINT) AS place",
+        f"aggregate({block}, 0.0D, (s, x) -> s + x) AS ones",
+    )
+
+
+@query
+def category_codes_sparse(spark, folder):
+    """Codes that neither start at 0 nor follow each other."""
+    df = table(spark, folder, "customer").selectExpr("c_custkey", "3 * c_nationkey + 2 AS code")
+    spec = TableSpec(
+        categorical=["code"], columns=["code"], continuous="minmax", categories="codes"
+    )
+    encoder = TableEncoder(spec).fit(df)
+    coded = encoder.transform(df, keep=["c_custkey"])
+    keep = ["c_custkey", *(f"col_{i}" for i in (0, 2, 3, 5, 74))]
+    return encoder.inverse_transform(coded, keep=keep).withColumn(
+        "width", F.lit(encoder.output_dimensions).cast("bigint")
+    )
+
+
+@query
+def category_indexed_large(spark, folder):
+    """Order keys of the lines by their rank among all order keys and back, with text keys that make
+    the dictionary longer than what is broadcast whole."""
+    df = table(spark, folder, "orders").selectExpr(
+        "o_orderkey", "concat(repeat('order ', 800), o_orderkey) AS name"
+    )
+    spec = TableSpec(categorical=["name"], columns=["name"], indexed=["name"])
+    encoder = TableEncoder(spec).fit(df)
+    coded = encoder.transform(df, keep=["o_orderkey"])
+    back = encoder.inverse_transform(coded, keep=["o_orderkey", "col_0"])
+    return back.selectExpr("o_orderkey", "col_0", "substring_index(name, ' ', -1) AS name")
+
+
 @query
 def category_codes_one_hot(spark, folder):
     df = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
@@ -505,9 +561,7 @@ def category_decode(spark, folder):
 def mixed_fit(spark, folder):
     df = table(spark, folder, "lineitem")
     apart = "CASE WHEN l_discount IN (0.0D) THEN NULL ELSE l_discount END"
-    fits = fit_mixtures(
-        df, {"all": "l_discount", "apart": apart}, MixtureConfig(n_components=4, max_iter=3)
-    )
+    fits = fit_mixtures(df, {"all": "l_discount", "apart": apart}, MixtureConfig(n_components=4))
     return _fitted(spark, fits, 5).drop("active", "frequency", "rank")
 
 
@@ -516,14 +570,16 @@ def modal_normalised_values(spark, folder):
     """Where the modal values fall within the mixture over all discounts, with
     the rows that hold them."""
     points = (0.0, 0.05, 0.1, MISSING_MARKER)
-    norms = modal_norms(points, samples.DISCOUNT_WHOLE, MixtureConfig(), MISSING_MARKER)
+    cfg = MixtureConfig(n_components=4)
+    whole = fit_mixture(table(spark, folder, "lineitem"), "l_discount", cfg)
+    norms = modal_norms(points, whole, cfg, MISSING_MARKER)
     counted = table(spark, folder, "lineitem").selectExpr(
         *(f"count_if(l_discount = {number(v)}) AS n{i}" for i, v in enumerate(points))
     )
     hits = ", ".join(
         f"{number(v)}, {number(n)}, n{i}" for i, (v, n) in enumerate(zip(points, norms))
     )
-    return rounded(counted.selectExpr(f"stack({len(points)}, {hits}) AS (point, norm, rows)"))
+    return rounded(counted.selectExpr(f"stack({len(points)}, {hits}) AS (point, norm, rows)"), 5)
 
 
 @query
@@ -580,17 +636,49 @@ def table_round_trip(spark, folder):
         categorical=["l_returnflag"], mixed={"l_discount": [0.0]},
         columns=["l_extendedprice", "l_discount", "l_returnflag"],
     )
-    encoder = TableEncoder(spec, MixtureConfig(max_iter=5)).fit(df)
-    keep = [*LINE_KEY, *(f"raw_{c}" for c in spec.columns)]
-    both = df.select("*", *(F.col(c).alias(f"raw_{c}") for c in spec.columns))
-    coded = encoder.transform(both, LINE_KEY, keep=keep, lossless=True)
-    back = encoder.inverse_transform(coded, keep=keep)
-    return back.selectExpr(
-        "count(1) AS rows",
-        "count_if(abs(l_extendedprice - raw_l_extendedprice) < 0.000001) AS prices",
-        "count_if(abs(l_discount - raw_l_discount) < 0.000000001) AS discounts",
-        "count_if(l_returnflag = raw_l_returnflag) AS flags",
+    encoder = TableEncoder(spec).fit(df)
+    coded = encoder.transform(df, LINE_KEY, keep=LINE_KEY, lossless=True)
+    return rounded(encoder.inverse_transform(coded, keep=LINE_KEY))
+
+
+@query
+def table_fit_encode(spark, folder):
+    """The fitted parameters of a table in mixture mode, with the order of the one-hot positions."""
+    df = table(spark, folder, "lineitem")
+    spec = TableSpec(mixed={"l_discount": [0.0]}, columns=["l_discount"])
+    encoder = TableEncoder(spec, MixtureConfig(n_components=4)).fit(df)
+    (code,) = encoder.codes
+    places = {position: place for place, position in enumerate(code.order)}
+    point = spark.createDataFrame(
+        [(-1, None, None, code.point_norms[0], places[0])],
+        "k int, mean double, variance double, norm double, place int",
+    )
+    m = code.mixture
+    modes = [
+        (k, m.means[k], m.variances[k], None, places[1 + i]) for i, k in enumerate(m.kept)
+    ]
+    return rounded(point.unionAll(spark.createDataFrame(modes, point.schema)), 5)
+
+
+@query
+def table_lossless_min_max(spark, folder):
+    """Fit on the lines of little quantity, then a trip of all lines: most are out of range."""
+    df = table(spark, folder, "lineitem").selectExpr(
+        *LINE_KEY, "l_quantity", "CAST(l_extendedprice * 100 AS BIGINT) * 1000003 * 10007 AS big"
     )
+    spec = TableSpec(columns=["l_quantity", "big"], continuous="minmax")
+    encoder = TableEncoder(spec).fit(df.where("l_quantity <= 10"))
+    coded = encoder.transform(df, keep=LINE_KEY, lossless=True)
+    return rounded(encoder.inverse_transform(coded, keep=[*LINE_KEY, "overflow_l_quantity"]))
+
+
+@query
+def table_saved(spark, folder):
+    """An encoder that was written and read again encodes as the fitted one."""
+    df = table(spark, folder, "lineitem")
+    path = scratch_path(spark, "table-encoder")
+    TableEncoder(_minmax_spec()).fit(df).save(spark, path)
+    return rounded(TableEncoder.load(spark, path).transform(df, keep=LINE_KEY))
 
 
 # ----------------------------- generation, validation, metrics and jobs
@@ -610,12 +698,15 @@ def _decoded_events(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(encoder.decode(coded, "decoded", keep_input=True)).select("value", "decoded")
 
 
+def _tested(spark: SparkSession, ks: KsResult) -> DataFrame:
+    row = (ks.statistic, ks.p_value, ks.p_value > validate.THRESHOLD, ks.n, ks.m)
+    schema = "statistic double, p_value double, valid boolean, n bigint, m bigint"
+    return rounded(spark.createDataFrame([row], schema))
+
+
 @query
 def distribution_test(spark, folder):
-    ks = ks_columns(_decoded_events(spark, folder), "value", "decoded")
-    return rounded(
-        spark.createDataFrame([(ks.statistic, ks.n, ks.m)], "statistic double, n bigint, m bigint")
-    )
+    return _tested(spark, ks_columns(_decoded_events(spark, folder), "value", "decoded"))
 
 
 @query
@@ -623,11 +714,9 @@ def distribution_test_unequal(spark, folder):
     df = table(spark, folder, "events")
     ks = ks_two_sample(
         df.where("event_type = 'click'").select("value"),
-        df.where("event_type IN ('view', 'purchase')").select("value"),
-    )
-    return rounded(
-        spark.createDataFrame([(ks.statistic, ks.n, ks.m)], "statistic double, n bigint, m bigint")
+        df.where("event_type <> 'click'").select("value"),
     )
+    return _tested(spark, ks)
 
 
 @query
@@ -658,8 +747,14 @@ def combined_accuracy(spark, folder):
     checks = validate.validate_columns(_decoded_events(spark, folder), "value", "decoded")
     return rounded(
         spark.createDataFrame(
-            [(checks.bounds_valid, checks.moments_valid, checks.accuracy)],
-            "bounds_valid boolean, moments_valid boolean, accuracy double",
+            [
+                (
+                    checks.distribution_valid, checks.distribution.p_value, checks.bounds_valid,
+                    checks.moments_valid, checks.accuracy,
+                )
+            ],
+            "distribution_valid boolean, p_value double, bounds_valid boolean, "
+            "moments_valid boolean, accuracy double",
         )
     )
 
@@ -676,6 +771,45 @@ def round_trip_check(spark, folder):
     )
 
 
+def _events_with_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Event values, NaN for errors; of a hundred others one is infinite and one null."""
+    return table(spark, folder, "events").selectExpr(
+        "event_id",
+        "CASE WHEN event_type = 'error' THEN double('NaN') WHEN event_id % 100 = 7 "
+        "THEN double('Infinity') WHEN event_id % 100 = 8 THEN NULL ELSE value END AS value",
+    )
+
+
+@query
+def round_trip_not_finite(spark, folder):
+    """Encode, write, decode and check a column with NaN, infinite and null values."""
+    result = encode_job(
+        spark, _events_with_gaps(spark, folder), scratch_path(spark, "gaps"), "value",
+        key="event_id", lossless=True,
+    )
+    trip = result.validation.round_trip
+    row = (trip.rows, trip.finite[0], trip.finite[1], trip.not_finite, trip.low, trip.high, trip.damaged)
+    return rounded(
+        spark.createDataFrame(
+            [row],
+            "rows bigint, finite_in bigint, finite_out bigint, not_finite bigint, low double, "
+            "high double, damaged bigint",
+        )
+    )
+
+
+@query
+def generated_not_finite(spark, folder):
+    made = generate.inflate(
+        _events_with_gaps(spark, folder), "value", 25_000, key="event_id", keep_key=True,
+        portable=True,
+    )
+    return rounded(
+        made.selectExpr("event_id", "copy", "CASE WHEN isnan(value) OR abs(value) = double('Infinity') THEN NULL ELSE value END AS value",
+                        "coalesce(isnan(value), false) AS nan")
+    )
+
+
 @query
 def error_by_decile(spark, folder):
     df = validate.error_by_decile(_decoded_events(spark, folder), "value", "decoded")
@@ -699,11 +833,28 @@ def generation_run(spark, folder):
     )
 
 
+@query
+def encode_run_values(spark, folder):
+    """What the job has written, decoded by its own encoder."""
+    path = scratch_path(spark, "encoded")
+    result = encode_job(
+        spark, events(spark, folder), path, "value", key="event_id", lossless=True
+    )
+    written = files.read_parquet(spark, path)
+    both = result.encoder.decode(written, "decoded", keep_input=True)
+    return rounded(
+        both.selectExpr(
+            "event_id", "value", "decoded", "size(array_remove(mode_encoding, 0.0D)) AS modes",
+            "normalized_value BETWEEN -0.99 AND 0.99 AS inside",
+        )
+    )
+
+
 @query
 def encode_run(spark, folder):
     result = encode_job(
         spark, events(spark, folder), scratch_path(spark, "encoded"), "value", key="event_id",
-        config=MixtureConfig(max_iter=5), lossless=True,
+        lossless=True,
     )
     trip = result.validation.round_trip
     return rounded(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -13,12 +14,11 @@ from modeforge.functions.text import quoted
 from modeforge.operators.codec import ModeEncoder
 from modeforge.operators.fit import fit_mixture
 from modeforge.operators.generate import inflate
-from modeforge.operators.metrics import Measurement, MetricsLog
+from modeforge.operators.metrics import Measurement, MetricsLog, measurement
 from modeforge.operators.profile import describe_columns
 from modeforge.operators.validate import THRESHOLD, Validation, validate_columns
 from modeforge.sources.files import (
     WriteReport,
-    keep_fraction,
     read_csv,
     read_parquet,
     write_checked,
@@ -67,29 +67,26 @@ def encode_job(
     lossless: bool = False,
     threshold: float = THRESHOLD,
     relative: bool = False,
-    validation_rows: int | None = None,
     log: MetricsLog | None = None,
 ) -> EncodeResult:
     """Fit a column, encode all rows, write them, and check what was written.
 
     The encoded rows keep their other columns and the raw value, so the check
     compares a row with itself, and it sees exactly what a reader of the output
-    will see.  ``validation_rows`` limits the check to about that many rows.
+    will see.
     The measured time includes the write.
     """
-    log = log or MetricsLog()
-    log.start()
+    started = time.monotonic()
     df = read_parquet(spark, source) if isinstance(source, str) else source
     config = config or MixtureConfig()
     mixture = fit_mixture(df.select(quoted(column)), column, config)
     encoder = ModeEncoder(column, mixture, config)
     written = write_checked(encoder.encode(df, key, lossless=lossless), output_path)
     kept = read_parquet(spark, output_path)
-    if validation_rows is not None and validation_rows < written.rows:
-        kept = keep_fraction(kept, validation_rows / written.rows, key, config.random_state)
     raw = kept.withColumnRenamed(column, RAW)
     checked = encoder.decode(raw, keep_input=True).select(RAW, quoted(column))
     validation = validate_columns(checked, RAW, column, threshold, relative)
-    return EncodeResult(
-        encoder, written, validation, log.finish(written.rows, validation.accuracy)
-    )
+    done = measurement(written.rows, time.monotonic() - started, validation.accuracy)
+    if log is not None:
+        log.add(done)
+    return EncodeResult(encoder, written, validation, done)

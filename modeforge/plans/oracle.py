@@ -256,7 +256,7 @@ def skewness(x: str) -> str:
 def ks(source: str) -> str:
     """Statistic from ``source`` (x, a, b): counts of either sample per row."""
     return f"""
-      SELECT {r('max(abs(fa/n - fb/m))')} AS statistic, max(n) AS n, max(m) AS m FROM (
+      SELECT max(abs(fa/n - fb/m)) AS statistic, max(n) AS n, max(m) AS m FROM (
         SELECT sum(a) OVER w AS fa, sum(b) OVER w AS fb, CAST(sum(a) OVER () AS BIGINT) AS n,
           CAST(sum(b) OVER () AS BIGINT) AS m
         FROM (SELECT x, sum(a) AS a, sum(b) AS b FROM ({source}) GROUP BY x)
@@ -301,6 +301,25 @@ def inflated(target: int) -> str:
     )
 
 
+WHOLE_DISCOUNT = f"""
+    WITH RECURSIVE {fit("SELECT l_discount AS x FROM lineitem", 4, 100)}
+    SELECT centre0 + scale*mean AS mean, scale*scale*variance AS variance FROM posterior, measures"""
+WITH_GAPS = """(SELECT event_id, CASE WHEN event_type = 'error' THEN 'nan'::DOUBLE
+    WHEN event_id % 100 = 7 THEN 'inf'::DOUBLE WHEN event_id % 100 = 8 THEN NULL ELSE value END AS value
+    FROM events)"""
+FINITE = "CASE WHEN isfinite(value) THEN value END"
+
+
+def tested(source: str) -> str:
+    """Statistic, p-value of the limiting distribution and verdict."""
+    return f"""WITH test AS ({ks(source)}), series AS (
+        SELECT statistic, n, m, sum((CASE WHEN j % 2 = 1 THEN 2.0 ELSE -2.0 END)
+          *exp(-2.0*j*j*statistic*statistic*n*m/(n + m))) AS p, sqrt(n*m/(n + m))*statistic AS scaled
+        FROM test, range(1, 101) AS t(j) GROUP BY ALL),
+      bounded AS (SELECT *, CASE WHEN scaled < 0.2 THEN 1.0 ELSE least(1.0, greatest(0.0, p)) END AS p_value FROM series)
+      SELECT {r('statistic')} AS statistic, {r('p_value')} AS p_value, p_value > 0.05 AS valid, n, m FROM bounded"""
+
+
 def oracle_queries() -> dict[str, str]:
     m = samples.EVENT_VALUE
     line_u = uniform("jitter", *LINE_KEY.split(", "))
@@ -372,7 +391,7 @@ def oracle_queries() -> dict[str, str]:
         ),
         "ranked_categories": " UNION ALL ".join(
             f"""SELECT '{c}' AS "column", {c} AS value, count(*) AS count,
-                CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS INT) AS idx
+                row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS idx
                 FROM orders GROUP BY {c}"""
             for c in ("o_orderstatus", "o_orderpriority")
         ),
@@ -393,6 +412,9 @@ def oracle_queries() -> dict[str, str]:
             FROM lineitem WHERE l_quantity < 0""",
         "mixture_fit_three_steps": fitted("value", "SELECT value AS x FROM events", 10, 3, 4),
         "mixture_fit": fitted("value", "SELECT value AS x FROM events", 10, 100, 3),
+        "mixture_fit_large": f"""SELECT "column", k, {r('weight')} AS weight,
+            {r('mean', 2)} AS mean, {r('variance', 0)} AS variance, active, rank FROM ({fitted(
+                "price", "SELECT l_extendedprice AS x FROM lineitem", 10, 100, 9)})""",
         "active_components": f"""WITH w(component, weight) AS (VALUES {weight}),
             c AS (SELECT {component} AS component, count(*) AS rows FROM ({event_scored}) GROUP BY 1)
             SELECT CAST(component AS INT) AS component, coalesce(rows, 0) AS rows,
@@ -450,6 +472,19 @@ def oracle_queries() -> dict[str, str]:
         "category_one_hot": f"""SELECT o_orderkey, o_orderpriority,
             {one_hot('rank_o_orderpriority', 5, 0)}
             FROM ({with_rank('SELECT * FROM orders', 'o_orderpriority', 'orders')})""",
+        "category_one_hot_wide": f"""SELECT {LINE_KEY},
+            (SELECT count(DISTINCT l_suppkey) FROM lineitem) AS width, idx AS place,
+            CAST(1 AS DOUBLE) AS ones FROM lineitem JOIN (
+              SELECT l_suppkey, row_number() OVER (
+                ORDER BY count(*) DESC, CAST(l_suppkey AS VARCHAR)) - 1 AS idx
+              FROM lineitem GROUP BY l_suppkey) USING (l_suppkey)""",
+        "category_codes_sparse": f"""SELECT c_custkey,
+            {', '.join(f"{hot(f'code = {i}')} AS col_{i}" for i in (0, 2, 3, 5, 74))}, code,
+            (SELECT CAST(3*max(c_nationkey) + 3 AS BIGINT) FROM customer) AS width
+            FROM (SELECT c_custkey, 3*c_nationkey + 2 AS code FROM customer)""",
+        "category_indexed_large": """SELECT o_orderkey, CAST(row_number() OVER (
+              ORDER BY CAST(o_orderkey AS VARCHAR)) - 1 AS DOUBLE) AS col_0,
+            CAST(o_orderkey AS VARCHAR) AS name FROM orders""",
         "category_codes_one_hot": f"""SELECT c_custkey, {one_hot('c_nationkey', 25, 0)}
             FROM customer""",
         "category_indexed": """SELECT l_orderkey, l_linenumber, CAST(idx AS DOUBLE) AS col_0,
@@ -464,17 +499,17 @@ def oracle_queries() -> dict[str, str]:
                 "apart": "SELECT l_discount AS x FROM lineitem WHERE l_discount <> 0.0",
             },
             4,
-            3,
+            100,
             5,
         ),
         "modal_normalised_values": f"""
-            WITH m(mean, variance) AS (VALUES (0.002, 0.00001), (0.035, 0.0002), (0.08, 0.0003)),
+            WITH m AS ({WHOLE_DISCOUNT}),
             p(point) AS (VALUES (0.0), (0.05), (0.1), ({MARKER})),
             near AS (SELECT CAST(point AS DOUBLE) AS point, CAST(mean AS DOUBLE) AS mean,
                 CAST(variance AS DOUBLE) AS variance,
                 row_number() OVER (PARTITION BY point ORDER BY abs(point - mean)) AS place FROM p, m)
             SELECT {r('point')} AS point, CASE WHEN point = {MARKER} THEN 0.0 ELSE
-              {r('least(0.99, greatest(-0.99, (point - mean)/(4.0*sqrt(variance))))')} END AS norm,
+              {r('least(0.99, greatest(-0.99, (point - mean)/(4.0*sqrt(variance))))', 5)} END AS norm,
               (SELECT count(*) FROM lineitem WHERE l_discount = point) AS rows
             FROM near WHERE place = 1""",
         "mixed_encode": f"""SELECT event_id, {r(MIXED_NORM)} AS col_0,
@@ -498,17 +533,36 @@ def oracle_queries() -> dict[str, str]:
             {hot('l_discount = 0.0')} AS col_3, {hot('l_discount = 0.1')} AS col_4,
             {one_hot('rank_l_returnflag', 3, 5)}, {one_hot('rank_l_linestatus', 2, 8)}
             FROM ({minmax_ranked})""",
-        "table_round_trip": """SELECT count(*) AS rows, count(l_extendedprice) AS prices,
-            count(l_discount) AS discounts, count(l_returnflag) AS flags FROM lineitem""",
+        "table_saved": f"""SELECT {LINE_KEY}, {r(scaled('l_quantity'))} AS col_0,
+            {r(scaled('l_extendedprice'))} AS col_1,
+            CASE WHEN l_discount IN (0.0, 0.1) THEN 0.0 ELSE {r(scaled('l_discount'))} END AS col_2,
+            {hot('l_discount = 0.0')} AS col_3, {hot('l_discount = 0.1')} AS col_4,
+            {one_hot('rank_l_returnflag', 3, 5)}, {one_hot('rank_l_linestatus', 2, 8)}
+            FROM ({minmax_ranked})""",
+        "table_round_trip": f"""SELECT {LINE_KEY}, {r('l_extendedprice')} AS l_extendedprice,
+            {r('l_discount')} AS l_discount, l_returnflag FROM lineitem""",
+        "table_fit_encode": f"""WITH whole AS ({WHOLE_DISCOUNT}),
+            rest AS ({fitted("d", "SELECT l_discount AS x FROM lineitem WHERE l_discount <> 0.0", 4, 100, 9)}),
+            near AS (SELECT * FROM whole ORDER BY abs(mean) LIMIT 1),
+            spots AS (
+              SELECT -1 AS k, CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS variance,
+                least(0.99, greatest(-0.99, (0.0 - mean)/(4.0*sqrt(variance)))) AS norm,
+                CAST((SELECT count(*) FROM lineitem WHERE l_discount = 0.0) AS DOUBLE) AS drawn FROM near
+              UNION ALL SELECT k, mean, variance, NULL, frequency FROM rest WHERE active)
+            SELECT CAST(k AS INT) AS k, {r('mean', 5)} AS mean, {r('variance', 5)} AS variance, {r('norm', 5)} AS norm,
+              CAST(row_number() OVER (ORDER BY drawn DESC, k) - 1 AS INT) AS place FROM spots""",
+        "table_lossless_min_max": f"""SELECT {LINE_KEY},
+            CASE WHEN l_quantity NOT BETWEEN lo AND hi THEN l_quantity END AS overflow_l_quantity,
+            {r('l_quantity')} AS l_quantity, CAST(trunc(l_extendedprice*100) AS BIGINT)*1000003*10007 AS big
+            FROM lineitem, (SELECT min(l_quantity) AS lo, max(l_quantity) AS hi FROM lineitem WHERE l_quantity <= 10)""",
         "generated_data": f"SELECT event_id, copy, {r('value')} AS value FROM ({inflated(25_000)})",
-        "distribution_test": ks(
+        "distribution_test": tested(
             f"""SELECT value AS x, 1 AS a, 0 AS b FROM events
             UNION ALL SELECT decoded, 0, 1 FROM ({EVENT_DECODED})"""
         ),
-        "distribution_test_unequal": ks(
+        "distribution_test_unequal": tested(
             """SELECT value AS x, CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS a,
-            CASE WHEN event_type = 'click' THEN 0 ELSE 1 END AS b FROM events
-            WHERE event_type IN ('click', 'view', 'purchase')"""
+            CASE WHEN event_type = 'click' THEN 0 ELSE 1 END AS b FROM events"""
         ),
         "bounds_test": f"""SELECT bool_and(value BETWEEN lo AND hi) AS valid,
             count(*) FILTER (WHERE NOT value BETWEEN lo AND hi) AS violations
@@ -520,20 +574,24 @@ def oracle_queries() -> dict[str, str]:
             WITH decoded_events AS ({EVENT_DECODED}),
             checks AS (SELECT {BOUNDS_VALID} AS bounds_valid, {MOMENTS_VALID} AS moments_valid
               FROM (SELECT {MOMENT_GAPS} FROM decoded_events)),
-            test AS ({ks('''SELECT value AS x, 1 AS a, 0 AS b FROM decoded_events
-              UNION ALL SELECT decoded, 0, 1 FROM decoded_events''')}),
-            series AS (SELECT sum((CASE WHEN j % 2 = 1 THEN 2.0 ELSE -2.0 END)
-              *exp(-2.0*j*j*statistic*statistic*n*m/(n + m))) AS p, max(statistic) AS statistic
-              FROM test, range(1, 200) AS t(j))
-            SELECT bounds_valid, moments_valid, {r('''(CAST(bounds_valid AS INT)
-              + CAST(moments_valid AS INT)
-              + CASE WHEN statistic = 0 OR p > 0.05 THEN 1 ELSE 0 END)/3.0''')} AS accuracy
-            FROM checks, series""",
+            verdict AS ({tested('''SELECT value AS x, 1 AS a, 0 AS b FROM decoded_events
+              UNION ALL SELECT decoded, 0, 1 FROM decoded_events''')})
+            SELECT valid AS distribution_valid, p_value, bounds_valid, moments_valid,
+              {r('''(CAST(bounds_valid AS INT) + CAST(moments_valid AS INT) + CAST(valid AS INT))/3.0''')}
+              AS accuracy FROM checks, verdict""",
         "round_trip_check": f"""SELECT count(*) AS rows,
             count(*) FILTER (WHERE NOT decoded BETWEEN lo - 1e-6*sd AND hi + 1e-6*sd) AS outside,
             count(*) FILTER (WHERE abs(value - decoded) > 1e-6*sd) AS damaged,
             {r('max(abs(value - decoded))', 4)} AS max_error FROM ({EVENT_DECODED}),
             (SELECT min(value) AS lo, max(value) AS hi, stddev_pop(value) AS sd FROM events)""",
+        "round_trip_not_finite": f"""SELECT count(*) AS rows, count({FINITE}) AS finite_in,
+            count({FINITE}) AS finite_out, count(*) FILTER (WHERE NOT isfinite(value)) AS not_finite,
+            {r(f'min({FINITE})')} AS low, {r(f'max({FINITE})')} AS high, CAST(0 AS BIGINT) AS damaged FROM {WITH_GAPS}""",
+        "generated_not_finite": f"""SELECT event_id, copy,
+            {r(f"""{FINITE} + ({uniform('jitter', 'event_id', 'copy')} - 0.5)*(SELECT stddev_samp({FINITE}) FROM {WITH_GAPS})*0.1""")} AS value,
+            coalesce(isnan(value), FALSE) AS nan
+            FROM (SELECT g.event_id, g.value, copy FROM {WITH_GAPS} g,
+              range((SELECT CAST(greatest(1, ceil(25000/count(*))) AS BIGINT) FROM events)) AS t(copy))""",
         "error_by_decile": f"""
             WITH edges AS (SELECT quantile_disc(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])
               AS e FROM events)
@@ -544,6 +602,8 @@ def oracle_queries() -> dict[str, str]:
             {r('avg(value)', 4)} AS mean, {r('stddev_samp(value)', 4)} AS stddev,
             {r('min(value)', 4)} AS min, {r('max(value)', 4)} AS max, count(*) AS rows,
             TRUE AS complete FROM ({inflated(50_000)})""",
+        "encode_run_values": f"""SELECT event_id, {r('value')} AS value, {r('value')} AS decoded,
+            CAST(1 AS INT) AS modes, TRUE AS inside FROM events""",
         "encode_run": f"""SELECT count(*) AS rows, count(*) AS rows_read_back,
             {r('min(value)')} AS low, {r('max(value)')} AS high, CAST(0 AS BIGINT) AS outside,
             CAST(0 AS BIGINT) AS damaged, CAST(1 AS DOUBLE) AS accuracy,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -27,10 +28,14 @@ def read_parquet(spark: SparkSession, path: str, partitions: int | None = None)
     return df.repartition(partitions) if partitions else df
 
 
+# Fixed value: part of the rows that a sample keeps.
+SAMPLE_FRACTION = 0.1
+
+
 def read_sample(
     spark: SparkSession,
     path: str,
-    fraction: float = 0.1,
+    fraction: float = SAMPLE_FRACTION,
     key: str | Sequence[str] | None = None,
     seed: int = 42,
     portable: bool = False,
@@ -46,7 +51,10 @@ def keep_fraction(
     seed: int = 42,
     portable: bool = False,
 ) -> DataFrame:
-    """Bernoulli sample; with a key the same rows are kept on every evaluation."""
+    """Bernoulli sample; with a key the same rows are kept on every evaluation.
+
+    Without one a retried task may draw anew, so the result is no table to publish from twice.
+    """
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must lie in [0, 1]")
     if key is None:
@@ -64,11 +72,24 @@ def take_sample(
 ) -> DataFrame:
     """Exactly ``rows`` rows (all, if there are fewer), the same ones every time.
 
-    They are the smallest draws, so each task passes on at most ``rows`` rows.
+    They are the smallest draws.  Rows are counted by slices of the draw, about as many slices as a
+    slice has rows; whole slices are filtered, and only the one in which the sample ends is sorted.
     """
     names = key_columns(key)
     u = keyed_uniform(names, seed, "sample", portable)
-    return df.orderBy(F.expr(u), *(F.expr(n) for n in names)).limit(rows)
+    if rows <= 0:
+        return df.limit(0)
+    slices = max(1, math.isqrt(df.count()))
+    slice_of = f"CAST(floor({u} * {slices}) AS BIGINT)"
+    counts = df.groupBy(F.expr(slice_of).alias("slice")).agg(F.count("*").alias("n"))
+    upto = counts.selectExpr("slice", "n", "sum(n) OVER (ORDER BY slice) AS upto")
+    end = upto.where(F.col("upto") >= rows).orderBy("slice").first()
+    if end is None:
+        return df
+    left = rows - (end["upto"] - end["n"])
+    whole = df.where(f"{slice_of} < {end['slice']}")
+    part = df.where(f"{slice_of} = {end['slice']}").orderBy(F.expr(u), *(F.expr(n) for n in names))
+    return whole.unionAll(part.limit(left))
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:

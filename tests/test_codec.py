@@ -4,7 +4,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from modeforge import MixtureConfig, ModeEncoder, ModeNormalizer
+from modeforge import MixtureConfig, ModeEncoder, ModeNormalizer, fit_mixture
 from modeforge.operators.model import Mixture
 from modeforge.sources.scratch import scratch_path
 
@@ -161,3 +161,19 @@ def test_state_guard_and_whole_cycle(spark, events):
         coded.withColumnRenamed("value", "raw"), keep_input=True
     ).selectExpr("max(abs(raw - value)) AS e")
     assert back.first()["e"] < 1e-9
+
+
+def test_saved_settings_and_names(spark, events):
+    cfg = MixtureConfig(max_iter=3, n_components=3, normalization_factor=2.0)
+    encoder = ModeEncoder("value", fit_mixture(events, "value", cfg), cfg)
+    path = scratch_path(spark, "mode-encoder")
+    encoder.save(spark, path)
+    assert ModeEncoder.load(spark, path).config == cfg
+    both = encoder.encode(encoder.encode(events, "event_id"), "event_id", prefix="b_")
+    assert both.where("normalized_value <> b_normalized_value").isEmpty()
+    with pytest.raises(ValueError, match="choose a prefix"):
+        encoder.encode(both, "event_id")
+    big = spark.createDataFrame([(1, 9007199254740993), (2, 40)], "event_id long, value long")
+    coded = encoder.encode(big, "event_id", lossless=True)
+    back = {r["event_id"]: r["value"] for r in encoder.decode(coded, keep_input=True).collect()}
+    assert back == {1: 9007199254740993, 2: 40}

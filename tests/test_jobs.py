@@ -1,6 +1,8 @@
 import pytest
 
 from modeforge import MetricsLog, MixtureConfig, ModeEncoder, encode_job, fit_mixture, generation_job
+from modeforge.operators.generate import inflate
+from modeforge.operators.metrics import measurement
 from modeforge.operators import profile
 from modeforge.sources import read_csv, read_parquet, read_sample, write_checked
 from modeforge.sources.files import keep_fraction, take_sample
@@ -54,32 +56,47 @@ def test_encode_job(spark, events, lossless):
     log = MetricsLog()
     result = encode_job(
         spark, events, scratch_path(spark, "out"), "value", key="event_id", lossless=lossless,
-        config=MixtureConfig(max_iter=10), log=log, validation_rows=None if lossless else 500,
+        config=MixtureConfig(max_iter=10), log=log,
     )
     assert result.written.complete
     assert result.validation.distribution_valid
     if lossless:
         assert result.validation.accuracy == 1.0 and result.validation.round_trip.damaged == 0
-    else:
-        assert 300 < result.validation.round_trip.rows < 700
+    assert result.validation.round_trip.rows == events.count()
     row = log.summary(spark).first()
     assert row["processing_time"] > 0 and row["throughput"] > 0
 
 
 def test_metrics_log(spark):
     log = MetricsLog()
-    with pytest.raises(ValueError):
-        log.finish(1, 1.0)
     assert log.summary(spark).first().asDict() == {
         "processing_time": 0.0, "accuracy": 0.0, "throughput": 0.0,
     }
     for accuracy in (1.0, 0.5):
-        log.start()
-        log.finish(100, accuracy)
-    assert log.summary(spark).first()["accuracy"] == 0.75
+        log.add(measurement(100, 2.0, accuracy))
+    assert log.summary(spark).first().asDict() == {
+        "processing_time": 2.0, "accuracy": 0.75, "throughput": 50.0,
+    }
     assert log.table(spark).count() == 2
 
 
+@pytest.mark.parametrize("lossless", [True, False])
+def test_jobs_take_values_that_are_not_finite(spark, lossless):
+    rows = [(i, float(i % 50)) for i in range(500)]
+    rows += [(500, float("nan")), (501, float("inf")), (502, -float("inf")), (503, None)]
+    df = spark.createDataFrame(rows, "id long, x double")
+    result = encode_job(
+        spark, df, scratch_path(spark, "out"), "x", key="id", lossless=lossless,
+        config=MixtureConfig(max_iter=5),
+    )
+    trip = result.validation.round_trip
+    assert trip.rows == 504 and trip.not_finite == 3 and trip.finite[0] == 500
+    if lossless:
+        assert trip.damaged == 0 and result.validation.accuracy == 1.0
+    made = inflate(df, "x", 1000, key="id", keep_key=True)
+    assert made.where("isnan(x)").count() == 2 and made.where("x = double('Infinity')").count() == 2
+
+
 def test_stream_equals_batch(spark, events):
     folder = scratch_path(spark, "files")
     events.repartition(4).write.parquet(folder)

@@ -53,7 +53,7 @@ def test_compression_is_one_partial_aggregation(spark, small):
     df = spark.read.parquet(f"{small}/lineitem.parquet")
     columns = {"a": "l_extendedprice", "b": "l_discount"}
     profiles, _ = profile_numeric(df, columns)
-    text = plan(compress(df, columns, profiles, 1000), "simple")
+    text = plan(compress(df, columns, profiles), "simple")
     assert text.count("Exchange") == 1 and "partial_" in text
     assert "l_quantity" not in text
 

@@ -1,6 +1,8 @@
 import pytest
+from pyspark.sql import functions as F
 
 from modeforge import MISSING_MARKER, MixtureConfig, TableEncoder, TableSpec
+from modeforge.sources.scratch import scratch_path
 
 FEW = MixtureConfig(max_iter=4, n_components=4)
 
@@ -143,6 +145,90 @@ def test_rare_categories_are_joined_by_shuffle(spark, monkeypatch):
     assert back.exceptAll(df).isEmpty() and back.count() == 400
 
 
+def test_resolved_rows_of_a_large_dictionary_are_not_exchanged(spark, monkeypatch):
+    from modeforge.operators import lookup
+
+    monkeypatch.setattr(lookup, "HOT", 3)
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
+    df = spark.range(300).selectExpr("id", "CASE WHEN id < 200 THEN 'a' ELSE CAST(id % 40 AS STRING) END AS c")
+    encoder = TableEncoder(TableSpec(categorical=["c"], columns=["c"], indexed=["c"])).fit(df)
+    new = df.unionAll(spark.range(50).selectExpr("id + 1000", "'never seen'"))
+    coded = encoder.transform(new, keep=["id", "c"])
+    assert coded.count() == 350
+    assert coded.where("c = 'never seen'").agg(F.count("col_0")).first()[0] == 0
+    assert coded.where("c <> 'never seen' AND col_0 IS NULL").isEmpty()
+    # Of the two branches, only that of the rows still open has a shuffle join.
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        again = encoder.transform(new, keep=["id", "c"])
+        plan = again._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plan.count("SortMergeJoin") + plan.count("ShuffledHashJoin") == 1
+
+
+@pytest.mark.parametrize("indexed", [True, False])
+@pytest.mark.parametrize("categories", ["ranked", "codes"])
+def test_unseen_is_an_error_on_every_form(spark, indexed, categories):
+    fit_on = spark.createDataFrame([(1,), (3,), (1,)], "c int")
+    spec = TableSpec(
+        categorical=["c"], categories=categories, unseen="error", indexed=["c"] if indexed else []
+    )
+    encoder = TableEncoder(spec).fit(fit_on)
+    assert encoder.transform(spark.createDataFrame([(3,), (None,)], "c int")).count() == 2
+    with pytest.raises(Exception, match="unseen category in c: 9"):
+        encoder.transform(spark.createDataFrame([(9,)], "c int")).collect()
+
+
+def test_codes_need_not_be_dense(spark):
+    df = spark.createDataFrame([(1,), (2,), (5,)], "c int")
+    encoder = TableEncoder(TableSpec(categorical=["c"], categories="codes")).fit(df)
+    assert encoder.output_dimensions == 6
+    assert encoder.inverse_transform(encoder.transform(df)).exceptAll(df).isEmpty()
+    with pytest.raises(ValueError, match="negative"):
+        TableEncoder(TableSpec(categorical=["c"], categories="codes")).fit(df.selectExpr("-c AS c"))
+
+
+def test_lossless_keeps_exact_types_and_values_out_of_range(spark):
+    big = 9007199254740993
+    fit_on = spark.createDataFrame([(0, 1.0, 1), (1, 2.0, 5)], "id int, x double, k bigint")
+    new = spark.createDataFrame(
+        [(0, 99.0, big), (1, float("nan"), 3), (2, None, None), (3, 1.25, -(1 << 60))],
+        "id int, x double, k bigint",
+    )
+    for continuous in ("minmax", "mixture"):
+        spec = TableSpec(columns=["x", "k"], continuous=continuous)
+        encoder = TableEncoder(spec, MixtureConfig(max_iter=3, n_components=2)).fit(fit_on)
+        coded = encoder.transform(new, "id", keep=["id"], lossless=True)
+        back = encoder.inverse_transform(coded, keep=["id"])
+        assert dict(back.dtypes)["k"] == "bigint"
+        rows = {r["id"]: (r["x"], r["k"]) for r in back.collect()}
+        assert rows[0] == (99.0, big) and rows[1][1] == 3 and rows[1][0] != rows[1][0]
+        assert rows[2] == (None, None) and rows[3][1] == -(1 << 60)
+        assert rows[3][0] == pytest.approx(1.25)
+
+
+def test_save_and_load(spark):
+    df = spark.range(400).selectExpr(
+        "id", "CAST(id % 7 AS STRING) AS kind", "CAST(id % 90 AS STRING) AS code",
+        "CASE WHEN id % 5 = 0 THEN 0.0D ELSE sqrt(id) END AS fee", "CAST(id AS DOUBLE) AS x",
+    )
+    spec = TableSpec(
+        categorical=["kind", "code"], indexed=["code"], mixed={"fee": [0.0]},
+        columns=["kind", "code", "fee", "x"],
+    )
+    encoder = TableEncoder(spec, MixtureConfig(max_iter=4, n_components=3, normalization_factor=2.0)).fit(df)
+    path = scratch_path(spark, "encoder")
+    encoder.save(spark, path)
+    loaded = TableEncoder.load(spark, path)
+    assert loaded.spec == encoder.spec and loaded.config == encoder.config
+    assert loaded.output_info == encoder.output_info
+    one, two = (e.transform(df, "id", keep=["id"], lossless=True) for e in (encoder, loaded))
+    assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty()
+    assert loaded.inverse_transform(two, keep=["id"]).exceptAll(encoder.inverse_transform(one, keep=["id"])).isEmpty()
+
+
 def test_min_max_variant(spark):
     df = spark.createDataFrame(
         [(0, 0.0, 5.0, 0), (1, 10.0, 5.0, 1), (2, 5.0, 5.0, None), (3, 2.5, 5.0, 2)],

@@ -95,3 +95,17 @@ def test_error_by_decile(spark):
     df = spark.range(1000).selectExpr("CAST(id AS DOUBLE) AS x", "id + IF(id >= 900, 1D, 0D) AS y")
     got = {r["decile"]: (r["rows"], r["max_error"]) for r in error_by_decile(df, "x", "y").collect()}
     assert len(got) == 10 and got[10][1] == 1.0 and got[1] == (100, 0.0)
+
+
+def test_exact_quantiles(spark):
+    import numpy as np
+
+    from modeforge.operators.quantiles import exact_quantiles
+
+    rng = np.random.default_rng(9)
+    x = rng.integers(0, 400, 5000).astype(float)
+    df = spark.createDataFrame([(float(v),) for v in x], "x double").repartition(5)
+    shares = [i / 10 for i in range(1, 10)]
+    expected = np.sort(x)[[int(np.ceil(s * len(x) - 1e-9)) - 1 for s in shares]]
+    assert exact_quantiles(df, "x", shares) == expected.tolist()
+    assert exact_quantiles(df.limit(0), "x", shares) == []
