@@ -1,6 +1,7 @@
 """Time the headline operations and print one line of JSON.
 
-BENCH_SF_DIR is the folder of the tables, BENCH_CPUS the number of cores.
+BENCH_SF_DIR is the folder of the tables, BENCH_CPUS the number of cores, and
+BENCH_MILLIONS the sizes, in millions of rows, of the inflated end-to-end jobs.
 """
 
 from __future__ import annotations
@@ -62,13 +63,9 @@ def main() -> None:
     with timed("fit_column", n_events):
         mixture = fit_mixture(events, "value")
     with timed("fit_large_column", n_lines):
-        price = fit_mixture(lines, "l_extendedprice", MixtureConfig(max_iter=100))
+        price = fit_mixture(lines, "l_extendedprice")
     with timed("fit_three_columns", n_lines):
-        fit_mixtures(
-            lines,
-            {c: c for c in ("l_quantity", "l_extendedprice", "l_discount")},
-            MixtureConfig(max_iter=20),
-        )
+        fit_mixtures(lines, {c: c for c in ("l_quantity", "l_extendedprice", "l_discount")})
     encoder = ModeEncoder("l_extendedprice", price)
     with timed("encode", n_lines):
         sink(encoder.encode(lines, LINE_KEY, lossless=True))
@@ -84,7 +81,7 @@ def main() -> None:
         ks_columns(decoded, "raw", "decoded")
     with timed("sufficient_statistics", n_lines):
         score.sufficient_statistics(lines, "l_extendedprice", price).collect()
-    table = TableEncoder(SPEC, MixtureConfig(max_iter=10))
+    table = TableEncoder(SPEC)
     with timed("table_fit", n_lines):
         table.fit(lines)
     with timed("table_encode", n_lines):
@@ -94,6 +91,16 @@ def main() -> None:
     made = 20 * n_events
     with timed("generate", made):
         write_checked(generate.inflate(events, "value", made, key="event_id"), f"{out}/made")
+    # Every inflated value is another one, so the fit has as many values as rows.
+    for millions in os.environ.get("BENCH_MILLIONS", "1").split():
+        target = int(float(millions) * 1_000_000)
+        big = generate.inflate(events, "value", target, key="event_id", keep_key=True)
+        write_checked(big, f"{out}/big-{millions}")
+        with timed(f"job_encode_{millions}m", target):
+            encode_job(
+                spark, f"{out}/big-{millions}", f"{out}/big-job-{millions}", "value",
+                key=["event_id", "copy"], lossless=True,
+            )
     with timed("describe", n_lines):
         profile.describe_columns(
             lines, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
