@@ -29,7 +29,7 @@ WINDOW = 13
 #: A document is contaminated if at least one word in so many is hit.
 ONE_IN = 20
 #: Words of the items that one automaton may hold; it has at most twice as many states.
-BLOCK_WORDS = 400_000
+BLOCK_WORDS = 100_000
 #: Entries of the table of word pairs.
 PAIR_SLOTS = 1 << 22
 

@@ -29,14 +29,14 @@ def check_hash(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def exact_duplicates(
+def marked_rows(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     hash_of: Callable[[Column], Column] = content_hash,
     check_of: Callable[[Column], Column] = check_hash,
 ) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, keep_id, group_size, kept, text_sha256``.
+    """``row, doc_id, keep_id, group_size, kept, text_sha256``; ``row`` numbers the rows of the scan.
 
     Of equal texts the row with the most code points in the original text stays, then that with the
     smallest id. ``hash_of`` and ``check_of`` can be weakened to test collisions.
@@ -85,11 +85,17 @@ def exact_duplicates(
     left, right = keyed.alias("l"), groups.alias("r")
     same = (F.col("l.h") == F.col("r.h")) & (F.col("l.c") == F.col("r.c")) & F.col("l.part").eqNullSafe(F.col("r.part"))
     return left.join(right, same).select(
-        "l.doc_id", "r.keep_id", "r.group_size", (F.col("l.row") == F.col("r.keep_row")).alias("kept"), "l.text_sha256"
+        "l.row", "l.doc_id", "r.keep_id", "r.group_size", (F.col("l.row") == F.col("r.keep_row")).alias("kept"), "l.text_sha256"
     )
 
 
+def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **hashes: Callable[[Column], Column]) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, keep_id, group_size, kept, text_sha256``."""
+    return marked_rows(docs, id_col, text_col, **hashes).drop("row")
+
+
 def unique_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    kept = exact_duplicates(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(kept, docs[id_col].eqNullSafe(F.col("_kept_id")), "left_semi")
+    """The rows of ``docs`` that stay, with all their columns; only row numbers are joined back."""
+    drop = staged(marked_rows(docs, id_col, text_col).where("NOT kept").select("row"), "dropped-rows")
+    numbered = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.monotonically_increasing_id().alias("row"))
+    return numbered.join(broadcast_if_bounded(drop), "row", "left_anti").select("_row.*")
