@@ -247,9 +247,9 @@ def _pairs(frame: DataFrame) -> DataFrame:
 def overlapping(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     """The pairs that link: overlaps counted by fragment, summed per pair."""
     own = lambda side: segments.select(F.col("cid").alias(side), "fragment", F.col("segment").alias(f"s{side}"))
-    wide = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))))
+    # One row for each segment of ``a`` that isn't empty, then only those of which ``b`` has one too.
     partial = (
-        wide.join(own("a"), ["a", "fragment"])
+        pairs.join(own("a"), "a")
         .join(own("b"), ["b", "fragment"])
         .select("a", "b", "both", F.size(F.array_intersect("sa", "sb")).alias("n"))
     )
