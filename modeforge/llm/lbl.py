@@ -35,8 +35,9 @@ HEAD = UNITS - BUCKETS
 HOT_WORDS, HOT_BYTES = 1 << 18, 64
 NOISE = 10
 STEPS, RATE, DECAY = 200, 0.05, 1e-7
-#: Entries of a task's table of counts before it is handed on.
-TABLE = 400_000
+#: Entries of a task's table of counts before it is handed on, and bytes of text it splits at a time:
+#: words as objects take some eight times their text.
+TABLE, PIECE = 200_000, 1 << 20
 END = b""
 
 
@@ -51,7 +52,7 @@ def _bucket(word: Column) -> Column:
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
     """Lower-cased words of every text and its end; bytes.lower and split know ASCII only."""
     for batch in batches:
-        for first, part in chunks(t.as_py().encode() if t.is_valid else b"" for t in batch.column("text")):
+        for first, part in chunks((t.as_py().encode() if t.is_valid else b"" for t in batch.column("text")), PIECE):
             yield batch.slice(first, len(part)), [[*t.lower().split(), END] for t in part]
 
 
