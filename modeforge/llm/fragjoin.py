@@ -271,8 +271,12 @@ def _segments_of(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataF
     )
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``row, doc_id, n_shingles, component_id`` for every row; ``row`` numbers the rows of the scan."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``row, doc_id, n, root, component_id`` for every row; ``row`` numbers the rows of the scan.
+
+    ``root`` is the class that stands for the component, also where no member has an id or two
+    components share one; it is null for rows without shingles.
+    """
     spark = docs.sparkSession
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     bits = _bits(docs.count())
@@ -346,21 +350,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     named = classes.join(joined.withColumnRenamed("node", "cid"), "cid", "left").select("digest", "first_id", F.coalesce("root", "cid").alias("root"))
     roots = staged(named.groupBy("root").agg(F.min("first_id").alias("component_id")), "roots")
-    final = staged(named.join(roots, "root").select("digest", "component_id"), "components")
+    final = staged(named.join(roots, "root").select("digest", "root", "component_id"), "components")
     return sets.select("row", "doc_id", "n", "digest").join(final, "digest", "left").select(
-        "row", "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+        "row", "doc_id", "n", "root", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
 
 
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row."""
+    return _grouped(docs, id_col, text_col).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without near copies: of each component the row with its id stays.
+    """The rows of ``docs`` without near copies: of each component one row with its smallest id stays.
 
-    Only row numbers are joined back; texts are shuffled only if the rows to drop are too many to
-    broadcast. Rows without shingles all stay.
+    Components are told apart by their texts, not by their ids, so ids may be null or repeated. Only row
+    numbers are joined back; texts are shuffled only if the rows to drop are too many to broadcast. Rows
+    without shingles all stay.
     """
-    found = near_duplicates(docs, id_col, text_col)
-    best = found.where("n_shingles > 0").groupBy("component_id").agg(F.min(F.when(F.col("doc_id") == F.col("component_id"), F.col("row"))).alias("a"), F.min("row").alias("b"))
-    kept = staged(best.select(F.coalesce("a", "b").alias("row")), "kept-rows")
-    drop = staged(found.where("n_shingles > 0").select("row").join(kept, "row", "left_anti"), "dropped-rows")
+    found = _grouped(docs, id_col, text_col).where("n > 0")
+    best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("best"))
+    kept = staged(best.select("best.row"), "kept-rows")
+    drop = staged(found.select("row").join(kept, "row", "left_anti"), "dropped-rows")
     numbered = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.monotonically_increasing_id().alias("row"))
     return numbered.join(broadcast_if_bounded(drop), "row", "left_anti").select("_row.*")

@@ -243,6 +243,16 @@ def test_components_of_copies_chains_and_shared_passages(spark):
     assert kept == [i for i, c in enumerate(expected) if c == i]
 
 
+def test_unlike_texts_without_own_ids_all_stay(spark):
+    def text(name, n=12):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    rows = [(None, text("a")), (None, text("b")), (None, text("c")), (None, text("A")), (5, text("d")), (5, text("e")), (6, text("f")), (7, text("f")), (None, text("f")), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((r["doc_id"] or 0, (r["text"] or "").lower()) for r in fragjoin.one_of_each(docs).collect())
+    assert kept == [(0, ""), (0, text("a")), (0, text("b")), (0, text("c")), (5, text("d")), (5, text("e")), (6, text("f"))]
+
+
 def test_word_hashes_know_no_case_and_no_neighbour():
     a, b, c = shingle_sets([b"A b\tC d\x0be f", b"a B c D e F", b"x"], 5)
     assert (a == b).all() and len(a) == 2 and len(c) == 1
