@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from modeforge.sources.scratch import scratch_path
 
@@ -57,6 +58,38 @@ def unit_draw(key: Column, purpose: str | Column) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
 
 
+def packed_row(docs: DataFrame) -> Column:
+    """All columns of a row as one, whatever their names."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def row_digest(row: Column, docs: DataFrame) -> Column:
+    """128 bits of a ``packed_row`` of ``docs``: a name of its content that every scan gives alike."""
+    parts = []
+    for field in docs.schema.fields:
+        value = row.getField(field.name)
+        nested = isinstance(field.dataType, (ArrayType, MapType, StructType))
+        text = F.to_json(F.struct(value.alias("x"))) if nested else value.cast("string")
+        parts.append(F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.unhex(F.md5(F.concat(*parts).cast("binary")))
+
+
+def without_rows(docs: DataFrame, entries: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without those that ``entries(key, kept, copies)`` drops, and one of each kept row.
+
+    ``key`` is the ``row_digest``, so nothing depends on how a scan is cut. Rows without an entry all stay.
+    Texts are shuffled only if the keys to drop are too many to broadcast, or of rows repeated as a whole.
+    """
+    named = docs.select(packed_row(docs).alias("_row")).withColumn("key", row_digest(F.col("_row"), docs))
+    drop = staged(entries.where("NOT kept OR copies > 1").select("key", "kept"), "dropped-keys")
+    out = named.join(broadcast_if_bounded(drop.select("key")), "key", "left_anti").select("_row")
+    repeated = drop.where("kept").select("key")
+    if not repeated.isEmpty():
+        once = named.join(broadcast_if_bounded(repeated), "key", "left_semi").groupBy("key").agg(F.first("_row").alias("_row"))
+        out = out.unionByName(once.select("_row"))
+    return out.select("_row.*")
+
+
 def chunks(texts: Iterable[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """Consecutive texts of some ``limit`` bytes, with the position of the first."""
     first, held, size = 0, [], 0

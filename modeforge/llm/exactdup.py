@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modeforge.llm.common import BLANK, broadcast_if_bounded, staged, text_or_empty
+from modeforge.llm.common import BLANK, broadcast_if_bounded, packed_row, row_digest, staged, text_or_empty, without_rows
 
 
 def content_hash(text: Column) -> Column:
@@ -35,24 +35,25 @@ def marked_rows(
     text_col: str = "text",
     hash_of: Callable[[Column], Column] = content_hash,
     check_of: Callable[[Column], Column] = check_hash,
+    key: Column | None = None,
 ) -> DataFrame:
-    """``row, doc_id, keep_id, group_size, kept, text_sha256``; ``row`` numbers the rows of the scan.
+    """``key, doc_id, keep_id, group_size, kept, text_sha256`` for every row; ``key`` is of the caller.
 
-    Of equal texts the row with the most code points in the original text stays, then that with the
-    smallest id. ``hash_of`` and ``check_of`` can be weakened to test collisions.
+    Rows are numbered in the tables written here; no number is looked up in another scan. Of equal texts
+    the row with the most code points in the original text stays, then that with the smallest id.
+    ``hash_of`` and ``check_of`` can be weakened to test collisions.
     """
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
+        (F.lit(None).cast("binary") if key is None else key).alias("key"),
         F.col(id_col).alias("doc_id"),
         text_or_empty(text_col).alias("text"),
-    ).select("row", "doc_id", F.char_length("text").alias("points"), F.regexp_replace("text", BLANK + "+", "").alias("plain"))
+    ).select("row", "key", "doc_id", F.char_length("text").alias("points"), F.regexp_replace("text", BLANK + "+", "").alias("plain"))
     marked = rows.withColumn("h", hash_of(F.col("plain")))
-    prints = staged(
-        marked.select(
-            "row", "doc_id", "points", "h", check_of(F.col("plain")).alias("c"), F.sha2(F.col("plain").cast("binary"), 256).alias("text_sha256")
-        ),
-        "fingerprints",
-    )
+    facts = [
+        "row", "key", "doc_id", "points", "h", check_of(F.col("plain")).alias("c"), F.sha2(F.col("plain").cast("binary"), 256).alias("text_sha256")
+    ]
+    prints = staged(marked.select(*facts), "fingerprints")
     shared = staged(
         prints.groupBy("h").agg(F.count("*").alias("n"), F.count_distinct("c").alias("checks")).where("n > 1"),
         "shared-hashes",
@@ -71,31 +72,31 @@ def marked_rows(
     if unequal.isEmpty():
         keyed = prints.withColumn("part", F.lit(None).cast("bigint"))
     else:
-        clashing = marked.join(broadcast_if_bounded(unequal), "h", "left_semi").select("row", "h", "plain")
+        clashing = staged(marked.join(broadcast_if_bounded(unequal), "h", "left_semi").select(*facts, "plain"), "clashing")
         parts = clashing.groupBy("h", "plain").agg(F.min("row").alias("part"))
-        keyed = prints.join(staged(clashing.join(parts, ["h", "plain"]).select("row", "part"), "parts"), "row", "left")
-    key = ["h", "c", "part"]
+        others = prints.join(broadcast_if_bounded(unequal), "h", "left_anti").withColumn("part", F.lit(None).cast("bigint"))
+        keyed = others.unionByName(staged(clashing.join(parts, ["h", "plain"]).drop("plain"), "parts"))
+    by = ["h", "c", "part"]
     best = F.min(F.struct((-F.col("points")).alias("points"), F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
     groups = staged(
-        keyed.groupBy(*key).agg(F.count("*").alias("group_size"), best.alias("best")).select(
-            *key, "group_size", F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("keep_row")
+        keyed.groupBy(*by).agg(F.count("*").alias("group_size"), best.alias("best")).select(
+            *by, "group_size", F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("keep_row")
         ),
         "groups",
     )
     left, right = keyed.alias("l"), groups.alias("r")
     same = (F.col("l.h") == F.col("r.h")) & (F.col("l.c") == F.col("r.c")) & F.col("l.part").eqNullSafe(F.col("r.part"))
     return left.join(right, same).select(
-        "l.row", "l.doc_id", "r.keep_id", "r.group_size", (F.col("l.row") == F.col("r.keep_row")).alias("kept"), "l.text_sha256"
+        "l.key", "l.doc_id", "r.keep_id", "r.group_size", (F.col("l.row") == F.col("r.keep_row")).alias("kept"), "l.text_sha256"
     )
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **hashes: Callable[[Column], Column]) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, keep_id, group_size, kept, text_sha256``."""
-    return marked_rows(docs, id_col, text_col, **hashes).drop("row")
+    return marked_rows(docs, id_col, text_col, **hashes).drop("key")
 
 
 def unique_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; only row numbers are joined back."""
-    drop = staged(marked_rows(docs, id_col, text_col).where("NOT kept").select("row"), "dropped-rows")
-    numbered = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.monotonically_increasing_id().alias("row"))
-    return numbered.join(broadcast_if_bounded(drop), "row", "left_anti").select("_row.*")
+    """The rows of ``docs`` that stay, with all their columns; only digests of rows are joined back."""
+    found = marked_rows(docs, id_col, text_col, key=row_digest(packed_row(docs), docs))
+    return without_rows(docs, found.groupBy("key").agg(F.max("kept").alias("kept"), F.count("*").alias("copies")))

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modeforge.llm.common import broadcast_if_bounded, chunks, components, staged
+from modeforge.llm.common import broadcast_if_bounded, chunks, components, packed_row, row_digest, staged, without_rows
 from modeforge.llm.shingles import shingle_sets
 
 WIDTH = 5
@@ -213,8 +213,8 @@ def _ordered(shared_order):
             inner = _lists(segments)
             outer = pa.ListArray.from_arrays(np.arange(0, len(segments) + 1, FRAGMENTS, dtype=np.int32), inner)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array(common, pa.int64()), pa.array(digests, pa.binary()), _sketches(sets), _lists(prefixes), outer],
-                ["row", "doc_id", "n", "common", "digest", "sketch", "prefix", "segments"],
+                [batch.column("key"), batch.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array(common, pa.int64()), pa.array(digests, pa.binary()), _sketches(sets), _lists(prefixes), outer],
+                ["key", "doc_id", "n", "common", "digest", "sketch", "prefix", "segments"],
             )
 
     return run
@@ -271,15 +271,14 @@ def _segments_of(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataF
     )
 
 
-def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``row, doc_id, n, root, component_id`` for every row; ``row`` numbers the rows of the scan.
+def _grouped(rows: DataFrame) -> DataFrame:
+    """``key, doc_id, n, root, component_id`` for every row of ``rows(key, doc_id, text)``.
 
     ``root`` is the class that stands for the component, also where no member has an id or two
     components share one; it is null for rows without shingles.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    bits = _bits(docs.count())
+    spark = rows.sparkSession
+    bits = _bits(rows.count())
     counted = staged(
         rows.select("text")
         .mapInArrow(_count_parts(bits), "range int, ones binary, more binary, counts binary")
@@ -290,7 +289,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     levels = {r["level"]: r["n"] for r in counted.where("level >= 0").groupBy("level").agg(F.sum("n").alias("n")).collect()}
     least = min((lv for lv in levels if sum(n for k, n in levels.items() if k >= lv) <= FREQUENT), default=99)
     order = spark.sparkContext.broadcast(Order(bits, counted.where((F.col("level") < 0) | (F.col("level") >= least)).collect()))
-    kind = f"row long, doc_id {dict(rows.dtypes)['doc_id']}, n long, common long, digest binary, sketch array<long>, prefix array<long>, segments array<array<long>>"
+    kind = f"key binary, doc_id {dict(rows.dtypes)['doc_id']}, n long, common long, digest binary, sketch array<long>, prefix array<long>, segments array<array<long>>"
     sets = staged(rows.mapInArrow(_ordered(order), kind), "sets")
     classes = staged(
         sets.where("n > 0")
@@ -351,26 +350,27 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     named = classes.join(joined.withColumnRenamed("node", "cid"), "cid", "left").select("digest", "first_id", F.coalesce("root", "cid").alias("root"))
     roots = staged(named.groupBy("root").agg(F.min("first_id").alias("component_id")), "roots")
     final = staged(named.join(roots, "root").select("digest", "root", "component_id"), "components")
-    return sets.select("row", "doc_id", "n", "digest").join(final, "digest", "left").select(
-        "row", "doc_id", "n", "root", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+    return sets.select("key", "doc_id", "n", "digest").join(final, "digest", "left").select(
+        "key", "doc_id", "n", "root", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row."""
-    return _grouped(docs, id_col, text_col).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    rows = docs.select(F.lit(None).cast("binary").alias("key"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return _grouped(rows).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without near copies: of each component one row with its smallest id stays.
 
-    Components are told apart by their texts, not by their ids, so ids may be null or repeated. Only row
-    numbers are joined back; texts are shuffled only if the rows to drop are too many to broadcast. Rows
-    without shingles all stay.
+    Components are told apart by their texts, not by their ids, so ids may be null or repeated. Rows are
+    found again by a digest of their content. Rows without shingles all stay.
     """
-    found = _grouped(docs, id_col, text_col).where("n > 0")
-    best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("best"))
-    kept = staged(best.select("best.row"), "kept-rows")
-    drop = staged(found.select("row").join(kept, "row", "left_anti"), "dropped-rows")
-    numbered = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.monotonically_increasing_id().alias("row"))
-    return numbered.join(broadcast_if_bounded(drop), "row", "left_anti").select("_row.*")
+    row = packed_row(docs)
+    rows = docs.select(row_digest(row, docs).alias("key"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    # Repeated rows are one entry before components meet.
+    entries = staged(_grouped(rows).where("n > 0").groupBy("key", "doc_id", "root").agg(F.count("*").alias("copies")), "entries")
+    best = entries.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("best"))
+    kept = staged(best.select("best.key", F.lit(True).alias("kept")), "kept-keys")
+    return without_rows(docs, entries.join(kept, "key", "left").select("key", F.coalesce("kept", F.lit(False)).alias("kept"), "copies"))

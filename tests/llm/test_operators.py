@@ -253,6 +253,33 @@ def test_unlike_texts_without_own_ids_all_stay(spark):
     assert kept == [(0, ""), (0, text("a")), (0, text("b")), (0, text("c")), (5, text("d")), (5, text("e")), (6, text("f"))]
 
 
+def test_survivors_do_not_depend_on_how_a_scan_is_cut(spark, monkeypatch, tmp_path):
+    texts = [" ".join(f"{k % 20}w{i}" for i in range(9)) for k in range(32)]
+    rows = [(k // 2 if k < 4 else None, t) for k, t in enumerate(texts)] + [(50, texts[19])] * 3
+    path = str(tmp_path / "docs.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(9).write.parquet(path)
+    docs = spark.read.parquet(path)
+    options = ("spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k, None) for k in options}
+    staged_by = {m: m.staged for m in (fragjoin, exactdup)}
+
+    def cut_anew(df, label):
+        out = staged_by[fragjoin](df, label)
+        spark.conf.set("spark.sql.files.minPartitionNum", "64")
+        return out
+
+    try:
+        for keep in (fragjoin.one_of_each, exactdup.unique_documents):
+            spark.conf.set("spark.sql.files.minPartitionNum", "1")
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            module = fragjoin if keep is fragjoin.one_of_each else exactdup
+            monkeypatch.setattr(module, "staged", cut_anew)
+            assert sorted(r["text"] for r in keep(docs).collect()) == sorted(set(texts))
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_word_hashes_know_no_case_and_no_neighbour():
     a, b, c = shingle_sets([b"A b\tC d\x0be f", b"a B c D e F", b"x"], 5)
     assert (a == b).all() and len(a) == 2 and len(c) == 1
