@@ -8,12 +8,18 @@ and fills the rest with a prefix of one more epoch in seeded order.
 
 Rows meet in no one task: leaves are summed before the shuffle, and the end of a prefix is found
 from sums over slices of the leaf's order, then inside one slice; a slice and the list of slices both
-have about the square root of the leaf's rows. Texts are read once to count words and never shuffled.
+have about the square root of the leaf's different draws. Rows of one draw are summed before they meet,
+so an id that many rows share, or that they lack, is one row there. Texts are read to count words and
+never shuffled, but for one copy of each row that is repeated as a whole where a prefix ends.
+
+The draw comes from the id. ``mix`` follows its SQL: rows of one draw, as those of equal or null id, go
+into a prefix together or not at all. ``mixed_documents`` cuts by rows: rows of one draw are ordered by
+a digest of all their columns, and of rows that agree in all columns as many are taken as fit, so less
+than one document of the budget is left. Without repeated ids both take the same rows.
 
 Defined cases: a null text has one token, its end; a null or unknown branch value is a branch of its
-own with the default weight; weight 0 takes nothing; documents of equal id have the same draw and go
-into a prefix together or not at all; an empty table gives an empty result; other columns are kept
-by ``mixed_documents`` and not read by ``mix``.
+own with the default weight; weight 0 takes nothing; an empty table gives an empty result; other
+columns are kept by ``mixed_documents`` and not read by ``mix``.
 """
 
 from __future__ import annotations
@@ -24,7 +30,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from modeforge.llm.common import WORD, broadcast_if_bounded, staged, text_or_empty, unit_draw
+from modeforge.llm.common import WORD, broadcast_if_bounded, packed_row, row_digest, staged, text_or_empty, unit_draw
 
 LEVELS = ("domain", "lang", "source")
 
@@ -123,8 +129,37 @@ def _place_in_order(key: Column, seed: int, epoch: Column) -> Column:
     return unit_draw(key, F.concat(F.lit(f"mix{seed}-"), epoch.cast("string")))
 
 
+def _edges(placed: DataFrame, by: str) -> DataFrame:
+    """Per leaf, the value of ``by`` at which the tokens pass ``rest``, with the tokens before it.
+
+    ``placed(domain, lang, source, by, slice, n_tokens, before, rest)``; slices are in the order of ``by``.
+    ``rows`` have that value, ``most`` is the largest of their tokens.
+    """
+    sums = staged(placed.groupBy(*LEVELS, "slice", "before", "rest").agg(F.sum("n_tokens").alias("n")), "slices")
+    upto = F.col("before") + F.sum("n").over(Window.partitionBy(*LEVELS).orderBy("slice"))
+    ends = staged(
+        sums.withColumn("upto", upto)
+        .where("upto > rest and upto - n <= rest")
+        .select(*LEVELS, F.col("slice").alias("end"), (F.col("upto") - F.col("n")).alias("start")),
+        "ends",
+    )
+    inside = placed.drop("before").join(broadcast_if_bounded(ends), list(LEVELS)).where("slice = end")
+    values = inside.groupBy(*LEVELS, by, "start", "rest").agg(F.sum("n_tokens").alias("n"), F.count("*").alias("rows"), F.max("n_tokens").alias("most"))
+    total = F.col("start") + F.sum("n").over(Window.partitionBy(*LEVELS).orderBy(by))
+    return staged(
+        values.withColumn("upto", total)
+        .where("upto > rest and upto - n <= rest")
+        .select(*LEVELS, F.col(by).alias("edge"), (F.col("upto") - F.col("n")).alias("before"), "rest", "rows", "most"),
+        "edges",
+    )
+
+
 def _cuts(counted: DataFrame, mixture: Mixture) -> DataFrame:
-    """Per leaf: whole epochs, slices, the slice in which the prefix ends, and the last draw in it."""
+    """Per leaf: whole epochs and the draw at which the prefix ends, of which no row is in it.
+
+    If ``counted`` has ``digest``, of rows with that draw those with a smaller digest than ``tie`` are
+    in the prefix, and of those with that digest as many as ``more``.
+    """
     leaves = staged(counted.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("size"), F.count("*").alias("rows")), "leaves")
     plan = staged(
         budgets(leaves, mixture).select(
@@ -137,48 +172,50 @@ def _cuts(counted: DataFrame, mixture: Mixture) -> DataFrame:
     )
     placed = counted.join(broadcast_if_bounded(plan), list(LEVELS)).withColumn(
         "u", _place_in_order(F.col("key"), mixture.seed, F.col("epochs"))
-    ).withColumn("slice", F.floor(F.col("u") * F.col("slices")))
-    sums = staged(placed.groupBy(*LEVELS, "slice", "rest").agg(F.sum("n_tokens").alias("n")), "slices")
-    upto = F.sum("n").over(Window.partitionBy(*LEVELS).orderBy("slice"))
-    ends = (
-        sums.withColumn("upto", upto)
-        .where("upto > rest and upto - n <= rest")
-        .select(*LEVELS, F.col("slice").alias("end"), (F.col("upto") - F.col("n")).alias("before"))
     )
-    ends = staged(ends, "ends")
-    inside = placed.join(broadcast_if_bounded(ends), list(LEVELS)).where("slice = end")
-    # The default frame takes rows of equal draws together.
-    total = F.col("before") + F.sum("n_tokens").over(Window.partitionBy(*LEVELS).orderBy("u"))
-    last = inside.withColumn("total", total).where("total <= rest").groupBy(*LEVELS).agg(F.max("u").alias("last"))
+    sliced = lambda at: F.floor(at * F.col("slices"))
+    edges = _edges(placed.withColumn("slice", sliced(F.col("u"))).withColumn("before", F.lit(0).cast("bigint")), "u")
+    cuts = plan.select(*LEVELS, "epochs").join(edges.select(*LEVELS, "edge"), list(LEVELS), "left")
+    ties = edges.where("rows > 1")
+    if "digest" not in counted.columns or ties.isEmpty():
+        return cuts.withColumns({"tie": F.lit(None).cast("binary"), "more": F.lit(0).cast("bigint")})
+    ties = ties.select(*LEVELS, "edge", "before", F.ceil(F.sqrt("rows")).cast("bigint").alias("slices"))
+    tied = placed.drop("slices").join(broadcast_if_bounded(ties), list(LEVELS)).where("u = edge")
+    part = F.conv(F.substring(F.hex("digest"), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+    within = _edges(tied.withColumn("slice", sliced(part)), "digest")
+    more = F.floor((F.col("rest") - F.col("before")) / F.col("most")).cast("bigint")
     return staged(
-        plan.join(ends.select(*LEVELS, "end"), list(LEVELS), "left")
-        .join(last, list(LEVELS), "left")
-        .select(*LEVELS, "epochs", "slices", "end", F.coalesce("last", F.lit(-1.0)).alias("last")),
-        "cuts",
+        cuts.join(within.select(*LEVELS, F.col("edge").alias("tie"), more.alias("more")), list(LEVELS), "left").fillna(0, ["more"]), "cuts"
     )
 
 
-def _copies(mixture: Mixture) -> Column:
-    """How often a row is taken, from its key and the columns of its leaf's cut."""
+def _copies(mixture: Mixture, digest: Column | None = None) -> Column:
+    """How often a row is taken, from its key and the columns of its leaf's cut; without the ``more``."""
     u = _place_in_order(F.col("_key"), mixture.seed, F.col("epochs"))
-    piece = F.floor(u * F.col("slices"))
-    chosen = (piece < F.col("end")) | ((piece == F.col("end")) & (u <= F.col("last")))
+    chosen = u < F.col("edge")
+    if digest is not None:
+        # The digest is found for rows of that draw only.
+        chosen = chosen | ((u == F.col("edge")) & (digest < F.col("tie")))
     return (F.coalesce(F.col("epochs"), F.lit(0)) + F.coalesce(chosen, F.lit(False)).cast("int")).cast("int")
 
 
-def _counted(docs: DataFrame, mixture: Mixture, id_col: str, text_col: str, lang_col: str, source_col: str) -> tuple[DataFrame, DataFrame]:
+def _counted(
+    docs: DataFrame, mixture: Mixture, id_col: str, text_col: str, lang_col: str, source_col: str, by_row: bool
+) -> tuple[DataFrame, DataFrame]:
+    digest = [row_digest(packed_row(docs), docs).alias("_digest")] if by_row else []
     counted = docs.select(
         F.col(id_col).alias("doc_id"),
         *_keyed(docs, id_col, lang_col, source_col),
         (F.regexp_count(text_or_empty(text_col), F.lit(WORD)) + 1).cast("bigint").alias("n_tokens"),
+        *digest,
     )
     counted = staged(counted, "tokens")
     named = counted.select(
         F.col("_key").alias("key"), F.col("_domain").alias("domain"), F.col("_lang").alias("lang"),
-        F.col("_source").alias("source"), "n_tokens",
+        F.col("_source").alias("source"), "n_tokens", *([F.col("_digest").alias("digest")] if by_row else []),
     )
     return counted, _cuts(named, mixture).select(
-        *(F.col(level).alias(f"_{level}") for level in LEVELS), "epochs", "slices", "end", "last"
+        *(F.col(level).alias(f"_{level}") for level in LEVELS), "epochs", "edge", "tie", "more"
     )
 
 
@@ -187,7 +224,7 @@ def mix(
     lang_col: str = "lang", source_col: str = "source",
 ) -> DataFrame:
     """``doc_id, domain, lang, source, n_tokens, copies`` for every row; copies is 0 for rows left out."""
-    counted, cuts = _counted(docs, mixture, id_col, text_col, lang_col, source_col)
+    counted, cuts = _counted(docs, mixture, id_col, text_col, lang_col, source_col, by_row=False)
     keys = [f"_{level}" for level in LEVELS]
     return counted.join(broadcast_if_bounded(cuts), keys, "left").select(
         "doc_id", *(F.col(f"_{level}").alias(level) for level in LEVELS), "n_tokens", _copies(mixture).alias("copies")
@@ -199,11 +236,22 @@ def mixed_documents(
     lang_col: str = "lang", source_col: str = "source",
 ) -> DataFrame:
     """The chosen rows of ``docs`` with their columns, repeated as often as they are taken."""
-    _, cuts = _counted(docs, mixture, id_col, text_col, lang_col, source_col)
+    _, cuts = _counted(docs, mixture, id_col, text_col, lang_col, source_col, by_row=True)
     keys = [f"_{level}" for level in LEVELS]
-    columns = list(docs.columns)
-    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("_row"), *_keyed(docs, id_col, lang_col, source_col))
-    taken = packed.join(broadcast_if_bounded(cuts), keys).withColumn("_n", _copies(mixture)).where("_n > 0")
+    packed = docs.select(packed_row(docs).alias("_row"), *_keyed(docs, id_col, lang_col, source_col))
+    digest = row_digest(F.col("_row"), docs)
+    taken = packed.join(broadcast_if_bounded(cuts), keys).withColumn("_n", _copies(mixture, digest)).where("_n > 0")
     if mixture.max_epochs > 1:
         taken = taken.withColumn("_row", F.explode(F.array_repeat("_row", F.col("_n"))))
+    taken = taken.select("_row")
+    partly = cuts.where("more > 0")
+    if not partly.isEmpty():
+        # Rows that agree in all columns: one of them, as often as they fit, in about the root of that many tasks.
+        u = _place_in_order(F.col("_key"), mixture.seed, F.col("epochs"))
+        same = packed.join(broadcast_if_bounded(partly), keys).where((u == F.col("edge")) & (digest == F.col("tie")))
+        once = same.groupBy(*keys, "more").agg(F.first("_row").alias("_row"))
+        parts = once.withColumn("_parts", F.ceil(F.sqrt("more")).cast("bigint")).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1)))
+        share = F.expr("more div _parts + if(_part < more % _parts, 1, 0)")
+        spread = parts.withColumn("_share", share).repartition(*keys, "_part")
+        taken = taken.unionByName(spread.select("_row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_share")))).select("_row"))
     return taken.select("_row.*")

@@ -316,6 +316,19 @@ def test_mixed_rows_repeat_as_often_as_counted(spark):
     assert counted == {i: n for i, n in copies.items() if n} and max(copies.values()) == 3
 
 
+def test_rows_of_one_or_no_id_fill_the_budget(spark):
+    unlike = [(None, f"a b c{i}", "en", "src1") for i in range(50)]
+    same = [(None, "x y z", "de", "src1")] * 40 + [(3, "x y z", "fr", "src1")] * 40
+    docs = spark.createDataFrame([*unlike, *same], "doc_id long, text string, lang string, source string")
+    for epochs, share in ((1, 0.9), (3, 1.7)):
+        taken = mixing.mixed_documents(docs, mixing.Mixture(share=share, max_epochs=epochs)).collect()
+        by_lang = {lang: [r["text"] for r in taken if r["lang"] == lang] for lang in ("en", "de", "fr")}
+        tokens = int(4 * 130 * share)
+        assert tokens - 3 * 4 < 4 * len(taken) <= tokens
+        assert len(set(by_lang["en"])) == min(50, len(by_lang["en"])) and len(by_lang["de"]) == len(by_lang["fr"])
+        assert all(by_lang["en"].count(t) in (int(share), int(share) + 1, int(share) + 2) for t in by_lang["en"])
+
+
 # --- toxicity
 
 
