@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from modeforge.llm import decontam, hashtree, mixing, urlbloom
+from modeforge.llm import decontam, hashtree, lexsearch, mixing, urlbloom
 
 _BLANK = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -163,6 +163,19 @@ SELECT conv_id, call_id, turn, name, status, level, status <> 'no call' AND len(
   '{{"arguments":' || arguments || ',"id":' || to_json(call_id) || ',"level":' || coalesce(level::VARCHAR, 'null') || ',"name":' || coalesce(to_json(name), 'null') || ',"result":' || coalesce(to_json(content), 'null') || '}}' AS message FROM j"""
 
 
+_TERMS = _LOWER.format("coalesce(text, '')")
+_OP11 = f"""WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_TERMS}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms FROM documents),
+i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_TERMS}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+whole AS (SELECT count(*) AS docs, sum(len(terms))::BIGINT AS len FROM d WHERE len(terms) > 0),
+t AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d) WHERE term IN (SELECT term FROM i) GROUP BY 1, 2),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM t, whole GROUP BY 1),
+v AS (SELECT r, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(terms) * docs) // len))) AS v FROM t JOIN w USING (term) JOIN d USING (r), whole),
+s AS (SELECT item_id, r, sum(v)::BIGINT AS score FROM i JOIN v USING (term) GROUP BY 1, 2 HAVING sum(v) > 0)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+FROM s JOIN d USING (r) QUALIFY rank <= {lexsearch.TOP}"""
+
+
 def oracle_queries() -> dict[str, str]:
     return {
         "op1_tool_calls": _OP1,
@@ -172,4 +185,5 @@ def oracle_queries() -> dict[str, str]:
         "op7_decontamination": _OP7,
         "op8_fragment_join": _OP8,
         "op9_mixing": _op9(),
+        "op11_shared_search": _OP11,
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modeforge.llm import decontam, exactdup, fragjoin, hashtree, langmix, lbl, mixing, toolcalls, toxgrammar, urlbloom
+from modeforge.llm import decontam, exactdup, fragjoin, hashtree, langmix, lbl, lexsearch, mixing, toolcalls, toxgrammar, urlbloom
 from modeforge.llm.common import id_crc, table
 
 
@@ -63,6 +63,10 @@ def op10_toxicity_grammar(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_shared_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexsearch.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tool_calls": op1_tool_calls,
     "op2_language_mixture": op2_language_mixture,
@@ -74,4 +78,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fragment_join": op8_fragment_join,
     "op9_mixing": op9_mixing,
     "op10_toxicity_grammar": op10_toxicity_grammar,
+    "op11_shared_search": op11_shared_search,
 }
