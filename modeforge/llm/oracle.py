@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from modeforge.llm import decontam, hashtree, lexsearch, mixing, urlbloom
+from modeforge.llm import decontam, hashtree, lexsearch, mixing, spelling, urlbloom
 
 _BLANK = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -176,6 +176,31 @@ SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc
 FROM s JOIN d USING (r) QUALIFY rank <= {lexsearch.TOP}"""
 
 
+def _op12() -> str:
+    low = _LOWER.format("run")
+    return f"""WITH RECURSIVE runs AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, {low} AS run, count(*) AS c
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents) GROUP BY 1, 2),
+h AS (SELECT run, c, {_crc32("(id || ':' || run)")} AS h FROM runs),
+cut AS (SELECT CASE WHEN h % {spelling.ONE_IN} = 0 THEN substr(run, 1, (h % length(run))::INTEGER) || substr(run, (h % length(run))::INTEGER + 2) ELSE run END AS word, c FROM h),
+v AS (SELECT word, sum(c)::BIGINT AS n FROM cut WHERE length(word) >= {spelling.MIN_LENGTH} GROUP BY 1 HAVING sum(c) >= {spelling.MIN_COUNT}),
+gap AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1))::INTEGER AS i FROM v)),
+pair AS (SELECT a.word AS a, b.word AS b FROM gap a JOIN gap b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT word, rest FROM gap WHERE rest IN (SELECT word FROM v) UNION SELECT rest, word FROM gap WHERE rest IN (SELECT word FROM v)),
+near AS (SELECT a, count(*) AS n_near, arg_min(b, (-n, b)) AS form, max(n) AS form_n FROM pair JOIN v ON v.word = b GROUP BY 1),
+f AS (SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN form_n >= {spelling.TIMES} * n THEN form END AS form,
+  CASE WHEN form_n >= {spelling.TIMES} * n THEN form_n END AS form_n FROM v LEFT JOIN near ON a = word),
+walk AS (SELECT word, word AS root FROM f UNION ALL SELECT walk.word, f.form FROM walk JOIN f ON f.word = walk.root WHERE f.form IS NOT NULL),
+ends AS (SELECT walk.word, walk.root FROM walk JOIN f ON f.word = walk.root WHERE f.form IS NULL)
+SELECT f.*, root FROM f JOIN ends USING (word)"""
+
+
+# All given pages mark their article, so SQL can cut it out; the operator does not rely on that.
+_OP13 = """WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(?:</article>|<footer>|$)', 1) AS body FROM pages),
+b AS (SELECT page_id, url, regexp_replace(regexp_replace(body, '</?(?:p|h1|br)>', ' ', 'g'), '<[^>]*>', '', 'g') AS plain FROM a),
+c AS (SELECT page_id, url, trim(regexp_replace(replace(replace(replace(replace(plain, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\\s+', ' ', 'g')) AS text FROM b)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM c"""
+
+
 def oracle_queries() -> dict[str, str]:
     return {
         "op1_tool_calls": _OP1,
@@ -186,4 +211,6 @@ def oracle_queries() -> dict[str, str]:
         "op8_fragment_join": _OP8,
         "op9_mixing": _op9(),
         "op11_shared_search": _OP11,
+        "op12_spelling_forms": _op12(),
+        "op13_main_text": _OP13,
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modeforge.llm import decontam, exactdup, fragjoin, hashtree, langmix, lbl, lexsearch, mixing, toolcalls, toxgrammar, urlbloom
+from modeforge.llm import decontam, exactdup, fragjoin, hashtree, langmix, lbl, lexsearch, maintext, mixing, spelling, toolcalls, toxgrammar, urlbloom
 from modeforge.llm.common import id_crc, table
 
 
@@ -67,6 +67,14 @@ def op11_shared_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexsearch.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op12_spelling_forms(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+def op13_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return maintext.extract(table(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tool_calls": op1_tool_calls,
     "op2_language_mixture": op2_language_mixture,
@@ -79,4 +87,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_toxicity_grammar": op10_toxicity_grammar,
     "op11_shared_search": op11_shared_search,
+    "op12_spelling_forms": op12_spelling_forms,
+    "op13_main_text": op13_main_text,
 }

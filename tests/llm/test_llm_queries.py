@@ -67,7 +67,7 @@ def empty(spark, tmp_path_factory):
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_odd_and_empty_tables(spark, odd, empty, name):
     rows = queries.QUERIES[name](spark, odd).collect()
-    size = {"op1_tool_calls": 5, "op5_url_bloom": len(PAGES), "op11_shared_search": 6}.get(name, len(ODD))
+    size = {"op1_tool_calls": 5, "op5_url_bloom": len(PAGES), "op11_shared_search": 6, "op12_spelling_forms": 0, "op13_main_text": len(PAGES)}.get(name, len(ODD))
     assert len(rows) == size
     assert queries.QUERIES[name](spark, empty).count() == 0
     if name in oracle_queries():
