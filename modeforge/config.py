@@ -23,6 +23,8 @@ class MixtureConfig:
     # Stopping and regularisation constants of the solver.
     tol: float = 1e-3
     reg_covar: float = 1e-6
+    # Where the fit starts: "bins" of equal row count (further runs: seeded bins), or seeded "kmeans".
+    start: str = "bins"
 
     def __post_init__(self) -> None:
         if self.n_components < 1:
@@ -31,6 +33,8 @@ class MixtureConfig:
             raise ValueError("max_iter and n_init must be at least 1")
         if self.weight_concentration_prior <= 0:
             raise ValueError("weight_concentration_prior must be positive")
+        if self.start not in ("bins", "kmeans"):
+            raise ValueError("start must be 'bins' or 'kmeans'")
         if not self.clip_min < self.clip_max:
             raise ValueError("clip_min must lie below clip_max")
 
@@ -47,8 +51,9 @@ class TableSpec:
     are normalised: ``"mixture"`` (mode plus value within the mode) or
     ``"minmax"`` (rescaled to [-1, 1]).  ``categories`` is ``"ranked"`` (one-hot
     position is the frequency rank) or ``"codes"`` (the value is the position).
-    A categorical column becomes a one-hot block, or one index column if it is
-    listed in ``indexed``; the data never decide that.
+    A categorical column becomes a one-hot block of columns, one index column if it is listed in
+    ``indexed``, or a one-hot block as a sparse vector if it is listed in ``sparse``; the data never
+    decide that.  A block of more than ``one_hot_width`` columns is an error.
     """
 
     categorical: Sequence[str | int] = ()
@@ -59,6 +64,8 @@ class TableSpec:
     unseen: str = "zero"
     missing_marker: float = MISSING_MARKER
     indexed: Sequence[str | int] = ()
+    sparse: Sequence[str | int] = ()
+    one_hot_width: int = 2048
 
     def __post_init__(self) -> None:
         if self.continuous not in ("mixture", "minmax"):

@@ -83,31 +83,36 @@ def _parts(requests: Sequence[ModeRequest]) -> list[list[ModeRequest]]:
     return parts
 
 
-# Whole numbers and decimals up to this many units survive scaling and back.
-_EXACT_UNITS = 1 << 49
 _WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 
-def lossy_number(x: str, kind: str) -> str:
-    """Whether a value of an exact type is too large to come back from a double."""
-    if kind in ("bigint", "decimal") or kind.startswith("decimal"):
-        scale = int(kind.rstrip(")").split(",")[1]) if "," in kind else 0
-        return f"abs({x}) >= CAST({_EXACT_UNITS / 10**scale!r} AS DOUBLE)"
-    return "false"
+def restored(value: str, kind: str) -> str:
+    """A decoded value in the type of its overflow column; null where it does not fit."""
+    if kind in _WHOLE:
+        return f"try_cast(round({value}) AS {kind})"
+    return value if kind == "double" else f"try_cast({value} AS {kind})"
 
 
-def overflow(x: str, p: str, cfg: MixtureConfig, kind: str) -> str:
-    """The raw value where the scaled one leaves the clip range, is undefined or inexact."""
-    inside = f"{p}ok AND {p}n >= {number(cfg.clip_min)} AND {p}n <= {number(cfg.clip_max)}"
-    inside += f" AND NOT {lossy_number(x, kind)}"
-    return f"CASE WHEN {inside} THEN NULL ELSE {x} END"
+def survives(x: str, value: str, kind: str) -> str:
+    """Whether decoding to ``value`` gives back ``x`` to the last bit, the sign of a zero included."""
+    back = restored(value, kind)
+    same = f"{back} = {x}"
+    if kind in ("double", "float"):
+        same += f" AND ({x} <> 0 OR CAST({back} AS STRING) = CAST({x} AS STRING))"
+    return f"coalesce({same}, false)"
 
 
-def restored(value: str, kind: str) -> str:
-    """A decoded value in the type of its overflow column."""
-    if kind in _WHOLE:
-        return f"CAST(round({value}) AS {kind})"
-    return value if kind == "double" else f"CAST({value} AS {kind})"
+def overflow(x: str, value: str, kind: str) -> str:
+    """The raw value where decoding, ``value``, would give another one."""
+    return f"CASE WHEN {survives(x, value, kind)} THEN NULL ELSE {x} END"
+
+
+def decoded(p: str, m: Mixture, cfg: MixtureConfig) -> str:
+    """What decoding makes of a value that ``with_modes`` has placed."""
+    n = normalized(p, cfg)
+    if cfg.clip_min < -1.0 or cfg.clip_max > 1.0:
+        n = mx.clipped(f"({n})", -1.0, 1.0)
+    return mx.unscaled(f"({n})", f"{p}z", m.kept_means, m.kept_spreads, cfg.normalization_factor)
 
 
 def normalized(p: str, cfg: MixtureConfig) -> str:
@@ -140,7 +145,8 @@ class ModeEncoder:
         ``key`` identifies rows and makes the mode draw repeatable (see
         ``functions.uniform``).  Null, NaN and infinite values get a null
         normalised value and an all-zero mode.  ``lossless`` adds ``overflow``
-        with the raw value of every row that clipping would damage; ``ranked``
+        with the raw value of every row that would be decoded to anything else,
+        by clipping, by rounding or for its type; ``ranked``
         orders the one-hot positions by descending frequency; ``with_mode``
         adds the position itself; ``drop_input`` keeps only the new columns.
         ``prefix`` goes before the new names, so that several columns of a table
@@ -169,7 +175,7 @@ class ModeEncoder:
             order = [*(str(places[i]) for i in range(len(places))), "CAST(NULL AS INT)"]
             out.append(f"{mx.lookup(f'{p}z', order)} AS {quoted(prefix + MODE)}")
         if lossless:
-            out.append(f"{overflow(x, p, cfg, kind)} AS {quoted(prefix + OVERFLOW)}")
+            out.append(f"{overflow(x, decoded(p, m, cfg), kind)} AS {quoted(prefix + OVERFLOW)}")
         kept = [] if drop_input else [quoted(c) for c in df.columns]
         return staged.selectExpr(*kept, *out)
 

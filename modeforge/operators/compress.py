@@ -1,8 +1,9 @@
 """The distinct values of numeric columns with their row counts, packed for the fit.
 
-Step one of the fit is a single scan that measures every column at once.  Step two groups the
-columns on their values, a few columns a scan; partial aggregation runs before the shuffle, so a hot
-value is one row of each task.  The groups are range partitioned in the order of column and value and
+Step one of the fit is a single scan that measures every column at once.  Step two, a single scan too,
+counts the values of all columns.  Equal values are merged before the shuffle, so a hot value is one row
+of each task: of a few columns by partial aggregation, of many in tables of bounded size that a task
+hands on whenever they are full.  The groups are range partitioned in the order of column and value and
 packed into binary blocks of some thousand values, one row each, which every iteration reads as
 arrays.  Nothing is merged or rounded, whatever the number of values.
 """
@@ -25,8 +26,11 @@ from modeforge.functions.text import number
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Columns that one scan groups, which bounds the groups of a task.
-_COLUMNS_AT_ONCE = 8
+# Up to so many columns are turned into rows for Spark's own aggregation.
+_FEW_COLUMNS = 8
+
+# Values of all columns that a task holds before it hands them on: some 30 MB with their merging.
+TABLE = 1_000_000
 
 # Values in a block.
 BLOCK = 8_192
@@ -99,21 +103,14 @@ def compress(
     ``model`` is the position of the column in ``columns``.
     """
     names = list(columns)
-    parts = []
-    for first in range(0, len(names), _COLUMNS_AT_ONCE):
-        some = names[first : first + _COLUMNS_AT_ONCE]
-        values = [f"{finite(columns[n])} AS v{first + i}" for i, n in enumerate(some)]
-        pairs = ", ".join(f"{first + i}, v{first + i}" for i in range(len(some)))
-        parts.append(
-            df.selectExpr(*values)
-            .selectExpr(f"stack({len(some)}, {pairs}) AS (model, v)")
-            .where("v IS NOT NULL")
-            .groupBy("model", "v")
-            .agg(F.count(F.lit(1)).alias("rows"))
-        )
-    grouped = parts[0]
-    for more in parts[1:]:
-        grouped = grouped.unionAll(more)
+    values = df.selectExpr(*(f"{finite(columns[n])} AS v{i}" for i, n in enumerate(names)))
+    if len(names) <= _FEW_COLUMNS:
+        pairs = ", ".join(f"{i}, v{i}" for i in range(len(names)))
+        counted = values.selectExpr(f"stack({len(names)}, {pairs}) AS (model, v)").where("v IS NOT NULL").groupBy("model", "v")
+        grouped = counted.agg(F.count(F.lit(1)).alias("rows"))
+    else:
+        counted = values.mapInArrow(value_tables, "model int, v double, n bigint").groupBy("model", "v")
+        grouped = counted.agg(F.sum("n").alias("rows"))
     centre = _per_model([number(profiles[n].mean) for n in names])
     scale = _per_model([number(profiles[n].scale) for n in names])
     return grouped.selectExpr(
@@ -121,6 +118,47 @@ def compress(
     )
 
 
+def value_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(model, v, n)``: how often every column has each value, in tables of at most ``TABLE`` values and a batch."""
+    held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+    size = 0
+    for batch in batches:
+        for model, column in enumerate(batch.columns):
+            values, counts = np.unique(column.drop_null().to_numpy(), return_counts=True)
+            if len(values):
+                held.setdefault(model, []).append((values, counts))
+                size += len(values)
+        if size > TABLE:
+            held = {model: [_merged(parts)] for model, parts in held.items()}
+            size = sum(len(parts[0][0]) for parts in held.values())
+            if size > TABLE // 2:
+                yield from _handed_on(held)
+                held, size = {}, 0
+    yield from _handed_on(held)
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    if len(parts) == 1:
+        return parts[0]
+    values = np.concatenate([v for v, _ in parts])
+    order = np.argsort(values, kind="stable")
+    values, counts = values[order], np.concatenate([n for _, n in parts])[order]
+    first = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    return values[first], np.add.reduceat(counts, first)
+
+
+def _handed_on(held: Mapping[int, list[tuple[np.ndarray, np.ndarray]]]) -> Iterator[pa.RecordBatch]:
+    for model, parts in held.items():
+        values, counts = _merged(parts)
+        for lo in range(0, len(values), BLOCK):
+            own = slice(lo, lo + BLOCK)
+            n = counts[own]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(n), model, np.int32)), pa.array(values[own]), pa.array(n.astype(np.int64))],
+                ["model", "v", "n"],
+            )
+
+
 def pack(cells: DataFrame, tasks: int) -> DataFrame:
     """Blocks of the values in order; ``before`` counts the column's earlier rows in the partition."""
     return (

@@ -2,8 +2,9 @@
 
 The packed values and counts (``operators.compress``) are the data of the fit, the
 distinct values of every column whatever their number.  Each iteration is one
-Spark job over them: every partition turns its blocks into sums per component,
-and only those sums, 3 K + 1 doubles per column and partition, reach the driver,
+Spark job over them: every task turns its blocks into sums per component, 3 K + 1
+doubles per column, which are added up in the cluster.  The number of tasks
+follows the slots and not the values; one row per column reaches the driver,
 which holds nothing but the component parameters.
 
 All columns, and all restarts of a column, advance in the same job.
@@ -12,7 +13,7 @@ All columns, and all restarts of a column, advance in the same job.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -28,6 +29,8 @@ from modeforge.operators.model import FitReport, Mixture, expected_log_constants
 from modeforge.operators.sums import (
     SCHEMA,
     Measure,
+    added,
+    cut_sums,
     draw_counts,
     moment_sums,
     partition_sums,
@@ -39,8 +42,14 @@ from modeforge.sources.scratch import cut_lineage
 # Fixed value: guards the division by an empty component.
 _TINY = 10 * np.finfo(float).eps
 
-# Values that one task handles per iteration, at least and at most.
-_FEW_CELLS, _MANY_CELLS = 8_192, 131_072
+# Values that one task should handle per iteration, at least and at most, and rounds of tasks at the most.
+_FEW_CELLS, _MANY_CELLS, _ROUNDS = 8_192, 131_072, 4
+
+# Steps of k-means at the most, and a move of all means (in spreads) that ends it.
+_K_MEANS_STEPS, _K_MEANS_TOLERANCE = 30, 1e-6
+
+# So many rows per column are added by the driver itself, as a shuffle takes longer.
+_DIRECT = 64
 
 
 def fit_mixture(df: DataFrame, column: str, config: MixtureConfig | None = None) -> Mixture:
@@ -71,7 +80,7 @@ def fit_profiled(
         if profiles[name].rows == 0:
             raise ValueError(f"no finite value to fit in {name}")
     cells = cut_lineage(compress(df, columns, profiles))
-    held, sizes = _hold(cells, len(names))
+    held = _hold(cells, len(names))
     try:
         chains = _initial_chains(held, [profiles[n] for n in names], cfg)
         _iterate(held, chains, cfg)
@@ -81,25 +90,45 @@ def fit_profiled(
         ]
         _label(held, best, cfg)
     finally:
-        held.unpersist()
+        held.blocks.unpersist()
     return {
-        name: best[i].mixture(profiles[name], sizes[i])
+        name: best[i].mixture(profiles[name], held.cells[i])
         for i, name in enumerate(names)
     }
 
 
-def _hold(cells: DataFrame, models: int) -> tuple[DataFrame, list[int]]:
+@dataclass(frozen=True)
+class _Held:
+    """The blocks, the tasks that read them and the distinct values of every column."""
+
+    blocks: DataFrame
+    tasks: int
+    cells: list[int]
+
+    def sums(self, run: Callable, chains: int, width: int) -> np.ndarray:
+        """One job: the sums of every chain."""
+        rows = self.blocks.mapInArrow(run, SCHEMA)
+        if self.tasks > _DIRECT:
+            rows = added(rows, chains)
+        out = np.zeros((chains, width))
+        for row in sorted(rows.collect(), key=lambda r: r["part"]):
+            out[row["chain"]] += row["sums"]
+        return out
+
+
+def _hold(cells: DataFrame, models: int) -> _Held:
     """Pack the values and keep the blocks in memory in partitions fit for the iterations."""
     counted = {r["model"]: r["count"] for r in cells.groupBy("model").count().collect()}
     rows = sum(counted.values())
     slots = cells.sparkSession.sparkContext.defaultParallelism
     tasks = min(math.ceil(rows / _FEW_CELLS), slots)
     if rows > slots * _MANY_CELLS:
-        # Whole rounds of tasks, so that the last round is not nearly empty.
-        tasks = slots * math.ceil(rows / (slots * _MANY_CELLS))
+        # Whole rounds of tasks, so that the last round is not nearly empty; blocks are streamed,
+        # so a task may have any number of them.
+        tasks = slots * min(_ROUNDS, math.ceil(rows / (slots * _MANY_CELLS)))
     # The checkpoint fixes the numbers of the partitions for good.
-    held = cut_lineage(pack(cells, tasks))
-    return held.persist(StorageLevel.MEMORY_AND_DISK), [counted[i] for i in range(models)]
+    held = cut_lineage(pack(cells, tasks)).persist(StorageLevel.MEMORY_AND_DISK)
+    return _Held(held, tasks, [counted[i] for i in range(models)])
 
 
 # --------------------------------------------------------------------------
@@ -185,26 +214,27 @@ class _Chain:
 
 
 def _initial_chains(
-    held: DataFrame, profiles: list[NumericProfile], cfg: MixtureConfig
+    held: _Held, profiles: list[NumericProfile], cfg: MixtureConfig
 ) -> list[_Chain]:
     """Hard start: bins of equal row count for run 0, seeded bins for further runs.
 
-    Partitions are ranges of the values in order, so the place of a value in the
+    With ``start="kmeans"`` all runs begin with seeded bins, which k-means then moves.  Partitions are ranges of the values in order, so the place of a value in the
     order is its running count in the partition behind the sum of those before.
     """
     k = cfg.n_components
-    edges = [np.arange(1, k) / k]
-    for run in range(1, cfg.n_init):
+    seeded = cfg.start == "kmeans"
+    edges = [] if seeded else [np.arange(1, k) / k]
+    for run in range(len(edges), cfg.n_init):
         edges.append(np.sort(np.random.default_rng([cfg.random_state, run]).random(k - 1)))
     totals = [0.0] * len(profiles)
     offsets = {}
-    parts = held.groupBy("part", "model").agg(F.sum("rows").alias("rows")).collect()
+    parts = held.blocks.groupBy("part", "model").agg(F.sum("rows").alias("rows")).collect()
     for r in sorted(parts):
         offsets[r["part"], r["model"]] = totals[r["model"]]
         totals[r["model"]] += r["rows"]
-    sums = np.zeros((len(profiles) * cfg.n_init, 3 * k))
-    for r in held.mapInArrow(start_sums(offsets, totals, edges), SCHEMA).collect():
-        sums[r["chain"]] += r["sums"]
+    sums = held.sums(start_sums(offsets, totals, edges), len(profiles) * cfg.n_init, 3 * k)
+    if seeded:
+        sums = _k_means(held, sums, k, cfg.n_init)
     sums = sums.reshape(len(profiles), cfg.n_init, 3, k)
     chains = []
     for model, profile in enumerate(profiles):
@@ -221,7 +251,26 @@ def _initial_chains(
     return chains
 
 
-def _iterate(held: DataFrame, chains: list[_Chain], cfg: MixtureConfig) -> None:
+def _k_means(held: _Held, sums: np.ndarray, k: int, runs: int) -> np.ndarray:
+    """Lloyd's steps in one dimension, all columns and runs in the same jobs.
+
+    A step takes the values to the closest mean, so a bin ends half way between two means.  Values are in
+    order, so their sums come from running sums.  An empty bin keeps its place.
+    """
+    centres = np.zeros((len(sums), k))
+    for _ in range(_K_MEANS_STEPS):
+        n, s1 = sums[:, :k], sums[:, k : 2 * k]
+        moved = np.sort(np.where(n > 0, s1 / np.maximum(n, 1.0), centres), axis=1)
+        still = np.abs(moved - centres).max() < _K_MEANS_TOLERANCE
+        centres = moved
+        if still:
+            break
+        cuts = [(c[1:] + c[:-1]) / 2 for c in centres]
+        sums = held.sums(cut_sums(cuts, runs), len(sums), 3 * k)
+    return sums
+
+
+def _iterate(held: _Held, chains: list[_Chain], cfg: MixtureConfig) -> None:
     """Expectation and maximisation until every chain has settled."""
     k = cfg.n_components
     moving = list(chains)
@@ -238,7 +287,7 @@ def _iterate(held: DataFrame, chains: list[_Chain], cfg: MixtureConfig) -> None:
             break
 
 
-def _label(held: DataFrame, chains: list[_Chain], cfg: MixtureConfig) -> None:
+def _label(held: _Held, chains: list[_Chain], cfg: MixtureConfig) -> None:
     """Which components stay, and how often each of them will be drawn.
 
     A component stays if its share exceeds ``eps`` and it is the likeliest one
@@ -255,13 +304,10 @@ def _label(held: DataFrame, chains: list[_Chain], cfg: MixtureConfig) -> None:
 
 
 def _sum_over_cells(
-    held: DataFrame, chains: list[_Chain], measure: Measure, width: int
+    held: _Held, chains: list[_Chain], measure: Measure, width: int
 ) -> np.ndarray:
     """One job: ``measure`` summed over all cells of each chain's column."""
     work: dict[int, list] = {}
     for i, chain in enumerate(chains):
         work.setdefault(chain.model, []).append((i, (*chain.densities(), chain.active)))
-    out = np.zeros((len(chains), width))
-    for row in held.mapInArrow(partition_sums(work, measure), SCHEMA).collect():
-        out[row["chain"]] += row["sums"]
-    return out
+    return held.sums(partition_sums(work, measure), len(chains), width)

@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from modeforge.functions.text import quoted
 
-# A dictionary up to this many bytes of text and entries is broadcast whole.
+# Dictionaries that are broadcast whole have up to this many bytes of text and entries, all together.
 BROADCAST_BYTES, ENTRY_BYTES = 64 << 20, 64
-# Of a larger one, so many of the most frequent entries, up to so long, are.
-HOT, HOT_LENGTH = 10_000, 256
-# Parts over which a value that is frequent but not among those is spread.
-PARTS = 8
+# Of each larger one so many of the most frequent entries, up to so long, are, and of all so many.
+HOT, HOT_LENGTH, HOT_IN_ALL = 10_000, 256, 100_000
+# Rows of one value that one task joins; a value that more rows lack is spread over several.
+ROWS_A_PART = 500_000
+# Parts on a stream, whose rows can't be counted before.
+STREAM_PARTS = 8
 
 
 @dataclass(frozen=True)
@@ -27,8 +29,8 @@ class Dictionary:
     text_bytes: int
 
     @property
-    def small(self) -> bool:
-        return self.text_bytes + ENTRY_BYTES * self.size <= BROADCAST_BYTES
+    def bytes(self) -> int:
+        return self.text_bytes + ENTRY_BYTES * self.size
 
 
 @dataclass(frozen=True)
@@ -50,41 +52,67 @@ class Lookup:
 def look_up(df: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     """All lookups at once.
 
-    Dictionaries within the bound are broadcast.  Of others the frequent entries are, and the rows
-    that still lack a value of any column, and only those, are joined with the rest by shuffle.
+    The smallest dictionaries are broadcast, as many as stay within one bound together.  Of the others
+    the frequent entries are, and the rows that still lack a value of any column, and only those, are
+    joined with the rest by shuffle.
     """
-    large = [x for x in lookups if not x.dictionary.small]
+    small = within_budget([x.dictionary for x in lookups])
+    large = [x for x, fits in zip(lookups, small) if not fits]
+    hot = hot_entries(len(large))
     for x in lookups:
-        hot = x.entries(_hot() if x in large else "true")
-        df = df.join(F.broadcast(hot), F.expr(x.key) == F.col("__match"), "left").drop("__match")
+        entries = x.entries(hot if x in large else "true")
+        df = df.join(F.broadcast(entries), F.expr(x.key) == F.col("__match"), "left").drop("__match")
     if not large:
         return df
     pending = [f"({x.name} IS NULL AND ({x.key}) IS NOT NULL)" for x in large]
     some = " OR ".join(pending)
     done, rest = df.where(f"NOT ({some})"), df.where(some)
     for x in large:
-        rest = _joined(rest, x)
+        rest = _joined(rest, x, hot)
     return done.unionByName(rest)
 
 
-def _hot() -> str:
-    return f"idx < {HOT} AND octet_length(value) <= {HOT_LENGTH}"
+def within_budget(dictionaries: Sequence[Dictionary]) -> list[bool]:
+    """Which of them are broadcast whole: the smallest, up to the bound of all."""
+    fits = [False] * len(dictionaries)
+    left = BROADCAST_BYTES
+    for i in sorted(range(len(dictionaries)), key=lambda i: dictionaries[i].bytes):
+        left -= dictionaries[i].bytes
+        fits[i] = left >= 0
+    return fits
 
 
-def _joined(rows: DataFrame, x: Lookup) -> DataFrame:
-    """The shuffle join; a value that no entry has may be frequent, so keys are salted."""
+def hot_entries(large: int) -> str:
+    """Condition on the entries of each of so many large dictionaries that are broadcast."""
+    return f"idx < {min(HOT, HOT_IN_ALL // max(1, large))} AND octet_length(value) <= {HOT_LENGTH}"
+
+
+def _joined(rows: DataFrame, x: Lookup, hot: str) -> DataFrame:
+    """The shuffle join; a value that is not among the hot entries may be frequent all the same, so its
+    rows, counted by hashes, are dealt over as many parts as they need."""
     kept = [quoted(c) for c in rows.columns if c != x.name]
-    keyed = rows.selectExpr(
-        "*",
-        f"CASE WHEN {x.name} IS NULL THEN {x.key} END AS __key",
-        f"CAST(pmod(monotonically_increasing_id(), {PARTS}) AS INT) AS __part",
-    )
-    rare = x.entries(f"NOT ({_hot()})").selectExpr(
-        "__match", f"{x.name} AS __rare", f"explode(sequence(0, {PARTS - 1})) AS __other"
-    )
+    keyed = rows.selectExpr("*", f"CASE WHEN {x.name} IS NULL THEN {x.key} END AS __key")
     # Rows without a key here match nothing and would otherwise meet in one task.
     open_rows, others = keyed.where("__key IS NOT NULL"), keyed.where("__key IS NULL")
-    found = open_rows.join(
+    rare = x.entries(f"NOT ({hot})").withColumnRenamed(x.name, "__rare")
+    # The part follows from the row, so a repeated task deals the same.
+    salt = F.xxhash64(*(F.col(quoted(f.name)) for f in rows.schema.fields if f.name != x.name and f.dataType.typeName() != "map"))
+    if rows.isStreaming:
+        parts = F.lit(STREAM_PARTS)
+    else:
+        crowded = (
+            open_rows.groupBy(F.xxhash64("__key").alias("__hash"))
+            .agg(F.count("*").alias("n"))
+            .where(F.col("n") > ROWS_A_PART)
+            .select("__hash", F.ceil(F.col("n") / ROWS_A_PART).cast("int").alias("__parts"))
+        )
+        # At most one value of ROWS_A_PART rows, and 12 bytes for each.
+        open_rows = open_rows.withColumn("__hash", F.xxhash64("__key")).join(F.broadcast(crowded), "__hash", "left")
+        rare = rare.withColumn("__hash", F.xxhash64("__match")).join(F.broadcast(crowded), "__hash", "left")
+        parts = F.coalesce("__parts", F.lit(1))
+    dealt = open_rows.withColumn("__part", F.pmod(salt, parts).cast("int"))
+    rare = rare.select("__match", "__rare", F.explode(F.sequence(F.lit(0), parts - 1)).alias("__other"))
+    found = dealt.join(
         rare, (F.col("__key") == F.col("__match")) & (F.col("__part") == F.col("__other")), "left"
     ).selectExpr(*kept, f"__rare AS {x.name}")
     return found.unionByName(others.selectExpr(*kept, x.name))

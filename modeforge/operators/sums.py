@@ -13,6 +13,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
+from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from modeforge.functions.mixture import SMOOTHING
@@ -23,7 +24,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _CHUNK = 2048
 
 SCHEMA = StructType(
-    [StructField("chain", IntegerType()), StructField("sums", ArrayType(DoubleType()))]
+    [
+        StructField("chain", IntegerType()),
+        StructField("part", IntegerType()),
+        StructField("sums", ArrayType(DoubleType())),
+    ]
 )
 
 Measure = Callable[..., np.ndarray]
@@ -39,13 +44,15 @@ def partition_sums(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         acc: dict[int, np.ndarray] = {}
+        part = 0
         for block in blocks(batches):
+            part = block.part
             for lo in range(0, len(block.z), _CHUNK):
                 own = slice(lo, lo + _CHUNK)
                 for i, params in work.get(block.model, ()):
                     s = measure(block.z[own], block.n[own], *params)
                     acc[i] = acc[i] + s if i in acc else s
-        yield from _rows(acc)
+        yield from _rows(acc, part)
 
     return run
 
@@ -60,8 +67,9 @@ def start_sums(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         acc: dict[int, np.ndarray] = {}
+        part = 0
         for block in blocks(batches):
-            z, n = block.z, block.n
+            part, z, n = block.part, block.z, block.n
             passed = offsets[block.part, block.model] + block.before + np.cumsum(n) - n / 2
             share = passed / totals[block.model]
             for i, cuts in enumerate(edges):
@@ -70,11 +78,47 @@ def start_sums(
                 s = np.concatenate([np.bincount(place, w, k) for w in (n, n * z, n * z * z)])
                 key = block.model * len(edges) + i
                 acc[key] = acc[key] + s if key in acc else s
-        yield from _rows(acc)
+        yield from _rows(acc, part)
 
     return run
 
 
+def cut_sums(
+    cuts: Sequence[np.ndarray], runs: int
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Counts and moments of the values between ``cuts``; set number as in ``start_sums``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        acc: dict[int, np.ndarray] = {}
+        part = 0
+        for block in blocks(batches):
+            part, z, n = block.part, block.z, block.n
+            # Values are in order, so the sums between cuts are differences of running sums.
+            running = [np.concatenate([[0.0], np.cumsum(w)]) for w in (n, n * z, n * z * z)]
+            for key in range(block.model * runs, (block.model + 1) * runs):
+                at = np.concatenate([[0], np.searchsorted(z, cuts[key], side="left"), [len(z)]])
+                s = np.concatenate([np.diff(w[at]) for w in running])
+                acc[key] = acc[key] + s if key in acc else s
+        yield from _rows(acc, part)
+
+    return run
+
+
+def added(partial: DataFrame, chains: int) -> DataFrame:
+    """One row per parameter set from the rows of all tasks, added in the order of the partitions."""
+    met = partial.repartition(chains, "chain").sortWithinPartitions("chain", "part")
+    return met.mapInArrow(_add, SCHEMA)
+
+
+def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    acc: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for chain, sums in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+            s = np.array(sums)
+            acc[chain] = acc[chain] + s if chain in acc else s
+    yield from _rows(acc, 0)
+
+
 class Block(NamedTuple):
     part: int
     model: int
@@ -92,14 +136,15 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
             yield Block(part[i], model[i], before[i], *arrays)
 
 
-def _rows(acc: Mapping[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+def _rows(acc: Mapping[int, np.ndarray], part: int) -> Iterator[pa.RecordBatch]:
     if acc:
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(list(acc), pa.int32()),
+                pa.array([part] * len(acc), pa.int32()),
                 pa.array([v.tolist() for v in acc.values()], pa.list_(pa.float64())),
             ],
-            names=["chain", "sums"],
+            names=["chain", "part", "sums"],
         )
 
 

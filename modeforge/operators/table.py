@@ -2,10 +2,11 @@
 
 A column becomes a block of double columns: a continuous one a normalised value
 and a one-hot mode, a mixed one the same with its modal values as extra
-positions, a categorical one a one-hot category.  Fitting reads the table a
+positions, a categorical one a one-hot category, an index, or a sparse vector.  Fitting reads the table a
 fixed number of times whatever its width: one pass for measures, one for
 categories, one to compress the numeric columns.  Encoding and decoding are
-projections.
+projections.  Categories are tables too, looked up by joins: only those of narrow blocks,
+``LITERALS`` at the most, are ever taken to the driver.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from modeforge.functions import mixture as mx
 from modeforge.functions.scaling import from_min_max, to_min_max
 from modeforge.functions.text import first_largest, largest, number, quoted, string
 from modeforge.functions.uniform import key_columns
-from modeforge.operators.codec import ModeRequest, flat_decode, lossy_number, normalized, overflow, restored, with_modes
+from modeforge.operators.codec import ModeRequest, decoded, flat_decode, normalized, overflow, restored, with_modes
 from modeforge.operators.compress import NumericProfile, profile_numeric
 from modeforge.operators.fit import fit_profiled
 from modeforge.operators.model import Mixture, from_parameters, parameters
@@ -48,8 +49,8 @@ class ColumnCode:
     ``points`` are the modal values of a mixed column with their normalised
     values; ``order`` lists the one-hot positions (points first, then modes) by
     descending frequency.  ``values`` are categories in their string form.
-    ``indexed`` columns have one index column; a ``dictionary`` holds their
-    categories unless codes are their own index.
+    ``indexed`` columns have one index column and ``sparse`` ones a vector; a ``dictionary``
+    holds their categories, and those of wide blocks, unless codes are their own place.
     """
 
     name: str
@@ -65,6 +66,7 @@ class ColumnCode:
     size: int = 0
     indexed: bool = False
     dictionary: Dictionary | None = None
+    sparse: bool = False
 
     @property
     def blocks(self) -> list[tuple[int, str]]:
@@ -76,7 +78,8 @@ class ColumnCode:
 
     @property
     def width(self) -> int:
-        return sum(w for w, _ in self.blocks)
+        """Flat columns; a sparse vector is none of them."""
+        return 0 if self.sparse else sum(w for w, _ in self.blocks)
 
 
 def modal_norms(
@@ -134,8 +137,11 @@ class TableEncoder:
         if set(categorical) & set(mixed):
             raise ValueError("a column cannot be both categorical and mixed")
         indexed = [_named(c, columns) for c in spec.indexed]
-        if not set(indexed) <= set(categorical):
-            raise ValueError("only categorical columns can be indexed")
+        sparse = [_named(c, columns) for c in spec.sparse]
+        if not set(indexed) | set(sparse) <= set(categorical):
+            raise ValueError("only categorical columns can be indexed or sparse")
+        if set(indexed) & set(sparse):
+            raise ValueError("a column cannot be both indexed and sparse")
         types = {f.name: f.dataType for f in df.schema.fields}
         numeric = [c for c in columns if c not in categorical]
         for c in numeric:
@@ -159,13 +165,9 @@ class TableEncoder:
                 sizes[f"{c}:{i}"] = f"count_if({quoted(c)} = {number(v)})"
         profiles, counted = profile_numeric(df, exprs, sizes)
 
-        # One pass: categories of all columns that get a one-hot block, whose
-        # width is a column of the output each, so there are few enough to collect.
-        narrow = [c for c in categorical if c not in indexed and spec.categories == "ranked"]
-        values: dict[str, list[str]] = {c: [] for c in narrow}
-        if narrow:
-            for row in ranked_categories(df, narrow).orderBy("column", "idx").collect():
-                values[row["column"]].append(row["value"])
+        # One pass: categories of all columns that get a one-hot block of columns.
+        narrow = [c for c in categorical if c not in [*indexed, *sparse] and spec.categories == "ranked"]
+        values, tables = self._blocks(df, narrow)
 
         mixtures = {}
         if spec.continuous == "mixture":
@@ -179,7 +181,7 @@ class TableEncoder:
         for c in columns:
             ddl = types[c].simpleString()
             if c in categorical:
-                codes.append(self._category(df, c, ddl, values.get(c), counted, c in indexed))
+                codes.append(self._category(df, c, ddl, values.get(c), tables.get(c), counted, c in indexed, c in sparse))
             elif c in mixed:
                 hits = [counted[f"{c}:{i}"] for i in range(len(mixed[c]))]
                 codes.append(self._mixed(c, ddl, profiles[c], mixtures, mixed[c], hits))
@@ -188,14 +190,46 @@ class TableEncoder:
         self._codes = codes
         return self
 
+    def _blocks(
+        self, df: DataFrame, narrow: list[str]
+    ) -> tuple[dict[str, list[str]], dict[str, Dictionary]]:
+        """Categories of one-hot columns: lists of the few, tables of the others."""
+        if not narrow:
+            return {}, {}
+        ranked = ranked_categories(df, narrow)
+        measured = ranked.groupBy("column").agg(F.count("*").alias("n"), F.sum(F.octet_length("value")).alias("size"))
+        found = {r["column"]: (r["n"], r["size"]) for r in measured.collect()}
+        for c, (n, _) in found.items():
+            self._check_width(c, n)
+        few = [c for c in narrow if found.get(c, (0, 0))[0] <= LITERALS and found.get(c, (0, 0))[1] <= LITERAL_BYTES]
+        values: dict[str, list[str]] = {c: [] for c in few}
+        if few:
+            for row in ranked.where(F.col("column").isin(few)).orderBy("column", "idx").collect():
+                values[row["column"]].append(row["value"])
+        tables = {
+            c: Dictionary(ranked.where(F.col("column") == c).select("value", "idx"), *found[c])
+            for c in narrow
+            if c not in values
+        }
+        return values, tables
+
+    def _check_width(self, c: str, width: int) -> None:
+        if width > self.spec.one_hot_width:
+            raise ValueError(
+                f"column {c} has {width} categories, more than the {self.spec.one_hot_width} columns a one-hot block "
+                "may have; list it in indexed or sparse, or raise one_hot_width"
+            )
+
     def _category(
         self,
         df: DataFrame,
         c: str,
         ddl: str,
         values: list[str] | None,
+        table: Dictionary | None,
         counted: dict[str, object],
         indexed: bool,
+        sparse: bool,
     ) -> ColumnCode:
         if self.spec.categories == "codes":
             if (counted[f"{c}:min"] or 0) < 0:
@@ -203,14 +237,16 @@ class TableEncoder:
             top = counted[f"{c}:max"]
             # A null counts as a category of its own when positions are codes.
             size = (0 if top is None else top + 1) + (1 if counted[f"{c}:null"] else 0)
-            names = () if indexed else tuple(str(i) for i in range(size))
-            return ColumnCode(c, CATEGORICAL, ddl, values=names, size=size, indexed=indexed)
-        if indexed:
+            if not indexed and not sparse:
+                self._check_width(c, size)
+            return ColumnCode(c, CATEGORICAL, ddl, size=size, indexed=indexed, sparse=sparse)
+        if indexed or sparse:
             ranked = ranked_categories(df, [c]).select("value", "idx")
             measured = ranked.agg(F.count("*"), F.sum(F.octet_length("value"))).first()
-            dictionary = Dictionary(ranked, measured[0], measured[1] or 0)
+            table = Dictionary(ranked, measured[0], measured[1] or 0)
+        if table is not None:
             return ColumnCode(
-                c, CATEGORICAL, ddl, size=dictionary.size, indexed=True, dictionary=dictionary
+                c, CATEGORICAL, ddl, size=table.size, indexed=indexed, dictionary=table, sparse=sparse
             )
         return ColumnCode(c, CATEGORICAL, ddl, values=tuple(values), size=len(values))
 
@@ -278,7 +314,9 @@ class TableEncoder:
                 entries = read_parquet(spark, f"{path}/dictionary-{i}")
                 dictionary = Dictionary(entries, plain["size"], row["text_bytes"])
             codes.append(ColumnCode(**tuples, mixture=mixtures.get(str(i)), dictionary=dictionary))
-        spec = settings["spec"] | {"mixed": dict(map(tuple, settings["spec"]["mixed"]))}
+        # What was left empty is the default again, an empty tuple.
+        given = {k: v for k, v in settings["spec"].items() if v != []}
+        spec = given | {"mixed": dict(map(tuple, settings["spec"]["mixed"]))}
         return cls.from_codes(codes, TableSpec(**spec), MixtureConfig(**settings["config"]))
 
     # ------------------------------------------------------------- layout
@@ -290,23 +328,37 @@ class TableEncoder:
 
     @property
     def output_dimensions(self) -> int:
+        """The number of flat columns."""
         return sum(code.width for code in self.codes)
 
     def layout(self, spark: SparkSession) -> DataFrame:
+        """``start`` is the first flat column of a block; null for a sparse vector."""
         rows, start = [], 0
         for code in self.codes:
             for width, activation in code.blocks:
-                rows.append((code.name, start, width, activation))
-                start += width
+                rows.append((code.name, None if code.sparse else start, width, activation))
+                start += 0 if code.sparse else width
         return spark.createDataFrame(rows, LAYOUT_SCHEMA)
 
+    def _categories(self, code: ColumnCode) -> list[str] | None:
+        """The categories of a block of columns, as many as it is wide at the most."""
+        if code.kind != CATEGORICAL:
+            return None
+        if code.indexed or code.sparse:
+            return []
+        if self.spec.categories == "codes":
+            return [str(i) for i in range(code.size)]
+        if code.dictionary is not None:
+            return [r["value"] for r in code.dictionary.entries.orderBy("idx").collect()]
+        return list(code.values)
+
     def metadata(self, spark: SparkSession) -> DataFrame:
         rows = [
             (
                 c.name, c.kind, c.low, c.high,
                 c.size if c.kind == CATEGORICAL else None,
                 list(c.points) if c.kind == MIXED else None,
-                list(c.values) if c.kind == CATEGORICAL else None,
+                self._categories(c),
             )
             for c in self.codes
         ]
@@ -323,51 +375,50 @@ class TableEncoder:
         lossless: bool = False,
         portable: bool = False,
     ) -> DataFrame:
-        """Columns ``keep``, then ``col_0 ... col_{D-1}``.
+        """Columns ``keep``, then ``col_0 ... col_{D-1}``, then ``sparse_<column>`` of sparse columns.
 
+        A sparse vector is ``struct<size, indices, values>``.
         ``lossless`` adds ``overflow_<column>`` with the raw value of the rows
-        that clipping would damage.
+        that would be decoded to anything else.
         """
         cfg, keys = self.config, key_columns(key)
         types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
         df = self._with_places(df)
-        requests, out, extra = [], [], []
+        requests, out, extra, vectors = [], [], [], []
         for i, code in enumerate(self.codes):
             p, x = f"__{i}_", quoted(code.name)
             if code.kind == CATEGORICAL:
                 if code.indexed:
                     out.append(f"CAST({p}idx AS DOUBLE)")
+                elif code.sparse:
+                    vectors.append(f"{_vector(f'{p}idx', code.size)} AS {quoted('sparse_' + code.name)}")
                 else:
                     out += [mx.indicator(f"{p}idx = {k}") for k in range(code.size)]
                 continue
             if code.mixture is not None:
-                apart = _apart_from(x, code.points)
-                requests.append(ModeRequest(apart, code.name, code.mixture, p))
+                requests.append(ModeRequest(_apart_from(x, code.points), code.name, code.mixture, p))
                 norm, modes = normalized(p, cfg), len(code.mixture.kept)
-                spill = overflow(apart, p, cfg, types[code.name])
+                back = decoded(p, code.mixture, cfg)
             elif code.point_norms:
                 norm, modes = "CAST(NULL AS DOUBLE)", 0
-                spill = _apart_from(x, code.points)
+                back = norm
             else:
                 norm, modes = to_min_max(mx.finite(x), code.low, code.high), 0
-                apart = _apart_from(x, code.points)
-                kept = f"{x} BETWEEN {number(code.low)} AND {number(code.high)}"
-                kept += f" AND NOT {lossy_number(x, types[code.name])}"
-                spill = f"CASE WHEN {kept} THEN NULL ELSE {apart} END"
+                back = from_min_max(f"({norm})", code.low, code.high)
             if lossless:
+                if code.points:
+                    back = f"CASE {_whens(x, code.points, code.points)} ELSE {back} END"
+                spill = overflow(x, f"({back})", types[code.name])
                 extra.append(f"{spill} AS {quoted('overflow_' + code.name)}")
             if code.points:
                 norms = code.point_norms or [0.0] * len(code.points)
-                whens = " ".join(
-                    f"WHEN {x} = {number(v)} THEN {number(n)}" for v, n in zip(code.points, norms)
-                )
-                norm = f"CASE {whens} ELSE {norm} END"
+                norm = f"CASE {_whens(x, code.points, norms)} ELSE {norm} END"
             hot = [mx.indicator(f"{x} = {number(v)}") for v in code.points]
             hot += [mx.indicator(f"{p}z = {k}") for k in range(modes)]
             out += [norm, *(hot[j] for j in code.order)]
         named = [f"{text} AS col_{i}" for i, text in enumerate(out)]
         staged = with_modes(df, requests, keys, cfg, portable)
-        return staged.selectExpr(*map(quoted, keep), *named, *extra)
+        return staged.selectExpr(*map(quoted, keep), *named, *vectors, *extra)
 
     def _with_places(self, df: DataFrame) -> DataFrame:
         """Add ``__{i}_idx``, the place of every category, found once per row."""
@@ -401,7 +452,7 @@ class TableEncoder:
                     f"THEN CAST(raise_error(concat({message}, {text})) AS BIGINT) ELSE {place} END"
                 )
             places.append(f"{place} AS __{i}_idx")
-            width += 0 if c.indexed else c.size
+            width += 0 if c.indexed or c.sparse else c.size
         found = {f"__{i}_idx" for i, _ in codes}
         df = df.selectExpr(*(quoted(c) for c in df.columns if c not in found), *places)
         # Wide blocks are compiled apart from the search.
@@ -419,13 +470,22 @@ class TableEncoder:
         """
         stages, out, start = [], [], 0
         types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-        lookups = []
+        lookups, places = [], []
         for i, code in enumerate(self.codes):
-            if code.dictionary is not None:
-                lookups.append(
-                    Lookup(code.dictionary, f"CAST(col_{start} AS BIGINT)", "idx", "value", f"__{i}_value")
-                )
+            block = [f"col_{start + j}" for j in range(code.width)]
             start += code.width
+            if code.kind == CATEGORICAL and not code.values and code.size:
+                if code.indexed:
+                    place = f"CAST({block[0]} AS BIGINT)"
+                elif code.sparse:
+                    place = _of_vector(quoted(f"sparse_{code.name}"))
+                else:
+                    place = _of_block(block)
+                places.append(f"{place} AS __{i}_place")
+                if code.dictionary is not None:
+                    lookups.append(Lookup(code.dictionary, f"__{i}_place", "idx", "value", f"__{i}_value"))
+        if places:
+            df = df.selectExpr("*", *places)
         df = look_up(df, lookups)
         start = 0
         for i, code in enumerate(self.codes):
@@ -434,8 +494,9 @@ class TableEncoder:
             start += code.width
             if code.dictionary is not None:
                 value = f"CAST({p}value AS {code.type})"
-            elif code.indexed:
-                value = f"CAST(CAST({block[0]} AS BIGINT) AS {code.type})"
+            elif code.kind == CATEGORICAL and not code.values:
+                # Codes are their own place.
+                value = f"CAST({f'{p}place' if code.size else 'NULL'} AS {code.type})"
             elif code.kind == CATEGORICAL:
                 place = first_largest(block, f"{p}b")
                 stages.append(
@@ -471,6 +532,31 @@ class TableEncoder:
         return df.selectExpr(*map(quoted, keep), *out)
 
 
+# Categories of a block whose places are found by comparing, and the bytes of all of them.
+LITERALS, LITERAL_BYTES = 64, 16_384
+
+
+def _vector(place: str, size: int) -> str:
+    """One-hot vector as size, indices and values; without a place it has no entry."""
+    return (
+        f"named_struct('size', {size}L, 'indices', CASE WHEN {place} IS NULL THEN CAST(array() AS array<bigint>) "
+        f"ELSE array(CAST({place} AS BIGINT)) END, 'values', CASE WHEN {place} IS NULL THEN CAST(array() AS array<double>) "
+        "ELSE array(1.0D) END)"
+    )
+
+
+def _of_vector(vector: str) -> str:
+    """The first place of the largest value of a vector; null if none is above 0."""
+    best = f"array_max({vector}.values)"
+    return f"CASE WHEN {best} > 0 THEN {vector}.indices[array_position({vector}.values, {best}) - 1] END"
+
+
+def _of_block(block: Sequence[str]) -> str:
+    """The same of a block of columns."""
+    columns = f"array({', '.join(block)})"
+    return f"CASE WHEN array_max({columns}) > 0 THEN array_position({columns}, array_max({columns})) - 1 END"
+
+
 # Columns whose decoding still fits into one compiled method, and one-hot columns
 # that do together with what comes before them.
 _DECODED_AT_ONCE, _WIDE = 4, 64
@@ -487,6 +573,10 @@ def _apart_from(x: str, points: Sequence[float]) -> str:
     return f"CASE WHEN {x} IN ({', '.join(map(number, points))}) THEN NULL ELSE {x} END"
 
 
+def _whens(x: str, points: Sequence[float], results: Sequence[float]) -> str:
+    return " ".join(f"WHEN {x} = {number(v)} THEN {number(r)}" for v, r in zip(points, results))
+
+
 def _named(column: str | int, columns: Sequence[str]) -> str:
     name = columns[column] if isinstance(column, int) else column
     if name not in columns:

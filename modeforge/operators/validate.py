@@ -39,6 +39,7 @@ class RoundTrip:
     finite: tuple[int, int]
     not_finite: int = 0
     changed: int = 0
+    inexact: int = 0
 
 
 @dataclass(frozen=True)
@@ -121,11 +122,13 @@ def round_trip(
     than that.  A second pass counts them only if the first one has found any.
     ``not_finite`` counts NaN and infinite originals, and ``changed`` those of
     them that were decoded to something else; a decoded null is no damage there,
-    as encoding without overflow leaves them out.
+    as encoding without overflow leaves them out.  ``inexact`` counts all rows whose
+    decoded value is not the original one to the last digit, nulls and NaN included.
     """
+    same = f"{quoted(original)} <=> {quoted(decoded)}"
     x, y = f"CAST({quoted(original)} AS DOUBLE)", f"CAST({quoted(decoded)} AS DOUBLE)"
-    pair = df.selectExpr(f"{x} AS rx", f"{y} AS ry").selectExpr(
-        "rx", "ry", f"{finite('rx')} AS x", f"{finite('ry')} AS y"
+    pair = df.selectExpr(f"{x} AS rx", f"{y} AS ry", f"{same} AS same").selectExpr(
+        "rx", "ry", "same", f"{finite('rx')} AS x", f"{finite('ry')} AS y"
     )
     row = pair.selectExpr(
         "count(1) AS rows",
@@ -134,6 +137,7 @@ def round_trip(
         "min(y) AS low_y",
         "max(y) AS high_y",
         "max(abs(x - y)) AS max_error",
+        "count_if(NOT same) AS inexact",
         "count_if(x IS NOT NULL AND y IS NULL) AS missing",
         "count_if(x IS NULL AND rx IS NOT NULL) AS not_finite",
         "count_if(x IS NULL AND rx IS NOT NULL AND ry IS NOT NULL AND NOT (rx <=> ry)) AS changed",
@@ -162,7 +166,7 @@ def round_trip(
     return RoundTrip(
         row["rows"], row["low"], row["high"], outside, row["max_error"],
         damaged + row["changed"], check, (row["finite_x"], row["finite_y"]),
-        row["not_finite"], row["changed"],
+        row["not_finite"], row["changed"], row["inexact"],
     )
 
 

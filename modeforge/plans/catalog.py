@@ -32,7 +32,12 @@ from modeforge.plans import samples
 from modeforge.plans.jobs import encode_job, generation_job
 from modeforge.sources import files
 from modeforge.sources.scratch import scratch_path
-from modeforge.streaming.encode import encode_stream, read_files_as_stream
+from modeforge.streaming.encode import (
+    decode_table_stream,
+    encode_stream,
+    encode_table_stream,
+    read_files_as_stream,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -125,6 +130,24 @@ def checked_write(spark, folder):
     )
 
 
+@query
+def checked_write_contents(spark, folder):
+    """A write whose contents are compared, and the same folder against a table with one changed value."""
+    df = table(spark, folder, "lineitem")
+    path = scratch_path(spark, "checked-contents")
+    report = files.write_checked(df, path, contents=True)
+    first = df.agg(F.min(F.struct(*LINE_KEY))).first()[0]
+    same_row = F.expr(" AND ".join(f"{c} = {v}" for c, v in zip(LINE_KEY, first)))
+    changed = df.withColumn("l_tax", F.when(same_row, F.col("l_tax") + 1e-9).otherwise(F.col("l_tax")))
+    rows, found = files.contents_of(spark, path)
+    other = changed.agg(files.checksum(changed)).first()[0]
+    shuffled = df.repartition(7).agg(files.checksum(df)).first()[0]
+    return spark.createDataFrame(
+        [(report.rows, rows, report.complete, report.checksum == found, int(shuffled) == found, int(other) == found)],
+        "rows bigint, rows_read_back bigint, complete boolean, same boolean, same_in_other_order boolean, same_when_changed boolean",
+    )
+
+
 # ------------------------------------- projections, filters, partitioning
 
 
@@ -369,6 +392,19 @@ def encode_lossless(spark, folder):
     return rounded(both.select("event_id", "normalized_value", "overflow", "decoded"))
 
 
+@query
+def encode_lossless_wide_range(spark, folder):
+    """Values from 0.01 to beyond 1e15 in one column, fitted and taken there and back to the last bit."""
+    df = table(spark, folder, "events").selectExpr(
+        "event_id", "CASE event_id % 3 WHEN 0 THEN value * 1e13D WHEN 1 THEN -value ELSE value / 10 END AS value"
+    )
+    encoder = ModeEncoder("value", fit_mixture(df, "value"))
+    coded = encoder.encode(df, "event_id", lossless=True)
+    return encoder.decode(coded, "decoded", keep_input=True).selectExpr(
+        "event_id", "value", "decoded", "decoded = value AS same", "overflow IS NULL OR overflow = value AS raw_kept"
+    )
+
+
 @query
 def encode_ranked(spark, folder):
     coded = event_encoder().encode(
@@ -528,6 +564,38 @@ def category_indexed_large(spark, folder):
     return back.selectExpr("o_orderkey", "col_0", "substring_index(name, ' ', -1) AS name")
 
 
+@query
+def category_sparse(spark, folder):
+    """As many categories as orders, as sparse one-hot vectors, and decoded again."""
+    df = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    spec = TableSpec(
+        categorical=["o_orderkey", "o_orderstatus"], columns=["o_orderkey", "o_orderstatus"], sparse=["o_orderkey"]
+    )
+    encoder = TableEncoder(spec).fit(df)
+    coded = encoder.transform(df)
+    kept = ["sparse_o_orderkey", *(f"col_{i}" for i in range(encoder.output_dimensions))]
+    return encoder.inverse_transform(coded, keep=kept).selectExpr(
+        "o_orderkey", "o_orderstatus", "sparse_o_orderkey.size AS width", "sparse_o_orderkey.indices[0] AS place",
+        "size(sparse_o_orderkey.values) AS entries", "sparse_o_orderkey.values[0] AS value", *kept[1:],
+    )
+
+
+@query
+def category_one_hot_table(spark, folder):
+    """A one-hot block of columns for more categories than are written into the plan, and its metadata."""
+    df = table(spark, folder, "lineitem").selectExpr(*LINE_KEY, "CAST(l_shipdate AS DATE) AS day").selectExpr(
+        *LINE_KEY, "concat(year(day), '-', month(day)) AS month"
+    )
+    encoder = TableEncoder(TableSpec(categorical=["month"], columns=["month"])).fit(df)
+    width = encoder.output_dimensions
+    block = f"array({', '.join(f'col_{i}' for i in range(width))})"
+    listed = encoder.metadata(spark).selectExpr("posexplode(categories) AS (idx, category)")
+    coded = encoder.transform(df, keep=LINE_KEY)
+    kept = coded.selectExpr("*", f"array_position({block}, 1.0D) - 1 AS place", f"aggregate({block}, 0.0D, (s, x) -> s + x) AS ones")
+    back = encoder.inverse_transform(kept, keep=[*LINE_KEY, "place", "ones"])
+    return back.join(listed, F.col("place") == F.col("idx")).drop("idx").withColumn("width", F.lit(width).cast("bigint"))
+
+
 @query
 def category_codes_one_hot(spark, folder):
     df = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
@@ -719,6 +787,14 @@ def distribution_test_unequal(spark, folder):
     return _tested(spark, ks)
 
 
+@query
+def distribution_test_exact(spark, folder):
+    """The exact p-value of samples of unequal size; beyond the size of exact tests the asymptotic one."""
+    suppliers = table(spark, folder, "supplier").select("s_acctbal")
+    customers = table(spark, folder, "customer").select("c_acctbal")
+    return _tested(spark, ks_two_sample(suppliers, customers, method="auto"))
+
+
 @query
 def bounds_test(spark, folder):
     made = generate.inflate(
@@ -771,6 +847,20 @@ def round_trip_check(spark, folder):
     )
 
 
+@query
+def round_trip_exact(spark, folder):
+    """Rows that do not come back to the last bit, with and without the raw values that are kept."""
+    encoder, df = event_encoder(), events(spark, folder)
+    out = []
+    for lossless in (False, True):
+        coded = encoder.encode(df, "event_id", lossless=lossless, portable=True)
+        both = encoder.decode(coded, "decoded", keep_input=True)
+        kept = both.where("overflow IS NOT NULL").count() if lossless else 0
+        trip = validate.round_trip(both, "value", "decoded")
+        out.append((lossless, trip.rows, trip.inexact, kept))
+    return spark.createDataFrame(out, "lossless boolean, rows bigint, inexact bigint, kept bigint")
+
+
 def _events_with_gaps(spark: SparkSession, folder: str) -> DataFrame:
     """Event values, NaN for errors; of a hundred others one is infinite and one null."""
     return table(spark, folder, "events").selectExpr(
@@ -882,3 +972,27 @@ def encode_file_stream(spark, folder):
         scratch_path(spark, "stream-state"), "event_id", portable=True,
     ).awaitTermination()
     return rounded(flattened(files.read_parquet(spark, out), "mode_encoding", 3))
+
+
+@query
+def table_file_stream(spark, folder):
+    """A fitted table encoder on a stream of files, an indexed and a sparse column among them, and back on another stream."""
+    lines = table(spark, folder, "lineitem")
+    spec = TableSpec(
+        categorical=["l_returnflag", "l_partkey", "l_suppkey"], indexed=["l_partkey"], sparse=["l_suppkey"],
+        columns=["l_quantity", "l_partkey", "l_suppkey", "l_returnflag"], continuous="minmax",
+    )
+    state = scratch_path(spark, "table-encoder")
+    TableEncoder(spec).fit(lines).save(spark, state)
+    encoder = TableEncoder.load(spark, state)
+    stream = read_files_as_stream(spark, folder, lines.schema, "lineitem.parquet")
+    coded, back = scratch_path(spark, "table-coded"), scratch_path(spark, "table-decoded")
+    encode_table_stream(
+        stream, encoder, coded, scratch_path(spark, "table-state"), keep=["l_orderkey", "l_linenumber"]
+    ).awaitTermination()
+    written = files.read_parquet(spark, coded)
+    kept = ["l_orderkey", "l_linenumber", *(f"col_{i}" for i in range(encoder.output_dimensions))]
+    decode_table_stream(
+        read_files_as_stream(spark, coded, written.schema), encoder, back, scratch_path(spark, "table-state"), keep=kept
+    ).awaitTermination()
+    return rounded(files.read_parquet(spark, back))

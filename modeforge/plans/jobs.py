@@ -40,11 +40,15 @@ def generation_job(
     target: int = 1_000_000,
     column: str = "Amount",
     schema: StructType | str | None = None,
+    contents: bool = False,
     **options,
 ) -> GenerationResult:
-    """Read a CSV, inflate one column to the target, write, count, describe."""
+    """Read a CSV, inflate one column to the target, write, count, describe.
+
+    ``contents`` compares the rows that are read back with those written, by checksum.
+    """
     source = read_csv(spark, input_path, schema)
-    written = write_checked(inflate(source, column, target, **options), output_path)
+    written = write_checked(inflate(source, column, target, **options), output_path, contents=contents)
     return GenerationResult(written, describe_columns(read_parquet(spark, output_path), [column]))
 
 
@@ -67,6 +71,7 @@ def encode_job(
     lossless: bool = False,
     threshold: float = THRESHOLD,
     relative: bool = False,
+    contents: bool = False,
     log: MetricsLog | None = None,
 ) -> EncodeResult:
     """Fit a column, encode all rows, write them, and check what was written.
@@ -74,14 +79,15 @@ def encode_job(
     The encoded rows keep their other columns and the raw value, so the check
     compares a row with itself, and it sees exactly what a reader of the output
     will see.
-    The measured time includes the write.
+    The measured time includes the write.  ``contents`` compares the rows that are
+    read back with those written, by checksum.
     """
     started = time.monotonic()
     df = read_parquet(spark, source) if isinstance(source, str) else source
     config = config or MixtureConfig()
     mixture = fit_mixture(df.select(quoted(column)), column, config)
     encoder = ModeEncoder(column, mixture, config)
-    written = write_checked(encoder.encode(df, key, lossless=lossless), output_path)
+    written = write_checked(encoder.encode(df, key, lossless=lossless), output_path, contents=contents)
     kept = read_parquet(spark, output_path)
     raw = kept.withColumnRenamed(column, RAW)
     checked = encoder.decode(raw, keep_input=True).select(RAW, quoted(column))

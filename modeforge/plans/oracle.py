@@ -78,6 +78,17 @@ def coded(m: Mixture, source: str, u: str, x: str = "x") -> str:
     )
 
 
+def exactly(m: Mixture) -> str:
+    """The decoded value of ``coded`` rows, in the order of operations that a lossless trip has to repeat."""
+    kept = [k for k in range(m.size) if m.active[k]]
+    width = [4.0 * m.variances[k] ** 0.5 for k in kept]
+    inverse = " ".join(f"WHEN {i} THEN {1.0 / w!r}::DOUBLE" for i, w in enumerate(width))
+    wide = " ".join(f"WHEN {i} THEN {w!r}::DOUBLE" for i, w in enumerate(width))
+    mean = " ".join(f"WHEN {i} THEN {m.means[k]!r}::DOUBLE" for i, k in enumerate(kept))
+    n = f"least(0.99::DOUBLE, greatest(-0.99::DOUBLE, (value - CASE z {mean} END)*CASE z {inverse} END))"
+    return f"({n}*CASE z {wide} END + CASE z {mean} END)"
+
+
 CLIPPED = "CASE WHEN n IS NOT NULL THEN least(0.99, greatest(-0.99, n)) END"
 
 
@@ -361,6 +372,8 @@ def oracle_queries() -> dict[str, str]:
         "parquet_sink": f"SELECT {LINE_KEY}, l_extendedprice FROM lineitem",
         "checked_write": """SELECT count(*) AS rows, count(*) AS rows_read_back, TRUE AS complete
             FROM lineitem""",
+        "checked_write_contents": """SELECT count(*) AS rows, count(*) AS rows_read_back, TRUE AS complete, TRUE AS same,
+            TRUE AS same_in_other_order, FALSE AS same_when_changed FROM lineitem""",
         "column_projection": "SELECT l_extendedprice FROM lineitem",
         "computed_projection": f"""SELECT {LINE_KEY}, {r('l_extendedprice', 4)} AS l_extendedprice
             FROM ({JITTERED.format(keys=LINE_KEY, x='l_extendedprice', u=line_u,
@@ -436,8 +449,13 @@ def oracle_queries() -> dict[str, str]:
             {', '.join(f"{hot(f'z = {i}')} AS mode_{i}" for i in range(3))} FROM ({EVENT_CODED})""",
         "decode_column": f"SELECT event_id, {r('value')} AS value, decoded FROM ({EVENT_DECODED})",
         "encode_lossless": f"""SELECT event_id, {r(CLIPPED)} AS normalized_value,
-            CASE WHEN abs(n) > 0.99 THEN {r('value')} END AS overflow, {r('value')} AS decoded
+            CASE WHEN {exactly(m)} <> value THEN {r('value')} END AS overflow, {r('value')} AS decoded
             FROM ({EVENT_CODED})""",
+        "encode_lossless_wide_range": """SELECT event_id, value, value AS decoded, TRUE AS same, TRUE AS raw_kept FROM (
+            SELECT event_id, CASE event_id % 3 WHEN 0 THEN value*1e13::DOUBLE WHEN 1 THEN -value ELSE value/10::DOUBLE END AS value FROM events)""",
+        "round_trip_exact": f"""WITH t AS (SELECT {exactly(m)} <> value AS off FROM ({EVENT_CODED}))
+            SELECT FALSE AS lossless, count(*) AS rows, count(*) FILTER (WHERE off) AS inexact, CAST(0 AS BIGINT) AS kept FROM t
+            UNION ALL SELECT TRUE, count(*), 0, count(*) FILTER (WHERE off) FROM t""",
         "encode_ranked": f"""SELECT event_id, {r(CLIPPED)} AS normalized_value, {order_hot},
             CASE z {ranked_place} END AS mode FROM ({EVENT_CODED})""",
         "decode_ranked": f"SELECT event_id, decoded FROM ({EVENT_DECODED})",
@@ -485,6 +503,14 @@ def oracle_queries() -> dict[str, str]:
         "category_indexed_large": """SELECT o_orderkey, CAST(row_number() OVER (
               ORDER BY CAST(o_orderkey AS VARCHAR)) - 1 AS DOUBLE) AS col_0,
             CAST(o_orderkey AS VARCHAR) AS name FROM orders""",
+        "category_sparse": f"""SELECT o_orderkey, o_orderstatus, (SELECT count(DISTINCT o_orderkey) FROM orders) AS width,
+            k.idx AS place, CAST(1 AS INT) AS entries, CAST(1 AS DOUBLE) AS value, {one_hot('s.idx', 3, 0)}
+            FROM orders JOIN ({ranked('o_orderstatus', 'orders')}) s ON s.value = o_orderstatus
+            JOIN ({ranked('CAST(o_orderkey AS VARCHAR)', 'orders')}) k ON k.value = CAST(o_orderkey AS VARCHAR)""",
+        "category_one_hot_table": f"""WITH m AS (SELECT {LINE_KEY}, concat(year(l_shipdate), '-', month(l_shipdate)) AS month FROM lineitem)
+            SELECT {LINE_KEY}, month, month AS category, idx AS place, CAST(1 AS DOUBLE) AS ones,
+              (SELECT count(DISTINCT month) FROM m) AS width
+            FROM m JOIN ({ranked('month', 'm')}) d ON d.value = month""",
         "category_codes_one_hot": f"""SELECT c_custkey, {one_hot('c_nationkey', 25, 0)}
             FROM customer""",
         "category_indexed": """SELECT l_orderkey, l_linenumber, CAST(idx AS DOUBLE) AS col_0,
@@ -552,7 +578,9 @@ def oracle_queries() -> dict[str, str]:
             SELECT CAST(k AS INT) AS k, {r('mean', 5)} AS mean, {r('variance', 5)} AS variance, {r('norm', 5)} AS norm,
               CAST(row_number() OVER (ORDER BY drawn DESC, k) - 1 AS INT) AS place FROM spots""",
         "table_lossless_min_max": f"""SELECT {LINE_KEY},
-            CASE WHEN l_quantity NOT BETWEEN lo AND hi THEN l_quantity END AS overflow_l_quantity,
+            CASE WHEN NOT l_quantity BETWEEN lo AND hi
+              OR (((l_quantity - lo)/(hi - lo)*2.0::DOUBLE - 1.0::DOUBLE) + 1.0::DOUBLE)/2.0::DOUBLE*(hi - lo) + lo <> l_quantity
+              THEN l_quantity END AS overflow_l_quantity,
             {r('l_quantity')} AS l_quantity, CAST(trunc(l_extendedprice*100) AS BIGINT)*1000003*10007 AS big
             FROM lineitem, (SELECT min(l_quantity) AS lo, max(l_quantity) AS hi FROM lineitem WHERE l_quantity <= 10)""",
         "generated_data": f"SELECT event_id, copy, {r('value')} AS value FROM ({inflated(25_000)})",
@@ -564,6 +592,20 @@ def oracle_queries() -> dict[str, str]:
             """SELECT value AS x, CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS a,
             CASE WHEN event_type = 'click' THEN 0 ELSE 1 END AS b FROM events"""
         ),
+        "distribution_test_exact": f"""WITH RECURSIVE series AS (FROM ({tested("""SELECT s_acctbal AS x, 1 AS a, 0 AS b FROM supplier
+              UNION ALL SELECT c_acctbal, 0, 1 FROM customer""")})),
+            test AS (FROM ({ks("""SELECT s_acctbal AS x, 1 AS a, 0 AS b FROM supplier
+              UNION ALL SELECT c_acctbal, 0, 1 FROM customer""")})),
+            size AS (SELECT CAST(n AS BIGINT) AS n, CAST(m AS BIGINT) AS m, CAST(m AS BIGINT)//gcd(n, m) AS right_by, CAST(n AS BIGINT)//gcd(n, m) AS up_by,
+              CAST(round(statistic*n*m/gcd(n, m)) AS BIGINT) AS most, greatest(n, m) <= 10000 AS exact FROM test),
+            walk AS (SELECT CAST(0 AS BIGINT) AS s, list_transform(range(0, n + 1), lambda i: 0.0::DOUBLE) AS v FROM size
+              UNION ALL SELECT s + 1, list_transform(range(0, n + 1), lambda i:
+                CASE WHEN s + 1 - i < 0 OR s + 1 - i > m THEN 0.0::DOUBLE WHEN abs(i*right_by - (s + 1 - i)*up_by) >= most THEN 1.0::DOUBLE
+                ELSE ((CASE WHEN i > 0 THEN v[i] ELSE 0.0::DOUBLE END)*i + v[i + 1]*(s + 1 - i))/(s + 1) END)
+              FROM walk, size WHERE s < n + m AND exact),
+            last AS (SELECT v[len(v)] AS p FROM walk, size WHERE s = n + m)
+            SELECT {r('statistic')} AS statistic, {r('coalesce((SELECT p FROM last), p_value)')} AS p_value,
+              coalesce((SELECT p FROM last), p_value) > 0.05 AS valid, n, m FROM series""",
         "bounds_test": f"""SELECT bool_and(value BETWEEN lo AND hi) AS valid,
             count(*) FILTER (WHERE NOT value BETWEEN lo AND hi) AS violations
             FROM ({inflated(20_000)}), (SELECT min(value) AS lo, max(value) AS hi FROM events)""",
@@ -608,6 +650,10 @@ def oracle_queries() -> dict[str, str]:
             {r('min(value)')} AS low, {r('max(value)')} AS high, CAST(0 AS BIGINT) AS outside,
             CAST(0 AS BIGINT) AS damaged, CAST(1 AS DOUBLE) AS accuracy,
             TRUE AS measured FROM events""",
+        "table_file_stream": f"""SELECT l_orderkey, l_linenumber, {r(scaled('l_quantity'))} AS col_0, CAST(p.idx AS DOUBLE) AS col_1,
+            {one_hot('f.idx', 3, 2)}, l_quantity, l_partkey, l_suppkey, l_returnflag
+            FROM lineitem JOIN ({ranked('l_returnflag', 'lineitem')}) f ON f.value = l_returnflag
+            JOIN ({ranked('CAST(l_partkey AS VARCHAR)', 'lineitem')}) p ON p.value = CAST(l_partkey AS VARCHAR)""",
         "encode_file_stream": f"""SELECT event_id, {r('value')} AS value,
             {r(CLIPPED)} AS normalized_value,
             {', '.join(f"{hot(f'z = {i}')} AS mode_{i}" for i in range(3))} FROM ({EVENT_CODED})""",

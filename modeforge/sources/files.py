@@ -7,10 +7,11 @@ import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from modeforge.functions.text import quoted
 from modeforge.functions.uniform import key_columns, keyed_uniform
 
 
@@ -102,6 +103,8 @@ class WriteReport:
     rows: int
     rows_read_back: int
     seconds: float
+    checksum: int | None = None
+    checksum_read_back: int | None = None
 
     @property
     def rows_per_second(self) -> float:
@@ -109,20 +112,44 @@ class WriteReport:
 
     @property
     def complete(self) -> bool:
-        return self.rows == self.rows_read_back
+        """As many rows, and the same ones where contents were compared."""
+        return self.rows == self.rows_read_back and self.checksum == self.checksum_read_back
 
 
-def write_checked(df: DataFrame, path: str, mode: str = "overwrite") -> WriteReport:
+def checksum(df: DataFrame) -> Column:
+    """A sum over the rows that their order does not change and that any changed value does."""
+    columns = [F.col(quoted(f.name)) if f.dataType.typeName() != "map" else F.to_json(F.col(quoted(f.name))) for f in df.schema.fields]
+    # The number of the column goes with its value, so that nulls and swapped values count.
+    marked = [x for i, c in enumerate(columns) for x in (F.when(c.isNull(), F.lit(-1 - i)).otherwise(F.lit(i)), c)]
+    return F.coalesce(F.sum(F.xxhash64(*marked).cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)")
+
+
+def write_checked(
+    df: DataFrame, path: str, mode: str = "overwrite", contents: bool = False
+) -> WriteReport:
     """Write parquet and confirm that as many rows can be read back.
 
     The rows are counted while they are written.  The read-back count selects
-    no columns, so it only visits the row counts in the file footers.
+    no columns, so it only visits the row counts in the file footers.  With
+    ``contents`` the rows written are summed up too and compared with all rows
+    as they are read back.
     """
     if mode not in ("overwrite", "error", "errorifexists"):
         raise ValueError("the row count can be checked only for a freshly written folder")
     spark = df.sparkSession
     seen = Observation()
     started = time.monotonic()
-    write_parquet(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, mode)
+    measures = [F.count(F.lit(1)).alias("rows"), *[checksum(df).alias("sum")] * contents]
+    write_parquet(df.observe(seen, *measures), path, mode)
     seconds = time.monotonic() - started
-    return WriteReport(path, seen.get["rows"], spark.read.parquet(path).count(), seconds)
+    if not contents:
+        return WriteReport(path, seen.get["rows"], spark.read.parquet(path).count(), seconds)
+    rows, found = contents_of(spark, path)
+    return WriteReport(path, seen.get["rows"], rows, seconds, int(seen.get["sum"]), found)
+
+
+def contents_of(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Number and checksum of the rows of a folder."""
+    written = spark.read.parquet(path)
+    rows, found = written.agg(F.count(F.lit(1)), checksum(written)).first()
+    return rows, int(found)

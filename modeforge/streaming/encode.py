@@ -2,7 +2,8 @@
 
 Encoding is a stateless projection, so a fitted encoder takes a streaming
 DataFrame as it is: no watermark, no state, and with a row key the same draws
-as in a batch job.
+as in a batch job.  Categories of a table are looked up in its dictionaries, which
+are static tables, so those too are joins without state.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from modeforge.operators.codec import ModeEncoder
+from modeforge.operators.table import TableEncoder
 
 
 def read_files_as_stream(
@@ -36,9 +38,42 @@ def encode_stream(
 
     ``available_now`` ends the query when all present files are done.
     """
+    return _append(encoder.encode(stream, key, **options), output_path, checkpoint_path, available_now)
+
+
+def encode_table_stream(
+    stream: DataFrame,
+    encoder: TableEncoder,
+    output_path: str,
+    checkpoint_path: str,
+    key: str | Sequence[str] | None = None,
+    available_now: bool = True,
+    **options,
+) -> StreamingQuery:
+    """Encode the rows of a table and append to parquet, exactly once per input file.
+
+    ``options`` are those of ``TableEncoder.transform``.
+    """
+    return _append(encoder.transform(stream, key, **options), output_path, checkpoint_path, available_now)
+
+
+def decode_table_stream(
+    stream: DataFrame,
+    encoder: TableEncoder,
+    output_path: str,
+    checkpoint_path: str,
+    keep: Sequence[str] = (),
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Decode encoded rows of a table and append to parquet, exactly once per input file."""
+    return _append(encoder.inverse_transform(stream, keep), output_path, checkpoint_path, available_now)
+
+
+def _append(
+    rows: DataFrame, output_path: str, checkpoint_path: str, available_now: bool
+) -> StreamingQuery:
     writer = (
-        encoder.encode(stream, key, **options)
-        .writeStream.format("parquet")
+        rows.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint_path)
     )

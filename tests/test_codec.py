@@ -177,3 +177,41 @@ def test_saved_settings_and_names(spark, events):
     coded = encoder.encode(big, "event_id", lossless=True)
     back = {r["event_id"]: r["value"] for r in encoder.decode(coded, keep_input=True).collect()}
     assert back == {1: 9007199254740993, 2: 40}
+
+
+def test_lossless_is_exact_to_the_last_bit(spark):
+    small = [0.01001, 0.01003, 0.01005, 0.1 + 0.2, 5e-324, -5e-324, 1 / 3]
+    wide = [1e15, 123456789012345.67, -1e15, 1e300, 0.0, -0.0, float("nan"), float("inf"), None]
+    df = rows(spark, [*small, *wide, *(0.01 + i * 1e-5 for i in range(1000)), *(1e12 * (i + 0.1) for i in range(1000))])
+    encoder = ModeEncoder("x", fit_mixture(df.where("abs(x) < 1e100"), "x", MixtureConfig(max_iter=5)))
+    for options in ({}, {"ranked": True}):
+        coded = encoder.encode(df, "id", lossless=True, **options)
+        back = encoder.decode(coded, "y", keep_input=True, **options)
+        for r in back.collect():
+            assert repr(r["x"]) == repr(r["y"]), r
+
+
+@pytest.mark.parametrize(
+    ("kind", "values"),
+    [
+        ("float", ["0.1", "3.4e38", "-0.0", "1e-45"]),
+        ("bigint", ["9223372036854775807", "-9223372036854775808", "9007199254740993", "7"]),
+        ("int", ["2147483647", "-2147483648", "0"]),
+        ("decimal(38,4)", ["9999999999999999999999999999999999.9999", "0.0001", "-12.5000"]),
+    ],
+)
+def test_lossless_for_all_types(spark, kind, values):
+    df = spark.createDataFrame(list(enumerate([*values, "1", "2", "3", None])), "id bigint, t string").selectExpr("id", f"CAST(t AS {kind}) AS x")
+    for encoder in (ModeEncoder("x", TWO), ModeEncoder("x", fit_mixture(df, "x", MixtureConfig(max_iter=3, n_components=2)))):
+        back = encoder.decode(encoder.encode(df, "id", lossless=True), "y", keep_input=True)
+        assert dict(back.dtypes)["y"] == kind
+        assert back.where("NOT (x <=> y) OR CAST(x AS STRING) <> CAST(y AS STRING)").isEmpty()
+
+
+def test_lossless_with_a_wide_clip_range(spark):
+    encoder = ModeEncoder("x", TWO, MixtureConfig(clip_min=-3.0, clip_max=3.0))
+    df = rows(spark, [0.3, 4.5, -7.77, 11.1, 25.0, 1e6])
+    for clip in (True, False):
+        back = encoder.decode(encoder.encode(df, "id", lossless=True), "y", keep_input=True, clip=clip)
+        if clip:
+            assert back.where("x <> y").isEmpty()

@@ -1,13 +1,14 @@
 import pytest
+from pyspark.sql import functions as F
 
-from modeforge import MetricsLog, MixtureConfig, ModeEncoder, encode_job, fit_mixture, generation_job
+from modeforge import MetricsLog, MixtureConfig, ModeEncoder, TableEncoder, TableSpec, encode_job, fit_mixture, generation_job
 from modeforge.operators.generate import inflate
 from modeforge.operators.metrics import measurement
-from modeforge.operators import profile
-from modeforge.sources import read_csv, read_parquet, read_sample, write_checked
+from modeforge.operators import lookup, profile
+from modeforge.sources import files, read_csv, read_parquet, read_sample, write_checked
 from modeforge.sources.files import keep_fraction, take_sample
 from modeforge.sources.scratch import scratch_path
-from modeforge.streaming.encode import encode_stream, read_files_as_stream
+from modeforge.streaming.encode import decode_table_stream, encode_stream, encode_table_stream, read_files_as_stream
 
 
 def test_csv_types(spark, events):
@@ -115,3 +116,58 @@ def test_stream_equals_batch(spark, events):
     late = events.selectExpr("event_id + 1000000 AS event_id", "event_type", "value")
     late.write.mode("append").parquet(folder)
     assert run().count() == 2 * events.count()
+
+
+def test_contents_are_checked(spark, tmp_path):
+    rows = [(i, None if i % 5 == 0 else i * 0.5, {"a": i} if i % 2 else None, [i, None], "x" if i % 3 else None) for i in range(200)]
+    schema = "k bigint, v double, m map<string, int>, a array<bigint>, s string"
+    df = spark.createDataFrame(rows, schema)
+    path = str(tmp_path / "out")
+    report = write_checked(df.repartition(4), path, contents=True)
+    assert report.complete and report.checksum is not None and report.checksum == files.contents_of(spark, path)[1]
+    # One other value, a value moved to another column, a row less, and nothing changed.
+    for k, changed in enumerate([
+        df.withColumn("v", F.expr("CASE WHEN k = 7 THEN v + 1e-9 ELSE v END")),
+        df.withColumn("s", F.expr("CASE WHEN k = 3 THEN 'x' ELSE s END")),
+        df.withColumn("v", F.expr("CASE WHEN k = 9 THEN NULL ELSE v END")),
+        df.where("k <> 11"),
+        df.orderBy(F.desc("k")),
+    ]):
+        other = str(tmp_path / f"changed-{k}")
+        changed.write.parquet(other)
+        assert (files.contents_of(spark, other)[1] == report.checksum) == (k == 4)
+    assert write_checked(df.limit(0), str(tmp_path / "none"), contents=True).complete
+    assert not files.WriteReport("x", 3, 3, 1.0, 5, 6).complete
+
+
+def test_jobs_check_contents(spark, events):
+    result = encode_job(
+        spark, events, scratch_path(spark, "out"), "value", key="event_id", lossless=True, contents=True,
+        config=MixtureConfig(max_iter=3),
+    )
+    assert result.written.complete and result.written.checksum == result.written.checksum_read_back is not None
+    assert result.validation.round_trip.inexact == 0
+
+
+def test_table_stream_equals_batch(spark, small, monkeypatch):
+    """With dictionaries that are broadcast, and with ones that are joined by shuffle."""
+    lines = spark.read.parquet(f"{small}/lineitem.parquet")
+    spec = TableSpec(
+        categorical=["l_shipdate", "l_returnflag", "l_suppkey"], indexed=["l_shipdate"], sparse=["l_suppkey"],
+        columns=["l_quantity", "l_shipdate", "l_suppkey", "l_returnflag"],
+    )
+    encoder = TableEncoder(spec, MixtureConfig(max_iter=3, n_components=3)).fit(lines)
+    key = ["l_orderkey", "l_linenumber"]
+    batch = encoder.transform(lines, key, keep=key, lossless=True)
+    for budget in (lookup.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(lookup, "BROADCAST_BYTES", budget)
+        monkeypatch.setattr(lookup, "HOT", 5)
+        stream = read_files_as_stream(spark, small, lines.schema, "lineitem.parquet")
+        coded, back = scratch_path(spark, "coded"), scratch_path(spark, "back")
+        encode_table_stream(stream, encoder, coded, scratch_path(spark, "state"), key, keep=key, lossless=True).awaitTermination()
+        written = read_parquet(spark, coded)
+        assert written.exceptAll(batch).isEmpty() and batch.exceptAll(written).isEmpty()
+        again = read_files_as_stream(spark, coded, written.schema)
+        decode_table_stream(again, encoder, back, scratch_path(spark, "state"), keep=key).awaitTermination()
+        expected = lines.select(*key, *spec.columns)
+        assert read_parquet(spark, back).exceptAll(expected).isEmpty() and read_parquet(spark, back).count() == lines.count()

@@ -257,3 +257,114 @@ def test_bad_specs(spark):
         TableEncoder(TableSpec(categorical=["nope"])).fit(df)
     with pytest.raises(ValueError, match="fit the encoder"):
         TableEncoder().transform(df)
+
+
+def test_lossless_tables_are_exact_to_the_last_bit(spark):
+    rows = [(i, 0.01 + i * 1e-5 if i % 2 else 1e13 * (i + 0.1), [0.0, -0.0, 0.1, 9007199254740993.0][i % 4], 9007199254740992 + i) for i in range(400)]
+    df = spark.createDataFrame(rows, "id bigint, x double, m double, k bigint")
+    for continuous in ("mixture", "minmax"):
+        spec = TableSpec(columns=["x", "m", "k"], mixed={"m": [0.0, 0.1], "k": [9007199254740992.0]}, continuous=continuous)
+        encoder = TableEncoder(spec, FEW).fit(df)
+        coded = encoder.transform(df, "id", keep=["id"], lossless=True)
+        for r in encoder.inverse_transform(coded, keep=["id"]).collect():
+            assert repr(tuple(r)) == repr(rows[r["id"]])
+
+
+def test_sparse_vectors(spark):
+    rows = [(i, f"name {i % 3000:04d}", i % 5) for i in range(4000)] + [(4000, None, 1)]
+    df = spark.createDataFrame(rows, "id bigint, name string, k int")
+    encoder = TableEncoder(TableSpec(categorical=["name", "k"], columns=["name", "k"], sparse=["name"])).fit(df)
+    assert encoder.output_info == [(3000, "softmax"), (5, "softmax")] and encoder.output_dimensions == 5
+    layout = [tuple(r) for r in encoder.layout(spark).collect()]
+    assert layout == [("name", None, 3000, "softmax"), ("k", 0, 5, "softmax")]
+    coded = encoder.transform(df, keep=["id"])
+    got = {r["id"]: r["sparse_name"] for r in coded.collect()}
+    # The first thousand names come twice, so they are ranked first.
+    assert got[7]["indices"] == [7] and got[7]["values"] == [1.0] and got[7]["size"] == 3000
+    assert got[3007]["indices"] == [7] and got[2999]["indices"] == [2999] and got[4000]["indices"] == []
+    back = encoder.inverse_transform(coded, keep=["id"])
+    assert back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    assert "name 00" not in plan and len(plan) < 50_000
+    path = scratch_path(spark, "sparse")
+    encoder.save(spark, path)
+    assert TableEncoder.load(spark, path).inverse_transform(coded, keep=["id"]).exceptAll(df).isEmpty()
+
+
+def test_sparse_vectors_of_others_and_unseen_values(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",)], "c string")
+    encoder = TableEncoder(TableSpec(categorical=["c"], sparse=["c"])).fit(df)
+    new = spark.createDataFrame([("zzz",), ("b",)], "c string")
+    assert [r["sparse_c"]["indices"] for r in encoder.transform(new).collect()] == [[], [1]]
+    # The first of the largest values decides, wherever it stands; none does without a value above 0.
+    made = spark.createDataFrame(
+        [((2, [1, 0], [0.7, 0.7]),), ((2, [0, 1], [0.2, 0.9]),), ((2, [0], [0.0]),), ((2, [], []),)],
+        "sparse_c struct<size: bigint, indices: array<bigint>, values: array<double>>",
+    )
+    assert [r["c"] for r in encoder.inverse_transform(made).collect()] == ["b", "b", None, None]
+    with pytest.raises(ValueError, match="both indexed and sparse"):
+        TableEncoder(TableSpec(categorical=["c"], sparse=["c"], indexed=["c"])).fit(df)
+    with pytest.raises(ValueError, match="only categorical"):
+        TableEncoder(TableSpec(sparse=["c"])).fit(df)
+
+
+@pytest.mark.parametrize("categories", ["ranked", "codes"])
+def test_blocks_beyond_the_width_are_an_error(spark, categories):
+    df = spark.range(50).selectExpr("CAST(id * 100000000 AS BIGINT) AS c")
+    options = dict(categorical=["c"], categories=categories)
+    with pytest.raises(ValueError, match="column c has .* list it in indexed or sparse"):
+        TableEncoder(TableSpec(one_hot_width=49, **options)).fit(df)
+    coded = TableEncoder(TableSpec(sparse=["c"], **options)).fit(df)
+    assert coded.inverse_transform(coded.transform(df)).exceptAll(df).isEmpty()
+
+
+def test_categories_of_wide_blocks_stay_in_tables(spark, monkeypatch):
+    from modeforge.operators import table
+
+    df = spark.range(300).selectExpr("id", "concat('value ', id % 90) AS c", "concat('w', id % 7) AS d")
+    spec = TableSpec(categorical=["c", "d"], columns=["c", "d"], unseen="error")
+    wide = TableEncoder(spec).fit(df)
+    assert wide.codes[0].values == () and wide.codes[0].dictionary is not None and len(wide.codes[1].values) == 7
+    coded = wide.transform(df, keep=["id"])
+    assert "value 1" not in coded._jdf.queryExecution().analyzed().toString()
+    monkeypatch.setattr(table, "LITERALS", 1000)
+    listed = TableEncoder(spec).fit(df)
+    assert len(listed.codes[0].values) == 90
+    assert coded.exceptAll(listed.transform(df, keep=["id"])).isEmpty()
+    for encoder in (wide, listed):
+        assert encoder.inverse_transform(coded, keep=["id"]).exceptAll(df).isEmpty()
+    assert wide.metadata(spark).exceptAll(listed.metadata(spark)).isEmpty()
+    with pytest.raises(Exception, match="unseen category in c"):
+        wide.transform(df.withColumn("c", F.lit("other"))).collect()
+
+
+def test_broadcasts_share_one_bound(spark, monkeypatch):
+    from modeforge.operators import lookup
+
+    sizes = [30, 10, 20, 500]
+    made = [lookup.Dictionary(None, 0, n) for n in sizes]
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 60)
+    assert lookup.within_budget(made) == [True, True, True, False]
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 35)
+    assert lookup.within_budget(made) == [False, True, True, False]
+    assert lookup.hot_entries(1).startswith("idx < 10000 ") and lookup.hot_entries(50).startswith("idx < 2000 ")
+
+
+def test_hot_values_are_split_by_their_counts(spark, monkeypatch):
+    """Unseen and rare values that many rows have, with nothing broadcast."""
+    from modeforge.operators import lookup
+
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(lookup, "HOT", 1)
+    monkeypatch.setattr(lookup, "ROWS_A_PART", 50)
+    fit_on = spark.range(200).selectExpr("concat('c', id) AS c", "concat('d', id % 3) AS d")
+    encoder = TableEncoder(TableSpec(categorical=["c", "d"], indexed=["c", "d"])).fit(fit_on)
+    df = spark.range(3000).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 'unseen' WHEN id % 3 = 1 THEN 'c77' ELSE concat('c', id % 200) END AS c",
+        "CASE WHEN id % 10 > 0 THEN concat('d', id % 3) END AS d",
+    )
+    coded = encoder.transform(df, keep=["id"])
+    assert coded.count() == 3000
+    back = encoder.inverse_transform(coded, keep=["id"])
+    expected = df.withColumn("c", F.expr("nullif(c, 'unseen')"))
+    assert back.exceptAll(expected).isEmpty() and expected.exceptAll(back).isEmpty()

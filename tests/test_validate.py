@@ -5,7 +5,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from modeforge.operators.ks import ks_columns, ks_p_value, ks_two_sample
+from modeforge.operators import ks
+from modeforge.operators.ks import ks_columns, ks_exact_p_value, ks_p_value, ks_two_sample
 from modeforge.operators.validate import (
     bounds_check,
     error_by_decile,
@@ -109,3 +110,52 @@ def test_exact_quantiles(spark):
     expected = np.sort(x)[[int(np.ceil(s * len(x) - 1e-9)) - 1 for s in shares]]
     assert exact_quantiles(df, "x", shares) == expected.tolist()
     assert exact_quantiles(df.limit(0), "x", shares) == []
+
+
+def path_share(statistic, n, m):
+    """All orders of n and m values, one by one."""
+    from itertools import combinations
+
+    hit = total = 0
+    for places in combinations(range(n + m), n):
+        i = worst = 0
+        for s in range(1, n + m + 1):
+            i += s - 1 in places
+            worst = max(worst, abs(i * m - (s - i) * n))
+        hit += worst >= round(statistic * n * m)
+        total += 1
+    return hit / total
+
+
+@pytest.mark.parametrize(("n", "m"), [(1, 1), (3, 5), (4, 4), (6, 4), (7, 5)])
+def test_exact_p_values_count_paths(n, m):
+    for h in range(n * m + 1):
+        assert ks_exact_p_value(h / (n * m), n, m) == pytest.approx(path_share(h / (n * m), n, m), abs=1e-13)
+
+
+def test_exact_p_values_of_large_samples():
+    # Known limits: certain for no difference, 2 / C(n + m, n) for separate samples, the series in between.
+    assert ks_exact_p_value(0.0, 700, 900) == 1.0
+    assert ks_exact_p_value(1.0, 20, 30) == pytest.approx(2 / math.comb(50, 20), rel=1e-9)
+    assert ks_exact_p_value(0.03, 9000, 10_000) == pytest.approx(ks_p_value(0.03, 9000, 10_000), rel=0.05)
+
+
+def test_exact_test_and_its_bound(spark, monkeypatch):
+    a, b = column(spark, [1, 2, 3, 4, None]), column(spark, [2.5, 5, 6, float("nan")])
+    got = ks_two_sample(a, b, method="exact")
+    assert got.p_value == pytest.approx(path_share(got.statistic, 4, 3))
+    assert ks_two_sample(a, b, method="auto") == got != ks_two_sample(a, b)
+    monkeypatch.setattr(ks, "EXACT_ROWS", 3)
+    assert ks_two_sample(a, b, method="auto") == ks_two_sample(a, b)
+    with pytest.raises(ValueError, match="at most 3"):
+        ks_two_sample(a, b, method="exact")
+    with pytest.raises(ValueError, match="method"):
+        ks_two_sample(a, b, method="best")
+
+
+def test_inexact_rows_are_counted_whatever_the_tolerance(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (0.1 + 0.2, 0.3), (1e6, 1e6 + 1e-9), (None, None), (float("nan"), float("nan")), (5.0, None)], "x double, y double")
+    trip = round_trip(df, "x", "y")
+    assert (trip.inexact, trip.damaged) == (3, 1)
+    whole = spark.createDataFrame([(9007199254740993, 9007199254740992), (1, 1), (2, 2)], "x bigint, y bigint")
+    assert round_trip(whole, "x", "y").inexact == 1
