@@ -67,8 +67,9 @@ def look_up(df: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     pending = [f"({x.name} IS NULL AND ({x.key}) IS NOT NULL)" for x in large]
     some = " OR ".join(pending)
     done, rest = df.where(f"NOT ({some})"), df.where(some)
-    for x in large:
-        rest = _joined(rest, x, hot)
+    counted = [None if df.isStreaming else _crowded(rest, x) for x in large]
+    for x, crowded in zip(large, counted):
+        rest = _joined(rest, x, hot, crowded)
     return done.unionByName(rest)
 
 
@@ -87,32 +88,38 @@ def hot_entries(large: int) -> str:
     return f"idx < {min(HOT, HOT_IN_ALL // max(1, large))} AND octet_length(value) <= {HOT_LENGTH}"
 
 
-def _joined(rows: DataFrame, x: Lookup, hot: str) -> DataFrame:
+def _key(x: Lookup) -> str:
+    """The key of the rows that still lack an entry."""
+    return f"CASE WHEN {x.name} IS NULL THEN {x.key} END"
+
+
+def _crowded(rows: DataFrame, x: Lookup) -> DataFrame:
+    """``__hash, __parts`` of the keys that many rows lack: one row for ``ROWS_A_PART`` rows at the most, 12 bytes each."""
+    hashed = rows.selectExpr(f"{_key(x)} AS __key").where("__key IS NOT NULL").groupBy(F.xxhash64("__key").alias("__hash"))
+    return (
+        hashed.agg(F.count("*").alias("n"))
+        .where(F.col("n") > ROWS_A_PART)
+        .select("__hash", F.ceil(F.col("n") / ROWS_A_PART).cast("int").alias("__parts"))
+    )
+
+
+def _joined(rows: DataFrame, x: Lookup, hot: str, crowded: DataFrame | None) -> DataFrame:
     """The shuffle join; a value that is not among the hot entries may be frequent all the same, so its
     rows, counted by hashes, are dealt over as many parts as they need."""
     kept = [quoted(c) for c in rows.columns if c != x.name]
-    keyed = rows.selectExpr("*", f"CASE WHEN {x.name} IS NULL THEN {x.key} END AS __key")
-    # Rows without a key here match nothing and would otherwise meet in one task.
-    open_rows, others = keyed.where("__key IS NOT NULL"), keyed.where("__key IS NULL")
+    keyed = rows.selectExpr("*", f"{_key(x)} AS __key")
     rare = x.entries(f"NOT ({hot})").withColumnRenamed(x.name, "__rare")
-    # The part follows from the row, so a repeated task deals the same.
-    salt = F.xxhash64(*(F.col(quoted(f.name)) for f in rows.schema.fields if f.name != x.name and f.dataType.typeName() != "map"))
-    if rows.isStreaming:
+    if crowded is None:
         parts = F.lit(STREAM_PARTS)
     else:
-        crowded = (
-            open_rows.groupBy(F.xxhash64("__key").alias("__hash"))
-            .agg(F.count("*").alias("n"))
-            .where(F.col("n") > ROWS_A_PART)
-            .select("__hash", F.ceil(F.col("n") / ROWS_A_PART).cast("int").alias("__parts"))
-        )
-        # At most one value of ROWS_A_PART rows, and 12 bytes for each.
-        open_rows = open_rows.withColumn("__hash", F.xxhash64("__key")).join(F.broadcast(crowded), "__hash", "left")
+        keyed = keyed.withColumn("__hash", F.xxhash64("__key")).join(F.broadcast(crowded), "__hash", "left")
         rare = rare.withColumn("__hash", F.xxhash64("__match")).join(F.broadcast(crowded), "__hash", "left")
         parts = F.coalesce("__parts", F.lit(1))
-    dealt = open_rows.withColumn("__part", F.pmod(salt, parts).cast("int"))
+    # The part follows from the row, so a repeated task deals the same. Rows without a key match nothing
+    # and go anywhere.
+    salt = F.xxhash64(*(F.col(quoted(f.name)) for f in rows.schema.fields if f.name != x.name and f.dataType.typeName() != "map"))
+    dealt = keyed.withColumn("__part", F.pmod(salt, F.when(F.col("__key").isNull(), F.lit(1 << 20)).otherwise(parts)).cast("int"))
     rare = rare.select("__match", "__rare", F.explode(F.sequence(F.lit(0), parts - 1)).alias("__other"))
-    found = dealt.join(
+    return dealt.join(
         rare, (F.col("__key") == F.col("__match")) & (F.col("__part") == F.col("__other")), "left"
-    ).selectExpr(*kept, f"__rare AS {x.name}")
-    return found.unionByName(others.selectExpr(*kept, x.name))
+    ).selectExpr(*kept, f"coalesce({x.name}, __rare) AS {x.name}")
