@@ -15,12 +15,17 @@ Work follows the input, not the square of a group:
   bound rules out are not looked at.
 - Where many classes share a prefix shingle, bitmaps of 1024 bits bound the difference of two sets from
   below and rule out pairs of other components before they leave the join.
+- Two sets that link share not one shingle of their prefixes but ``l`` of them, the more the closer their sizes
+  (``_least_common``). So a set that has ``s`` shingles in common with other prefixes finds all its links under any
+  ``s - l + 1`` of them, and the least crowded ones are taken. A copy with many changes has those in
+  front, as they are rare, and never asks for the shingles that its whole group has.
 - Links are wanted for components. First every class is compared with few others under each prefix
   shingle: the one with the fewest shingles of its own, and the same in a random part of some 16. Copies
   of one text differ by the changes of both, so the least changed link with nearly all that link at
-  all, and groups are connected with work in proportion to their size. Then, under each prefix shingle, the classes
-  outside the largest component are compared with all of other components. No two classes in
-  different components stay uncompared, so the components are exact.
+  all, and groups are connected with work in proportion to their size. Then every class looks, under its least
+  crowded shingles, for classes of larger components (of equal ones: the one with the larger root). Crowded
+  shingles are cut by the sizes of sets, and only sizes at which enough shingles are left are looked
+  at. No two classes in different components stay uncompared, so the components are exact.
 
 The bitmap and the list of frequent shingles, both of fixed greatest size, are all that is broadcast;
 any order is a right one, so their limits change the work, not the result. Shingles are 64-bit hashes.
@@ -39,7 +44,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from modeforge.llm.common import broadcast_if_bounded, chunks, components, packed_row, row_digest, staged, without_rows
@@ -61,6 +66,8 @@ BUFFER = 2_000_000
 PART = 16
 #: 64-bit words of the bitmap of a set.
 SKETCH = 16
+#: Sizes of sets in a band differ by this factor at the most.
+BAND = 1.06
 
 
 def _bits(documents: int) -> int:
@@ -234,6 +241,33 @@ def _may_be_close(x: Column, y: Column, one: Column, two: Column) -> Column:
     return F.coalesce((100 + PERCENT) * bits <= (100 - PERCENT) * (x["n"] + y["n"]), F.lit(True))
 
 
+def _least_common(x: Column, y: Column) -> Column:
+    """How many shingles the prefixes of two sets that link have in common, at the least.
+
+    With an overlap of ``a`` at the least, prefixes of ``n - a + l`` shingles share ``l``; the prefixes taken here
+    have ``n - ceil(0.8 n) + 1``.
+    """
+    overlap = F.ceil(PERCENT * (x["n"] + y["n"]) / (100 + PERCENT))
+    return overlap + 1 - F.ceil(PERCENT * F.greatest(x["n"], y["n"]) / 100)
+
+
+def _band(n: Column) -> Column:
+    return F.floor(F.log(n) / F.log(F.lit(BAND))).cast("int")
+
+
+def _bands_to_ask(n: Column, slack: Column) -> Column:
+    """Bands with sizes at which a set may link and ``_least_common`` may be as low as ``slack``.
+
+    Between two sizes the number is no lower than at one of them; one is taken off for rounding.
+    """
+
+    def least(size: Column) -> Column:
+        return PERCENT * (n + size) / (100 + PERCENT) - PERCENT * F.greatest(n, size) / 100 - 1
+
+    every = F.sequence(_band(n * PERCENT / 100) - 1, _band(n * 100 / PERCENT) + 1)
+    return F.filter(every, lambda b: F.least(least(F.pow(F.lit(BAND), b)), least(F.pow(F.lit(BAND), b + 1))) <= slack)
+
+
 def _pairs(frame: DataFrame) -> DataFrame:
     """Distinct pairs ``a < b`` of the classes ``x`` and ``y`` that may link."""
     x, y = F.col("x"), F.col("y")
@@ -305,7 +339,7 @@ def _grouped(rows: DataFrame) -> DataFrame:
     several = staged(under.groupBy("shingle").agg(F.count("*").alias("many"), F.min("x").alias("y")).where("many > 1"), "buckets")
     under = staged(
         under.join(several, "shingle").select(
-            "shingle", "x", "y", F.when(F.col("many") > PART, F.pmod(F.xxhash64("x.cid", "shingle"), F.ceil(F.col("many") / PART))).alias("part")
+            "shingle", "x", "y", "many", F.when(F.col("many") > PART, F.pmod(F.xxhash64("x.cid", "shingle"), F.ceil(F.col("many") / PART))).alias("part")
         ),
         "members",
     )
@@ -313,37 +347,48 @@ def _grouped(rows: DataFrame) -> DataFrame:
     with_leader = under.select("shingle", "part", "x").join(leaders, ["shingle", "part"])
     tried = staged(_pairs(under.select("x", "y").unionByName(with_leader.select("x", "y"))), "first-pairs")
     links = staged(overlapping(tried, _segments_of(tried, classes, sets)), "first-links")
-    known = staged(components(links), "first-components")
+    known = components(links)
+    known = staged(known.join(known.groupBy("root").agg(F.count("*").alias("size")), "root"), "first-components")
 
-    # What different components still have in common.
+    # What different components still have in common. ``slack`` is the number of the class's shingles that are
+    # at least as crowded as this one: it is asked for sets that share no more than so many with the class.
+    rank = Window.partitionBy("x.cid").orderBy(F.col("many").desc(), "shingle")
     inside = staged(
-        under.select("shingle", "part", "x", F.col("x.cid").alias("node")).join(known, "node", "left").select("shingle", "part", "x", F.coalesce("root", "node").alias("root")),
+        under.select("shingle", "part", "x", F.row_number().over(rank).alias("slack"), F.col("x.cid").alias("node"))
+        .join(known, "node", "left")
+        .select("shingle", "part", "x", "slack", F.struct(F.coalesce("size", F.lit(1)).alias("size"), F.coalesce("root", "node").alias("root")).alias("of")),
         "members-by-component",
     )
     mixed = staged(
-        inside.groupBy("shingle", "root")
-        .agg(F.count("*").alias("many"))
-        .groupBy("shingle")
-        .agg(F.count("*").alias("roots"), F.max(F.struct("many", "root")).alias("most"))
-        .where("roots > 1")
-        .select("shingle", F.col("most.root").alias("main")),
+        inside.groupBy("shingle").agg(F.min("of").alias("least"), F.max("of").alias("main")).where("least <> main").select("shingle", "main"),
         "mixed-buckets",
     )
     inside = staged(inside.join(mixed, "shingle"), "mixed-members")
-    sketches = classes.select("cid", "sketch")
-    crowded = inside.where("part is not null").join(sketches, F.col("x.cid") == F.col("cid")).drop("cid")
-    inside = staged(
-        inside.where("part is null").withColumn("sketch", F.lit(None).cast("array<bigint>")).unionByName(crowded).drop("part"), "sketched-members"
+    crowded = F.col("part").isNotNull()
+    size = F.col("x.n")
+    one = inside.where("of <> main").select(
+        "shingle", F.explode(F.when(crowded, _bands_to_ask(size, F.col("slack"))).otherwise(F.array(F.lit(-1)))).alias("band"),
+        "x", "slack", F.col("of").alias("rx"), crowded.alias("crowded"),
     )
-    one = inside.where("root != main").select("shingle", "x", F.col("root").alias("rx"), F.col("sketch").alias("one"))
-    two = inside.select("shingle", "main", F.col("x").alias("y"), F.col("root").alias("ry"), F.col("sketch").alias("two"))
-    across = one.join(two, "shingle").where(
-        (F.col("rx") != F.col("ry"))
-        & ((F.col("ry") == F.col("main")) | (F.col("x.cid") < F.col("y.cid")))
+    two = inside.select("shingle", F.when(crowded, _band(size)).otherwise(-1).alias("band"), F.col("x").alias("y"), F.col("of").alias("ry"), crowded.alias("crowded"))
+    # Bitmaps are brought only to rows that can meet, and only where buckets are crowded.
+    asked = staged(one.where("crowded").select("shingle", "band").distinct(), "asked-bands")
+    sketches = classes.select("cid", "sketch")
+    no_sketch = F.lit(None).cast("array<bigint>")
+
+    def sketched(rows: DataFrame, member: str, name: str) -> DataFrame:
+        far = rows.where("crowded").join(sketches, F.col(f"{member}.cid") == F.col("cid")).withColumnRenamed("sketch", name).drop("cid")
+        return rows.where("NOT crowded").withColumn(name, no_sketch).unionByName(far).drop("crowded")
+
+    two = two.where("NOT crowded").unionByName(two.where("crowded").join(asked, ["shingle", "band"]).select(two.columns))
+    one, two = sketched(one, "x", "one"), sketched(two, "y", "two")
+    across = one.join(two, ["shingle", "band"]).where(
+        (F.col("rx") < F.col("ry"))
         & _may_link(F.col("x"), F.col("y"))
+        & (_least_common(F.col("x"), F.col("y")) <= F.col("slack"))
         & _may_be_close(F.col("x"), F.col("y"), F.col("one"), F.col("two"))
     )
-    rest = staged(_pairs(across).join(tried, ["a", "b"], "left_anti"), "second-pairs")
+    rest = staged(staged(_pairs(across), "met-pairs").join(tried, ["a", "b"], "left_anti"), "second-pairs")
     more = staged(overlapping(rest, _segments_of(rest, classes, sets)), "second-links")
     joined = components(links.unionByName(more))
 
