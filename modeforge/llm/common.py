@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import ArrayType, MapType, StructType, TimestampType
 
 from modeforge.sources.scratch import scratch_path
 
@@ -69,6 +69,8 @@ def row_digest(row: Column, docs: DataFrame) -> Column:
     for field in docs.schema.fields:
         value = row.getField(field.name)
         nested = isinstance(field.dataType, (ArrayType, MapType, StructType))
+        if isinstance(field.dataType, TimestampType):
+            value = F.unix_micros(value)  # a text would be that of the session's zone
         text = F.to_json(F.struct(value.alias("x"))) if nested else value.cast("string")
         parts.append(F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-")))
     return F.unhex(F.md5(F.concat(*parts).cast("binary")))

@@ -6,6 +6,9 @@ whose weight grows only lowers its own draw, so rows move only into subtrees who
 below them, only into children whose weight grew. A shard added as a region of its own takes rows
 only into itself. DataFrame functions only.
 
+Slots follow a hash of key and text, so rows of one id, or without any, are spread as others are; rows that
+agree in id and text are counted first and numbered as one, whatever their number.
+
 Defined cases: a null key hashes as empty text; a null text has size 1 and crc32 0; equal keys share
 a shard and take slots of their own; an empty table gives an empty result; only key and text are read.
 """
@@ -20,7 +23,11 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from modeforge.llm.common import broadcast_if_bounded, text_or_empty, unit_draw
+from modeforge.llm.common import broadcast_if_bounded, staged, text_or_empty, unit_draw
+
+
+#: Equal rows that one task numbers and writes.
+AT_ONCE = 100_000
 
 
 class Leaf(NamedTuple):
@@ -92,31 +99,37 @@ def place(
 ) -> DataFrame:
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` for every row.
 
-    Slots number each shard's rows in the order of a hash. Both the numbered groups and the table
-    of their offsets have about the square root of a shard's rows.
+    Slots number each shard's rows in the order of a hash of key and text. Both the numbered groups and
+    the table of their offsets have about the square root of a shard's different rows.
     """
     tree = list(tree or regular_tree())
     rows = docs.count() if rows is None else rows
     pieces = max(1, math.isqrt(rows // len(tree)))
     key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     text = text_or_empty(text_col)
-    placed = docs.select(
+    crc = F.crc32(text.cast("binary"))
+    facts = ["doc_id", "size", "text_crc32", "shard", "grown_shard", "u"]
+    equal = docs.select(
         F.col(id_col).alias("doc_id"),
         (F.octet_length(text) + 1).cast("bigint").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"),
+        crc.alias("text_crc32"),
         shard_of(key, tree).cast("int").alias("shard"),
         shard_of(key, with_one_more(tree)).cast("int").alias("grown_shard"),
-        unit_draw(key, "slot").alias("u"),
-    ).withColumn("piece", F.floor(F.col("u") * pieces).cast("int"))
-    counts = placed.groupBy("shard", "piece").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("shard").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select("shard", "piece", F.coalesce(before, F.lit(0)).alias("offset"))
-    order = Window.partitionBy("shard", "piece").orderBy("u", "doc_id", "text_crc32", "size")
-    return (
-        placed.withColumn("at", F.row_number().over(order) - 1)
-        .join(broadcast_if_bounded(offsets, pieces * len(tree)), ["shard", "piece"])
-        .select(
-            "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",
-            (F.col("offset") + F.col("at")).cast("bigint").alias("slot"), "grown_shard",
-        )
-    )
+        unit_draw(F.concat(key, F.lit("|"), crc.cast("string")), "slot").alias("u"),
+    ).groupBy(*facts).agg(F.count("*").alias("n"))
+    equal = staged(equal.withColumn("piece", F.floor(F.col("u") * pieces).cast("int")), "places")
+    counts = equal.groupBy("shard", "piece").agg(F.sum("n").alias("n"))
+    earlier = Window.partitionBy("shard").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("shard", "piece", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+    order = Window.partitionBy("shard", "piece").orderBy("u", "doc_id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("offset") + F.coalesce(F.sum("n").over(order), F.lit(0))
+    placed = equal.join(broadcast_if_bounded(offsets, pieces * len(tree)), ["shard", "piece"]).withColumn("first", first)
+    slots = F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("slot")
+    shown = ["doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", slots, "grown_shard"]
+    few = placed.where(F.col("n") <= AT_ONCE).select(*shown)
+    if equal.where(F.col("n") > AT_ONCE).isEmpty():
+        return few
+    # Very many equal rows are written by several tasks.
+    runs = placed.where(F.col("n") > AT_ONCE).withColumn("run", F.explode(F.expr(f"sequence(0L, (n - 1) div {AT_ONCE})")))
+    runs = runs.withColumn("first", F.col("first") + F.col("run") * AT_ONCE).withColumn("n", F.least(F.lit(AT_ONCE), F.col("n") - F.col("run") * AT_ONCE))
+    return few.unionByName(runs.repartition("shard", "piece", "run").select(*shown))

@@ -46,8 +46,9 @@ def _op4() -> str:
     tree = hashtree.regular_tree()
     return f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce(doc_id::VARCHAR, '') AS key FROM documents),
 {descend("now", tree)}, {descend("grown", hashtree.with_one_more(tree))},
-p AS (SELECT d.doc_id, (strlen(d.text) + 1)::BIGINT AS size, {_crc32("d.text")} AS text_crc32, a.shard::INTEGER AS shard,
-  b.shard::INTEGER AS grown_shard, {_unit("d.key", "'slot'")} AS u FROM d JOIN now_3 a USING (r) JOIN grown_3 b USING (r))
+q AS (SELECT r, {_crc32("d.text")} AS crc FROM d),
+p AS (SELECT d.doc_id, (strlen(d.text) + 1)::BIGINT AS size, crc AS text_crc32, a.shard::INTEGER AS shard,
+  b.shard::INTEGER AS grown_shard, {_unit("(d.key || '|' || crc)", "'slot'")} AS u FROM d JOIN q USING (r) JOIN now_3 a USING (r) JOIN grown_3 b USING (r))
 SELECT doc_id, size, text_crc32, 'key' AS law, shard,
   row_number() OVER (PARTITION BY shard ORDER BY u, doc_id, text_crc32, size) - 1 AS slot, grown_shard FROM p"""
 
@@ -113,7 +114,8 @@ def _op9(mixture: mixing.Mixture = mixing.PRODUCTION, docs: str = "documents") -
     number = "regexp_extract(coalesce(source, ''), '([0-9]{1,9})$', 1)"
     sql = f"""d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id::VARCHAR, '') AS key,
   CASE WHEN {number} = '' THEN 'other' ELSE 'domain' || ({number}::BIGINT % 4) END AS domain, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
-  (len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) + 1)::BIGINT AS n_tokens FROM {docs}),
+  (len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) + 1)::BIGINT AS n_tokens,
+  md5({" || ".join(f"coalesce(strlen({c}) || ':' || {c}, '-')" for c in ("doc_id::VARCHAR", "text", "lang", "source"))}) AS digest FROM {docs}),
 leaf AS (SELECT domain, lang, source, sum(n_tokens)::BIGINT AS size, count(*) AS n_rows FROM d GROUP BY 1, 2, 3),
 capped AS (SELECT *, size * {mixture.max_epochs} AS cap FROM leaf WHERE {weight("domain")} > 0 AND {weight("lang")} > 0 AND {weight("source")} > 0),
 given_0 AS (SELECT floor(coalesce(sum(size), 0) * {mixture.share}::DOUBLE)::DOUBLE AS given FROM leaf)"""
@@ -132,7 +134,7 @@ given_{depth} AS (SELECT {cols}, CASE WHEN cap / weight <= lv THEN cap::DOUBLE
     return f"""WITH {sql},
 plan AS (SELECT domain, lang, source, floor(given)::BIGINT // size AS epochs, floor(given)::BIGINT % size AS rest FROM given_3 JOIN leaf USING (domain, lang, source)),
 o AS (SELECT d.*, epochs, rest, {_unit("key", f"'mix{mixture.seed}-' || epochs")} AS u FROM d LEFT JOIN plan USING (domain, lang, source))
-SELECT doc_id, domain, lang, source, n_tokens, (coalesce(epochs, 0) + CASE WHEN coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY u) <= rest, FALSE)
+SELECT doc_id, domain, lang, source, n_tokens, (coalesce(epochs, 0) + CASE WHEN coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY u, digest, r ROWS UNBOUNDED PRECEDING) <= rest, FALSE)
   THEN 1 ELSE 0 END)::INTEGER AS copies FROM o"""
 
 

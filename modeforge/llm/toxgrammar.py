@@ -1,10 +1,12 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words become classes by a lexicon: insults and threats, targets, negation, reported speech and ends of
-clauses. Small transducers rewrite the stream of classes one after the other: negation weakens what
-follows it within a few words, reported speech what follows it in its clause, and a target nearby
-makes an insult or a threat an aimed one. They are composed into one table before the run. A clause
-counts by the strongest pattern in it, and a document is scored by its counts of matched clauses.
+Words become classes by a lexicon: insults and threats in all their forms, targets, negation with its
+contractions, reported speech and ends of clauses. Small weighted transducers rewrite the stream of classes one after
+the other: the first gives insults and threats their weight, negation takes some from what
+follows it within a few words, a verb of speech from what stands in its clause, before it or behind, and a target nearby
+adds some and makes an insult or a threat an aimed one. They are composed into one table before the run,
+in which weights are added up along the moves. A clause counts by its heaviest pattern, and a document is
+scored by its counts of matched clauses.
 
 Learnt are the insults and the weights of the patterns, from text and label alone. Insults are word
 beginnings that documents labelled toxic have and others don't; support counts groups of like
@@ -51,60 +53,83 @@ SCOPE = 3
 TARGETS = frozenset("you your yours youre he she they them him her du dich dir ihr euch sie er tu te toi vous il elle ils tú te ti usted ustedes él ella ellos".split())
 NEGATIONS = frozenset("not no never neither nor nobody isnt arent nicht kein keine nie niemals pas jamais aucun nunca jamás tampoco ningún".split())
 REPORTS = frozenset("said says quoted reported wrote called sagte sagt schrieb zitierte dit disait écrit cité dijo dice escribió llamó".split())
-THREATS = frozenset("kill hurt destroy murder töten umbringen vernichten tuer détruire frapper matar destruir golpear".split())
+#: Beginnings of verbs and the endings that make their forms.
+THREAT_FORMS = {
+    "kill hurt destroy murder shoot stab": " s ed ing er ers", "shot killing stabbed stabbing": "",
+    "töt getöt vernicht": "e en et est ete eten", "umbring umgebracht": " e en t st end",
+    "tuer tuerai tuera tuerons tueront tués frapper frappez frappé détruire détruirai détruit": "",
+    "matar mataré matará mataremos matado destruir destruiré destruido golpear golpearé golpeado": "",
+}
+THREATS = frozenset(verb + end for verbs, ends in THREAT_FORMS.items() for verb in verbs.split() for end in ends.split(" "))
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, STOP, OTHER = "insult", "threat", "target", "negation", "report", "stop", "other"
+#: A verb of speech takes back what its clause has said before.
+RETOLD = "retold"
 SYMBOLS = (INSULT, THREAT, TARGET, NEGATION, REPORT, STOP, OTHER)
 #: Patterns from weak to strong, with prior weights of the first matched clause.
 PATTERNS = ("reported", "negated", "insult", "threat", "aimed insult", "aimed threat")
-PRIOR = {"reported": 0.5, "negated": 0.5, "insult": 4.0, "threat": 4.0, "aimed insult": 5.0, "aimed threat": 5.0}
+#: Weights of the moves: of a match, of weakening it and of aiming it.
+MATCHED, WEAKENED, AIMED = 4.0, -3.5, 1.0
+PRIOR = {
+    "reported": MATCHED + WEAKENED, "negated": MATCHED + WEAKENED, "insult": MATCHED, "threat": MATCHED,
+    "aimed insult": MATCHED + AIMED, "aimed threat": MATCHED + AIMED,
+}
 
 _WORDS = re.compile(r"[^\W\d_]+")
-_PARTS = re.compile(r"[^\W\d_]+|[.!?;\n]")
+#: A contraction is one word, a negation; other apostrophes part words, as in French.
+_PARTS = re.compile(r"[^\W\d_]+n['’]t(?![^\W\d_])|[^\W\d_]+|[.!?;\n]")
 
 
 @dataclass
 class Transducer:
-    """Moves from state 0: ``(state, symbol) -> (state, symbol)``."""
+    """Moves from state 0: ``(state, symbol) -> (state, symbol, weight)``."""
 
-    moves: dict[tuple[int, str], tuple[int, str]]
+    moves: dict[tuple[int, str], tuple[int, str, float]]
 
     def then(self, other: Transducer) -> Transducer:
-        """One transducer that does the work of both; only states that can be reached."""
+        """One transducer that does the work of both, with weights added; only states that can be reached."""
         symbols = {symbol for _, symbol in self.moves}
         numbers, moves, todo = {(0, 0): 0}, {}, deque([(0, 0)])
         while todo:
             pair = todo.popleft()
             for symbol in sorted(symbols):
-                a, between = self.moves[pair[0], symbol]
-                b, out = other.moves[pair[1], between]
+                a, between, first = self.moves[pair[0], symbol]
+                b, out, second = other.moves[pair[1], between]
                 if (a, b) not in numbers:
                     numbers[a, b] = len(numbers)
                     todo.append((a, b))
-                moves[numbers[pair], symbol] = (numbers[a, b], out)
+                moves[numbers[pair], symbol] = (numbers[a, b], out, first + second)
         return Transducer(moves)
 
-    def run(self, symbols: Iterable[str]) -> Iterator[str]:
+    def run(self, symbols: Iterable[str]) -> Iterator[tuple[str, float]]:
         state = 0
         for symbol in symbols:
-            state, out = self.moves[state, symbol]
-            yield out
+            state, out, weight = self.moves[state, symbol]
+            yield out, weight
 
 
-def _weakening(trigger: str, symbols: Sequence[str], to: str, reach: int | None) -> Transducer:
-    """After ``trigger``, insults and threats become ``to``, for ``reach`` words or to the clause's end."""
+def _matching(symbols: Sequence[str]) -> Transducer:
+    """Insults and threats get their weight."""
+    return Transducer({(0, s): (0, s, MATCHED if s in (INSULT, THREAT) else 0.0) for s in symbols})
+
+
+def _weakening(trigger: str, symbols: Sequence[str], to: str, reach: int | None, leaves: str = OTHER) -> Transducer:
+    """After ``trigger``, insults and threats become ``to``, for ``reach`` words or to the clause's end.
+
+    The trigger itself becomes ``leaves``.
+    """
     moves = {}
     last = reach or 1
     for state, symbol in itertools.product(range(last + 1), symbols):
         after = max(0, state - 1) if reach else state
         if symbol == trigger:
-            moves[state, symbol] = (last, OTHER)
+            moves[state, symbol] = (last, leaves, 0.0)
         elif symbol == STOP:
-            moves[state, symbol] = (0, STOP)
+            moves[state, symbol] = (0, STOP, 0.0)
         elif state and symbol in (INSULT, THREAT):
-            moves[state, symbol] = (after, to)
+            moves[state, symbol] = (after, to, WEAKENED)
         else:
-            moves[state, symbol] = (after, symbol)
+            moves[state, symbol] = (after, symbol, 0.0)
     return Transducer(moves)
 
 
@@ -118,22 +143,27 @@ def _aiming(symbols: Sequence[str]) -> Transducer:
         band, left = divmod(state - 1, SCOPE) if state else (-1, 0)
         after = state - 1 if left else 0
         if symbol == STOP:
-            moves[state, symbol] = (0, STOP)
+            moves[state, symbol] = (0, STOP, 0.0)
         elif symbol == TARGET:
-            moves[state, symbol] = (SCOPE, {1: "aimed insult", 2: "aimed threat"}.get(band, OTHER))
+            # The match before it is paid for already, so it counts in full here, as an aimed one.
+            out = {1: "aimed insult", 2: "aimed threat"}.get(band, OTHER)
+            moves[state, symbol] = (SCOPE, out, 0.0 if out == OTHER else MATCHED + AIMED)
+        elif symbol == RETOLD:
+            # What was said before waits for no target any more.
+            moves[state, symbol] = (after if band == 0 else 0, RETOLD, 0.0)
         elif symbol in (INSULT, THREAT):
             hit = 2 * SCOPE if symbol == INSULT else 3 * SCOPE
-            moves[state, symbol] = (after, f"aimed {symbol}") if band == 0 else (hit, symbol)
+            moves[state, symbol] = (after, f"aimed {symbol}", AIMED) if band == 0 else (hit, symbol, 0.0)
         else:
-            moves[state, symbol] = (after, symbol)
+            moves[state, symbol] = (after, symbol, 0.0)
     return Transducer(moves)
 
 
 def grammar() -> Transducer:
     negation = _weakening(NEGATION, SYMBOLS, "negated", SCOPE)
-    report = _weakening(REPORT, [s for s in (*SYMBOLS, "negated") if s != NEGATION], "reported", None)
-    aim = _aiming([INSULT, THREAT, TARGET, STOP, OTHER, "negated", "reported"])
-    return negation.then(report).then(aim)
+    report = _weakening(REPORT, [s for s in (*SYMBOLS, "negated") if s != NEGATION], "reported", None, RETOLD)
+    aim = _aiming([INSULT, THREAT, TARGET, STOP, OTHER, "negated", "reported", RETOLD])
+    return _matching(SYMBOLS).then(negation).then(report).then(aim)
 
 
 @dataclass
@@ -155,7 +185,7 @@ class Model:
                 return INSULT
         if word in TARGETS:
             return TARGET
-        if word in NEGATIONS:
+        if word in NEGATIONS or word[-2:] in ("'t", "’t"):
             return NEGATION
         return REPORT if word in REPORTS else OTHER
 
@@ -166,14 +196,17 @@ class Model:
         if not any(w[:SHORTEST] in self.heads for w in set(_WORDS.findall(low))):
             return counts
         symbols = (STOP if len(p) == 1 and not p.isalpha() else self.word_class(p) for p in _PARTS.findall(low))
-        best = -1
-        for out in itertools.chain(self.table.run(symbols), [STOP]):
+        best = None
+        for out, weight in itertools.chain(self.table.run(symbols), [(STOP, 0.0)]):
             if out == STOP:
-                if best >= 0:
-                    counts[best] += 1
-                best = -1
-            elif out in PRIOR:
-                best = max(best, PATTERNS.index(out))
+                if best is not None:
+                    counts[best[1]] += 1
+                best = None
+            elif out == RETOLD:
+                best = best and (PRIOR["reported"], PATTERNS.index("reported"))
+            elif weight:
+                found = (weight, PATTERNS.index(out))
+                best = found if best is None else max(best, found)
         return counts
 
     def scores(self, counts: np.ndarray) -> np.ndarray:

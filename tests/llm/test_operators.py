@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -22,6 +23,10 @@ def docs_of(spark, texts):
     return spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
 
 
+def docs_of_rows(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
 # --- tool calls
 
 
@@ -125,6 +130,21 @@ def test_growth_moves_rows_only_into_the_new_shard(spark):
     assert set(slots) == set(range(16)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+def test_slots_of_a_hot_id_and_of_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(hashtree, "AT_ONCE", 100)
+    rows = [(None, f"text {i}") for i in range(900)] + [(5, "same")] * 750 + [(i, "x") for i in range(500)]
+    found = hashtree.place(docs_of_rows(spark, rows)).collect()
+    assert len(found) == len(rows)
+    slots = {}
+    for r in found:
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    # Rows without an id share a shard, but not one part of its order.
+    hot = sorted(r["slot"] for r in found if r["doc_id"] is None)
+    size = len(slots[next(r["shard"] for r in found if r["doc_id"] is None)])
+    assert hot[0] < size / 5 and hot[-1] > size * 4 / 5
+
+
 def test_more_weight_in_a_rack_only_draws_rows_there(spark):
     tree = hashtree.regular_tree(8, racks=2, per_rack=2)
     heavier = [t._replace(weight=3.0) if t.shard == 2 else t for t in tree]
@@ -243,6 +263,43 @@ def test_components_of_copies_chains_and_shared_passages(spark):
     assert kept == [i for i, c in enumerate(expected) if c == i]
 
 
+def test_least_common_shingles_of_prefixes(spark):
+    """Whatever two sets link, their prefixes share as many shingles as the join relies on."""
+    sizes = [(a, b) for a in (1, 2, 5, 9, 33, 80, 396) for b in (1, 2, 4, 5, 9, 30, 33, 70, 80, 330, 396, 480)]
+    df = spark.createDataFrame([({"n": a}, {"n": b}) for a, b in sizes], "x struct<n: long>, y struct<n: long>")
+    least = [r[0] for r in df.select(fragjoin._least_common(F.col("x"), F.col("y"))).collect()]
+    rng = np.random.default_rng(3)
+    for (a, b), l in zip(sizes, least, strict=True):
+        overlap = -(-80 * (a + b) // 180)
+        if overlap > min(a, b):
+            continue
+        for _ in range(30):
+            # Two sets in one order with the least overlap that links.
+            order = rng.permutation(a + b - overlap)
+            both, mine = set(order[:overlap].tolist()), set(order[overlap : overlap + a - overlap].tolist())
+            theirs = set(order[a:].tolist())
+            x, y = sorted(both | mine), sorted(both | theirs)
+            assert len(x) == a and len(y) == b
+            heads = (set(s[: len(s) - fragjoin._needed(len(s)) + 1]) for s in (x, y))
+            assert len(set.intersection(*heads)) >= l
+
+
+def test_dense_groups_with_near_misses(spark):
+    """Copies with few and with many changes, of sizes around the threshold, against all pairs."""
+    rng = random.Random(12)
+    texts = []
+    for size in (30, 60, 200):
+        base = [f"w{size}x{i}" for i in range(size)]
+        for k in range(60):
+            words = list(base)
+            for _ in range(rng.choice([0, 1, 1, 2, 3, 4, 6])):
+                words[rng.randrange(len(words))] = rng.choice([f"n{k}", "usual", f"f{k % 5}"])
+            texts.append(" ".join(words[: rng.choice([len(words), len(words), len(words) - size // 20])]))
+    rng.shuffle(texts)
+    found = {r["doc_id"]: r["component_id"] for r in fragjoin.near_duplicates(docs_of(spark, texts)).collect()}
+    assert [found[i] for i in range(len(texts))] == brute_components(texts)
+
+
 def test_unlike_texts_without_own_ids_all_stay(spark):
     def text(name, n=12):
         return " ".join(f"{name}{i}" for i in range(n))
@@ -329,6 +386,49 @@ def test_rows_of_one_or_no_id_fill_the_budget(spark):
         assert all(by_lang["en"].count(t) in (int(share), int(share) + 1, int(share) + 2) for t in by_lang["en"])
 
 
+def test_one_law_for_counts_and_rows(spark):
+    """Rows of one or no id: the counts fill the budget as the rows do."""
+    docs = [(None, f"a b c{i % 90}", "en", f"src{i % 4}") for i in range(400)] + [(9, "x y", "de", "src1")] * 60
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    for mixture in (mixing.Mixture(share=0.6, max_epochs=1), mixing.Mixture(share=1.4, max_epochs=2)):
+        counted = mixing.mix(df, mixture).collect()
+        assert len(counted) == len(docs)
+        granted = int((400 * 4 + 60 * 3) * mixture.share)
+        took = sum(r["copies"] * r["n_tokens"] for r in counted)
+        assert granted - 4 * 5 < took <= granted
+        leaves = {}
+        for r in counted:
+            leaves[r["lang"], r["source"]] = leaves.get((r["lang"], r["source"]), 0) + r["copies"]
+        taken = {(r["lang"], r["source"]): r["count"] for r in mixing.mixed_documents(df, mixture).groupBy("lang", "source").count().collect()}
+        assert taken == {k: n for k, n in leaves.items() if n}
+
+
+def plain_shares(caps, weights, budget):
+    """Water filling, one child after the other."""
+    given, order = [0.0] * len(caps), sorted(range(len(caps)), key=lambda i: caps[i] / weights[i])
+    left, weight = budget, sum(weights)
+    for at, i in enumerate(order):
+        if caps[i] / weights[i] <= left / weight:
+            given[i], left, weight = float(caps[i]), left - caps[i], weight - weights[i]
+        else:
+            for j in order[at:]:
+                given[j] = weights[j] * left / weight
+            break
+    return given
+
+
+def test_shares_of_very_many_children(spark):
+    rng = random.Random(8)
+    for n, budget in ((1, 5.0), (40, 3000.0), (30_000, 4e6)):
+        caps = [rng.choice([1, 7, 50, 1000, rng.randrange(1, 10**5)]) for _ in range(n)]
+        weights = [rng.choice([100, 100, 300, 7]) for _ in range(n)]
+        for b in (0.0, budget, float(sum(caps))):
+            rows = [("p", f"{i:06d}", c, w, b) for i, (c, w) in enumerate(zip(caps, weights, strict=True))]
+            children = spark.createDataFrame(rows, "parent string, child string, cap long, weight long, budget double")
+            got = [r["given"] for r in mixing.share_out(children, ["parent"], "child").orderBy("child").collect()]
+            assert got == pytest.approx(plain_shares(caps, weights, b), rel=1e-9)
+
+
 # --- toxicity
 
 
@@ -345,9 +445,61 @@ def test_grammar():
     assert pattern("he said idiot") == ["reported"] and pattern("she said it. idiot") == ["insult"]
     assert pattern("kill them; a moron") == ["insult", "aimed threat"]
     assert pattern("The idyll. Morning") == [] and pattern("") == []
+    # Forms of verbs, contractions, and verbs of speech behind what was said.
+    assert pattern("I will be killing them") == ["aimed threat"] and pattern("he kills you") == ["aimed threat"]
+    assert pattern("we killed him") == ["aimed threat"] and pattern("you deserve to be shot") == ["threat"]
+    assert pattern("don't kill him") == ["negated"] and pattern("You aren’t an idiot!") == ["negated"]
+    assert pattern('"idiot", she said') == ["reported"] and pattern('"idiot"; she said') == ["insult"]
+    assert pattern("l'idiot") == ["insult"] and pattern("a t-shirt isn't it") == []
     assert model.scores(np.array([[0, 0, 1, 0, 0, 0]]))[0] == pytest.approx(toxgrammar.expected_score(model.weights, [0, 0, 1, 0, 0, 0]))
 
 
+def slow_clauses(model, text):
+    """The patterns of every clause, word by word, without a transducer."""
+    counts = [0] * len(toxgrammar.PATTERNS)
+    for clause in re.split(r"[.!?;\n]", text.lower()):
+        classes = [model.word_class(w) for w in re.findall(r"[^\W\d_]+n['’]t(?![^\W\d_])|[^\W\d_]+", clause)]
+        said = {i for i, c in enumerate(classes) if c == "report"}
+        found = []
+        for i, c in enumerate(classes):
+            if c not in ("insult", "threat"):
+                continue
+            # A negation reaches over three words, and a later one begins anew.
+            if any(classes[j] == "negation" for j in range(max(0, i - 3), i)):
+                name = "negated"
+            elif any(j < i for j in said):
+                name = "reported"
+            else:
+                before = any(classes[j] == "target" for j in range(max(0, i - 3), i))
+                # The last match alone waits for a target.
+                after = False
+                for j in range(i + 1, min(len(classes), i + 4)):
+                    if classes[j] in ("insult", "threat") and not any(classes[k] == "negation" for k in range(max(0, j - 3), j)):
+                        break
+                    if classes[j] == "target":
+                        after = True
+                        break
+                name = f"aimed {c}" if before or (after and not any(i < k for k in said)) else c
+            found.append((i, name))
+        if found:
+            last = max(said, default=-1)
+            best = max((toxgrammar.PRIOR[n], toxgrammar.PATTERNS.index(n)) for i, n in found if i > last) if any(i > last for i, _ in found) else None
+            if any(i < last for i, _ in found):
+                retold = (toxgrammar.PRIOR["reported"], toxgrammar.PATTERNS.index("reported"))
+                best = retold if best is None else max(best, retold)
+            counts[best[1]] += 1
+    return counts
+
+
+def test_grammar_equals_a_slow_model():
+    model = toxgrammar.Model(frozenset({"idio"}))
+    rng = random.Random(6)
+    words = ["idiot", "kill", "killed", "you", "them", "not", "don't", "said", "a", "house", "of", ".", ";", "\n"]
+    for _ in range(4000):
+        text = " ".join(rng.choices(words, k=rng.randrange(0, 14)))
+        assert model.clauses(text) == slow_clauses(model, text), text
+
+
 def test_held_out_toxicity(spark):
     labels = table(spark, MEDIUM, "labels").select("doc_id", "toxic")
     found = toxgrammar.toxicity(table(spark, MEDIUM, "documents"), labels, toxgrammar.learnable())
