@@ -76,22 +76,23 @@ def ranked_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Ties go by value.  The ranking is a range-partitioned sort, kept as written; a category's index
     is its place in its partition plus the column's categories in the partitions before it.
     """
-    ordered = cut_lineage(
-        category_counts(df, columns).orderBy("column", F.desc("count"), F.asc("value"))
-    )
+    ordered = category_counts(df, columns).orderBy("column", F.desc("count"), F.asc("value"))
+    return _placed(ordered, ["column"]).select("column", "value", "count", "idx")
+
+
+def _placed(ordered: DataFrame, groups: list[str]) -> DataFrame:
+    """Sorted rows, ``groups`` first, with ``idx``: their place in their group."""
     # The upper bits of the id are the partition, the lower 33 the place in it.
-    placed = ordered.withColumn("id", F.monotonically_increasing_id()).withColumn(
+    placed = cut_lineage(ordered).withColumn("id", F.monotonically_increasing_id()).withColumn(
         "part", F.expr("CAST(shiftright(id, 33) AS INT)")
     )
-    sizes = placed.groupBy("column", "part").agg(F.count("*").alias("n"), F.min("id").alias("first"))
-    # One row per column and partition.
-    earlier = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy(*groups, "part").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    # One row per group and partition.
+    earlier = Window.partitionBy(*(groups or [F.lit(0)])).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
-        "column", "part", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("shift")
-    )
-    return placed.join(F.broadcast(starts), ["column", "part"]).select(
-        "column", "value", "count", (F.col("id") + F.col("shift")).alias("idx")
+        *groups, "part", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("shift")
     )
+    return placed.join(F.broadcast(starts), [*groups, "part"]).withColumn("idx", F.col("id") + F.col("shift"))
 
 
 def indexed_categories(df: DataFrame, column: str) -> DataFrame:
@@ -110,11 +111,13 @@ def bucket_counts(df: DataFrame, column: str, width: int = 1000) -> DataFrame:
 
 
 def mode_frequency(df: DataFrame, mode: str) -> DataFrame:
-    """``(mode, count, rank)``: modes by descending number of rows, ties by mode."""
+    """``(mode, count, rank)``: modes by descending number of rows, ties by mode.
+
+    The ranking is a range-partitioned sort, so a column of any number of values will do.
+    """
     counts = df.where(F.col(mode).isNotNull()).groupBy(F.col(mode).alias("mode")).count()
-    # One row per mode is all this window sees.
-    by_rank = Window.partitionBy(F.lit(0)).orderBy(F.desc("count"), F.asc("mode"))
-    return counts.withColumn("rank", F.row_number().over(by_rank) - 1)
+    ranked = _placed(counts.orderBy(F.desc("count"), F.asc("mode")), [])
+    return ranked.select("mode", "count", F.col("idx").cast("int").alias("rank"))
 
 
 def _per_column(df: DataFrame, columns: Sequence[str], measures: dict[str, str]) -> DataFrame:

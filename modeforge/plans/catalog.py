@@ -940,6 +940,21 @@ def encode_run_values(spark, folder):
     )
 
 
+@query
+def encode_run_modes(spark, folder):
+    """By mode, the rows and values that the job has written, with all it has fitted itself."""
+    path = scratch_path(spark, "encoded")
+    encode_job(spark, events(spark, folder), path, "value", key="event_id", lossless=True, portable=True)
+    written = files.read_parquet(spark, path).selectExpr(
+        "CAST(array_position(mode_encoding, 1.0D) - 1 AS INT) AS mode", "normalized_value", "value", "abs(normalized_value) = 0.99D AS edge"
+    )
+    by_mode = written.groupBy("mode").agg(
+        F.count(F.lit(1)).alias("rows"), F.avg("normalized_value").alias("mean"), F.stddev_samp("normalized_value").alias("spread"),
+        F.count_if("edge").alias("clipped"), F.min("value").alias("low"), F.max("value").alias("high"),
+    )
+    return rounded(by_mode, 3)
+
+
 @query
 def encode_run(spark, folder):
     result = encode_job(

@@ -72,6 +72,7 @@ def encode_job(
     threshold: float = THRESHOLD,
     relative: bool = False,
     contents: bool = False,
+    portable: bool = False,
     log: MetricsLog | None = None,
 ) -> EncodeResult:
     """Fit a column, encode all rows, write them, and check what was written.
@@ -87,7 +88,8 @@ def encode_job(
     config = config or MixtureConfig()
     mixture = fit_mixture(df.select(quoted(column)), column, config)
     encoder = ModeEncoder(column, mixture, config)
-    written = write_checked(encoder.encode(df, key, lossless=lossless), output_path, contents=contents)
+    coded = encoder.encode(df, key, lossless=lossless, portable=portable)
+    written = write_checked(coded, output_path, contents=contents)
     kept = read_parquet(spark, output_path)
     raw = kept.withColumnRenamed(column, RAW)
     checked = encoder.decode(raw, keep_input=True).select(RAW, quoted(column))

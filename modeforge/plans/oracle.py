@@ -646,6 +646,17 @@ def oracle_queries() -> dict[str, str]:
             TRUE AS complete FROM ({inflated(50_000)})""",
         "encode_run_values": f"""SELECT event_id, {r('value')} AS value, {r('value')} AS decoded,
             CAST(1 AS INT) AS modes, TRUE AS inside FROM events""",
+        "encode_run_modes": f"""WITH RECURSIVE {fit("SELECT value AS x FROM events", 10, 100)},
+            spots AS (SELECT k, c, mean, variance, centre0 + scale*mean AS mu, scale*sqrt(variance) AS sd, active FROM posterior JOIN wins USING (k), measures),
+            logs AS (SELECT event_id, value, s.*, c - 0.5*pow((value - mu)/sd, 2) AS l FROM events, spots s),
+            parts AS (SELECT *, exp(l - max(l) OVER (PARTITION BY event_id)) AS e FROM logs),
+            chances AS (SELECT *, e/sum(e) OVER (PARTITION BY event_id) + 1e-6 AS q FROM parts),
+            sums AS (SELECT *, dense_rank() OVER (ORDER BY k) - 1 AS mode, sum(q) OVER (PARTITION BY event_id ORDER BY k ROWS UNBOUNDED PRECEDING)
+              /sum(q) OVER (PARTITION BY event_id) AS upto FROM chances WHERE active),
+            placed AS (SELECT mode, value, (value - mu)/(4.0*sd) AS n FROM sums WHERE {uniform('mode:value', 'event_id')} < upto
+              QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY k) = 1)
+            SELECT CAST(mode AS INT) AS mode, count(*) AS rows, {r(f'avg({CLIPPED})', 3)} AS mean, {r(f'stddev_samp({CLIPPED})', 3)} AS spread,
+              count(*) FILTER (WHERE abs(n) >= 0.99) AS clipped, {r('min(value)', 3)} AS low, {r('max(value)', 3)} AS high FROM placed GROUP BY 1""",
         "encode_run": f"""SELECT count(*) AS rows, count(*) AS rows_read_back,
             {r('min(value)')} AS low, {r('max(value)')} AS high, CAST(0 AS BIGINT) AS outside,
             CAST(0 AS BIGINT) AS damaged, CAST(1 AS DOUBLE) AS accuracy,

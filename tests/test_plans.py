@@ -72,3 +72,11 @@ def test_table_encoding_is_narrow(spark, small):
     text = plan(table.transform(df, ["l_orderkey", "l_linenumber"]))
     assert "Exchange" not in text and "Python" not in text
     assert "l_comment" not in text and "l_shipdate" not in text
+
+
+def test_test_modules_have_names_of_their_own():
+    """Two modules of one name would keep pytest from collecting the second."""
+    from pathlib import Path
+
+    names = [p.name for p in Path(__file__).parent.rglob("test_*.py")]
+    assert len(names) == len(set(names))
