@@ -2,7 +2,8 @@
 
 Words are runs of ASCII letters and digits, A-Z lower-cased, and of characters beyond ASCII. Items
 are cut into blocks of a bounded number of words; each block's automaton is built on the driver and
-broadcast, so its size has a bound whatever the benchmark. Documents stream through it: a table of the
+broadcast. The automata of all blocks are held at once, so the benchmark has to fit there; an item longer than
+a block is a block of its own. Documents stream through it: a table of the
 items' word pairs finds the stretches in which a match can lie at all, and along these the automaton
 tracks the longest match that ends at each word. A match as long as a window (13 words, or all words
 of a shorter item) marks those words as hit. Rows are handled one by one, without a shuffle.

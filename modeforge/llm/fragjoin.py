@@ -31,7 +31,8 @@ The bitmap and the list of frequent shingles, both of fixed greatest size, are a
 any order is a right one, so their limits change the work, not the result. Shingles are 64-bit hashes.
 
 Defined cases: a null or blank text has no shingles and is linked with nothing; a text of fewer words
-is one shingle; repeated rows are in one component; a null id is no component's name, and a component
+is one shingle; components that do not settle in 60 rounds, which shorten paths by a factor each, are an
+error; repeated rows are in one component; a null id is no component's name, and a component
 without any id has a null one; empty tables give empty results; other columns are not read.
 """
 

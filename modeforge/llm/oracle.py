@@ -138,31 +138,33 @@ SELECT doc_id, domain, lang, source, n_tokens, (coalesce(epochs, 0) + CASE WHEN
   THEN 1 ELSE 0 END)::INTEGER AS copies FROM o"""
 
 
-_OP1 = f"""WITH RECURSIVE t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations WHERE turn IS NOT NULL),
+_OP1 = f"""WITH RECURSIVE t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
 a AS (SELECT *, 'call_' || turn AS call_id, regexp_extract_all(text, '{_WORD}') AS words, turn // 2 AS k,
   (['convert', 'lookup', 'search'])[length(text) % 3 + 1] AS name FROM t WHERE role = 'assistant'),
 c AS (SELECT *, CASE WHEN k > 0 THEN 'call_' || (2 * (k - (k & (-k))) + turn % 2) END AS dep,
   CASE name WHEN 'convert' THEN '{{"amount":' || (length(text) / 4.0::DOUBLE)::DOUBLE::VARCHAR || ',"unit":' || to_json((['m', 'km', 'mi', 'yd'])[length(text) % 4 + 1]) || '}}'
     WHEN 'lookup' THEN '{{"depth":' || (len(words) % 6) || ',"key":' || to_json(coalesce(words[1], '')) || '}}'
-    ELSE '{{"limit":' || len(words) || ',"query":' || to_json(array_to_string(words[1:4], ' ')) || '}}' END AS arguments,
+    ELSE '{{"limit":' || len(words) || ',"query":' || to_json(array_to_string(words, ' ')) || '}}' END AS arguments,
   CASE name WHEN 'convert' THEN CASE WHEN length(text) % 4 = 3 THEN ['unit: not listed'] ELSE [] END
     WHEN 'lookup' THEN list_concat(CASE WHEN len(words) % 6 > 3 THEN ['depth: above 3'] ELSE [] END, CASE WHEN coalesce(words[1], '') = '' THEN ['key: too short'] ELSE [] END)
     ELSE list_concat(CASE WHEN len(words) > 50 THEN ['limit: above 50'] ELSE [] END, CASE WHEN len(words) = 0 THEN ['query: too short'] ELSE [] END) END AS wrong FROM a),
-ids AS (SELECT conv_id, call_id, count(*) AS calls FROM c WHERE conv_id IS NOT NULL GROUP BY 1, 2),
+ids AS (SELECT conv_id, call_id, count(*) AS calls FROM c WHERE conv_id IS NOT NULL AND call_id IS NOT NULL GROUP BY 1, 2),
 waits AS (SELECT DISTINCT conv_id, call_id, dep FROM c WHERE dep IS NOT NULL AND conv_id IS NOT NULL),
 bad AS (SELECT conv_id, call_id, count(*) AS dangling FROM waits w WHERE NOT EXISTS (FROM ids i WHERE i.conv_id = w.conv_id AND i.call_id = w.dep) GROUP BY 1, 2),
 chain AS (SELECT i.conv_id, i.call_id, 0 AS level FROM ids i WHERE NOT EXISTS (FROM waits w JOIN ids j ON j.conv_id = w.conv_id AND j.call_id = w.dep WHERE w.conv_id = i.conv_id AND w.call_id = i.call_id)
   UNION SELECT w.conv_id, w.call_id, chain.level + 1 FROM chain JOIN waits w ON w.conv_id = chain.conv_id AND w.dep = chain.call_id),
 lv AS (SELECT conv_id, call_id, max(level)::INTEGER AS level FROM chain GROUP BY 1, 2),
 res AS (SELECT conv_id, 'call_' || (turn - 1) AS call_id, count(*) AS results, min(turn) AS first_turn, arg_min(text, (turn, text)) AS content
-  FROM t WHERE (role IS NULL OR role <> 'assistant') AND conv_id IS NOT NULL GROUP BY 1, 2),
+  FROM t WHERE (role IS NULL OR role <> 'assistant') AND conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY 1, 2),
 j AS (SELECT c.conv_id, c.call_id, c.turn, c.name, c.arguments, level, content,
   CASE WHEN calls IS NULL THEN 'no identifier' WHEN calls > 1 THEN 'repeated call' WHEN results IS NULL THEN 'no result' WHEN results > 1 THEN 'repeated result' ELSE 'linked' END AS status,
   list_concat(list_concat(wrong, CASE WHEN dangling > 0 THEN [dangling || ' unknown dependencies'] ELSE [] END), CASE WHEN level IS NULL AND calls IS NOT NULL THEN ['cycle'] ELSE [] END) AS wrong
   FROM c LEFT JOIN ids USING (conv_id, call_id) LEFT JOIN lv USING (conv_id, call_id) LEFT JOIN bad USING (conv_id, call_id) LEFT JOIN res USING (conv_id, call_id)
-  UNION ALL SELECT r.conv_id, r.call_id, first_turn, NULL, 'null', NULL, content, 'no call', [] FROM res r WHERE NOT EXISTS (FROM ids i WHERE i.conv_id = r.conv_id AND i.call_id = r.call_id))
-SELECT conv_id, call_id, turn, name, status, level, status <> 'no call' AND len(wrong) = 0 AS valid, array_to_string(wrong, '; ') AS errors,
-  '{{"arguments":' || arguments || ',"id":' || to_json(call_id) || ',"level":' || coalesce(level::VARCHAR, 'null') || ',"name":' || coalesce(to_json(name), 'null') || ',"result":' || coalesce(to_json(content), 'null') || '}}' AS message FROM j"""
+  UNION ALL SELECT r.conv_id, r.call_id, first_turn, NULL, 'null', NULL, content, 'no call', [] FROM res r WHERE NOT EXISTS (FROM ids i WHERE i.conv_id = r.conv_id AND i.call_id = r.call_id)
+  UNION ALL SELECT conv_id, 'call_' || (turn - 1), turn, NULL, 'null', NULL, text, 'result without identifier', [] FROM t
+  WHERE (role IS NULL OR role <> 'assistant') AND (conv_id IS NULL OR turn IS NULL))
+SELECT conv_id, call_id, turn, name, status, level, status NOT IN ('no call', 'result without identifier') AND len(wrong) = 0 AS valid, array_to_string(wrong, '; ') AS errors,
+  '{{"arguments":' || arguments || ',"id":' || coalesce(to_json(call_id), 'null') || ',"level":' || coalesce(level::VARCHAR, 'null') || ',"name":' || coalesce(to_json(name), 'null') || ',"result":' || coalesce(to_json(content), 'null') || '}}' AS message FROM j"""
 
 
 _TERMS = _LOWER.format("coalesce(text, '')")

@@ -7,7 +7,8 @@ over the whole table, each a join of the edges that are left with the calls just
 conversation is gathered in one task; there are as many rounds as levels. Validation and
 serialisation are small functions of one row.
 
-Defined cases: a null identifier links with nothing; repeated calls of one identifier all get its
+Defined cases: a null identifier links with nothing, and its calls and results come back with a status of their
+own, as do turns without a number; repeated calls of one identifier all get its
 result and are marked; of several results of one identifier the first by turn, then by content, counts; a
 dependency that no call has is an error and waits for nothing; calls on a cycle, or behind one, have
 no level; arguments that are no JSON object, or null, are invalid and written as null; empty
@@ -34,6 +35,9 @@ TOOLS: dict[str, dict[str, dict[str, Any]]] = {
     "search": {"limit": {"type": "integer", "required": True, "maximum": 50}, "query": {"type": "string", "required": True, "shortest": 1}},
 }
 
+#: The status of results that name no call.
+NAMELESS = "result without identifier"
+
 _TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "array": list, "object": dict}
 
 
@@ -112,7 +116,7 @@ def levels(calls: DataFrame, waits: DataFrame) -> DataFrame:
 
 
 def link_calls(calls: DataFrame, results: DataFrame, tools: Mapping[str, Mapping[str, Mapping[str, Any]]] | None = None) -> DataFrame:
-    """One row per call, and one per identifier of results without a call.
+    """One row per call, one per identifier of results without a call, and one per result without identifier.
 
     ``calls(conv_id, call_id, turn, name, arguments, after)``, ``after`` an array of identifiers;
     ``results(conv_id, call_id, turn, content)``. Gives ``conv_id, call_id, turn, name, status, level,
@@ -153,16 +157,22 @@ def link_calls(calls: DataFrame, results: DataFrame, tools: Mapping[str, Mapping
         F.lit(None).cast("int").alias("level"), F.lit(0).cast("bigint").alias("dangling"), F.lit("no call").alias("status"), F.col("first.content").alias("content"),
     )
 
+    unnamed = results.where("conv_id is null or call_id is null").select(
+        *key, "turn", F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("arguments"), F.lit(None).cast("int").alias("level"),
+        F.lit(0).cast("bigint").alias("dangling"), F.lit(NAMELESS).alias("status"), "content",
+    )
+
     def written(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             valid, errors, messages = [], [], []
             for x in rows.itertuples(index=False):
                 arguments = parsed(x.arguments)
-                found = [] if x.status == "no call" else violations(arguments, tools.get(x.name))
+                no_call = x.status in ("no call", NAMELESS)
+                found = [] if no_call else violations(arguments, tools.get(x.name))
                 found += [f"{x.dangling} unknown dependencies"] * (x.dangling > 0)
                 at = None if pd.isna(x.level) else int(x.level)
-                found += ["cycle"] * (at is None and x.status not in ("no call", "no identifier"))
-                valid.append(x.status != "no call" and not found)
+                found += ["cycle"] * (at is None and not no_call and x.status != "no identifier")
+                valid.append(not no_call and not found)
                 errors.append("; ".join(found))
                 messages.append(
                     canonical_json({"arguments": arguments, "id": x.call_id, "level": at, "name": x.name, "result": x.content})
@@ -172,7 +182,7 @@ def link_calls(calls: DataFrame, results: DataFrame, tools: Mapping[str, Mapping
             )[["conv_id", "call_id", "turn", "name", "status", "level", "valid", "errors", "message"]]
 
     kinds = dict(linked.dtypes)
-    return linked.unionByName(orphans).mapInPandas(
+    return linked.unionByName(orphans).unionByName(unnamed).mapInPandas(
         written,
         f"conv_id {kinds['conv_id']}, call_id {kinds['call_id']}, turn {kinds['turn']}, name string, status string, level int, "
         "valid boolean, errors string, message string",
@@ -186,7 +196,8 @@ def calls_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     words; it waits for the call some turns before that the lowest bit of its number names, so chains
     are as long as numbers have bits. Every other turn answers the turn before it.
     """
-    turns = conversations.select("conv_id", "turn", "role", text_or_empty().alias("text")).where("turn is not null")
+    turns = conversations.select("conv_id", "turn", "role", text_or_empty().alias("text"))
+    named = lambda turn: F.when(F.col("turn").isNotNull(), F.format_string("call_%d", turn))
     words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
     assistant = turns.where("role = 'assistant'").withColumn("words", words).withColumn("k", F.expr("turn div 2"))
     name = F.element_at(F.array(*(F.lit(x) for x in sorted(TOOLS))), (F.pmod(F.char_length("text"), F.lit(3)) + 1).cast("int"))
@@ -195,14 +206,14 @@ def calls_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     arguments = (
         F.when(F.col("name") == "convert", F.to_json(F.struct(chosen.alias("unit"), (points / 4.0).alias("amount"))))
         .when(F.col("name") == "lookup", F.to_json(F.struct(F.coalesce(F.try_element_at("words", F.lit(1)), F.lit("")).alias("key"), F.pmod(count, F.lit(6)).alias("depth"))))
-        .otherwise(F.to_json(F.struct(F.array_join(F.slice("words", 1, 4), " ").alias("query"), count.alias("limit"))))
+        .otherwise(F.to_json(F.struct(F.array_join("words", " ").alias("query"), count.alias("limit"))))
     )
     before = F.expr("2 * (k - (k & (-k))) + turn % 2")
     calls = assistant.withColumn("name", name).select(
-        "conv_id", F.format_string("call_%d", "turn").alias("call_id"), "turn", "name", arguments.alias("arguments"),
+        "conv_id", named(F.col("turn")).alias("call_id"), "turn", "name", arguments.alias("arguments"),
         F.when(F.col("k") > 0, F.array(F.format_string("call_%d", before))).otherwise(F.expr("cast(array() as array<string>)")).alias("after"),
     )
     results = turns.where("role is null or role <> 'assistant'").select(
-        "conv_id", F.format_string("call_%d", F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content")
+        "conv_id", named(F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content")
     )
     return calls, results

@@ -34,7 +34,7 @@ ODD = [
 ]
 LABELS = [(1, None, None), (2, 0, 0), (None, 1, 1), (8, 0, 1), (8, 0, 0)]
 PAGES = [(1, None, None), (2, "", "x"), (3, "no scheme/a", "x"), (4, "http://A.example.net/en/x?b=1&a=2#f", "x"), (None, "http://a.example.net/en/x?a=2&b=1", "x"), (6, "ftp://net/", "x"), (7, "http://" + "a." * 3000 + "net/", "x")]
-TALK = [(1, 0, "user", None), (1, 1, "assistant", 'say "x"\n'), (1, 1, "assistant", "again"), (1, 2, None, "r"), (None, 1, "assistant", "x"), (2, None, "user", "x"), (2, 3, "assistant", "")]
+TALK = [(1, 0, "user", None), (1, None, "assistant", "no number here"), (None, 4, "tool", "of none"), (1, 1, "assistant", 'say "x"\n'), (1, 1, "assistant", "again"), (1, 2, None, "r"), (None, 1, "assistant", "x"), (2, None, "user", "x"), (2, 3, "assistant", "")]
 
 
 def _write(spark, folder, empty):
@@ -67,7 +67,7 @@ def empty(spark, tmp_path_factory):
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_odd_and_empty_tables(spark, odd, empty, name):
     rows = queries.QUERIES[name](spark, odd).collect()
-    size = {"op1_tool_calls": 5, "op5_url_bloom": len(PAGES), "op11_shared_search": 6, "op12_spelling_forms": 0, "op13_main_text": len(PAGES)}.get(name, len(ODD))
+    size = {"op1_tool_calls": 8, "op5_url_bloom": len(PAGES), "op11_shared_search": 6, "op12_spelling_forms": 0, "op13_main_text": len(PAGES)}.get(name, len(ODD))
     assert len(rows) == size
     assert queries.QUERIES[name](spark, empty).count() == 0
     if name in oracle_queries():
