@@ -198,8 +198,10 @@ ends AS (SELECT walk.word, walk.root FROM walk JOIN f ON f.word = walk.root WHER
 SELECT f.*, root FROM f JOIN ends USING (word)"""
 
 
-# All given pages mark their article, so SQL can cut it out; the operator does not rely on that.
-_OP13 = """WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(?:</article>|<footer>|$)', 1) AS body FROM pages),
+# All given pages mark their article, so SQL can cut it out; a page without any markup is its own text. The operator
+# relies on neither.
+_OP13 = """WITH a AS (SELECT page_id, url, CASE WHEN contains(html, '<') THEN regexp_extract(html, '(?s)<article>(.*?)(?:</article>|<footer>|$)', 1)
+  ELSE coalesce(html, '') END AS body FROM pages),
 b AS (SELECT page_id, url, regexp_replace(regexp_replace(body, '</?(?:p|h1|br)>', ' ', 'g'), '<[^>]*>', '', 'g') AS plain FROM a),
 c AS (SELECT page_id, url, trim(regexp_replace(replace(replace(replace(replace(plain, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\\s+', ' ', 'g')) AS text FROM b)
 SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM c"""
