@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -16,6 +17,8 @@ BROADCAST_BYTES, ENTRY_BYTES = 64 << 20, 64
 HOT, HOT_LENGTH, HOT_IN_ALL = 10_000, 256, 100_000
 # Rows of one value that one task joins; a value that more rows lack is spread over several.
 ROWS_A_PART = 500_000
+# Bytes of a dictionary that one task holds.
+PART_BYTES = 32 << 20
 # Parts on a stream, whose rows can't be counted before.
 STREAM_PARTS = 8
 
@@ -105,7 +108,12 @@ def _crowded(rows: DataFrame, x: Lookup) -> DataFrame:
 
 def _joined(rows: DataFrame, x: Lookup, hot: str, crowded: DataFrame | None) -> DataFrame:
     """The shuffle join; a value that is not among the hot entries may be frequent all the same, so its
-    rows, counted by hashes, are dealt over as many parts as they need."""
+    rows, counted by hashes, are dealt over as many parts as they need.
+
+    Rows stream past the entries of their part, so a task holds a bounded piece of the dictionary and no
+    rows.  Sizes are those measured: long entries that compress well look small to the planner, which
+    would broadcast them.
+    """
     kept = [quoted(c) for c in rows.columns if c != x.name]
     keyed = rows.selectExpr("*", f"{_key(x)} AS __key")
     rare = x.entries(f"NOT ({hot})").withColumnRenamed(x.name, "__rare")
@@ -120,6 +128,9 @@ def _joined(rows: DataFrame, x: Lookup, hot: str, crowded: DataFrame | None) ->
     salt = F.xxhash64(*(F.col(quoted(f.name)) for f in rows.schema.fields if f.name != x.name and f.dataType.typeName() != "map"))
     dealt = keyed.withColumn("__part", F.pmod(salt, F.when(F.col("__key").isNull(), F.lit(1 << 20)).otherwise(parts)).cast("int"))
     rare = rare.select("__match", "__rare", F.explode(F.sequence(F.lit(0), parts - 1)).alias("__other"))
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(x.dictionary.bytes / PART_BYTES))
+    dealt = dealt.repartition(tasks, "__key", "__part")
+    rare = rare.repartition(tasks, "__match", "__other").hint("shuffle_hash")
     return dealt.join(
         rare, (F.col("__key") == F.col("__match")) & (F.col("__part") == F.col("__other")), "left"
     ).selectExpr(*kept, f"coalesce({x.name}, __rare) AS {x.name}")

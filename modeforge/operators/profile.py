@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from modeforge.functions.text import quoted, string
-from modeforge.sources.scratch import cut_lineage
+from modeforge.sources.scratch import kept_table
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -83,7 +83,7 @@ def ranked_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def _placed(ordered: DataFrame, groups: list[str]) -> DataFrame:
     """Sorted rows, ``groups`` first, with ``idx``: their place in their group."""
     # The upper bits of the id are the partition, the lower 33 the place in it.
-    placed = cut_lineage(ordered).withColumn("id", F.monotonically_increasing_id()).withColumn(
+    placed = kept_table(ordered.withColumn("id", F.monotonically_increasing_id()), "ranked").withColumn(
         "part", F.expr("CAST(shiftright(id, 33) AS INT)")
     )
     sizes = placed.groupBy(*groups, "part").agg(F.count("*").alias("n"), F.min("id").alias("first"))

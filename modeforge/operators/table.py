@@ -31,7 +31,7 @@ from modeforge.operators.model import Mixture, from_parameters, parameters
 from modeforge.operators.lookup import Dictionary, Lookup, look_up
 from modeforge.operators.profile import ranked_categories
 from modeforge.sources.files import read_parquet, write_parquet
-from modeforge.sources.scratch import cut_lineage
+from modeforge.sources.scratch import kept_table
 
 CONTINUOUS, MIXED, CATEGORICAL = "continuous", "mixed", "categorical"
 TANH, SOFTMAX, INDEX = "tanh", "softmax", "index"
@@ -197,7 +197,7 @@ class TableEncoder:
         """Categories of one-hot columns: lists of the few, tables of the others."""
         if not narrow:
             return {}, {}
-        ranked = cut_lineage(ranked_categories(df, narrow))
+        ranked = kept_table(ranked_categories(df, narrow), "categories")
         measured = ranked.groupBy("column").agg(F.count("*").alias("n"), F.sum(F.octet_length("value")).alias("size"))
         found = {r["column"]: (r["n"], r["size"]) for r in measured.collect()}
         for c, (n, _) in found.items():
@@ -243,7 +243,7 @@ class TableEncoder:
             return ColumnCode(c, CATEGORICAL, ddl, size=size, indexed=indexed, sparse=sparse)
         if indexed or sparse:
             # Kept as a table, which a stream can be joined with too.
-            ranked = cut_lineage(ranked_categories(df, [c]).select("value", "idx"))
+            ranked = kept_table(ranked_categories(df, [c]).select("value", "idx"), "categories")
             measured = ranked.agg(F.count("*"), F.sum(F.octet_length("value"))).first()
             table = Dictionary(ranked, measured[0], measured[1] or 0)
         if table is not None:

@@ -368,3 +368,25 @@ def test_hot_values_are_split_by_their_counts(spark, monkeypatch):
     back = encoder.inverse_transform(coded, keep=["id"])
     expected = df.withColumn("c", F.expr("nullif(c, 'unseen')"))
     assert back.exceptAll(expected).isEmpty() and expected.exceptAll(back).isEmpty()
+
+
+def large_dictionary(spark, monkeypatch, rows):
+    """Rows to look up in a dictionary that is too large to broadcast, and their encoder."""
+    from modeforge.operators import lookup
+
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(lookup, "HOT", 1)
+    df = spark.range(rows).selectExpr("id", "concat(repeat('long ', 20), id) AS c")
+    return df, TableEncoder(TableSpec(categorical=["c"], columns=["c"], indexed=["c"])).fit(df)
+
+
+def test_large_dictionaries_are_never_broadcast(spark, monkeypatch):
+    """Text that compresses well looks small to the planner."""
+    df, encoder = large_dictionary(spark, monkeypatch, 100)
+    coded = encoder.transform(df, keep=["id"])
+    for shuffled, joins in ((coded, 1), (encoder.inverse_transform(coded, keep=["id"]), 2)):
+        rows = shuffled.collect()
+        assert len(rows) == 100 and all(r[1] is not None for r in rows)
+        plan = shuffled._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+        assert plan.count("ShuffledHashJoin") >= joins and "SortMergeJoin" not in plan
+        assert not [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "__other" in line]
