@@ -53,7 +53,8 @@ class TableSpec:
     position is the frequency rank) or ``"codes"`` (the value is the position).
     A categorical column becomes a one-hot block of columns, one index column if it is listed in
     ``indexed``, or a one-hot block as a sparse vector if it is listed in ``sparse``; the data never
-    decide that.  A block of more than ``one_hot_width`` columns is an error.
+    decide that.  A block of more than ``one_hot_width`` columns is an error, unless ``wide`` is
+    ``"sparse"``: then such a block, and only such a one, is a sparse vector.
     """
 
     categorical: Sequence[str | int] = ()
@@ -66,6 +67,7 @@ class TableSpec:
     indexed: Sequence[str | int] = ()
     sparse: Sequence[str | int] = ()
     one_hot_width: int = 2048
+    wide: str = "error"
 
     def __post_init__(self) -> None:
         if self.continuous not in ("mixture", "minmax"):
@@ -74,3 +76,5 @@ class TableSpec:
             raise ValueError("categories must be 'ranked' or 'codes'")
         if self.unseen not in ("zero", "error"):
             raise ValueError("unseen must be 'zero' or 'error'")
+        if self.wide not in ("error", "sparse"):
+            raise ValueError("wide must be 'error' or 'sparse'")

@@ -200,9 +200,11 @@ class TableEncoder:
         ranked = kept_table(ranked_categories(df, narrow), "categories")
         measured = ranked.groupBy("column").agg(F.count("*").alias("n"), F.sum(F.octet_length("value")).alias("size"))
         found = {r["column"]: (r["n"], r["size"]) for r in measured.collect()}
-        for c, (n, _) in found.items():
-            self._check_width(c, n)
-        few = [c for c in narrow if found.get(c, (0, 0))[0] <= LITERALS and found.get(c, (0, 0))[1] <= LITERAL_BYTES]
+        wide = [c for c, (n, _) in found.items() if self._too_wide(c, n)]
+        few = [
+            c for c in narrow
+            if c not in wide and found.get(c, (0, 0))[0] <= LITERALS and found.get(c, (0, 0))[1] <= LITERAL_BYTES
+        ]
         values: dict[str, list[str]] = {c: [] for c in few}
         if few:
             for row in ranked.where(F.col("column").isin(few)).orderBy("column", "idx").collect():
@@ -214,12 +216,14 @@ class TableEncoder:
         }
         return values, tables
 
-    def _check_width(self, c: str, width: int) -> None:
-        if width > self.spec.one_hot_width:
+    def _too_wide(self, c: str, width: int) -> bool:
+        """Whether a block of columns is to be a sparse vector instead; an error, if that was not asked for."""
+        if width > self.spec.one_hot_width and self.spec.wide == "error":
             raise ValueError(
                 f"column {c} has {width} categories, more than the {self.spec.one_hot_width} columns a one-hot block "
                 "may have; list it in indexed or sparse, or raise one_hot_width"
             )
+        return width > self.spec.one_hot_width
 
     def _category(
         self,
@@ -238,14 +242,15 @@ class TableEncoder:
             top = counted[f"{c}:max"]
             # A null counts as a category of its own when positions are codes.
             size = (0 if top is None else top + 1) + (1 if counted[f"{c}:null"] else 0)
-            if not indexed and not sparse:
-                self._check_width(c, size)
+            sparse = sparse or not indexed and self._too_wide(c, size)
             return ColumnCode(c, CATEGORICAL, ddl, size=size, indexed=indexed, sparse=sparse)
         if indexed or sparse:
             # Kept as a table, which a stream can be joined with too.
             ranked = kept_table(ranked_categories(df, [c]).select("value", "idx"), "categories")
             measured = ranked.agg(F.count("*"), F.sum(F.octet_length("value"))).first()
             table = Dictionary(ranked, measured[0], measured[1] or 0)
+        elif table is not None:
+            sparse = self._too_wide(c, table.size)
         if table is not None:
             return ColumnCode(
                 c, CATEGORICAL, ddl, size=table.size, indexed=indexed, dictionary=table, sparse=sparse

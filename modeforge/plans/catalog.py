@@ -522,15 +522,21 @@ def category_one_hot(spark, folder):
 
 @query
 def category_one_hot_wide(spark, folder):
-    """As many one-hot columns as parts; the place of the 1 and the sum of each row."""
+    """As many one-hot columns as parts, beyond the widest block of columns as a sparse vector; the place of
+    the 1 and the sum of each row."""
     df = table(spark, folder, "lineitem")
-    encoder = TableEncoder(TableSpec(categorical=["l_suppkey"], columns=["l_suppkey"])).fit(df)
-    width = encoder.output_dimensions
-    block = f"array({', '.join(f'col_{i}' for i in range(width))})"
+    encoder = TableEncoder(TableSpec(categorical=["l_suppkey"], columns=["l_suppkey"], wide="sparse")).fit(df)
+    (code,) = encoder.codes
+    if code.sparse:
+        block = "sparse_l_suppkey.values"
+        place = f"sparse_l_suppkey.indices[array_position({block}, 1.0D) - 1]"
+    else:
+        block = f"array({', '.join(f'col_{i}' for i in range(code.width))})"
+        place = f"array_position({block}, 1.0D) - 1"
     return encoder.transform(df, keep=LINE_KEY).selectExpr(
         *LINE_KEY,
-        f"CAST({width} AS BIGINT) AS width",
-        f"CAST(array_position({block}, 1.0D) - 1 AS BIGINT) AS place",
+        f"CAST({code.size} AS BIGINT) AS width",
+        f"CAST({place} AS BIGINT) AS place",
         f"aggregate({block}, 0.0D, (s, x) -> s + x) AS ones",
     )
 

@@ -390,3 +390,30 @@ def test_large_dictionaries_are_never_broadcast(spark, monkeypatch):
         plan = shuffled._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
         assert plan.count("ShuffledHashJoin") >= joins and "SortMergeJoin" not in plan
         assert not [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "__other" in line]
+
+
+@pytest.mark.parametrize("categories", ["ranked", "codes"])
+def test_blocks_beyond_the_width_can_be_sparse(spark, categories):
+    df = spark.range(300).selectExpr("id", "CAST(id % 50 AS BIGINT) AS c", "CAST(id % 49 AS BIGINT) AS d")
+    options = dict(categorical=["c", "d"], columns=["c", "d"], categories=categories, one_hot_width=49)
+    encoder = TableEncoder(TableSpec(wide="sparse", **options)).fit(df)
+    assert [code.sparse for code in encoder.codes] == [True, False] and encoder.output_dimensions == 49
+    path = scratch_path(spark, "wide")
+    encoder.save(spark, path)
+    coded = TableEncoder.load(spark, path).transform(df, keep=["id"])
+    assert coded.selectExpr("min(sparse_c.size)", "max(size(sparse_c.indices))").first() == (50, 1)
+    assert encoder.inverse_transform(coded, keep=["id"]).exceptAll(df).isEmpty()
+    with pytest.raises(ValueError, match="wide must be"):
+        TableSpec(wide="dense")
+
+
+def test_wide_one_hot_query_at_more_suppliers_than_columns(spark, tmp_path):
+    from modeforge.plans.catalog import QUERIES
+
+    spark.range(2500).selectExpr(
+        "id AS l_orderkey", "1 AS l_linenumber", "id AS l_partkey", "id % 2100 AS l_suppkey"
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = QUERIES["category_one_hot_wide"](spark, str(tmp_path))
+    # The first 400 suppliers have two lines each.
+    assert found.selectExpr("count(*)", "min(width)", "count(DISTINCT place)", "min(ones)", "max(ones)").first() == (2500, 2100, 2100, 1.0, 1.0)
+    assert found.where("l_suppkey < 400 AND place >= 400 OR l_suppkey >= 400 AND place < 400").isEmpty()
