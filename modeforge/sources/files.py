@@ -93,6 +93,10 @@ def take_sample(
     return whole.unionAll(part.limit(left))
 
 
+# Parts into which rows of one part of the input are dealt, which are longer once decompressed, and the fewest of all.
+PARTS_FOR_ONE, FEWEST_PARTS = 4, 7
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
@@ -124,6 +128,12 @@ def checksum(df: DataFrame) -> Column:
     return F.coalesce(F.sum(F.xxhash64(*marked).cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)")
 
 
+def dealt_anew(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """The rows in another order, in several parts for each part of the input, so that none grows with the table."""
+    parts = PARTS_FOR_ONE * df.rdd.getNumPartitions()
+    return df.repartition(max(FEWEST_PARTS, parts), *map(quoted, [key] if isinstance(key, str) else key))
+
+
 def write_checked(
     df: DataFrame, path: str, mode: str = "overwrite", contents: bool = False
 ) -> WriteReport:

@@ -140,6 +140,27 @@ def test_contents_are_checked(spark, tmp_path):
     assert not files.WriteReport("x", 3, 3, 1.0, 5, 6).complete
 
 
+def test_parts_dealt_anew_grow_in_number(spark, tmp_path):
+    """Not in length: the checksum of a table in another order took seven parts of any table."""
+    path = str(tmp_path / "many")
+    spark.range(1000).selectExpr("id AS `a key`", "id % 7 AS v").repartition(12).write.parquet(path)
+    held = {name: spark.conf.get(name) for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for name in held:
+            spark.conf.set(name, "1k")
+        df = spark.read.parquet(path)
+        assert df.rdd.getNumPartitions() >= 12
+        dealt = files.dealt_anew(df, "a key")
+        assert dealt.rdd.getNumPartitions() == files.PARTS_FOR_ONE * df.rdd.getNumPartitions()
+        assert dealt.agg(files.checksum(df)).first() == df.agg(files.checksum(df)).first()
+        largest = dealt.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert largest < 1000 / 7 / 2
+    finally:
+        for name, value in held.items():
+            spark.conf.set(name, value)
+    assert files.dealt_anew(df.coalesce(1), ["a key"]).rdd.getNumPartitions() == files.FEWEST_PARTS
+
+
 def test_jobs_check_contents(spark, events):
     result = encode_job(
         spark, events, scratch_path(spark, "out"), "value", key="event_id", lossless=True, contents=True,
