@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -417,3 +419,20 @@ def test_wide_one_hot_query_at_more_suppliers_than_columns(spark, tmp_path):
     # The first 400 suppliers have two lines each.
     assert found.selectExpr("count(*)", "min(width)", "count(DISTINCT place)", "min(ones)", "max(ones)").first() == (2500, 2100, 2100, 1.0, 1.0)
     assert found.where("l_suppkey < 400 AND place >= 400 OR l_suppkey >= 400 AND place < 400").isEmpty()
+
+
+def test_parts_of_a_large_dictionary_follow_its_bytes(spark, monkeypatch):
+    """A task holds a bounded piece of the dictionary and sorts no rows, however many there are."""
+    from modeforge.operators import lookup
+
+    monkeypatch.setattr(lookup, "PART_BYTES", 1 << 10)
+    found = []
+    for rows in (100, 200):
+        df, encoder = large_dictionary(spark, monkeypatch, rows)
+        plan = encoder.transform(df, keep=["id"])._jdf.queryExecution().sparkPlan().toString()
+        assert "ShuffledHashJoin" in plan and "Sort" not in plan
+        parts = {int(n) for n in re.findall(r"hashpartitioning\(__(?:key|match)[^)]*, (\d+)\)", plan)}
+        found.append((encoder.codes[0].dictionary.bytes, parts))
+    for size, parts in found:
+        assert parts == {-(-size // (1 << 10))}
+    assert max(found[1][1]) > 1.9 * max(found[0][1])
