@@ -192,3 +192,19 @@ def test_table_stream_equals_batch(spark, small, monkeypatch):
         decode_table_stream(again, encoder, back, scratch_path(spark, "state"), keep=key).awaitTermination()
         expected = lines.select(*key, *spec.columns)
         assert read_parquet(spark, back).exceptAll(expected).isEmpty() and read_parquet(spark, back).count() == lines.count()
+
+
+def test_stream_hashes_large_dictionaries(spark, tmp_path, monkeypatch):
+    """Rows of a stream pass the parts of a large dictionary, which the planner would broadcast in several copies."""
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(lookup, "HOT", 1)
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(60).selectExpr("id", "concat('c', id % 20) AS c").write.parquet(folder)
+    df = spark.read.parquet(folder)
+    encoder = TableEncoder(TableSpec(categorical=["c"], columns=["c"], indexed=["c"])).fit(df)
+    stream = read_files_as_stream(spark, folder, df.schema)
+    run = encode_table_stream(stream, encoder, out, scratch_path(spark, "state"), keep=["id"])
+    run.awaitTermination()
+    plan = run._jsq.explainInternal(False).split("Initial Plan")[-1]
+    assert plan.count("ShuffledHashJoin") == 1 and "SortMergeJoin" not in plan
+    assert spark.read.parquet(out).exceptAll(encoder.transform(df, keep=["id"])).isEmpty()
