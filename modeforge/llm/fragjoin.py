@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from modeforge.llm.common import broadcast_if_bounded, chunks, components, packed_row, row_digest, staged, without_rows
+from modeforge.llm.common import broadcast_if_bounded, chunks, components, packed_row, row_digest, small_batches, staged, without_rows
 from modeforge.llm.shingles import shingle_sets
 
 WIDTH = 5
@@ -61,8 +61,10 @@ SEEN_BITS = 27
 FREQUENT = 2_000_000
 #: The list has shingles of at least 2**3 documents, or of more if there are too many.
 LEAST_LEVEL = 3
-#: Shingles a task gathers before it counts them.
-BUFFER = 2_000_000
+#: Shingles a task gathers before it counts them, and bytes of text it makes into sets at a time. Python workers are used
+#: again and keep what they once needed, so both count for all that an executor does later.
+BUFFER = 1_000_000
+TEXT_BYTES = 1 << 20
 #: Classes of a random part of those under one shingle.
 PART = 16
 #: 64-bit words of the bitmap of a set.
@@ -79,7 +81,7 @@ def _bits(documents: int) -> int:
 def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     for batch in batches:
         texts = batch.column("text")
-        for first, part in chunks(t.as_py().encode() if t.is_valid else b"" for t in texts):
+        for first, part in chunks((t.as_py().encode() if t.is_valid else b"" for t in texts), TEXT_BYTES):
             yield batch.slice(first, len(part)), shingle_sets(part, WIDTH)
 
 
@@ -87,12 +89,17 @@ def _count_parts(bits: int):
     """Map side of the count: per range, the shingles met once and those met more often, with counts."""
 
     def emit(held: list[np.ndarray]) -> pa.RecordBatch:
-        every = np.sort(np.concatenate(held))
+        every = np.concatenate(held)
+        held.clear()
+        every.sort()
         first = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
-        values, counts = every[first], np.diff(np.append(first, len(every))).astype(np.uint32)
-        ranges = (values >> np.uint64(64 - bits)).astype(np.int64)
-        keys = ((values >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        cuts = np.searchsorted(ranges, np.arange((1 << bits) + 1))
+        values, counts = every[first], np.diff(first, append=len(every)).astype(np.uint32)
+        del every, first
+        begins = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+        cuts = np.append(np.searchsorted(values, begins), len(values))
+        # The 32 bits after those of the range.
+        keys = (values >> np.uint64(32 - bits)).astype(np.uint32)
+        del values
         rows = {"range": [], "ones": [], "more": [], "counts": []}
         for r in np.flatnonzero(np.diff(cuts)).tolist():
             k, c = keys[cuts[r] : cuts[r + 1]], counts[cuts[r] : cuts[r + 1]]
@@ -314,18 +321,20 @@ def _grouped(rows: DataFrame) -> DataFrame:
     """
     spark = rows.sparkSession
     bits = _bits(rows.count())
-    counted = staged(
-        rows.select("text")
-        .mapInArrow(_count_parts(bits), "range int, ones binary, more binary, counts binary")
-        .groupBy("range")
-        .applyInPandas(_sum_parts(bits), "range int, level int, n long, keys binary"),
-        "shingle-counts",
-    )
+    with small_batches(spark):
+        counted = staged(
+            rows.select("text")
+            .mapInArrow(_count_parts(bits), "range int, ones binary, more binary, counts binary")
+            .groupBy("range")
+            .applyInPandas(_sum_parts(bits), "range int, level int, n long, keys binary"),
+            "shingle-counts",
+        )
     levels = {r["level"]: r["n"] for r in counted.where("level >= 0").groupBy("level").agg(F.sum("n").alias("n")).collect()}
     least = min((lv for lv in levels if sum(n for k, n in levels.items() if k >= lv) <= FREQUENT), default=99)
     order = spark.sparkContext.broadcast(Order(bits, counted.where((F.col("level") < 0) | (F.col("level") >= least)).collect()))
     kind = f"key binary, doc_id {dict(rows.dtypes)['doc_id']}, n long, common long, digest binary, sketch array<long>, prefix array<long>, segments array<array<long>>"
-    sets = staged(rows.mapInArrow(_ordered(order), kind), "sets")
+    with small_batches(spark):
+        sets = staged(rows.mapInArrow(_ordered(order), kind), "sets")
     classes = staged(
         sets.where("n > 0")
         .groupBy("digest")

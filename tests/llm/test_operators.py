@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -310,6 +313,43 @@ def test_unlike_texts_without_own_ids_all_stay(spark):
     assert kept == [(0, ""), (0, text("a")), (0, text("b")), (0, text("c")), (5, text("d")), (5, text("e")), (6, text("f"))]
 
 
+def test_memory_of_tasks_that_make_shingles(spark, monkeypatch):
+    # Of text that a task gets at a time.
+    name, seen = "spark.sql.execution.arrow.maxBytesPerBatch", {}
+    before, staged_before = spark.conf.get(name), fragjoin.staged
+
+    def watched(df, label):
+        seen[label] = spark.conf.get(name)
+        return staged_before(df, label)
+
+    monkeypatch.setattr(fragjoin, "staged", watched)
+    fragjoin.near_duplicates(docs_of(spark, ["a b c d e f", "a b c d e f g"]))
+    assert all(0 < int(seen[label]) <= 8 << 20 for label in ("shingle-counts", "sets"))
+    assert seen["classes"] == spark.conf.get(name) == before
+    # Of the numbers it makes of them, with the same counts as a plain loop.
+    words = [f"w{i:06x}" for i in np.random.default_rng(1).integers(0, 1 << 24, 2_200_000)]
+    texts = [" ".join(words[i : i + 2200]) for i in range(0, len(words), 2200)]
+    batches = [pa.RecordBatch.from_pydict({"text": texts[i : i + 100]}) for i in range(0, len(texts), 100)]
+    tracemalloc.start()
+    try:
+        parts = list(fragjoin._count_parts(6)(iter([*batches, batches[0]])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 72 << 20
+    totals = Counter()
+    for part in parts:
+        for row in part.to_pylist():
+            totals.update((row["range"], k) for k in np.frombuffer(row["ones"], np.uint32).tolist())
+            more = np.frombuffer(row["more"], np.uint32).tolist()
+            for k, n in zip(more, np.frombuffer(row["counts"], np.uint32).tolist(), strict=True):
+                totals[row["range"], k] += n
+    plain = Counter()
+    for own in shingle_sets([t.encode() for t in [*texts, *texts[:100]]], fragjoin.WIDTH):
+        plain.update((v >> 58, (v >> 26) & 0xFFFFFFFF) for v in own.tolist())
+    assert totals == plain
+
+
 def test_survivors_do_not_depend_on_how_a_scan_is_cut(spark, monkeypatch, tmp_path):
     texts = [" ".join(f"{k % 20}w{i}" for i in range(9)) for k in range(32)]
     rows = [(k // 2 if k < 4 else None, t) for k, t in enumerate(texts)] + [(50, texts[19])] * 3
