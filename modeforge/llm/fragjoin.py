@@ -40,6 +40,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -126,7 +127,7 @@ def _count_parts(bits: int):
 
 
 def _sum_parts(bits: int):
-    """Reduce side: per range a slice of the bitmap (level -1) and the frequent keys of each level."""
+    """Reduce side: per range a slice of the bitmap (level -1) and the frequent keys of each level, compressed."""
 
     def total(parts: pd.DataFrame) -> pd.DataFrame:
         r = int(parts["range"].iloc[0])
@@ -140,11 +141,11 @@ def _sum_parts(bits: int):
         sums, keys = np.add.reduceat(weights, first), keys[first]
         seen = np.zeros(1 << (SEEN_BITS - bits), bool)
         seen[keys[sums > 1] >> np.uint32(32 - (SEEN_BITS - bits))] = True
-        rows = [(r, -1, 0, np.packbits(seen, bitorder="little").tobytes())]
+        rows = [(r, -1, 0, zlib.compress(np.packbits(seen, bitorder="little"), 1))]
         levels = np.floor(np.log2(sums)).astype(np.int64)
         for level in np.unique(levels[levels >= LEAST_LEVEL]).tolist():
             own = keys[levels == level]
-            rows.append((r, level, len(own), own.tobytes()))
+            rows.append((r, level, len(own), zlib.compress(own, 1)))
         return pd.DataFrame(rows, columns=["range", "level", "n", "keys"])
 
     return total
@@ -159,10 +160,11 @@ class Order:
         self.seen = np.zeros(size << bits, np.uint8)
         keys, levels = [], []
         for r in rows:
+            values = zlib.decompress(r["keys"])
             if r["level"] < 0:
-                self.seen[r["range"] * size : (r["range"] + 1) * size] = np.frombuffer(r["keys"], np.uint8)
+                self.seen[r["range"] * size : (r["range"] + 1) * size] = np.frombuffer(values, np.uint8)
             else:
-                own = np.frombuffer(r["keys"], np.uint32).astype(np.uint64)
+                own = np.frombuffer(values, np.uint32).astype(np.uint64)
                 keys.append(own | (np.uint64(r["range"]) << np.uint64(32)))
                 levels.append(np.full(len(own), r["level"], np.uint8))
         joined = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
@@ -313,6 +315,23 @@ def _segments_of(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataF
     )
 
 
+def _sets(rows: DataFrame, counted: DataFrame, bits: int) -> DataFrame:
+    """What ``_ordered`` makes of every row. The order is the only large thing that the driver holds.
+
+    Its rows come as Arrow batches, of which the JVM makes no objects and no pickles, several times their size, and
+    they and their broadcast go when the sets are written: heap that the driver once needed stays with it.
+    """
+    levels = {r["level"]: r["n"] for r in counted.where("level >= 0").groupBy("level").agg(F.sum("n").alias("n")).collect()}
+    least = min((lv for lv in levels if sum(n for k, n in levels.items() if k >= lv) <= FREQUENT), default=99)
+    parts = counted.where((F.col("level") < 0) | (F.col("level") >= least))
+    order = rows.sparkSession.sparkContext.broadcast(Order(bits, parts.toArrow().to_pylist()))
+    kind = f"key binary, doc_id {dict(rows.dtypes)['doc_id']}, n long, common long, digest binary, sketch array<long>, prefix array<long>, segments array<array<long>>"
+    with small_batches(rows.sparkSession):
+        sets = staged(rows.mapInArrow(_ordered(order), kind), "sets")
+    order.destroy()
+    return sets
+
+
 def _grouped(rows: DataFrame) -> DataFrame:
     """``key, doc_id, n, root, component_id`` for every row of ``rows(key, doc_id, text)``.
 
@@ -329,12 +348,7 @@ def _grouped(rows: DataFrame) -> DataFrame:
             .applyInPandas(_sum_parts(bits), "range int, level int, n long, keys binary"),
             "shingle-counts",
         )
-    levels = {r["level"]: r["n"] for r in counted.where("level >= 0").groupBy("level").agg(F.sum("n").alias("n")).collect()}
-    least = min((lv for lv in levels if sum(n for k, n in levels.items() if k >= lv) <= FREQUENT), default=99)
-    order = spark.sparkContext.broadcast(Order(bits, counted.where((F.col("level") < 0) | (F.col("level") >= least)).collect()))
-    kind = f"key binary, doc_id {dict(rows.dtypes)['doc_id']}, n long, common long, digest binary, sketch array<long>, prefix array<long>, segments array<array<long>>"
-    with small_batches(spark):
-        sets = staged(rows.mapInArrow(_ordered(order), kind), "sets")
+    sets = _sets(rows, counted, bits)
     classes = staged(
         sets.where("n > 0")
         .groupBy("digest")

@@ -350,6 +350,41 @@ def test_memory_of_tasks_that_make_shingles(spark, monkeypatch):
     assert totals == plain
 
 
+def test_memory_of_the_driver_that_holds_the_order(spark, monkeypatch):
+    # The bitmap alone has 16 MB, however few of its bits are set.
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 1 << 64, 3000, dtype=np.uint64)) for _ in range(9)]
+    sets += [sets[0]] * 12 + sets[1:5]
+    monkeypatch.setattr(fragjoin, "_text_batches", lambda batches: ((b, sets) for b in batches))
+    parts = pa.Table.from_batches(fragjoin._count_parts(4)(iter([None]))).to_pandas()
+    rows = [r for _, part in parts.groupby("range") for r in fragjoin._sum_parts(4)(part).to_dict("records")]
+    assert sum(len(r["keys"]) for r in rows) < 1 << 20
+    order = fragjoin.Order(4, rows)
+    shared, level = order.marks(sets[0])
+    assert shared.all() and (level == 3).all()
+    shared, level = order.marks(sets[1])
+    assert shared.all() and not level.any()
+    assert not order.marks(sets[8])[0].sum() > 30
+    monkeypatch.undo()
+    # Nothing of it is left when its only reader has been written.
+    sc, made, held = spark.sparkContext, [], {}
+    broadcast, staged_before = type(sc).broadcast, fragjoin.staged
+
+    def kept(self, value):
+        made.append(broadcast(self, value))
+        return made[-1]
+
+    def watched(df, label):
+        held[label] = sum(b._jbroadcast.isValid() for b in made)
+        return staged_before(df, label)
+
+    monkeypatch.setattr(type(sc), "broadcast", kept)
+    monkeypatch.setattr(fragjoin, "staged", watched)
+    rows = fragjoin.near_duplicates(docs_of(spark, ["a b c d e f", "a b c d e f", None, "x y"])).orderBy("doc_id").collect()
+    assert [(r["n_shingles"], r["component_id"]) for r in rows] == [(2, 0), (2, 0), (0, 2), (1, 3)]
+    assert held["sets"] == 1 and held["classes"] == 0
+
+
 def test_survivors_do_not_depend_on_how_a_scan_is_cut(spark, monkeypatch, tmp_path):
     texts = [" ".join(f"{k % 20}w{i}" for i in range(9)) for k in range(32)]
     rows = [(k // 2 if k < 4 else None, t) for k, t in enumerate(texts)] + [(50, texts[19])] * 3
